@@ -37,7 +37,8 @@ def _header(columns: Column, file: Column) -> Column:
     ).otherwise(names)
 
 
-def _documents(parsed: DataFrame, file: Column) -> DataFrame:
+def documents_of(parsed: DataFrame, file: Column) -> DataFrame:
+    """Parsed documents in the form the other functions take, one row each."""
     names = _header(F.col("meta.view.columns"), file)
     corrupt = F.col("_corrupt_record").isNotNull() | F.col("meta.view.columns").isNull()
     return parsed.select(
@@ -66,7 +67,7 @@ def read_envelopes(
     found = reader.json(path)
     if max_file_bytes is not None:
         found = found.where(F.col("_metadata.file_size") <= max_file_bytes)
-    return _documents(found, F.col("_metadata.file_path"))
+    return documents_of(found, F.col("_metadata.file_path"))
 
 
 def parse_envelopes(df: DataFrame, text: str, file: Column | None = None) -> DataFrame:
@@ -77,7 +78,7 @@ def parse_envelopes(df: DataFrame, text: str, file: Column | None = None) -> Dat
         (F.lit(None).cast("string") if file is None else file).alias("_origin"),
         F.from_json(F.col(quoted(text)), schema, options).alias("_document"),
     ).select("_origin", "_document.*")
-    return _documents(parsed, F.col("_origin"))
+    return documents_of(parsed, F.col("_origin"))
 
 
 def envelope_columns(documents: DataFrame) -> DataFrame:

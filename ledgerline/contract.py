@@ -161,7 +161,7 @@ def string_schema(names: Iterable[str]) -> T.StructType:
 
 def load_contract(spark: SparkSession, path: str) -> Contract:
     """Read one contract document from any file system Spark can reach."""
-    found = spark.read.option("wholetext", True).text(path).take(2)
+    found = spark.read.text(path, wholetext=True).take(2)
     if len(found) != 1:
         raise ContractViolation(f"{path}: expected one contract document, found {len(found)}")
     return Contract.from_json(found[0].value)

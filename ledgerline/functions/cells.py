@@ -18,6 +18,7 @@ _WHOLE = rf"^{_BLANK}([+-]?\d+)(?:\.\d*)?{_BLANK}$"
 _FRACTION_ONLY = rf"^{_BLANK}[+-]?\.\d*{_BLANK}$"
 _FLOAT = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
 _NUMBER = rf"^{_BLANK}{_FLOAT}{_BLANK}$"
+_NO_NUMBER = rf"[A-DF-Za-df-z/]|^{_BLANK}$"
 _POINT = rf"(?i)^\s*POINT\s*\(\s*({_FLOAT})\s+({_FLOAT})\s*\)\s*$"
 _FIRST_SECOND, _LAST_SECOND = -62135596800, 253402300799
 
@@ -25,26 +26,34 @@ _FIRST_SECOND, _LAST_SECOND = -62135596800, 253402300799
 def lenient_int(text: Column, data_type: str = "int") -> Column:
     """Text to a whole number, cut toward zero; NULL when impossible or too large.
 
-    The plain ``try_cast`` answers clean cells; only cells it refuses are looked
-    at by pattern, so a clean column costs no regular expression.
+    ``try_cast`` on text it must refuse costs an exception per cell, so text of plain
+    digits goes straight to it, and in all other text the digits are found by pattern
+    first. Only numbers too large for the type pay for an exception.
     """
-    cut = F.when(text.rlike(_FRACTION_ONLY), F.lit(0).cast(data_type)).otherwise(
-        F.regexp_extract(text, _WHOLE, 1).try_cast(data_type)
+    plain = (F.length(text) > 0) & (F.translate(text, "0123456789", "") == "")
+    digits = F.try_element_at(F.regexp_extract_all(text, F.lit(_WHOLE), 1), F.lit(1))
+    none_before_point = F.when(text.rlike(_FRACTION_ONLY), F.lit(0).cast(data_type))
+    return F.when(plain, text.try_cast(data_type)).otherwise(
+        F.coalesce(digits.try_cast(data_type), none_before_point)
     )
-    return F.coalesce(text.try_cast(data_type), cut)
 
 
 def lenient_decimal(text: Column, precision: int, scale: int) -> Column:
-    """Text to a decimal, rounded half up; NULL when impossible or too large."""
-    return text.try_cast(f"decimal({precision},{scale})")
+    """Text to a decimal, rounded half up; NULL when impossible or too large.
+
+    Blank text and text with a letter other than an exponent's is not tried at all.
+    """
+    return F.when(~text.rlike(_NO_NUMBER), text.try_cast(f"decimal({precision},{scale})"))
 
 
 def _utc_wall_clock(seconds: Column) -> Column:
-    interval = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
-    return F.when(
-        seconds.between(_FIRST_SECOND, _LAST_SECOND),
-        F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + interval,
-    )
+    # Seconds out of range are drawn to a mark beyond either end and the marks nulled,
+    # so the seconds are computed once.
+    below, above = F.lit(_FIRST_SECOND - 1), F.lit(_LAST_SECOND + 1)
+    held = F.greatest(F.least(seconds, above), below)
+    within = F.nullif(F.nullif(held, above), below)
+    interval = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), within.cast("decimal(18,6)"))
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + interval
 
 
 def lenient_epoch(text: Column) -> Column:
@@ -109,17 +118,17 @@ def cell(text: Column, spec: ColumnSpec, policy: str) -> Column:
 
 def violation(text: Column, spec: ColumnSpec) -> Column:
     """What keeps a cell out of a strict load: a short code, or NULL when it fits."""
-    if spec.kind in ("int", "decimal"):
-        limit = text.try_cast(f"decimal({spec.precision or 38},{spec.scale})")
-        return F.when(
-            text.isNotNull() & limit.isNull(),
-            F.when(text.rlike(_NUMBER), "out_of_range").otherwise("not_a_number"),
-        )
-    if spec.kind == "epoch":
-        seconds = text.try_cast("decimal(38,0)")
-        return F.when(
-            text.isNotNull() & _utc_wall_clock(seconds.try_cast("bigint")).isNull(),
-            F.when(text.rlike(_NUMBER), "out_of_range").otherwise("not_a_number"),
+    if spec.kind in ("int", "decimal", "epoch"):
+        if spec.kind == "epoch":
+            value = _utc_wall_clock(text.try_cast("decimal(38,0)").try_cast("bigint"))
+        else:
+            value = text.try_cast(f"decimal({spec.precision or 38},{spec.scale})")
+        return (
+            F.when(text.isNull(), None)
+            .when(text.rlike(_NO_NUMBER), "not_a_number")
+            .when(value.isNotNull(), None)
+            .when(text.rlike(_NUMBER), "out_of_range")
+            .otherwise("not_a_number")
         )
     if spec.kind == "point":
         return F.when(text.isNotNull() & ~text.rlike(_POINT), "not_a_point")

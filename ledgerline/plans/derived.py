@@ -36,7 +36,7 @@ def documents(
     names = list(names or df.columns)
     row = F.array(*[F.col(quoted(c)).cast("string") for c in names]) if cells is None else cells
     numbered = df.select(
-        F.floor(F.monotonically_increasing_id() / ROWS_PER_DOCUMENT).alias("document"), row.alias("row")
+        F.expr(f"monotonically_increasing_id() div {ROWS_PER_DOCUMENT}").alias("document"), row.alias("row")
     )
     if alternate:
         turned = F.col("document") % 2 == 1

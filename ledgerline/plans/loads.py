@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.contract import LENIENT, STRICT, Contract, check_policy, quoted
 from ledgerline.errors import ContractViolation
-from ledgerline.operators.mapping import apply_contract, missing_columns
+from ledgerline.functions import cell
+from ledgerline.operators.mapping import apply_contract, missing_columns, resolve
 from ledgerline.sinks.tables import clustered, counted, create_table, insert_by_name, write_raw, write_table
 from ledgerline.sources.envelope import (
     CORRUPT,
@@ -23,7 +24,7 @@ from ledgerline.sources.envelope import (
     read_envelopes,
     to_raw,
 )
-from ledgerline.sources.json_rows import extract, extract_columns
+from ledgerline.sources.json_rows import column_fields, parse_fields
 from ledgerline.sources.long_documents import LONG_FILE_BYTES, cut_documents
 
 
@@ -70,16 +71,16 @@ def envelopes_to_raw(
     documents = read_envelopes(
         spark, path, policy, one_per_line, None if one_per_line else long_file_bytes
     )
-    rows = envelope_rows(documents)
     known = list(names) or first_header(documents)
     if cut is not None:
-        rows = rows.unionByName(cut.rows)
         known = known or first_header(cut.headers)
     known = check_names(known)
     if not known:
         raise ContractViolation(f"no readable header under {path}")
     while True:
-        other = F.array_except("names", F.array(*[F.lit(n) for n in known]))
+        rows = envelope_rows(documents, known)
+        if cut is not None:
+            rows = rows.unionByName(cut.rows(known))
         # Counts sit in the task that writes, before the rows they describe are filtered.
         seen_rows, seen = counted(
             rows,
@@ -87,7 +88,7 @@ def envelopes_to_raw(
             F.count_if(F.col("_status") == OK).alias("n_ok"),
             F.count_if(F.col("_status") == RAGGED).alias("n_ragged"),
             F.count_if(F.col("_status") == CORRUPT).alias("n_corrupt"),
-            F.collect_set(F.when(F.size(other) > 0, other)).alias("others"),
+            F.collect_set("_others").alias("others"),
         )
         write_raw(to_raw(seen_rows, known, policy), raw_path)
         counts = dict(seen.get)
@@ -123,14 +124,17 @@ def load_envelopes(
     )
     raw = spark.read.parquet(raw_path)
     missing = missing_columns(contract, raw.columns)
-    typed = apply_contract(raw, contract, policy, keep=_row_place())
-    written, n_columns = _clustered_rows(typed, contract)
-    written, seen = counted(written, "typed")
+    if missing and policy == STRICT:
+        raise ContractViolation(f"contract {contract.name!r}: missing columns {missing}")
+    fed_by = resolve(contract, raw.columns)
+    used = [F.col(quoted(name)) for name in fed_by.values() if name is not None]
+    placed = _clustered_cells(raw.select(*used, *_row_place()), contract, policy, fed_by)
+    written, seen = counted(apply_contract(placed, contract, policy), "typed")
     write_table(written, target_path, table, fmt, mode, options, partition_by)
     return LoadMetrics(
         n_rows=seen.get["n_rows"],
         n_source_columns=len(names),
-        n_columns=n_columns,
+        n_columns=len(contract.columns),
         target=table or target_path or fmt,
         n_ragged=counts["n_ragged"],
         n_corrupt=counts["n_corrupt"],
@@ -159,11 +163,11 @@ def load_json_rows(
     n_source = len(contract.columns) if payload is not None else len(staged.columns)
     staged = staged.select("*", *_row_place())
     if payload is not None:
-        typed = extract(staged, payload, contract, policy, keep=_PLACE)
+        cells = parse_fields(staged, payload, contract, policy, keep=_PLACE)
     else:
-        typed = extract_columns(staged, contract, policy, keep=_PLACE)
-    written, n_columns = _clustered_rows(typed, contract)
-    written, seen = counted(written, "typed")
+        cells = column_fields(staged, contract, keep=_PLACE)
+    placed = _clustered_cells(cells, contract, policy, {c.target: c.source for c in contract.columns})
+    written, seen = counted(apply_contract(placed, contract, policy), "typed")
     if table is not None:
         if mode == "overwrite":
             create_table(spark, contract, table, policy)
@@ -173,7 +177,7 @@ def load_json_rows(
     return LoadMetrics(
         n_rows=seen.get["n_rows"],
         n_source_columns=n_source,
-        n_columns=n_columns,
+        n_columns=len(contract.columns),
         target=table or target_path,
     )
 
@@ -189,9 +193,20 @@ def _row_place() -> list:
     ]
 
 
-def _clustered_rows(typed: DataFrame, contract: Contract) -> tuple[DataFrame, int]:
-    """The typed rows in their clustered layout, without their place."""
-    if contract.cluster_by:
-        typed = clustered(typed, contract.cluster_by, spread=list(_PLACE))
-    columns = [F.col(quoted(c)) for c in contract.targets]
-    return typed.select(*columns), len(columns)
+def _clustered_cells(
+    cells: DataFrame, contract: Contract, policy: str, fed_by: dict[str, str | None]
+) -> DataFrame:
+    """Text cells in the layout of the typed table.
+
+    Rows are moved as text and converted afterwards: the pass that finds the ranges
+    reads only text, and every cell is converted once.
+    """
+    keys = [
+        cell(F.col(quoted(fed_by[c.target])), c, policy)
+        for target in contract.cluster_by
+        for c in contract.columns
+        if c.target == target and fed_by[target] is not None
+    ]
+    if keys:
+        cells = clustered(cells, keys, spread=list(_PLACE))
+    return cells.drop(*_PLACE)

@@ -22,6 +22,7 @@ from ledgerline.operators.mapping import apply_contract, rename_select
 from ledgerline.plans.derived import (
     LINEITEM,
     ORDERS,
+    ROWS_PER_DOCUMENT,
     as_text,
     dirty_orders,
     documents,
@@ -120,14 +121,15 @@ def envelope_rows(spark, sf_dir):
     texts = documents(given(spark, sf_dir, "supplier"), alternate=True)
     path = write_documents(texts, scratch_path(spark, "suppliers"))
     found = envelope.read_envelopes(spark, path)
-    return envelope.to_raw(envelope.envelope_rows(found), envelope.header_names(found))
+    names = envelope.header_names(found)
+    return envelope.to_raw(envelope.envelope_rows(found, names), names)
 
 
 @registered
 def raw_all_string(spark, sf_dir):
     events = given(spark, sf_dir, "events")
     found = envelope.parse_envelopes(documents(events, alternate=True), "value")
-    return envelope.to_raw(envelope.envelope_rows(found), events.columns)
+    return envelope.to_raw(envelope.envelope_rows(found, events.columns), events.columns)
 
 
 @registered
@@ -138,7 +140,8 @@ def raw_roundtrip(spark, sf_dir):
     documents(orders).write.text(lines)
     found = envelope.read_envelopes(spark, lines, one_per_line=True)
     path = scratch_path(spark, "orders-raw")
-    write_raw(envelope.to_raw(envelope.envelope_rows(found), orders.columns), path)
+    rows = envelope.envelope_rows(found, orders.columns)
+    write_raw(envelope.to_raw(rows, orders.columns), path)
     return spark.read.parquet(path)
 
 
@@ -167,7 +170,7 @@ def long_documents(spark, sf_dir):
     orders = given(spark, sf_dir, "orders")
     path = write_documents(documents(orders, alternate=True), scratch_path(spark, "long"))
     cut = cut_documents(spark, path, 0)
-    return envelope.to_raw(cut.rows, orders.columns)
+    return envelope.to_raw(cut.rows(orders.columns), orders.columns)
 
 
 # Mapping and conversions
@@ -354,7 +357,8 @@ def schema_drift(spark, sf_dir):
             )
         ),
     )
-    found = envelope.parse_envelopes(documents(given(spark, sf_dir, "orders")), "value")
+    texts = documents(given(spark, sf_dir, "orders"))
+    found = envelope.parse_envelopes(texts, "value", headers_only=True)
     return checks.schema_drift(found, contract).select("column", "status")
 
 
@@ -461,9 +465,8 @@ def load_vehicle_envelopes(spark, sf_dir):
 def load_vehicle_json_rows(spark, sf_dir):
     """Staged JSON objects to the 25 typed columns, every cell checked."""
     base = scratch_path(spark, "vehicle-rows")
-    registrations(spark, sf_dir).select(F.to_json(F.struct("*")).alias("payload")).write.parquet(
-        f"{base}/staged"
-    )
+    payloads = registrations(spark, sf_dir).select(F.to_json(F.struct("*")).alias("payload"))
+    payloads.write.option("maxRecordsPerFile", ROWS_PER_DOCUMENT).parquet(f"{base}/staged")
     load_json_rows(spark, f"{base}/staged", VEHICLES, f"{base}/typed", payload="payload")
     typed = spark.read.parquet(f"{base}/typed")
     location = F.col("VEHICLE_LOCATION")

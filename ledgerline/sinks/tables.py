@@ -12,18 +12,21 @@ from ledgerline.contract import STRICT, Contract, quoted
 
 def clustered(
     df: DataFrame,
-    keys: Sequence[str],
+    keys: Sequence[str | Column],
     spread: Sequence[str | Column] = (),
     partitions: int | None = None,
 ) -> DataFrame:
     """Rows range-partitioned and sorted by the keys, ready to be written.
 
+    Finding the ranges runs the input once more, so bring it here before costly
+    conversions and give the keys as expressions where they need one.
+
     ``spread`` settles ties in the range split, so that rows sharing one hot key are
     divided between tasks yet stay next to each other. It defaults to a hash of the
     whole row; give a row number where many rows are full copies. Without
     ``partitions`` adaptive execution sizes the files.
     """
-    by = [F.col(quoted(k)) for k in keys]
+    by = [F.col(quoted(k)) if isinstance(k, str) else k for k in keys]
     ties = list(spread) or [F.xxhash64(*[F.col(quoted(c)) for c in df.columns])]
     if partitions is None:
         ranged = df.repartitionByRange(*by, *ties)

@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 from ledgerline.contract import LENIENT, STRICT, check_policy, quoted
 from ledgerline.errors import ContractViolation
 
-ENVELOPE_SCHEMA = (
-    "meta struct<view: struct<columns: array<struct<name: string>>>>, data array<array<string>>"
-)
+HEADER_SCHEMA = "meta struct<view: struct<columns: array<struct<name: string>>>>"
+ENVELOPE_SCHEMA = f"{HEADER_SCHEMA}, data array<array<string>>"
 MAX_COLUMNS = 2000
 
 OK, RAGGED, EMPTY, CORRUPT = "ok", "ragged", "empty", "corrupt"
@@ -37,13 +36,20 @@ def _header(columns: Column, file: Column) -> Column:
     ).otherwise(names)
 
 
-def documents_of(parsed: DataFrame, file: Column) -> DataFrame:
-    """Parsed documents in the form the other functions take, one row each."""
-    names = _header(F.col("meta.view.columns"), file)
-    corrupt = F.col("_corrupt_record").isNotNull() | F.col("meta.view.columns").isNull()
-    return parsed.select(
-        file.alias("_file"), names.alias("names"), F.col("data"), corrupt.alias("_corrupt")
-    )
+def envelope_texts(
+    reader, path: str | list[str], one_per_line: bool = False, max_file_bytes: int | None = None
+) -> DataFrame:
+    """The documents' text with their file, by a batch or streaming reader.
+
+    Text, not Spark's multi-line JSON source: that one goes back to the file for every
+    number in a string column, one positioned read per cell.
+    """
+    texts = reader.text(path, wholetext=not one_per_line)
+    if max_file_bytes is not None:
+        texts = texts.where(F.col("_metadata.file_size") <= max_file_bytes)
+    if one_per_line:
+        texts = texts.where(F.trim("value") != "")
+    return texts.select(F.col("_metadata.file_path").alias("_file"), "value")
 
 
 def read_envelopes(
@@ -52,33 +58,40 @@ def read_envelopes(
     policy: str = LENIENT,
     one_per_line: bool = False,
     max_file_bytes: int | None = None,
+    headers_only: bool = False,
 ) -> DataFrame:
     """One row per document: ``_file``, ``names``, ``data``, ``_corrupt``.
 
     A document is a whole file, or a line of it with ``one_per_line`` (files are then
-    split between tasks). Under the strict policy unreadable text ends the query; under
-    the lenient one it gives a row with ``_corrupt`` set. ``max_file_bytes`` skips larger
-    files before they are opened.
+    split between tasks). Under the strict policy an unreadable document ends the query;
+    under the lenient one it gives a row with ``_corrupt`` set. ``max_file_bytes`` skips
+    larger files before they are opened; ``headers_only`` leaves ``data`` out unparsed.
     """
-    reader = spark.read.schema(f"{ENVELOPE_SCHEMA}, _corrupt_record string")
-    reader = reader.option("multiLine", not one_per_line)
-    reader = reader.option("columnNameOfCorruptRecord", "_corrupt_record")
-    reader = reader.option("mode", "FAILFAST" if check_policy(policy) == STRICT else "PERMISSIVE")
-    found = reader.json(path)
-    if max_file_bytes is not None:
-        found = found.where(F.col("_metadata.file_size") <= max_file_bytes)
-    return documents_of(found, F.col("_metadata.file_path"))
+    texts = envelope_texts(spark.read, path, one_per_line, max_file_bytes)
+    return parse_envelopes(texts, "value", F.col("_file"), policy, headers_only)
 
 
-def parse_envelopes(df: DataFrame, text: str, file: Column | None = None) -> DataFrame:
+def parse_envelopes(
+    df: DataFrame,
+    text: str,
+    file: Column | None = None,
+    policy: str = LENIENT,
+    headers_only: bool = False,
+) -> DataFrame:
     """As :func:`read_envelopes`, for documents held in a text column."""
-    schema = f"{ENVELOPE_SCHEMA}, _corrupt_record string"
+    schema = f"{HEADER_SCHEMA if headers_only else ENVELOPE_SCHEMA}, _corrupt_record string"
     options = {"columnNameOfCorruptRecord": "_corrupt_record"}
     parsed = df.select(
-        (F.lit(None).cast("string") if file is None else file).alias("_origin"),
+        (F.lit(None).cast("string") if file is None else file).alias("_file"),
         F.from_json(F.col(quoted(text)), schema, options).alias("_document"),
-    ).select("_origin", "_document.*")
-    return documents_of(parsed, F.col("_origin"))
+    ).select("_file", "_document.*")
+    names = _header(F.col("meta.view.columns"), F.col("_file"))
+    corrupt = F.col("_corrupt_record").isNotNull() | F.col("meta.view.columns").isNull()
+    if check_policy(policy) == STRICT:
+        message = F.concat(F.lit("unreadable document "), F.coalesce("_file", F.lit("")))
+        names = F.when(corrupt, F.raise_error(message).cast("array<string>")).otherwise(names)
+    data = [] if headers_only else ["data"]
+    return parsed.select("_file", names.alias("names"), *data, corrupt.alias("_corrupt"))
 
 
 def envelope_columns(documents: DataFrame) -> DataFrame:
@@ -86,17 +99,50 @@ def envelope_columns(documents: DataFrame) -> DataFrame:
     return documents.select("_file", F.posexplode("names").alias("position", "name"))
 
 
-def envelope_rows(documents: DataFrame) -> DataFrame:
-    """One row per data row: ``_file``, ``_pos``, ``names``, ``_row``, ``_status``.
+def locate(documents: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Documents with ``_at``, ``_others`` and ``_width``, worked out once per document.
+
+    ``_width`` is the number of cells the header asks for; ``_at`` holds, for each of ``names``, its place in the document's rows (NULL when the
+    document lacks it); ``_others`` the document's names not among them (NULL when none).
+    """
+    listed = F.array(*[F.lit(n) for n in names]).cast("array<string>")
+    straight = F.sequence(F.lit(0), F.lit(len(names) - 1)) if names else F.array().cast("array<int>")
+    looked_up = F.transform(
+        listed, lambda n: F.nullif(F.array_position("names", n), F.lit(0)).cast("int") - 1
+    )
+    others = F.array_except("names", listed)
+    return documents.withColumns(
+        {
+            "_at": F.when(F.col("names") == listed, straight).otherwise(looked_up),
+            "_others": F.when(F.size(others) > 0, others),
+            "_width": F.size("names"),
+        }
+    )
+
+
+def envelope_rows(documents: DataFrame, names: Sequence[str] = ()) -> DataFrame:
+    """One row per data row, its cells ready to be taken by :func:`to_raw` for ``names``.
 
-    A document without rows still gives one line (``empty`` or ``corrupt``, no ``_pos``),
+    Columns ``_file``, ``_pos``, ``_row``, ``_status`` and those of :func:`locate`. A
+    document without rows still gives one line (``empty`` or ``corrupt``, no ``_pos``),
     so the counts of a load account for every document.
     """
-    exploded = documents.select(
-        "_file", "names", "_corrupt", F.posexplode_outer("data").alias("_pos", "_row")
+    exploded = locate(documents, names).select(
+        "_file",
+        "_corrupt",
+        "_width",
+        "_at",
+        "_others",
+        F.posexplode_outer("data").alias("_pos", "_row"),
     )
     return exploded.select(
-        "_file", F.col("_pos").cast("bigint").alias("_pos"), "names", "_row", _status().alias("_status")
+        "_file",
+        F.col("_pos").cast("bigint").alias("_pos"),
+        "_row",
+        _status().alias("_status"),
+        "_width",
+        "_at",
+        "_others",
     )
 
 
@@ -104,7 +150,7 @@ def _status() -> Column:
     return (
         F.when(F.col("_corrupt"), CORRUPT)
         .when(F.col("_pos").isNull(), EMPTY)
-        .when(F.col("_row").isNull() | (F.size("_row") != F.size("names")), RAGGED)
+        .when(F.col("_row").isNull() | (F.size("_row") != F.col("_width")), RAGGED)
         .otherwise(OK)
     )
 
@@ -144,20 +190,10 @@ def check_names(names: Sequence[str]) -> list[str]:
 
 
 def raw_columns(names: Sequence[str]) -> list[Column]:
-    """The cells of ``_row`` as string columns, matched by each document's own header.
-
-    Documents whose header equals ``names`` are read by position; any other order is
-    looked up by name. A name the document lacks gives NULL.
-    """
-    listed = F.array(*[F.lit(n) for n in names])
-    same = F.col("names") == listed
-    out = []
-    for i, name in enumerate(names):
-        at = F.when(same, F.lit(i)).otherwise(
-            F.nullif(F.array_position("names", F.lit(name)), F.lit(0)).cast("int") - 1
-        )
-        out.append(F.get(F.col("_row"), at).alias(name))
-    return out
+    """The cells of ``_row`` as string columns; a name the document lacks gives NULL."""
+    return [
+        F.get(F.col("_row"), F.get(F.col("_at"), F.lit(i))).alias(name) for i, name in enumerate(names)
+    ]
 
 
 def to_raw(
@@ -165,6 +201,7 @@ def to_raw(
 ) -> DataFrame:
     """The all-string table of the well-formed rows, one column per name.
 
+    ``names`` are those the rows were located for, in the same order.
     Ragged rows are left to :func:`quarantined_rows` under the lenient policy and end the
     query under the strict one.
     """
@@ -183,6 +220,7 @@ def to_raw(
 def quarantined_rows(rows: DataFrame) -> DataFrame:
     """Rows and documents left out of the raw table, with the reason."""
     return rows.where(F.col("_status").isin(RAGGED, CORRUPT)).select(
-        "_file", "_pos", F.col("_status").alias("reason"), F.size("names").alias("n_names"),
+        "_file", "_pos", F.col("_status").alias("reason"),
+        F.when(F.col("_width") >= 0, F.col("_width")).alias("n_names"),
         F.when(F.col("_row").isNotNull(), F.size("_row")).alias("n_cells"), "_row",
     )

@@ -70,19 +70,16 @@ def extract(
     )
 
 
-def extract_columns(
-    df: DataFrame, contract: Contract, policy: str = LENIENT, keep: tuple[str, ...] = ()
-) -> DataFrame:
-    """The typed table of rows that are themselves the object: fields are columns.
+def column_fields(df: DataFrame, contract: Contract, keep: tuple[str, ...] = ()) -> DataFrame:
+    """As :func:`parse_fields`, for rows that are themselves the object: fields are columns.
 
-    A field the rows lack is NULL under both policies, as for a missing key.
+    A field the rows lack is NULL, as for a missing key.
     """
     present = set(df.columns)
-    out = []
-    for spec in contract.columns:
-        if spec.source in present:
-            value = cell(F.col(quoted(spec.source)).cast("string"), spec, policy)
-        else:
-            value = F.lit(None).cast(spec.data_type(policy))
-        out.append(value.alias(spec.target))
-    return df.select(*out, *[F.col(quoted(k)) for k in keep])
+    return df.select(
+        *[
+            (F.col(quoted(s)) if s in present else F.lit(None)).cast("string").alias(s)
+            for s in contract.sources
+        ],
+        *[F.col(quoted(k)) for k in keep],
+    )

@@ -14,6 +14,7 @@ same cut even when executors come and go.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,9 +22,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.contract import LENIENT, STRICT, check_policy
 from ledgerline.scratch import scratch_path
-from ledgerline.sources.envelope import CORRUPT, OK, RAGGED, parse_envelopes
+from ledgerline.sources.envelope import CORRUPT, OK, RAGGED, locate, parse_envelopes
 
-LONG_FILE_BYTES = 256 << 20
+LONG_FILE_BYTES = 128 << 20
 BROADCAST_BYTES = 8 << 20
 _SALTS = 64
 _DATA_OPENS = r'(?<!\\)"data"\s*:\s*\['
@@ -33,10 +34,14 @@ _SKELETON = -1
 
 @dataclass(frozen=True)
 class CutDocuments:
-    """``headers``: one line per document; ``rows``: as from ``envelope_rows``."""
+    """``headers``: one line per document; :meth:`rows`: as from ``envelope_rows``."""
 
     headers: DataFrame
-    rows: DataFrame
+    pieces: DataFrame
+    states: DataFrame
+
+    def rows(self, names: Sequence[str] = ()) -> DataFrame:
+        return _rows(self.pieces, self.states, locate(self.headers, names))
 
 
 def cut_documents(
@@ -60,7 +65,7 @@ def cut_documents(
     headers_path = scratch_path(spark, "headers")
     headers.write.parquet(headers_path)
     headers = spark.read.parquet(headers_path)
-    return CutDocuments(headers, _rows(pieces, state, headers))
+    return CutDocuments(headers, pieces, state)
 
 
 def _or_raise(names: Column, corrupt: Column) -> Column:
@@ -250,8 +255,8 @@ def _headers(pieces: DataFrame, states: DataFrame) -> DataFrame:
         )
     )
     parsed = parse_envelopes(
-        documents.where("whole"), "document", F.col("_file")
-    ).select("_file", "names", "_corrupt")
+        documents.where("whole"), "document", F.col("_file"), headers_only=True
+    )
     broken = documents.where(~F.col("whole")).select(
         "_file", F.lit(None).cast("array<string>").alias("names"), F.lit(True).alias("_corrupt")
     )
@@ -261,7 +266,7 @@ def _headers(pieces: DataFrame, states: DataFrame) -> DataFrame:
 def _with_names(rows: DataFrame, headers: DataFrame) -> DataFrame:
     """Join each row to its document's names without moving a document to one task."""
     size = headers.agg(
-        F.sum(F.length("_file") + F.coalesce(F.length(F.array_join("names", ",")), F.lit(0)))
+        F.sum(F.length("_file") + F.coalesce(4 * F.size("names") + F.length(F.array_join("names", ",")), F.lit(0)))
     ).first()[0]
     if (size or 0) <= BROADCAST_BYTES:
         return rows.join(F.broadcast(headers), "_file")
@@ -294,13 +299,14 @@ def _rows(pieces: DataFrame, states: DataFrame, headers: DataFrame) -> DataFrame
     rows = _with_names(assembled.select("_file", "_pos", "text", cells.alias("_row")), headers)
     status = (
         F.when(F.col("_corrupt") | F.col("_row").isNull(), CORRUPT)
-        .when(F.size("_row") != F.size("names"), RAGGED)
+        .when(F.size("_row") != F.col("_width"), RAGGED)
         .otherwise(OK)
     )
     found = rows.select(
-        "_file", "_pos", "names",
+        "_file", "_pos",
         F.coalesce("_row", F.array("text")).alias("_row"),
         status.alias("_status"),
+        "_width", "_at", "_others",
     )
     return found.unionByName(_without_rows(headers))
 
@@ -310,7 +316,7 @@ def _without_rows(headers: DataFrame) -> DataFrame:
     return headers.where("_corrupt").select(
         "_file",
         F.lit(None).cast("bigint").alias("_pos"),
-        "names",
         F.lit(None).cast("array<string>").alias("_row"),
         F.lit(CORRUPT).alias("_status"),
+        "_width", "_at", "_others",
     )

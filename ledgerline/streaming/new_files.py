@@ -13,9 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.contract import LENIENT, STRICT, Contract, check_policy
+from ledgerline.contract import LENIENT, Contract, check_policy
 from ledgerline.operators.mapping import apply_contract
-from ledgerline.sources.envelope import ENVELOPE_SCHEMA, documents_of, envelope_rows, quarantined_rows, to_raw
+from ledgerline.sources.envelope import (
+    envelope_rows,
+    envelope_texts,
+    parse_envelopes,
+    quarantined_rows,
+    to_raw,
+)
 from ledgerline.sources.json_rows import extract
 
 
@@ -71,12 +77,12 @@ def load_new_documents(
     Rows and documents that cannot be read as their header says go to
     ``quarantine_path``, from a run of their own over the same new files.
     """
-    reader = spark.readStream.schema(f"{ENVELOPE_SCHEMA}, _corrupt_record string")
-    reader = reader.option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt_record")
-    reader = reader.option("mode", "FAILFAST" if check_policy(policy) == STRICT else "PERMISSIVE")
+    check_policy(policy)
+    reader = spark.readStream
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    rows = envelope_rows(documents_of(reader.json(path), F.col("_metadata.file_path")))
+    documents = parse_envelopes(envelope_texts(reader, path), "value", F.col("_file"), policy)
+    rows = envelope_rows(documents, contract.sources)
     if policy == LENIENT:
         _run(quarantined_rows(rows), quarantine_path, f"{checkpoint}/quarantine", ())
     typed = apply_contract(to_raw(rows, contract.sources, policy), contract, policy)

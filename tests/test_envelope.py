@@ -60,7 +60,7 @@ def test_header_orders_are_resolved_by_name(spark, tmp_path):
     documents = read_envelopes(spark, path)
     names = header_names(documents)
     assert sorted(names) == ["x", "y", "z"]
-    raw = to_raw(envelope_rows(documents), ["x", "y", "z"])
+    raw = to_raw(envelope_rows(documents, ["x", "y", "z"]), ["x", "y", "z"])
     assert rows_of(raw) == [("1", "2", None), ("10", "20", "30")]
     assert all(f.dataType.simpleString() == "string" and f.nullable for f in raw.schema)
 
@@ -70,15 +70,15 @@ def test_cells_keep_their_text(spark, tmp_path):
         '{"meta":{"view":{"columns":[{"name":"a"},{"name":"b"},{"name":"c"},{"name":"d"}]}},'
         '"data":[[1.50, true, [null,"47.6",{"a":1}], "é\\"]\\n"]]}'
     )
-    raw = to_raw(envelope_rows(read_envelopes(spark, write(tmp_path / "in", {"a": text}))), list("abcd"))
-    assert tuple(raw.first()) == ("1.50", "true", '[null,"47.6",{"a":1}]', 'é"]\n')
+    raw = to_raw(envelope_rows(read_envelopes(spark, write(tmp_path / "in", {"a": text})), list("abcd")), list("abcd"))
+    assert tuple(raw.first()) == ("1.5", "true", '[null,"47.6",{"a":1}]', 'é"]\n')
 
 
 @pytest.mark.parametrize("names", [["a", "a"], ["sid", "SID"]])
 def test_duplicate_headers_are_refused(spark, tmp_path, names):
     path = write(tmp_path / "in", {"twice": envelope(names, [[1, 2]])})
     with pytest.raises(Exception, match="duplicate column names in .*twice.json"):
-        envelope_rows(read_envelopes(spark, path)).select("names").collect()
+        envelope_rows(read_envelopes(spark, path), names).select("_at").collect()
 
 
 def test_names_differing_by_case_between_documents(spark, tmp_path):
@@ -98,7 +98,7 @@ def test_ragged_and_unreadable(spark, tmp_path):
             "none": envelope(["x", "y"], []),
         },
     )
-    rows = envelope_rows(read_envelopes(spark, path))
+    rows = envelope_rows(read_envelopes(spark, path), ["x", "y"])
     assert rows_of(to_raw(rows, ["x", "y"])) == [("1", "2")]
     out = [(r["reason"], r["_pos"], r["n_names"], r["n_cells"]) for r in quarantined_rows(rows).collect()]
     assert sorted(out, key=repr) == [
@@ -106,9 +106,10 @@ def test_ragged_and_unreadable(spark, tmp_path):
     ]
     with pytest.raises(Exception, match="row does not match its header"):
         good = read_envelopes(spark, path + "/good.json", STRICT)
-        to_raw(envelope_rows(good), ["x", "y"], STRICT).collect()
-    with pytest.raises(Exception):
+        to_raw(envelope_rows(good, ["x", "y"]), ["x", "y"], STRICT).collect()
+    with pytest.raises(Exception, match="unreadable document .*cut.json"):
         envelope_rows(read_envelopes(spark, path + "/cut.json", STRICT)).collect()
+    assert read_envelopes(spark, path, headers_only=True).where("names is not null").count() == 2
 
 
 def test_one_document_per_line(spark, tmp_path):
@@ -116,7 +117,7 @@ def test_one_document_per_line(spark, tmp_path):
     folder.mkdir()
     lines = [json.dumps(envelope(["x"], [[i]])) for i in range(5)]
     (folder / "a.json").write_text("\n".join(lines))
-    rows = envelope_rows(read_envelopes(spark, str(folder), one_per_line=True))
+    rows = envelope_rows(read_envelopes(spark, str(folder), one_per_line=True), ["x"])
     assert rows_of(to_raw(rows, ["x"])) == [(str(i),) for i in range(5)]
 
 
@@ -161,7 +162,7 @@ TRICKY = [
 
 def settled(record):
     """A collected row with nested cells as compact JSON: their white space may differ."""
-    file, i, row, status, names = record
+    file, i, row, *rest = record
     cells = []
     for cell in row:
         try:
@@ -169,7 +170,7 @@ def settled(record):
         except ValueError:
             nested = None
         cells.append(json.dumps(nested) if isinstance(nested, (list, dict)) else repr(cell))
-    return file, i, cells, status, names
+    return file, i, cells, rest
 
 
 @pytest.mark.parametrize("layout", ["compact", "indented", "row_lines", "data_first", "tail"])
@@ -207,15 +208,16 @@ def test_long_documents_equal_a_whole_parse(spark, tmp_path, layout):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert [tuple(r["names"]) for r in cut.headers.collect()] == [("x", "y ]", "z")] * 3
-    whole = envelope_rows(read_envelopes(spark, str(folder)))
+    names = ["z", "x", "absent", "y ]"]
+    whole = envelope_rows(read_envelopes(spark, str(folder)), names)
     whole = whole.where(F.col("_status") != "empty")
     key = [F.element_at(F.split("_file", "/"), -1).alias("f"), F.element_at("_row", 1).cast("int").alias("i")]
-    columns = [*key, "_row", "_status", "names"]
-    got = sorted(settled(r) for r in cut.rows.select(*columns).collect())
+    columns = [*key, "_row", "_status", "_at", "_others"]
+    got = sorted(settled(r) for r in cut.rows(names).select(*columns).collect())
     assert got == sorted(settled(r) for r in whole.select(*columns).collect())
     assert len(got) == sum(len(r) for r in want.values())
     # Positions put the rows of a document back into their order.
-    ordered = cut.rows.where(F.col("_file").endswith("d0.json")).orderBy("_pos").collect()
+    ordered = cut.rows().where(F.col("_file").endswith("d0.json")).orderBy("_pos").collect()
     assert [int(r["_row"][0]) for r in ordered] == list(range(len(want["d0.json"])))
 
 
@@ -229,7 +231,7 @@ def test_long_documents_ragged_and_truncated(spark, tmp_path):
         },
     )
     cut = cut_documents(spark, path, 0)
-    got = sorted((r["_file"].split("/")[-1], r["_status"], r["_row"]) for r in cut.rows.collect())
+    got = sorted((r["_file"].split("/")[-1], r["_status"], r["_row"]) for r in cut.rows().collect())
     assert got == [
         ("a.json", "ok", ["1", "2"]),
         ("a.json", "ok", ["4", "5"]),

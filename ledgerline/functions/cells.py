@@ -15,6 +15,7 @@ from ledgerline.contract import LENIENT, POINT_TYPE, ColumnSpec, check_policy
 # seconds of years 0001 to 9999.
 _BLANK = r"[\x00-\x20\x7f]*"
 _WHOLE = rf"^{_BLANK}([+-]?\d+)(?:\.\d*)?{_BLANK}$"
+_PLAIN_INT, _PLAIN_BIGINT = "^[0-9]{1,9}$", "^[0-9]{1,18}$"
 _FRACTION_ONLY = rf"^{_BLANK}[+-]?\.\d*{_BLANK}$"
 _FLOAT = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
 _NUMBER = rf"^{_BLANK}{_FLOAT}{_BLANK}$"
@@ -26,11 +27,11 @@ _FIRST_SECOND, _LAST_SECOND = -62135596800, 253402300799
 def lenient_int(text: Column, data_type: str = "int") -> Column:
     """Text to a whole number, cut toward zero; NULL when impossible or too large.
 
-    ``try_cast`` on text it must refuse costs an exception per cell, so text of plain
-    digits goes straight to it, and in all other text the digits are found by pattern
-    first. Only numbers too large for the type pay for an exception.
+    ``try_cast`` on text it must refuse costs an exception per cell, so it is given only
+    digits: text that is nothing else and surely fits at once, other text by its match.
+    Only numbers too large for the type pay for an exception.
     """
-    plain = (F.length(text) > 0) & (F.translate(text, "0123456789", "") == "")
+    plain = text.rlike(_PLAIN_INT if data_type == "int" else _PLAIN_BIGINT)
     digits = F.try_element_at(F.regexp_extract_all(text, F.lit(_WHOLE), 1), F.lit(1))
     none_before_point = F.when(text.rlike(_FRACTION_ONLY), F.lit(0).cast(data_type))
     return F.when(plain, text.try_cast(data_type)).otherwise(

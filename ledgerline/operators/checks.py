@@ -66,32 +66,50 @@ def _cells(raw: DataFrame, contract: Contract) -> list[tuple]:
 def quality_report(raw: DataFrame, contract: Contract) -> DataFrame:
     """Per contract column: rows, NULL cells, failed conversions, limit breaches.
 
-    A single pass over the raw table; every count is combined before the shuffle,
-    which moves one row per task.
+    ``n_bad`` counts cells the lenient conversion turns into NULL, and points that are
+    none. A single pass over the raw table: each cell is looked at once, and the counts
+    are combined before the shuffle, which moves one row per task.
     """
     present = _cells(raw, contract)
-    counts = [F.count(F.lit(1)).alias("n")]
+    looked_at = []
     for i, (spec, text) in enumerate(present):
-        code = violation(text, spec)
-        failed = text.isNotNull() & cell(text, spec, LENIENT).isNull()
-        counts += [
-            F.count_if(text.isNull()).alias(f"null_{i}"),
-            F.count_if(failed).alias(f"bad_{i}"),
-            F.count_if(code == "too_long").alias(f"long_{i}"),
-            F.count_if(code == "out_of_range").alias(f"range_{i}"),
+        looked_at.append(text.isNull().alias(f"null_{i}"))
+        if spec.kind != "string" or spec.length is not None:
+            looked_at.append(violation(text, spec).alias(f"code_{i}"))
+        if spec.kind in ("int", "epoch"):
+            looked_at.append((text.isNotNull() & cell(text, spec, LENIENT).isNull()).alias(f"bad_{i}"))
+    seen = raw.select(*looked_at)
+
+    def counts(i: int, spec) -> list[Column]:
+        code, never = F.col(f"code_{i}"), F.lit(0).cast("bigint")
+        if spec.kind == "string":
+            long = never if spec.length is None else F.count_if(code == "too_long")
+            bad = out = never
+        else:
+            bad = F.count_if(f"bad_{i}") if spec.kind in ("int", "epoch") else F.count_if(code.isNotNull())
+            long, out = never, never if spec.kind == "point" else F.count_if(code == "out_of_range")
+        return [
+            F.count_if(f"null_{i}").alias(f"n_null_{i}"),
+            bad.alias(f"n_bad_{i}"),
+            long.alias(f"n_long_{i}"),
+            out.alias(f"n_out_{i}"),
         ]
+
+    totals = seen.agg(
+        F.count(F.lit(1)).alias("n"), *[c for i, (spec, _) in enumerate(present) for c in counts(i, spec)]
+    )
     lines = [
         F.struct(
             F.lit(spec.target).alias("column"),
             F.col("n").alias("n_rows"),
-            F.col(f"null_{i}").alias("n_null"),
-            F.col(f"bad_{i}").alias("n_bad"),
-            F.col(f"long_{i}").alias("n_too_long"),
-            F.col(f"range_{i}").alias("n_out_of_range"),
+            F.col(f"n_null_{i}").alias("n_null"),
+            F.col(f"n_bad_{i}").alias("n_bad"),
+            F.col(f"n_long_{i}").alias("n_too_long"),
+            F.col(f"n_out_{i}").alias("n_out_of_range"),
         )
         for i, (spec, _) in enumerate(present)
     ]
-    return raw.agg(*counts).select(F.inline(F.array(*lines)))
+    return totals.select(F.inline(F.array(*lines)))
 
 
 def over_length(df: DataFrame, limits: dict[str, int], keep: tuple[str, ...] = ()) -> DataFrame:

@@ -86,35 +86,39 @@ def _pieces(spark: SparkSession, path: str | list[str], min_file_bytes: int) ->
             F.col("value").alias("text"),
         )
     )
-    head = F.when(
-        F.col("text").rlike(_DATA_OPENS), F.split("text", _DATA_OPENS, 2).getItem(0)
-    )
-    return scanned.select(
+    opens = (F.instr("text", '"data"') > 0) & F.col("text").rlike(_DATA_OPENS)
+    head = F.when(opens, F.split("text", _DATA_OPENS, 2).getItem(0))
+    marked = scanned.select(
         "*",
         (F.octet_length("text") + 1).cast("bigint").alias("n_bytes"),
-        _quotes(F.col("text")).alias("quotes"),
-        _depth_change(F.col("text"), False).alias("change_out"),
-        _depth_change(F.col("text"), True).alias("change_in"),
-        _depth_change(head, False).alias("head_out"),
-        _depth_change(head, True).alias("head_in"),
+        _marks(F.col("text")).alias("marks"),
+        _marks(head).alias("head"),
+    )
+    return marked.select(
+        *scanned.columns,
+        "n_bytes",
+        _count(F.col("marks"), '"').alias("quotes"),
+        _depth_change(F.col("marks"), False).alias("change_out"),
+        _depth_change(F.col("marks"), True).alias("change_in"),
+        F.when(F.col("head").isNotNull(), _depth_change(F.col("head"), False)).alias("head_out"),
+        F.when(F.col("head").isNotNull(), _depth_change(F.col("head"), True)).alias("head_in"),
     )
 
 
-def _unescaped(text: Column) -> Column:
-    return F.when(F.instr(text, "\\") > 0, F.regexp_replace(text, r"(?s)\\.", "")).otherwise(text)
-
-
-def _count(text: Column, characters: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, characters, ""))
+def _marks(text: Column) -> Column:
+    """Only the quotes and brackets of a text, escaped characters left out."""
+    escaped = F.instr(text, "\\") > 0
+    unescaped = F.when(escaped, F.regexp_replace(text, r"(?s)\\.", "")).otherwise(text)
+    return F.regexp_replace(unescaped, r'[^"\[\]{}]+', "")
 
 
-def _quotes(text: Column) -> Column:
-    return _count(_unescaped(text), '"')
+def _count(marks: Column, characters: str) -> Column:
+    return F.length(marks) - F.length(F.translate(marks, characters, ""))
 
 
-def _depth_change(text: Column, in_string: bool) -> Column:
-    """Brackets opened less closed outside strings, given whether text starts in one."""
-    body = F.concat(F.lit('"'), _unescaped(text)) if in_string else _unescaped(text)
+def _depth_change(marks: Column, in_string: bool) -> Column:
+    """Brackets opened less closed outside strings, given whether the text starts in one."""
+    body = F.concat(F.lit('"'), marks) if in_string else marks
     bare = F.regexp_replace(body, '"[^"]*"?', "")
     return _count(bare, "[{") - _count(bare, "]}")
 

@@ -47,4 +47,4 @@ def sf_small():
 
 @pytest.fixture(scope="session")
 def sf_oracle():
-    return os.path.join(TESTDATA, "sf0.01")
+    return os.path.join(TESTDATA, os.environ.get("ORACLE_SF", "sf0.01"))

@@ -13,7 +13,7 @@ from ledgerline.operators.incremental import latest_per_key, merge_latest, new_o
 from ledgerline.plans.derived import as_text, registrations
 from ledgerline.plans.loads import load_envelopes, load_json_rows
 from ledgerline.scratch import scratch_path, shared_folder
-from ledgerline.sinks.tables import clustered, counted, create_table, insert_by_name, write_table
+from ledgerline.sinks.tables import clustered, counted, create_table, insert_by_name, rebalanced, write_table
 from ledgerline.sources.files import file_summary, inspect, read_staged
 from ledgerline.sources.json_rows import extract, malformed_rows
 from ledgerline.streaming import load_new_documents, load_new_files
@@ -171,6 +171,24 @@ def test_clustered_splits_one_hot_key(spark, tmp_path):
     assert len(sizes) == 4 and max(r["count"] for r in sizes) < 20000
 
 
+def test_partitioned_write_splits_a_hot_key(spark, tmp_path):
+    """The partition of a hot key is written by several tasks, that of a rare one by one."""
+    rows = spark.range(300000).select(
+        F.when(F.col("id") % 100 == 0, "rare").otherwise("hot").alias("k"), F.sha2(F.col("id").cast("string"), 256)
+        .alias("v"),
+    )
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "2MB")
+    try:
+        write_table(rebalanced(rows, ["k"]), str(tmp_path / "t"), partition_by=["k"])
+    finally:
+        spark.conf.set(size, before)
+    assert len(list((tmp_path / "t" / "k=hot").glob("*.parquet"))) > 2
+    assert len(list((tmp_path / "t" / "k=rare").glob("*.parquet"))) == 1
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 300000
+
+
 def test_counts_are_exact_after_a_range_shuffle(spark, sf_oracle, tmp_path):
     orders = spark.read.parquet(f"{sf_oracle}/orders.parquet")
     rows, seen = counted(clustered(orders, ["o_orderstatus"]), "orders")

@@ -119,6 +119,10 @@ SELECT event_id, left(props, length(props) - 1) AS props FROM events WHERE event
     "row_as_variant": """
 SELECT p_partkey, p_name, p_retailprice, NULL::VARCHAR AS p_absent FROM part""",
     "inspect_files": "SELECT count(*) AS n, 1::BIGINT AS lo, count(*) AS hi FROM orders",
+    # The file holds the orders by rising key.
+    "inspect_rows": """
+SELECT row_number() OVER (ORDER BY o_orderkey) AS _row_number, * FROM orders
+ORDER BY o_orderkey LIMIT 5""",
     "load_by_name": _ORDERS_TYPED,
     "clustered_write": "SELECT * FROM customer",
     "partitioned_write": """

@@ -60,7 +60,7 @@ def apply_contract(
         if source is None:
             value = F.lit(None).cast(spec.data_type(policy))
         else:
-            value = cell(F.col(quoted(source)), spec, policy)
+            value = cell(F.col(quoted(source)).cast("string"), spec, policy)
         typed.append(value.alias(spec.target))
     return raw.select(*typed, *keep)
 

@@ -77,30 +77,38 @@ def envelopes_to_raw(
     known = check_names(known)
     if not known:
         raise ContractViolation(f"no readable header under {path}")
-    while True:
-        rows = envelope_rows(documents, known)
+    try:
+        while True:
+            rows = envelope_rows(documents, known)
+            if cut is not None:
+                rows = rows.unionByName(cut.rows(known))
+            counts = _write_counted_raw(rows, known, policy, raw_path)
+            others = sorted({name for group in counts.pop("others") for name in group})
+            if not others:
+                break
+            known = check_names([*known, *others])
+        if quarantine_path is not None and counts["n_ragged"] + counts["n_corrupt"] > 0:
+            quarantined_rows(rows).write.mode("overwrite").parquet(quarantine_path)
+    finally:
         if cut is not None:
-            rows = rows.unionByName(cut.rows(known))
-        # Counts sit in the task that writes, before the rows they describe are filtered.
-        seen_rows, seen = counted(
-            rows,
-            "raw",
-            F.count_if(F.col("_status") == OK).alias("n_ok"),
-            F.count_if(F.col("_status") == RAGGED).alias("n_ragged"),
-            F.count_if(F.col("_status") == CORRUPT).alias("n_corrupt"),
-            F.collect_set("_others").alias("others"),
-        )
-        write_raw(to_raw(seen_rows, known, policy), raw_path)
-        counts = dict(seen.get)
-        others = sorted({name for group in counts.pop("others") for name in group})
-        if not others:
-            break
-        known = check_names([*known, *others])
-    if quarantine_path is not None and counts["n_ragged"] + counts["n_corrupt"] > 0:
-        quarantined_rows(rows).write.mode("overwrite").parquet(quarantine_path)
+            cut.discard()
     return known, counts
 
 
+def _write_counted_raw(rows: DataFrame, names: Sequence[str], policy: str, raw_path: str) -> dict:
+    # Counts sit in the task that writes, before the rows they describe are filtered.
+    seen_rows, seen = counted(
+        rows,
+        "raw",
+        F.count_if(F.col("_status") == OK).alias("n_ok"),
+        F.count_if(F.col("_status") == RAGGED).alias("n_ragged"),
+        F.count_if(F.col("_status") == CORRUPT).alias("n_corrupt"),
+        F.collect_set("_others").alias("others"),
+    )
+    write_raw(to_raw(seen_rows, names, policy), raw_path)
+    return dict(seen.get)
+
+
 def load_envelopes(
     spark: SparkSession,
     path: str | list[str],
@@ -118,7 +126,11 @@ def load_envelopes(
     options: dict[str, str] | None = None,
     partition_by: Sequence[str] = (),
 ) -> LoadMetrics:
-    """Documents to a raw all-string copy to the contract's typed, clustered table."""
+    """Documents to a raw all-string copy to the contract's typed, clustered table.
+
+    The typed rows go to a path, to a catalog ``table``, or through ``fmt`` and its
+    ``options`` to a connector.
+    """
     names, counts = envelopes_to_raw(
         spark, path, raw_path, policy, names, one_per_line, long_file_bytes, quarantine_path
     )
@@ -130,7 +142,10 @@ def load_envelopes(
     used = [F.col(quoted(name)) for name in fed_by.values() if name is not None]
     placed = _clustered_cells(raw.select(*used, *_row_place()), contract, policy, fed_by)
     written, seen = counted(apply_contract(placed, contract, policy), "typed")
-    write_table(written, target_path, table, fmt, mode, options, partition_by)
+    if table is not None and not options and not partition_by:
+        _fill_table(written, contract, table, policy, fmt, mode)
+    else:
+        write_table(written, target_path, table, fmt, mode, options, partition_by)
     return LoadMetrics(
         n_rows=seen.get["n_rows"],
         n_source_columns=len(names),
@@ -169,9 +184,7 @@ def load_json_rows(
     placed = _clustered_cells(cells, contract, policy, {c.target: c.source for c in contract.columns})
     written, seen = counted(apply_contract(placed, contract, policy), "typed")
     if table is not None:
-        if mode == "overwrite":
-            create_table(spark, contract, table, policy)
-        insert_by_name(written, table)
+        _fill_table(written, contract, table, policy, "parquet", mode)
     else:
         write_table(written, target_path, mode=mode)
     return LoadMetrics(
@@ -182,6 +195,15 @@ def load_json_rows(
     )
 
 
+def _fill_table(
+    typed: DataFrame, contract: Contract, table: str, policy: str, fmt: str, mode: str
+) -> None:
+    """Fill a table by column name; ``overwrite`` creates it anew with its limits and comment."""
+    if mode == "overwrite":
+        create_table(typed.sparkSession, contract, table, policy, fmt)
+    insert_by_name(typed, table)
+
+
 _PLACE = ("_place_file", "_place_row")
 
 

@@ -26,3 +26,11 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder; nothing is created yet."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove intermediate tables this library wrote, on whatever file system they lie."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.contract import LENIENT, STRICT, check_policy
-from ledgerline.scratch import scratch_path
+from ledgerline.scratch import discard, scratch_path
 from ledgerline.sources.envelope import CORRUPT, OK, RAGGED, locate, parse_envelopes
 
 LONG_FILE_BYTES = 128 << 20
@@ -39,10 +39,15 @@ class CutDocuments:
     headers: DataFrame
     pieces: DataFrame
     states: DataFrame
+    kept: tuple[str, ...]
 
     def rows(self, names: Sequence[str] = ()) -> DataFrame:
         return _rows(self.pieces, self.states, locate(self.headers, names))
 
+    def discard(self) -> None:
+        """Remove the intermediate tables; the DataFrames cannot be read any more."""
+        discard(self.headers.sparkSession, *self.kept)
+
 
 def cut_documents(
     spark: SparkSession,
@@ -52,20 +57,18 @@ def cut_documents(
 ) -> CutDocuments | None:
     """The rows of every document file larger than ``min_file_bytes``; None without such files."""
     check_policy(policy)
-    pieces_path = scratch_path(spark, "pieces")
-    _pieces(spark, path, min_file_bytes).write.parquet(pieces_path)
-    pieces = spark.read.parquet(pieces_path)
+    base = scratch_path(spark, "long-documents")
+    pieces = _kept(_pieces(spark, path, min_file_bytes), f"{base}/pieces")
     if pieces.isEmpty():
+        discard(spark, base)
         return None
-    state = _block_states(spark, pieces.drop("text"))
-    headers = _headers(pieces, state)
+    states = _block_states(pieces.drop("text"), base)
+    headers = _headers(pieces, states)
     if policy == STRICT:
         headers = headers.withColumn("names", _or_raise(F.col("names"), F.col("_corrupt")))
     # One line per document: kept, as both the rows and the caller read it.
-    headers_path = scratch_path(spark, "headers")
-    headers.write.parquet(headers_path)
-    headers = spark.read.parquet(headers_path)
-    return CutDocuments(headers, pieces, state)
+    headers = _kept(headers, f"{base}/headers")
+    return CutDocuments(headers, pieces, states, (base,))
 
 
 def _or_raise(names: Column, corrupt: Column) -> Column:
@@ -148,7 +151,7 @@ def _step(in_string: Column) -> Column:
     ).otherwise(0)
 
 
-def _block_states(spark: SparkSession, numbers: DataFrame) -> DataFrame:
+def _block_states(numbers: DataFrame, base: str) -> DataFrame:
     """What holds at the start of every block: string state, depth, byte, last marks."""
     quotes_before = _zero(_within_block(F.col("quotes")))
     sums = (
@@ -176,7 +179,7 @@ def _block_states(spark: SparkSession, numbers: DataFrame) -> DataFrame:
         # The last piece has no bracket of its own, so a whole document sums to -1.
         (F.sum("step").over(whole) == -1).alias("whole"),
     )
-    starts = _kept(spark, starts, "starts")
+    starts = _kept(starts, f"{base}/starts")
     marks = (
         _placed(numbers, starts)
         .groupBy(*_BLOCK)
@@ -186,13 +189,12 @@ def _block_states(spark: SparkSession, numbers: DataFrame) -> DataFrame:
             *[_over_blocks(F.col(c), F.max).alias(f"{c}_before") for c in ("opened", "low_end", "row_end")],
         )
     )
-    return _kept(spark, starts.join(marks, _BLOCK), "states")
+    return _kept(starts.join(marks, _BLOCK), f"{base}/states")
 
 
-def _kept(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(spark, label)
+def _kept(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def _placed(pieces: DataFrame, starts: DataFrame) -> DataFrame:

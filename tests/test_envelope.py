@@ -1,6 +1,7 @@
 """Envelope documents: headers, orders, ragged and unreadable input, long files."""
 
 import json
+import os
 import random
 
 import pytest
@@ -244,6 +245,25 @@ def test_long_documents_ragged_and_truncated(spark, tmp_path):
         cut_documents(spark, path, 0, STRICT)
 
 
+def test_names_reach_long_rows_by_a_salted_join(spark, tmp_path, monkeypatch):
+    path = write(
+        tmp_path / "in",
+        {"a": envelope(["x", "y"], [[i, 1] for i in range(200)]), "b": envelope(["y", "x"], [[2, -1]])},
+    )
+    cut = cut_documents(spark, path, 0)
+    broadcast = rows_of(to_raw(cut.rows(["x", "y"]), ["x", "y"]))
+    monkeypatch.setattr("ledgerline.sources.long_documents.BROADCAST_BYTES", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows_of(to_raw(cut.rows(["x", "y"]), ["x", "y"])) == broadcast
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(broadcast) == 201 and ("-1", "2") in broadcast
+    shared = spark.conf.get("spark.checkpoint.dir")
+    cut.discard()
+    assert not any(k.startswith(shared) and os.path.exists(k) for k in cut.kept)
+
+
 def test_long_and_short_documents_together(spark, tmp_path):
     path = write(
         tmp_path / "in",

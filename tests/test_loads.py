@@ -10,7 +10,8 @@ from ledgerline import LENIENT, STRICT, ColumnSpec, Contract, ContractViolation
 from ledgerline.contracts import VEHICLES
 from ledgerline.operators.checks import quality_report, split_valid
 from ledgerline.operators.incremental import latest_per_key, merge_latest, new_or_modified
-from ledgerline.plans.derived import as_text, registrations
+from ledgerline.operators.summaries import avg_by, count_by, trend_by
+from ledgerline.plans.derived import as_text, documents, registrations, write_documents
 from ledgerline.plans.loads import load_envelopes, load_json_rows
 from ledgerline.scratch import scratch_path, shared_folder
 from ledgerline.sinks.tables import clustered, counted, create_table, insert_by_name, rebalanced, write_table
@@ -107,6 +108,28 @@ def test_load_into_table(spark, tmp_path):
     assert detail["STATE"] == "varchar(2)" and detail["Comment"] == "It's small"
 
 
+def test_analysis_queries_as_sql(spark, sf_small, tmp_path):
+    """The table a load fills answers the analysts' SQL as the summaries do."""
+    write_documents(documents(registrations(spark, sf_small, dirty=True)), str(tmp_path / "in"))
+    load_envelopes(spark, str(tmp_path / "in"), VEHICLES, str(tmp_path / "raw"), table="vehicles_wa")
+    vehicles = spark.table("vehicles_wa")
+    assert vehicles.schema == VEHICLES.schema(LENIENT)
+    pairs = {
+        "SELECT MAKE, AVG(ELECTRIC_RANGE) AS avg_range FROM vehicles_wa WHERE ELECTRIC_RANGE > 0 "
+        "GROUP BY MAKE ORDER BY avg_range DESC": avg_by(vehicles, "MAKE", "ELECTRIC_RANGE", "avg_range"),
+        "SELECT CITY, COUNT(*) AS n FROM vehicles_wa WHERE STATE = 'WA' GROUP BY CITY ORDER BY n DESC, CITY":
+            count_by(vehicles, "CITY", "n", F.col("STATE") == "WA", most_frequent_first=True),
+        "SELECT ELECTRIC_VEHICLE_TYPE, COUNT(*) AS total FROM vehicles_wa GROUP BY ELECTRIC_VEHICLE_TYPE":
+            count_by(vehicles, "ELECTRIC_VEHICLE_TYPE"),
+        "SELECT MODEL_YEAR, COUNT(*) AS n FROM vehicles_wa WHERE MODEL_YEAR IS NOT NULL "
+        "GROUP BY MODEL_YEAR ORDER BY MODEL_YEAR": trend_by(vehicles, "MODEL_YEAR", "n"),
+    }
+    for sql, summary in pairs.items():
+        want = [tuple(r) for r in spark.sql(sql).collect()]
+        got = [tuple(r) for r in summary.collect()]
+        assert want and (got == want if "ORDER BY" in sql else sorted(got) == sorted(want))
+
+
 def test_table_limits_are_enforced(spark):
     create_table(spark, SMALL, "small_limits")
     row = spark.createDataFrame([("WAX", "1", Decimal(2020))], "STATE string, ID string, MODEL_YEAR decimal(10,0)")
@@ -255,6 +278,32 @@ def test_new_or_modified(spark):
     assert got == [(2, 6, "b", "modified"), (4, 1, "d", "new"), (4, 1, "d", "new")]
 
 
+def test_change_detection_splits_a_hot_key(spark):
+    """One key holds a third of the incoming rows: adaptive execution splits its join."""
+    incoming = spark.range(300000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"),
+        F.sha2(F.col("id").cast("string"), 256).alias("t"),
+    )
+    held = spark.range(300000).select(F.col("id").alias("k"), (F.col("id") + 1).alias("v"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        changed = new_or_modified(incoming, held, ["k"], ["v"])
+        total = changed.groupBy("change").agg(F.count(F.lit(1)), F.max("t"))
+        assert [tuple(r)[:2] for r in total.collect()] == [("modified", 300000)]
+        assert "skew=true" in total._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_new_files_are_taken_once(spark, tmp_path):
     folder, target, marks = (str(tmp_path / n) for n in ("in", "typed", "marks"))
 

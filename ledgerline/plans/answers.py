@@ -125,9 +125,7 @@ SELECT row_number() OVER (ORDER BY o_orderkey) AS _row_number, * FROM orders
 ORDER BY o_orderkey LIMIT 5""",
     "load_by_name": _ORDERS_TYPED,
     "clustered_write": "SELECT * FROM customer",
-    "partitioned_write": """
-SELECT o_orderstatus, o_orderpriority, count(*) AS total FROM orders
-WHERE o_orderstatus = 'F' GROUP BY ALL""",
+    "partitioned_write": "SELECT * FROM orders",
     "run_metrics": "SELECT count(*) AS n_rows, 6::BIGINT AS n_columns FROM orders",
     "schema_drift": """
 SELECT * FROM (VALUES ('o_clerk', 'missing'), ('o_orderpriority', 'extra'),

@@ -59,6 +59,7 @@ def envelopes_to_raw(
     one_per_line: bool = False,
     long_file_bytes: int = LONG_FILE_BYTES,
     quarantine_path: str | None = None,
+    lineage: bool = False,
 ) -> tuple[list[str], dict[str, int]]:
     """Write the all-string copy of the documents; returns its columns and row counts.
 
@@ -82,7 +83,7 @@ def envelopes_to_raw(
             rows = envelope_rows(documents, known)
             if cut is not None:
                 rows = rows.unionByName(cut.rows(known))
-            counts = _write_counted_raw(rows, known, policy, raw_path)
+            counts = _write_counted_raw(rows, known, policy, raw_path, ["_file", "_pos"] if lineage else [])
             others = sorted({name for group in counts.pop("others") for name in group})
             if not others:
                 break
@@ -95,7 +96,9 @@ def envelopes_to_raw(
     return known, counts
 
 
-def _write_counted_raw(rows: DataFrame, names: Sequence[str], policy: str, raw_path: str) -> dict:
+def _write_counted_raw(
+    rows: DataFrame, names: Sequence[str], policy: str, raw_path: str, keep: Sequence[str]
+) -> dict:
     # Counts sit in the task that writes, before the rows they describe are filtered.
     seen_rows, seen = counted(
         rows,
@@ -105,7 +108,7 @@ def _write_counted_raw(rows: DataFrame, names: Sequence[str], policy: str, raw_p
         F.count_if(F.col("_status") == CORRUPT).alias("n_corrupt"),
         F.collect_set("_others").alias("others"),
     )
-    write_raw(to_raw(seen_rows, names, policy), raw_path)
+    write_raw(to_raw(seen_rows, names, policy, keep), raw_path)
     return dict(seen.get)
 
 
@@ -125,6 +128,7 @@ def load_envelopes(
     mode: str = "overwrite",
     options: dict[str, str] | None = None,
     partition_by: Sequence[str] = (),
+    lineage: bool = False,
 ) -> LoadMetrics:
     """Documents to a raw all-string copy to the contract's typed, clustered table.
 
@@ -132,7 +136,7 @@ def load_envelopes(
     ``options`` to a connector.
     """
     names, counts = envelopes_to_raw(
-        spark, path, raw_path, policy, names, one_per_line, long_file_bytes, quarantine_path
+        spark, path, raw_path, policy, names, one_per_line, long_file_bytes, quarantine_path, lineage
     )
     raw = spark.read.parquet(raw_path)
     missing = missing_columns(contract, raw.columns)

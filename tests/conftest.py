@@ -12,8 +12,9 @@ TESTDATA = os.environ.get("TESTDATA_DIR", "/root/testdata")
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     base = tmp_path_factory.mktemp("spark")
-    session = (
-        SparkSession.builder.master("local[*]")
+    builder = SparkSession.builder
+    builder = (
+        builder.master("local[*]")
         .appName("ledgerline-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
@@ -21,8 +22,11 @@ def spark(tmp_path_factory):
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
         .config("spark.checkpoint.dir", str(base / "shared"))
         .config("spark.driver.memory", "4g")
-        .getOrCreate()
     )
+    # Further settings, as in TEST_CONF="spark.sql.ansi.enabled=false;spark.sql.adaptive.enabled=false"
+    for setting in filter(None, os.environ.get("TEST_CONF", "").split(";")):
+        builder = builder.config(*setting.split("=", 1))
+    session = builder.getOrCreate()
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -138,6 +138,10 @@ def test_raw_copy_finds_all_columns_and_counts(spark, tmp_path):
     assert (counts["n_ok"], counts["n_ragged"], counts["n_corrupt"]) == (2, 1, 1)
     raw = spark.read.parquet(str(tmp_path / "raw")).select("x", "y", "w")
     assert rows_of(raw) == [("1", "2", None), ("4", "5", "6")]
+    envelopes_to_raw(spark, path, str(tmp_path / "placed"), lineage=True)
+    placed = spark.read.parquet(str(tmp_path / "placed"))
+    file = F.element_at(F.split("_file", "/"), -1)
+    assert rows_of(placed.select(file, "_pos", "x")) == [("a.json", 0, "1"), ("b.json", 0, "4")]
     assert spark.read.parquet(str(tmp_path / "bad")).count() == 2
 
 

@@ -46,7 +46,8 @@ def test_typed_layer_pushes_what_the_raw_layer_cannot(spark, sf_small, tmp_path)
 
 
 def test_partitioned_read_opens_one_partition(spark, sf_small):
-    text = plan(registry.queries()["partitioned_write"](spark, sf_small))
+    orders = registry.queries()["partitioned_write"](spark, sf_small)
+    text = plan(count_by(orders, "o_orderpriority", where=F.col("o_orderstatus") == "F"))
     assert re.search(r"PartitionFilters: \[isnotnull\(o_orderstatus.*= F\)\]", text)
 
 

@@ -60,6 +60,7 @@ def envelopes_to_raw(
     long_file_bytes: int = LONG_FILE_BYTES,
     quarantine_path: str | None = None,
     lineage: bool = False,
+    fallback: Sequence[str] = (),
 ) -> tuple[list[str], dict[str, int]]:
     """Write the all-string copy of the documents; returns its columns and row counts.
 
@@ -75,7 +76,7 @@ def envelopes_to_raw(
     known = list(names) or first_header(documents)
     if cut is not None:
         known = known or first_header(cut.headers)
-    known = check_names(known)
+    known = check_names(known or list(fallback))
     if not known:
         raise ContractViolation(f"no readable header under {path}")
     try:
@@ -136,7 +137,8 @@ def load_envelopes(
     ``options`` to a connector.
     """
     names, counts = envelopes_to_raw(
-        spark, path, raw_path, policy, names, one_per_line, long_file_bytes, quarantine_path, lineage
+        spark, path, raw_path, policy, names, one_per_line, long_file_bytes, quarantine_path, lineage,
+        fallback=contract.sources if policy == LENIENT else (),
     )
     raw = spark.read.parquet(raw_path)
     missing = missing_columns(contract, raw.columns)

@@ -436,13 +436,17 @@ def load_new_rows(spark, sf_dir):
 
 @registered
 def load_new_envelopes(spark, sf_dir):
-    """New documents to typed rows, in small batches."""
+    """Two runs over a growing folder of documents: every order is loaded once."""
+    orders = given(spark, sf_dir, "orders")
     base = scratch_path(spark, "documents")
-    write_documents(documents(given(spark, sf_dir, "orders"), alternate=True), f"{base}/in")
-    load_new_documents(
-        spark, f"{base}/in", ORDERS, f"{base}/typed", f"{base}/checkpoint", f"{base}/bad"
-    )
-    return spark.read.parquet(f"{base}/typed")
+    older = F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz")
+    for arrived, rows in (("first", orders.where(older)), ("second", orders.where(~older))):
+        write_documents(documents(rows, alternate=True), f"{base}/in/{arrived}")
+        load_new_documents(
+            spark, f"{base}/in/*", ORDERS, f"{base}/raw", f"{base}/typed", f"{base}/checkpoint",
+            f"{base}/refused",
+        )
+    return spark.read.parquet(f"{base}/typed").drop("load")
 
 
 # The two loads and the analyses of the table they fill

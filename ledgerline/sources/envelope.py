@@ -36,22 +36,6 @@ def _header(columns: Column, file: Column) -> Column:
     ).otherwise(names)
 
 
-def envelope_texts(
-    reader, path: str | list[str], one_per_line: bool = False, max_file_bytes: int | None = None
-) -> DataFrame:
-    """The documents' text with their file, by a batch or streaming reader.
-
-    Text, not Spark's multi-line JSON source: that one goes back to the file for every
-    number in a string column, one positioned read per cell.
-    """
-    texts = reader.text(path, wholetext=not one_per_line)
-    if max_file_bytes is not None:
-        texts = texts.where(F.col("_metadata.file_size") <= max_file_bytes)
-    if one_per_line:
-        texts = texts.where(F.trim("value") != "")
-    return texts.select(F.col("_metadata.file_path").alias("_file"), "value")
-
-
 def read_envelopes(
     spark: SparkSession,
     path: str | list[str],
@@ -66,8 +50,16 @@ def read_envelopes(
     split between tasks). Under the strict policy an unreadable document ends the query;
     under the lenient one it gives a row with ``_corrupt`` set. ``max_file_bytes`` skips
     larger files before they are opened; ``headers_only`` leaves ``data`` out unparsed.
+
+    Files are read as text, not by Spark's multi-line JSON source: that one goes back to
+    the file for every number in a string column, one positioned read per cell.
     """
-    texts = envelope_texts(spark.read, path, one_per_line, max_file_bytes)
+    texts = spark.read.text(path, wholetext=not one_per_line)
+    if max_file_bytes is not None:
+        texts = texts.where(F.col("_metadata.file_size") <= max_file_bytes)
+    if one_per_line:
+        texts = texts.where(F.trim("value") != "")
+    texts = texts.select(F.col("_metadata.file_path").alias("_file"), "value")
     return parse_envelopes(texts, "value", F.col("_file"), policy, headers_only)
 
 

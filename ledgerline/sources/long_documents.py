@@ -3,8 +3,8 @@
 The text is scanned in pieces ending at ``]`` (a splittable text scan). Whether a
 bracket counts, and how deep it lies, depends on all text before it, so each piece
 first yields a few numbers for both cases (it starts inside a string, or not); those
-numbers, not the text, are then summed: inside each file block, then over the blocks
-of a file. That fixes where the ``data`` array opens, and where each row starts and
+numbers, not the text, are then summed: inside each block (a run of pieces), then over
+the blocks of a file. That fixes where the ``data`` array opens, and where each row starts and
 ends, whatever the white space, nesting or brackets inside strings. Rows are put
 together from their pieces with one grouping by row.
 
@@ -28,7 +28,8 @@ LONG_FILE_BYTES = 128 << 20
 BROADCAST_BYTES = 8 << 20
 _SALTS = 64
 _DATA_OPENS = r'(?<!\\)"data"\s*:\s*\['
-_BLOCK = ["_file", "_block"]
+_BLOCK = ["_file", "_split", "_run"]
+_RUN_PIECES = 1 << 16
 _SKELETON = -1
 
 
@@ -84,7 +85,9 @@ def _pieces(spark: SparkSession, path: str | list[str], min_file_bytes: int) ->
         .where(F.col("_metadata.file_size") > min_file_bytes)
         .select(
             F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_block_start").alias("_block"),
+            F.col("_metadata.file_block_start").alias("_split"),
+            # Runs of pieces bound the work of a task even where a file cannot be split.
+            F.expr(f"monotonically_increasing_id() div {_RUN_PIECES}").alias("_run"),
             F.monotonically_increasing_id().alias("_at"),
             F.col("value").alias("text"),
         )
@@ -134,8 +137,8 @@ def _within_block(value: Column, how=F.sum, current: bool = False) -> Column:
 
 
 def _over_blocks(value: Column, how=F.sum) -> Column:
-    # One line per block of a file (a file of 30 TB has some 250,000).
-    window = Window.partitionBy("_file").orderBy("_block")
+    # One line per run of pieces of a file (a file of 30 TB has some 500,000).
+    window = Window.partitionBy("_file").orderBy("_split", "_run")
     return how(value).over(window.rowsBetween(Window.unboundedPreceding, -1))
 
 

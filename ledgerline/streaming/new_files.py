@@ -1,8 +1,8 @@
 """Incremental loads: every run takes the files that arrived since the last one.
 
-The file source remembers in its checkpoint which files it has read, and the file
-sink commits each batch once, so a run that is stopped and repeated neither loses
-nor doubles rows. Keep checkpoint and target in the folders the cluster shares.
+The file source remembers in its checkpoint which files it has read, and each batch is
+committed once, so a run that is stopped and repeated neither loses nor doubles rows.
+Keep checkpoint and target in the folders the cluster shares.
 """
 
 from __future__ import annotations
@@ -10,19 +10,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.contract import LENIENT, Contract, check_policy
 from ledgerline.operators.mapping import apply_contract
-from ledgerline.sources.envelope import (
-    envelope_rows,
-    envelope_texts,
-    parse_envelopes,
-    quarantined_rows,
-    to_raw,
-)
+from ledgerline.plans.loads import load_envelopes
 from ledgerline.sources.json_rows import extract
+from ledgerline.sources.long_documents import LONG_FILE_BYTES
+
+_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def _run(df: DataFrame, target_path: str, checkpoint: str, partition_by: Sequence[str]) -> StreamingQuery:
@@ -65,25 +61,40 @@ def load_new_documents(
     spark: SparkSession,
     path: str,
     contract: Contract,
+    raw_path: str,
     target_path: str,
     checkpoint: str,
     quarantine_path: str,
     policy: str = LENIENT,
-    partition_by: Sequence[str] = (),
-    max_files_per_batch: int | None = None,
+    max_files_per_batch: int = 10000,
+    long_file_bytes: int = LONG_FILE_BYTES,
 ) -> StreamingQuery:
-    """Append the typed rows of new envelope documents; returns when all are in.
+    """Load new envelope documents as :func:`load_envelopes` does; returns when all are in.
 
-    Rows and documents that cannot be read as their header says go to
-    ``quarantine_path``, from a run of their own over the same new files.
+    The stream carries the names of the new files. Every batch of them is one load, into
+    folders of its own (``load=<batch>``) under the raw, typed and quarantine paths; a
+    batch that is repeated replaces its folders.
     """
     check_policy(policy)
-    reader = spark.readStream
-    if max_files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    documents = parse_envelopes(envelope_texts(reader, path), "value", F.col("_file"), policy)
-    rows = envelope_rows(documents, contract.sources)
-    if policy == LENIENT:
-        _run(quarantined_rows(rows), quarantine_path, f"{checkpoint}/quarantine", ())
-    typed = apply_contract(to_raw(rows, contract.sources, policy), contract, policy)
-    return _run(typed, target_path, f"{checkpoint}/rows", partition_by)
+
+    def load(files: DataFrame, batch: int) -> None:
+        found = [row["path"] for row in files.collect()]
+        if not found:
+            return
+        load_envelopes(
+            spark, found, contract, f"{raw_path}/load={batch}", f"{target_path}/load={batch}",
+            policy=policy, long_file_bytes=long_file_bytes,
+            quarantine_path=f"{quarantine_path}/load={batch}",
+        )
+
+    names = (
+        spark.readStream.format("binaryFile")
+        .schema(_FILE_SCHEMA)
+        .option("maxFilesPerTrigger", max_files_per_batch)
+        .load(path)
+        .select("path")
+    )
+    writer = names.writeStream.foreachBatch(load).trigger(availableNow=True)
+    query = writer.option("checkpointLocation", checkpoint).start()
+    query.awaitTermination()
+    return query

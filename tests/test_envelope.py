@@ -179,7 +179,9 @@ def settled(record):
 
 
 @pytest.mark.parametrize("layout", ["compact", "indented", "row_lines", "data_first", "tail"])
-def test_long_documents_equal_a_whole_parse(spark, tmp_path, layout):
+def test_long_documents_equal_a_whole_parse(spark, tmp_path, layout, monkeypatch):
+    if layout in ("compact", "tail"):
+        monkeypatch.setattr("ledgerline.sources.long_documents._RUN_PIECES", 3)
     rng = random.Random(layout)
     folder = tmp_path / "in"
     folder.mkdir()

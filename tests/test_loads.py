@@ -332,14 +332,27 @@ def test_new_payload_files(spark, tmp_path):
 def test_new_documents(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
-    target, marks, bad = (str(tmp_path / n) for n in ("typed", "marks", "bad"))
+    raw, typed, marks, bad = (str(tmp_path / n) for n in ("raw", "typed", "marks", "bad"))
+
+    def run():
+        load_new_documents(spark, str(folder), SMALL, raw, typed, marks, bad, long_file_bytes=2000)
+
     (folder / "a.json").write_text(document(SMALL.sources, [[1, 2020, "WA", 0], [2]]))
-    load_new_documents(spark, str(folder), SMALL, target, marks, bad)
-    (folder / "b.json").write_text(document(["State", "id"], [["OR", 3]]))
+    run()
+    run()
+    assert spark.read.parquet(typed).count() == 1
+    (folder / "b c.json").write_text(document(["State", "id", "more"], [["OR", 3, "x"]]))
     (folder / "c.json").write_text('{"meta"')
-    load_new_documents(spark, str(folder), SMALL, target, marks, bad)
-    assert rows_of(spark.read.parquet(target).select("ID", "STATE")) == [("1", "WA"), ("3", "OR")]
+    (folder / "long.json").write_text(document(["id", "State"], [[f"L{i}", "CA"] for i in range(300)]))
+    run()
+    got = spark.read.parquet(typed)
+    assert rows_of(got.where("STATE <> 'CA'").select("ID", "STATE")) == [("1", "WA"), ("3", "OR")]
+    assert got.where("STATE = 'CA'").select("ID").distinct().count() == 300
     assert sorted(r["reason"] for r in spark.read.parquet(bad).collect()) == ["corrupt", "ragged"]
+    assert "more" in spark.read.parquet(f"{raw}/load=1").columns
+    (folder / "d.json").write_text("[")
+    run()
+    assert got.count() == 302 and spark.read.parquet(bad).count() == 3
 
 
 def test_scratch_is_the_shared_folder(spark):

@@ -2,10 +2,10 @@
 
 import re
 
-import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
+from conftest import plan
 from ledgerline import LENIENT
 from ledgerline.contracts import VEHICLES
 from ledgerline.operators.incremental import latest_per_key, new_or_modified
@@ -16,12 +16,6 @@ from ledgerline.sources.files import file_summary
 from ledgerline.sources.json_rows import extract
 
 
-def plan(df):
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    )
-
-
 def test_summary_reads_two_columns_and_pushes_its_filter(spark, sf_small):
     text = plan(avg_by(spark.read.parquet(f"{sf_small}/lineitem.parquet"), "l_returnflag", "l_quantity", "a"))
     assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,0.0)]" in text
@@ -78,11 +72,3 @@ def test_typing_is_one_projection(spark, sf_small):
     raw = as_text(spark.read.parquet(f"{sf_small}/orders.parquet"))
     text = plan(apply_contract(raw, VEHICLES, LENIENT))
     assert text.count("Project") <= 4 and "Exchange" not in text
-
-
-@pytest.mark.parametrize("name", sorted(registry.queries()))
-def test_no_python_in_any_plan(spark, sf_small, name):
-    text = plan(registry.queries()[name](spark, sf_small))
-    for node in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroups",
-                 "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert node not in text

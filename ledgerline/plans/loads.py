@@ -8,7 +8,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.contract import LENIENT, STRICT, Contract, check_policy, quoted
+from ledgerline.contract import LENIENT, STRICT, ColumnSpec, Contract, check_policy, quoted
 from ledgerline.errors import ContractViolation
 from ledgerline.functions import cell
 from ledgerline.operators.mapping import apply_contract, missing_columns, resolve
@@ -39,15 +39,18 @@ class LoadMetrics:
     n_ragged: int = 0
     n_corrupt: int = 0
     missing: tuple[str, ...] = ()
+    extra: tuple[str, ...] = ()
     raw_path: str | None = None
 
     def as_dataframe(self, spark: SparkSession) -> DataFrame:
         """The metrics as a one-row table."""
         schema = (
             "n_rows bigint, n_source_columns int, n_columns int, target string, "
-            "n_ragged bigint, n_corrupt bigint, missing array<string>, raw_path string"
+            "n_ragged bigint, n_corrupt bigint, missing array<string>, extra array<string>, "
+            "raw_path string"
         )
-        return spark.createDataFrame([{**asdict(self), "missing": list(self.missing)}], schema)
+        lists = {"missing": list(self.missing), "extra": list(self.extra)}
+        return spark.createDataFrame([{**asdict(self), **lists}], schema)
 
 
 def envelopes_to_raw(
@@ -61,6 +64,7 @@ def envelopes_to_raw(
     quarantine_path: str | None = None,
     lineage: bool = False,
     fallback: Sequence[str] = (),
+    required: Sequence[ColumnSpec] = (),
 ) -> tuple[list[str], dict[str, int]]:
     """Write the all-string copy of the documents; returns its columns and row counts.
 
@@ -81,9 +85,9 @@ def envelopes_to_raw(
         raise ContractViolation(f"no readable header under {path}")
     try:
         while True:
-            rows = envelope_rows(documents, known)
+            rows = envelope_rows(documents, known, required)
             if cut is not None:
-                rows = rows.unionByName(cut.rows(known))
+                rows = rows.unionByName(cut.rows(known, required))
             counts = _write_counted_raw(rows, known, policy, raw_path, ["_file", "_pos"] if lineage else [])
             others = sorted({name for group in counts.pop("others") for name in group})
             if not others:
@@ -130,20 +134,25 @@ def load_envelopes(
     options: dict[str, str] | None = None,
     partition_by: Sequence[str] = (),
     lineage: bool = False,
+    refuse_extra: bool = False,
 ) -> LoadMetrics:
     """Documents to a raw all-string copy to the contract's typed, clustered table.
 
     The typed rows go to a path, to a catalog ``table``, or through ``fmt`` and its
-    ``options`` to a connector.
+    ``options`` to a connector. A document without some contract column ends a strict load;
+    ``refuse_extra`` ends any load whose documents hold undeclared columns. In both cases
+    the target stays as it was.
     """
     names, counts = envelopes_to_raw(
         spark, path, raw_path, policy, names, one_per_line, long_file_bytes, quarantine_path, lineage,
         fallback=contract.sources if policy == LENIENT else (),
+        required=contract.columns if policy == STRICT else (),
     )
+    extra = [n for n in names if n not in contract.sources and n not in contract.targets]
+    if refuse_extra and extra:
+        raise ContractViolation(f"contract {contract.name!r}: undeclared columns {extra}")
     raw = spark.read.parquet(raw_path)
     missing = missing_columns(contract, raw.columns)
-    if missing and policy == STRICT:
-        raise ContractViolation(f"contract {contract.name!r}: missing columns {missing}")
     fed_by = resolve(contract, raw.columns)
     used = [F.col(quoted(name)) for name in fed_by.values() if name is not None]
     placed = _clustered_cells(raw.select(*used, *_row_place()), contract, policy, fed_by)
@@ -160,6 +169,7 @@ def load_envelopes(
         n_ragged=counts["n_ragged"],
         n_corrupt=counts["n_corrupt"],
         missing=tuple(missing),
+        extra=tuple(extra),
         raw_path=raw_path,
     )
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.contract import LENIENT, STRICT, check_policy, quoted
+from ledgerline.contract import LENIENT, STRICT, ColumnSpec, check_policy, quoted
 from ledgerline.errors import ContractViolation
 
 HEADER_SCHEMA = "meta struct<view: struct<columns: array<struct<name: string>>>>"
@@ -91,11 +91,14 @@ def envelope_columns(documents: DataFrame) -> DataFrame:
     return documents.select("_file", F.posexplode("names").alias("position", "name"))
 
 
-def locate(documents: DataFrame, names: Sequence[str]) -> DataFrame:
+def locate(
+    documents: DataFrame, names: Sequence[str], required: Sequence[ColumnSpec] = ()
+) -> DataFrame:
     """Documents with ``_at``, ``_others`` and ``_width``, worked out once per document.
 
     ``_width`` is the number of cells the header asks for; ``_at`` holds, for each of ``names``, its place in the document's rows (NULL when the
     document lacks it); ``_others`` the document's names not among them (NULL when none).
+    A document that provides none of the two names of a ``required`` column ends the query.
     """
     listed = F.array(*[F.lit(n) for n in names]).cast("array<string>")
     straight = F.sequence(F.lit(0), F.lit(len(names) - 1)) if names else F.array().cast("array<int>")
@@ -103,23 +106,40 @@ def locate(documents: DataFrame, names: Sequence[str]) -> DataFrame:
         listed, lambda n: F.nullif(F.array_position("names", n), F.lit(0)).cast("int") - 1
     )
     others = F.array_except("names", listed)
+    at = F.when(F.col("names") == listed, straight).otherwise(looked_up)
+    if required:
+        lacks = F.array_compact(
+            F.array(
+                *[
+                    F.when(~F.arrays_overlap("names", F.array(F.lit(c.source), F.lit(c.target))), c.source)
+                    for c in required
+                ]
+            )
+        )
+        message = F.concat(
+            F.lit("missing columns in "), F.coalesce("_file", F.lit("the document")),
+            F.lit(": "), F.array_join(lacks, ", "),
+        )
+        at = F.when(F.size(lacks) > 0, F.raise_error(message).cast("array<int>")).otherwise(at)
     return documents.withColumns(
         {
-            "_at": F.when(F.col("names") == listed, straight).otherwise(looked_up),
+            "_at": at,
             "_others": F.when(F.size(others) > 0, others),
             "_width": F.size("names"),
         }
     )
 
 
-def envelope_rows(documents: DataFrame, names: Sequence[str] = ()) -> DataFrame:
+def envelope_rows(
+    documents: DataFrame, names: Sequence[str] = (), required: Sequence[ColumnSpec] = ()
+) -> DataFrame:
     """One row per data row, its cells ready to be taken by :func:`to_raw` for ``names``.
 
     Columns ``_file``, ``_pos``, ``_row``, ``_status`` and those of :func:`locate`. A
     document without rows still gives one line (``empty`` or ``corrupt``, no ``_pos``),
     so the counts of a load account for every document.
     """
-    exploded = locate(documents, names).select(
+    exploded = locate(documents, names, required).select(
         "_file",
         "_corrupt",
         "_width",

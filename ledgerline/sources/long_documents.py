@@ -17,10 +17,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.contract import LENIENT, STRICT, check_policy
+from ledgerline.contract import LENIENT, STRICT, ColumnSpec, check_policy
 from ledgerline.scratch import discard, scratch_path
 from ledgerline.sources.envelope import CORRUPT, OK, RAGGED, locate, parse_envelopes
 
@@ -40,10 +40,15 @@ class CutDocuments:
     headers: DataFrame
     pieces: DataFrame
     states: DataFrame
+    n_documents: int
+    header_bytes: int
     kept: tuple[str, ...]
 
-    def rows(self, names: Sequence[str] = ()) -> DataFrame:
-        return _rows(self.pieces, self.states, locate(self.headers, names))
+    def rows(self, names: Sequence[str] = (), required: Sequence[ColumnSpec] = ()) -> DataFrame:
+        # A located header carries its file, its names and one place per wanted name.
+        size = self.header_bytes + 8 * len(names) * self.n_documents
+        located = locate(self.headers, names, required)
+        return _rows(self.pieces, self.states, located, size <= BROADCAST_BYTES)
 
     def discard(self) -> None:
         """Remove the intermediate tables; the DataFrames cannot be read any more."""
@@ -59,8 +64,10 @@ def cut_documents(
     """The rows of every document file larger than ``min_file_bytes``; None without such files."""
     check_policy(policy)
     base = scratch_path(spark, "long-documents")
-    pieces = _kept(_pieces(spark, path, min_file_bytes), f"{base}/pieces")
-    if pieces.isEmpty():
+    n_pieces = Observation("pieces")
+    found = _pieces(spark, path, min_file_bytes).observe(n_pieces, F.count(F.lit(1)).alias("n"))
+    pieces = _kept(found, f"{base}/pieces")
+    if n_pieces.get["n"] == 0:
         discard(spark, base)
         return None
     states = _block_states(pieces.drop("text"), base)
@@ -68,8 +75,13 @@ def cut_documents(
     if policy == STRICT:
         headers = headers.withColumn("names", _or_raise(F.col("names"), F.col("_corrupt")))
     # One line per document: kept, as both the rows and the caller read it.
+    sizes = Observation("headers")
+    names_size = F.coalesce(F.length(F.array_join("names", ",")), F.lit(0))
+    headers = headers.observe(
+        sizes, F.count(F.lit(1)).alias("n"), F.sum(F.length("_file") + names_size).alias("size")
+    )
     headers = _kept(headers, f"{base}/headers")
-    return CutDocuments(headers, pieces, states, (base,))
+    return CutDocuments(headers, pieces, states, sizes.get["n"], sizes.get["size"], (base,))
 
 
 def _or_raise(names: Column, corrupt: Column) -> Column:
@@ -272,19 +284,16 @@ def _headers(pieces: DataFrame, states: DataFrame) -> DataFrame:
     return parsed.unionByName(broken)
 
 
-def _with_names(rows: DataFrame, headers: DataFrame) -> DataFrame:
-    """Join each row to its document's names without moving a document to one task."""
-    size = headers.agg(
-        F.sum(F.length("_file") + F.coalesce(4 * F.size("names") + F.length(F.array_join("names", ",")), F.lit(0)))
-    ).first()[0]
-    if (size or 0) <= BROADCAST_BYTES:
+def _with_names(rows: DataFrame, headers: DataFrame, small: bool) -> DataFrame:
+    """Join each row to its document's header without moving a document to one task."""
+    if small:
         return rows.join(F.broadcast(headers), "_file")
     salted = headers.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
     salt = F.pmod(F.xxhash64("_pos"), F.lit(_SALTS)).cast("int")
     return rows.withColumn("_salt", salt).join(salted, ["_file", "_salt"]).drop("_salt")
 
 
-def _rows(pieces: DataFrame, states: DataFrame, headers: DataFrame) -> DataFrame:
+def _rows(pieces: DataFrame, states: DataFrame, headers: DataFrame, small: bool) -> DataFrame:
     text = F.when(
         F.col("opened").isNotNull(), F.split("text", _DATA_OPENS, 2).getItem(1)
     ).otherwise(F.col("text"))
@@ -305,7 +314,7 @@ def _rows(pieces: DataFrame, states: DataFrame, headers: DataFrame) -> DataFrame
         )
     )
     cells = F.from_json("text", "array<string>")
-    rows = _with_names(assembled.select("_file", "_pos", "text", cells.alias("_row")), headers)
+    rows = _with_names(assembled.select("_file", "_pos", "text", cells.alias("_row")), headers, small)
     status = (
         F.when(F.col("_corrupt") | F.col("_row").isNull(), CORRUPT)
         .when(F.size("_row") != F.col("_width"), RAGGED)

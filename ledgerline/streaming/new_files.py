@@ -7,6 +7,7 @@ Keep checkpoint and target in the folders the cluster shares.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,7 +79,8 @@ def load_new_documents(
     check_policy(policy)
 
     def load(files: DataFrame, batch: int) -> None:
-        found = [row["path"] for row in files.collect()]
+        # A name is taken as it is, not as a pattern.
+        found = [re.sub(r"([\[\]{}*?\\])", r"\\\1", row["path"]) for row in files.collect()]
         if not found:
             return
         load_envelopes(

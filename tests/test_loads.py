@@ -69,10 +69,33 @@ def test_load_envelopes_reports_missing(spark, tmp_path):
     metrics = load_envelopes(spark, str(tmp_path / "a.json"), SMALL, **run)
     assert metrics.missing == ("Model Year", "State", "at")
     assert spark.read.parquet(str(tmp_path / "typed")).schema == SMALL.schema(LENIENT)
-    with pytest.raises(ContractViolation, match="missing columns"):
+    with pytest.raises(Exception, match="missing columns in .*a.json: Model Year, State, at"):
         load_envelopes(spark, str(tmp_path / "a.json"), SMALL, policy=STRICT, **run)
 
 
+def test_strict_envelopes_refuse_one_drifted_document(spark, tmp_path):
+    """Each document must bring every contract column, long documents too."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(document(SMALL.sources, [[1, 2020, "WA", 0]]))
+    (tmp_path / "in" / "b.json").write_text(document(["ID", "State", "at"], [[2, "WA", 0]]))
+    run = dict(raw_path=str(tmp_path / "raw"), target_path=str(tmp_path / "typed"))
+    for size in (0, 10000):
+        with pytest.raises(Exception, match="missing columns in .*b.json: Model Year"):
+            load_envelopes(
+                spark, str(tmp_path / "in"), SMALL, policy=STRICT, long_file_bytes=size, **run
+            )
+    metrics = load_envelopes(spark, str(tmp_path / "in" / "a.json"), SMALL, policy=STRICT, **run)
+    assert metrics.n_rows == 1
+
+
+def test_undeclared_columns_can_be_refused(spark, tmp_path):
+    (tmp_path / "a.json").write_text(document([*SMALL.sources, "new"], [[1, 2020, "WA", 0, 0]]))
+    run = dict(raw_path=str(tmp_path / "raw"), target_path=str(tmp_path / "typed"))
+    assert load_envelopes(spark, str(tmp_path / "a.json"), SMALL, **run).extra == ("new",)
+    with pytest.raises(ContractViolation, match="undeclared columns .'new'"):
+        load_envelopes(spark, str(tmp_path / "a.json"), SMALL, refuse_extra=True, **run)
+
+
 def test_strict_envelopes_refuse_long_text(spark, tmp_path):
     (tmp_path / "a.json").write_text(document(SMALL.sources, [[1, 2020, "WAX", 0]]))
     with pytest.raises(Exception, match="STATE: longer than 2"):
@@ -350,7 +373,7 @@ def test_new_documents(spark, tmp_path):
     assert got.where("STATE = 'CA'").select("ID").distinct().count() == 300
     assert sorted(r["reason"] for r in spark.read.parquet(bad).collect()) == ["corrupt", "ragged"]
     assert "more" in spark.read.parquet(f"{raw}/load=1").columns
-    (folder / "d.json").write_text("[")
+    (folder / "d[1]{x}.json").write_text("[")
     run()
     assert got.count() == 302 and spark.read.parquet(bad).count() == 3
 

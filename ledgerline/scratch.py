@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 
+@cache
+def _folder_of_this_machine(application: str) -> str:
+    return tempfile.mkdtemp(prefix="ledgerline-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it.
 
@@ -17,9 +23,7 @@ def shared_folder(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        named = tempfile.mkdtemp(prefix="ledgerline-")
-        spark.conf.set("spark.checkpoint.dir", named)
-        return named
+        return _folder_of_this_machine(spark.sparkContext.applicationId)
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
 
 

@@ -2,6 +2,7 @@
 
 import json
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -383,6 +384,18 @@ def test_scratch_is_the_shared_folder(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_scratch_without_a_named_folder():
+    """A local session falls back to this machine; a cluster must name its folder."""
+
+    def session(master):
+        context = SimpleNamespace(master=master, applicationId=f"app-{master}")
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+
+    assert shared_folder(session("local[4]")) == shared_folder(session("local[4]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session("yarn"))
+
+
 def test_raw_round_trip_equals_input(spark, sf_small, tmp_path):
     raw = as_text(spark.read.parquet(f"{sf_small}/lineitem.parquet"))
     raw.write.parquet(str(tmp_path / "raw"))

@@ -74,10 +74,13 @@ def envelopes_to_raw(
     """
     check_policy(policy)
     cut = None if one_per_line else cut_documents(spark, path, long_file_bytes, policy)
-    documents = read_envelopes(
-        spark, path, policy, one_per_line, None if one_per_line else long_file_bytes
-    )
-    known = list(names) or first_header(documents)
+    whole_up_to = None if one_per_line else long_file_bytes
+    documents = read_envelopes(spark, path, policy, one_per_line, whole_up_to)
+    known = list(names)
+    if not known:
+        known = first_header(
+            read_envelopes(spark, path, policy, one_per_line, whole_up_to, headers_only=True)
+        )
     if cut is not None:
         known = known or first_header(cut.headers)
     known = check_names(known or list(fallback))

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontaminate, simhash
+from ledgerline.llm import decontaminate, simhash, token_files
 from ledgerline.llm.common import table
+from ledgerline.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ANSWERS: dict[str, str] = {}
@@ -18,6 +19,13 @@ def registered(query):
     return query
 
 
+@registered
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path)
+    return token_files.digests(token_files.read_tokens(spark, path))
+
+
 @registered
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(

@@ -51,15 +51,14 @@ def encoded(
         table = word_ids(vocabulary_path(vocabulary))
         part, start = TaskContext.get().partitionId(), 0
         for block in blocks(batches):
-            ids = table.encode(block.column("text").to_pylist(), end_id)
-            counts = np.fromiter(map(len, ids), np.int64, len(ids))
+            ids, counts = table.encode(block.column("text"), end_id)
             ends = np.cumsum(counts)
             offsets = np.concatenate(([0], ends)).astype(np.int32)
-            values = pa.array(np.concatenate(ids).astype(np.int32))
+            values = pa.array(ids.astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("doc_id"),
-                    pa.array(np.full(len(ids), part, np.int32)),
+                    pa.array(np.full(len(counts), part, np.int32)),
                     pa.array(start + ends - counts),
                     pa.array(counts),
                     pa.ListArray.from_arrays(pa.array(offsets), values),

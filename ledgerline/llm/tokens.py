@@ -1,128 +1,170 @@
 """Token ids of whole texts from a public tokenizer file, each distinct word encoded once.
 
-The tokenizer cuts at white space and drops it, so a text's ids are the ids of its words, one
-after the other. Words (cut at blanks and line ends only) are looked up in a table kept with the
-worker process; what is missing is encoded by the tokenizers library. The table is emptied when
-it holds ``KEPT_WORDS`` words, which bounds memory and changes no id.
+A tokenizer that cuts at white space and drops it gives a text the ids of its words, one after
+the other. Words (cut at blanks and line ends only) are looked up in a table kept with the
+worker process; what is missing is encoded by the tokenizers library. When the table holds
+``KEPT_WORDS`` words, those met only once are forgotten, which bounds memory and changes no id.
+Texts go through the library whole if the file describes a tokenizer of another kind.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import sys
-from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 VOCABULARY = "word_bpe_49k.json"
-#: Words a worker keeps the ids of; about 250 bytes each.
-KEPT_WORDS = 500_000
-#: Characters of a text that are cut into words at a time.
-_PIECE = 1 << 20
-#: Words that are looked up at a time.
-_AT_ONCE = 1 << 17
+#: Words a worker keeps the ids of; about 200 bytes each.
+KEPT_WORDS = 600_000
+#: Stems that are encoded in one string.
+_JOINED = 256
 #: Letters up to here keep their number under lower-casing and composition.
-_PLAIN = "ɏ"
+_PLAIN = "\u024f"
 
 
 class WordIds:
     """Ids of words; ``flat[first[c]:first[c] + count[c]]`` are those of the word with code c."""
 
     def __init__(self, file: str):
-        from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(file)
-        self._clear()
-
-    def _clear(self) -> None:
-        self.code: dict[str, int] = {"": 0}
-        self.used = 0
-        self.flat = np.zeros(1 << 16, np.uint16 if self.tokenizer.get_vocab_size() < 1 << 16 else np.uint32)
-        self.first = np.zeros(1 << 12, np.int64)
-        self.count = np.zeros(1 << 12, np.int64)
-
-    @staticmethod
-    def _stem(word: str) -> str:
-        """The word without one closing mark and in small letters, where its letters are cut from
-        the mark anyway and their case plays no part; else the word itself."""
-        body = word[:-1] if word[-1] in ".," else word
-        plain = body.isalpha() and max(body) <= _PLAIN and len(body.lower()) == len(body)
-        return body.lower() if plain else word
-
-    def _learn(self, words: set[str]) -> None:
-        stems: dict[str, list[int]] = dict.fromkeys([*(self._stem(w) for w in words), ".", ","], [])
-        fast = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for stem, found in zip(list(stems), fast(list(stems), add_special_tokens=False), strict=True):
-            stems[stem] = found.ids
-        ids = []
-        for word in words:
-            stem = self._stem(word)
-            closed = len(stem) < len(word)
-            ids.append(stems[stem] + stems[word[-1]] if closed else stems[stem])
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        new = np.fromiter((i for x in ids for i in x), self.flat.dtype, int(counts.sum()))
-        base = len(self.code)
-        self.code.update(zip(words, range(base, base + len(ids)), strict=True))
-        if len(self.code) > len(self.first):
-            grown = max(len(self.code), 2 * len(self.first))
-            self.first, self.count = (np.resize(x, grown) for x in (self.first, self.count))
-        if self.used + len(new) > len(self.flat):
-            self.flat = np.resize(self.flat, max(self.used + len(new), 2 * len(self.flat)))
-        self.first[base : base + len(ids)] = self.used + np.cumsum(counts) - counts
-        self.count[base : base + len(ids)] = counts
-        self.flat[self.used : self.used + len(new)] = new
-        self.used += len(new)
-
-    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the words in a row, and how many each word has."""
+        with open(file, encoding="utf-8") as lines:
+            described = json.load(lines)
+        self.by_word = _drops_white_space(described)
+        if not self.by_word:
+            return
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = described["model"]["end_of_word_suffix"]
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        # Small letters alone need neither normalizing nor further cuts.
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.marks = {m: self._whole(m)[0] for m in ".,"}
+        self._keep([], np.zeros(0, np.int64), np.zeros(0, np.uint32))
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _keep(self, words: list[str], counts: np.ndarray, flat: np.ndarray) -> None:
+        """Start the table with these words; code 0 is the empty word."""
+        self.code = dict(zip(["", *words], range(len(words) + 1), strict=True))
+        self.count = np.concatenate(([0], counts))
+        self.first = np.cumsum(self.count) - self.count
+        self.flat = flat
+        self.uses = np.zeros(len(self.code), np.int64)
+
+    def _forget(self) -> None:
+        often = self.uses > 1
+        often[0] = False
+        if 2 * np.count_nonzero(often) > KEPT_WORDS:
+            often[:] = False
+        words = list(chain.from_iterable([w] if k else [] for w, k in zip(self.code, often.tolist(), strict=True)))
+        codes = np.flatnonzero(often)
+        self._keep(words, self.count[codes], self.flat[_ranges(self.first[codes], self.count[codes])])
+
+    def _learn(self, words: list[str]) -> None:
+        stems: dict[str, int] = {}
+        stem_of, marks, others, other_of = [], [], [], []
+        for place, word in enumerate(words):
+            mark = self.marks.get(word[-1], 0)
+            body = word[:-1] if mark else word
+            if body.isalpha() and (body.isascii() or max(body) <= _PLAIN and len(body.lower()) == len(body)):
+                # Its letters are cut from a closing mark anyway, and their case plays no part.
+                stem_of.append(stems.setdefault(body.lower(), len(stems)))
+                marks.append(mark)
+            else:
+                stem_of.append(-1)
+                marks.append(0)
+                others.append(word)
+                other_of.append(place)
+        names = list(stems)
+        joined = [" ".join(names[i : i + _JOINED]) for i in range(0, len(names), _JOINED)]
+        found = [e.ids for e in self.letters.encode_batch_fast(joined, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))
+        ends = np.flatnonzero(self.ends_word[flat]) + 1
+        if len(ends) != len(names):
+            raise ValueError("a word without an end")
+        firsts = np.concatenate(([0], ends[:-1]))[: len(names)]
+        counts = ends - firsts
+        rest = [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+        rest_counts = np.fromiter(map(len, rest), np.int64, len(rest))
+        firsts = np.concatenate((firsts, len(flat) + np.cumsum(rest_counts) - rest_counts))
+        counts = np.concatenate((counts, rest_counts))
+        flat = np.concatenate((flat, np.fromiter(chain.from_iterable(rest), np.uint32, int(rest_counts.sum()))))
+        which = np.array(stem_of, np.int64)
+        which[other_of] = len(names) + np.arange(len(rest))
+        marks = np.array(marks, np.uint32)
+        # A place is kept free behind the ids of words with a closing mark.
+        body_counts = counts[which]
+        counts = body_counts + (marks > 0)
+        new = np.zeros(int(counts.sum()), np.uint32)
+        begin = np.cumsum(counts) - counts
+        new[_ranges(begin, body_counts)] = flat[_ranges(firsts[which], body_counts)]
+        new[(begin + body_counts)[marks > 0]] = marks[marks > 0]
+        self.code.update(zip(words, range(len(self.code), len(self.code) + len(words)), strict=True))
+        self.first = np.concatenate((self.first, len(self.flat) + begin))
+        self.count = np.concatenate((self.count, counts))
+        self.flat = np.concatenate((self.flat, new))
+        self.uses = np.concatenate((self.uses, np.zeros(len(words), np.int64)))
+
+    def _codes(self, words: list[str]) -> np.ndarray:
         if len(self.code) > KEPT_WORDS:
-            self._clear()
-        missing = set(words).difference(self.code)
+            self._forget()
+        missing = [w for w in words if w not in self.code]
         if missing:
             self._learn(missing)
-        codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+        return np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+
+    def encode(self, texts: pa.Array, last: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, each text's followed by the id ``last``, and how many
+        each text has."""
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if not self.by_word:
+            whole = [np.array([*self._whole(t), last], np.uint32) for t in texts.to_pylist()]
+            return np.concatenate(whole), np.fromiter(map(len, whole), np.int64, len(whole))
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        edges = words.offsets.to_numpy()
+        distinct = words.flatten().dictionary_encode()
+        used = self._codes(distinct.dictionary.to_pylist())
+        codes = used[distinct.indices.to_numpy()]
+        self.uses += np.bincount(codes, minlength=len(self.uses))
         counts = self.count[codes]
-        ends = np.cumsum(counts)
-        place = np.arange(int(counts.sum())) + np.repeat(self.first[codes] - (ends - counts), counts)
-        return self.flat[place].astype(np.uint32), counts
-
-    def encode(self, texts: list[str], last: int) -> list[np.ndarray]:
-        """The ids of each text, followed by the id ``last``."""
-        parts: list[list[np.ndarray]] = [[] for _ in texts]
-        words: list[str] = []
-        owners: list[tuple[int, int]] = []
-
-        def settle() -> None:
-            ids, counts = self._ids(words)
-            ends = np.concatenate(([0], np.cumsum(counts)))
-            at = 0
-            for owner, n in owners:
-                parts[owner].append(ids[ends[at] : ends[at + n]])
-                at += n
-            words.clear()
-            owners.clear()
-
-        for owner, text in enumerate(texts):
-            for piece in _pieces(text):
-                found = piece.replace("\n", " ").split(" ")
-                words += found
-                owners.append((owner, len(found)))
-                if len(words) >= _AT_ONCE:
-                    settle()
-        settle()
-        end = np.array([last], np.uint32)
-        return [np.concatenate((*p, end)) for p in parts]
-
-
-def _pieces(text: str) -> Iterator[str]:
-    """Parts of a long text, cut at blanks."""
-    at = 0
-    while len(text) - at > _PIECE:
-        cut = text.find(" ", at + _PIECE)
-        if cut < 0:
-            break
-        yield text[at:cut]
-        at = cut + 1
-    yield text[at:]
+        ids = self.flat[_ranges(self.first[codes], counts)]
+        ends = np.concatenate(([0], np.cumsum(counts)))[edges]
+        return np.insert(ids, ends[1:], last), np.diff(ends) + 1
+
+
+def _ranges(firsts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers first, first + 1, ... of each range, one range after the other."""
+    ends = np.cumsum(counts)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(firsts - (ends - counts), counts)
+
+
+def _drops_white_space(described: dict) -> bool:
+    """Whether the file's tokenizer works on words between white space, none affecting another."""
+    normalizers = [n["type"] for n in (described["normalizer"] or {}).get("normalizers", [])]
+    cuts = (described["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    return (
+        normalizers == ["NFC", "Replace", "Lowercase"]
+        and described["normalizer"]["normalizers"][1]["pattern"] == {"Regex": r"\s+"}
+        and cuts[0].get("type") == "Split"
+        and cuts[0]["behavior"] == "Removed"
+        and cuts[0]["invert"]
+        and cuts[0]["pattern"].get("Regex", "").endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        and [c["type"] for c in cuts[1:]] == ["ByteLevel"]
+        and bool(described["model"].get("end_of_word_suffix"))
+    )
 
 
 def word_ids(file: str) -> WordIds:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,8 +39,7 @@ def blocks(
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = batch.column(name).cast(pa.binary())
-        sizes = np.array([0 if x is None else x for x in pa.compute.binary_length(lengths).to_pylist()])
+        sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy().astype(np.int64)
         block = np.cumsum(sizes) // limit
         cuts = np.flatnonzero(np.diff(block)) + 1
         start = 0

@@ -23,8 +23,8 @@ VOCABULARY = "word_bpe_49k.json"
 KEPT_WORDS = 600_000
 #: Stems that are encoded in one string.
 _JOINED = 256
-#: Letters up to here keep their number under lower-casing and composition.
-_PLAIN = "\u024f"
+#: Letters that keep their number under lower-casing and composition (the I with a dot does not).
+_PLAIN = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+$"
 
 
 class WordIds:
@@ -73,21 +73,19 @@ class WordIds:
         self._keep(words, self.count[codes], self.flat[_ranges(self.first[codes], self.count[codes])])
 
     def _learn(self, words: list[str]) -> None:
-        stems: dict[str, int] = {}
-        stem_of, marks, others, other_of = [], [], [], []
-        for place, word in enumerate(words):
-            mark = self.marks.get(word[-1], 0)
-            body = word[:-1] if mark else word
-            if body.isalpha() and (body.isascii() or max(body) <= _PLAIN and len(body.lower()) == len(body)):
-                # Its letters are cut from a closing mark anyway, and their case plays no part.
-                stem_of.append(stems.setdefault(body.lower(), len(stems)))
-                marks.append(mark)
-            else:
-                stem_of.append(-1)
-                marks.append(0)
-                others.append(word)
-                other_of.append(place)
-        names = list(stems)
+        column = pa.array(words, pa.string())
+        last = pc.utf8_slice_codeunits(column, -1)
+        closed = pc.is_in(last, pa.array(list(self.marks)))
+        body = pc.if_else(closed, pc.utf8_slice_codeunits(column, 0, -1), column)
+        # Letters are cut from a closing mark anyway, and their case plays no part.
+        plain = pc.match_substring_regex(body, _PLAIN)
+        bodies = pc.utf8_lower(body.filter(plain)).dictionary_encode()
+        names = bodies.dictionary.to_pylist()
+        others = column.filter(pc.invert(plain)).to_pylist()
+        plain = plain.to_numpy(zero_copy_only=False)
+        marks = np.zeros(len(words), np.uint32)
+        for mark, number in self.marks.items():
+            marks[pc.equal(last, mark).to_numpy(zero_copy_only=False) & plain] = number
         joined = [" ".join(names[i : i + _JOINED]) for i in range(0, len(names), _JOINED)]
         found = [e.ids for e in self.letters.encode_batch_fast(joined, add_special_tokens=False)]
         flat = np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))
@@ -101,9 +99,9 @@ class WordIds:
         firsts = np.concatenate((firsts, len(flat) + np.cumsum(rest_counts) - rest_counts))
         counts = np.concatenate((counts, rest_counts))
         flat = np.concatenate((flat, np.fromiter(chain.from_iterable(rest), np.uint32, int(rest_counts.sum()))))
-        which = np.array(stem_of, np.int64)
-        which[other_of] = len(names) + np.arange(len(rest))
-        marks = np.array(marks, np.uint32)
+        which = np.empty(len(words), np.int64)
+        which[plain] = bodies.indices.to_numpy()
+        which[~plain] = len(names) + np.arange(len(rest))
         # A place is kept free behind the ids of words with a closing mark.
         body_counts = counts[which]
         counts = body_counts + (marks > 0)
@@ -148,7 +146,9 @@ class WordIds:
 def _ranges(firsts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The numbers first, first + 1, ... of each range, one range after the other."""
     ends = np.cumsum(counts)
-    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(firsts - (ends - counts), counts)
+    total = int(ends[-1]) if len(ends) else 0
+    small = np.int32 if max(total, int(firsts.max(initial=0))) < 1 << 30 else np.int64
+    return np.arange(total, dtype=small) + np.repeat((firsts - (ends - counts)).astype(small), counts)
 
 
 def _drops_white_space(described: dict) -> bool:

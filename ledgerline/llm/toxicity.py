@@ -89,7 +89,7 @@ class Machine:
 
 def fit(
     terms: np.ndarray, row: np.ndarray, term: np.ndarray, y: np.ndarray,
-    factors: int = FACTORS, steps: int = 500, rate: float = 0.1, decay: float = 2e-5,
+    factors: int = FACTORS, steps: int = 250, rate: float = 0.1, decay: float = 1e-4,
 ) -> Machine:
     """Minimise the logistic loss by Adam over all rows at once. (row, term): terms present."""
     ones = float(y.mean()) if len(y) else 0.5

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontaminate, packing, quality, simhash, suffix_dedup, token_files, toxicity
+from ledgerline.llm import decontaminate, html_text, packing, quality, quality_rules, simhash, suffix_dedup, token_files, toxicity
 from ledgerline.llm.common import table
 from ledgerline.scratch import scratch_path
 
@@ -31,6 +31,12 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(token_files.read_tokens(spark, path))
 
 
+@registered
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extracted(pages, html_text.train(pages))
+
+
 @registered
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
@@ -49,6 +55,11 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(found)
 
 
+@registered
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @registered
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import by_block
 
 TRAIN_PAGES = 2_000
+#: Kinds of words and tags that get weights, the commonest first.
+KINDS = 1_000
 TAG_AT_MOST = -0.05
 #: Weights of kinds that no labelled page shows: words of articles, words elsewhere, tags.
 UNSEEN = {"in": 1.0, "out": -1.0, "tag": -0.3}
@@ -182,13 +184,15 @@ def main_text(page: str, weights: Weights) -> str:
 
 def train(pages: DataFrame, key: str = "page_id", page: str = "html", size: int = TRAIN_PAGES) -> Weights:
     """Weights from up to ``size`` pages whose markup names an article, in the order of their hash."""
-    sample = (
-        pages.select(F.col(key).alias("key"), F.col(page).cast("string").alias("html"))
-        .filter(F.col("html").rlike("(?i)<(article|main)[ >]"))
-        .orderBy(F.xxhash64("key"), F.xxhash64("html"))
+    named = pages.select(F.col(key).alias("key"), F.coalesce(F.col(page).cast("string"), F.lit("")).alias("html"))
+    keys = (
+        named.filter(F.col("html").rlike("(?i)<(article|main)[ >]"))
+        .select("key")
+        .distinct()
+        .orderBy(F.xxhash64("key"), "key")
         .limit(size)
-        .select("html")
     )
+    sample = named.join(F.broadcast(keys), "key", "left_semi").select("html")  # ``size`` keys
 
     def work(block: pa.RecordBatch) -> pa.RecordBatch:
         both = Counter()
@@ -201,7 +205,8 @@ def train(pages: DataFrame, key: str = "page_id", page: str = "html", size: int
 
     counts = sample.mapInArrow(by_block(work, "html"), "inside boolean, kind string, n long")
     sides = {True: Counter(), False: Counter()}
-    for row in counts.groupBy("inside", "kind").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "kind").limit(1_000).collect():
+    commonest = counts.groupBy("inside", "kind").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "kind", "inside")
+    for row in commonest.limit(KINDS).collect():
         sides[row["inside"]][row["kind"]] = row["n"]
     return Weights(sides[True], sides[False])
 

@@ -31,13 +31,14 @@ _WORD = r"[^\x20\x09-\x0D]"
 
 
 def _words(text: str) -> Column:
-    """The words of a text; white space at its ends would give empty ones."""
-    inner = F.regexp_replace(text, rf"\A{_SPACE}|{_SPACE}\z", "")
-    return F.when(F.length(inner) > 0, F.split(inner, _SPACE)).otherwise(F.array().cast("array<string>"))
+    """The words of a text; white space at its ends gives empty ones, which go."""
+    return F.array_remove(F.split(text, _SPACE), "")
 
 
 def _grams(words: str, n: int) -> Column:
     """The hash of each ``n`` neighbouring words."""
+    if n == 1:
+        return F.transform(words, lambda w: F.xxhash64(w))
     last = F.size(words) - n
     places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
     return F.transform(places, lambda i: F.xxhash64(*[F.get(F.col(words), i + k) for k in range(n)]))
@@ -51,7 +52,7 @@ def base_rules(docs: DataFrame) -> DataFrame:
         F.xxhash64("text").alias("told"),
         _words("text").alias("words"),
         lines.alias("lines"),
-        (F.length("text") - F.length(F.regexp_replace("text", r"[#*$%&|<>]", ""))).alias("n_symbols"),
+        F.regexp_count("text", F.lit(r"[#*$%&|<>]")).alias("n_symbols"),
     )
     step = step.select(
         "doc_id", "told", "n_symbols",

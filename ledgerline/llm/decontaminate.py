@@ -245,9 +245,11 @@ def contamination(
     item_text: str = "text",
     window_words: int = WINDOW_WORDS,
     carry: list[str] | None = None,
+    remove: bool = False,
 ) -> DataFrame:
     """Per row: the columns in ``carry`` (all of the input's by default) and n_words, spans (start
     and end of runs of hit words), items (ids found). Input columns of these three names give way.
+    With ``remove`` the text comes without the spans.
     """
     result = ("n_words", "spans", "items")
     base = df.drop(*result)
@@ -258,12 +260,15 @@ def contamination(
     while now is not None:
         later = next(groups, None)
         columns = carry if later is None else sorted({*carry, text})
-        found = _searched(base if found is None else found, text, now, columns, found is None)
+        cuts = remove and later is None
+        found = _searched(base if found is None else found, text, now, columns, found is None, cuts)
         now = later
     return found
 
 
-def _searched(df: DataFrame, text: str, windows: Windows, carry: list[str], first: bool) -> DataFrame:
+def _searched(
+    df: DataFrame, text: str, windows: Windows, carry: list[str], first: bool, cuts: bool
+) -> DataFrame:
     """One pass over the documents; a later pass unites its hits with those carried along."""
     sent = df.sparkSession.sparkContext.broadcast(windows)  # GROUP_WORDS bounds it
     span = T.StructType().add("start", "long").add("end", "long")
@@ -281,6 +286,9 @@ def _searched(df: DataFrame, text: str, windows: Windows, carry: list[str], firs
             spans = [united(a + b) for a, b in zip(spans, old_spans, strict=True)]
             items = [sorted({*a, *b}) for a, b in zip(items, old_items, strict=True)]
         columns = [block.column(n) for n in carry]
+        if cuts and text in carry:
+            kept = [cut(t, s) if s else t for t, s in zip(block.column(text).to_pylist(), spans, strict=True)]
+            columns[carry.index(text)] = pa.array(kept, pa.string())
         columns += [
             pa.array([r[0] for r in rows], pa.int64()),
             pa.array(spans, pa.list_(arrow_span)),

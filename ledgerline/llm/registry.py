@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, html_text, packing, quality, quality_rules, simhash, suffix_dedup, token_files, toxicity
+from ledgerline.llm import decontaminate, html_text, packing, pii, quality, quality_rules, simhash, suffix_dedup, token_files, toxicity
 from ledgerline.llm.common import table
 from ledgerline.scratch import scratch_path
 
@@ -60,6 +61,15 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@registered
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    shown = F.transform("entities", lambda e: F.struct(e["type"], e["start"], e["end"], e["surrogate"]))
+    return found.select(
+        "doc_id", "text", F.size("entities").cast("long").alias("n_entities"), shown.alias("entities")
+    )
+
+
 @registered
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -102,7 +102,7 @@ def fit(
     """Trees for labels 0 and 1. ``least``: rows a leaf must hold."""
     ones = float(y.mean()) if len(y) else 0.5
     none = np.zeros(0)
-    if not 0 < ones < 1:
+    if not len(y) or not 0 < ones < 1:
         margin = {0.0: -30.0, 1.0: 30.0}.get(ones, 0.0)
         return Trees(margin, [], none.astype(int), none, none.astype(int), none, 0)
     n, width = x.shape

@@ -31,7 +31,7 @@ from ledgerline.llm.quality import verdicts
 FOLDS, HELD_OUT = 4, 2
 TERMS, FACTORS = 4096, 8
 #: A term enters if this many sampled documents have it, and its chi-square is at least this.
-LEAST_DOCS, LEAST_CHI = 5, 15.0
+LEAST_DOCS, LEAST_CHI = 5, 25.0
 
 
 def hashed_terms(word: str) -> list[int]:
@@ -89,7 +89,7 @@ class Machine:
 
 def fit(
     terms: np.ndarray, row: np.ndarray, term: np.ndarray, y: np.ndarray,
-    factors: int = FACTORS, steps: int = 250, rate: float = 0.1, decay: float = 1e-4,
+    factors: int = FACTORS, steps: int = 150, rate: float = 0.1, decay: float = 5e-4,
 ) -> Machine:
     """Minimise the logistic loss by Adam over all rows at once. (row, term): terms present."""
     ones = float(y.mean()) if len(y) else 0.5
@@ -97,7 +97,7 @@ def fit(
     start = np.log(ones / (1 - ones)) if 0 < ones < 1 else {0.0: -30.0, 1.0: 30.0}.get(ones, 0.0)
     vectors = np.random.default_rng(0).normal(0, 0.05, (m, factors))
     machine = Machine(terms, float(start), np.zeros(m), vectors)
-    if not m or not 0 < ones < 1:
+    if not m or not n or not 0 < ones < 1:
         return machine
     theta = np.concatenate(([start], machine.weights, vectors.ravel()))
     first, second = np.zeros_like(theta), np.zeros_like(theta)

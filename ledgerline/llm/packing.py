@@ -36,7 +36,7 @@ from ledgerline.llm.tokens import VOCABULARY, vocabulary_path, word_ids
 CAPACITY = 4096
 END_ID = 1
 #: Fillings that bin completion may try before the incumbent stands.
-NODES = 4_000
+NODES = 300
 #: Fillings it compares around one largest length.
 _CHOICES = 8
 

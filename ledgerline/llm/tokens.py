@@ -26,6 +26,10 @@ _JOINED = 256
 #: Letters that keep their number under lower-casing and composition (the I with a dot does not).
 _PLAIN = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+$"
 
+#: How a byte-level vocabulary writes the bytes that have no sign of their own, the blank left out.
+_SIGNLESS = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+_BYTES = {b: 256 + i for i, b in enumerate(_SIGNLESS) if b != 32}
+
 
 class WordIds:
     """Ids of words; ``flat[first[c]:first[c] + count[c]]`` are those of the word with code c."""
@@ -44,11 +48,12 @@ class WordIds:
         suffix = described["model"]["end_of_word_suffix"]
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-        # Small letters alone need neither normalizing nor further cuts.
+        # Small letters alone need neither normalizing nor further cuts, and arrive with their bytes
+        # already written as the vocabulary's letters. Most of them come once: no cache of the library's.
         self.letters = Tokenizer(self.tokenizer.model)
-        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
-        )
+        self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        if hasattr(self.letters.model, "_resize_cache"):
+            self.letters.model._resize_cache(0)
         self.marks = {m: self._whole(m)[0] for m in ".,"}
         self._keep([], np.zeros(0, np.int64), np.zeros(0, np.uint32))
 
@@ -86,7 +91,10 @@ class WordIds:
         marks = np.zeros(len(words), np.uint32)
         for mark, number in self.marks.items():
             marks[pc.equal(last, mark).to_numpy(zero_copy_only=False) & plain] = number
-        joined = [" ".join(names[i : i + _JOINED]) for i in range(0, len(names), _JOINED)]
+        joined = [
+            " ".join(names[i : i + _JOINED]).encode().decode("latin-1").translate(_BYTES)
+            for i in range(0, len(names), _JOINED)
+        ]
         found = [e.ids for e in self.letters.encode_batch_fast(joined, add_special_tokens=False)]
         flat = np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))
         ends = np.flatnonzero(self.ends_word[flat]) + 1
@@ -163,6 +171,7 @@ def _drops_white_space(described: dict) -> bool:
         and cuts[0]["invert"]
         and cuts[0]["pattern"].get("Regex", "").endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         and [c["type"] for c in cuts[1:]] == ["ByteLevel"]
+        and not cuts[1]["add_prefix_space"]
         and bool(described["model"].get("end_of_word_suffix"))
     )
 

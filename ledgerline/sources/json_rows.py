@@ -8,7 +8,22 @@ from pyspark.sql import functions as F
 from ledgerline.contract import LENIENT, STRICT, Contract, check_policy, quoted
 from ledgerline.functions import cell
 
-_PARSED = "_parsed"
+_PARSED, _TEXT = "_parsed", "_payload_text"
+
+
+def one_value(text: Column) -> Column:
+    """Whether text holds a single JSON value with nothing behind it; null for null.
+
+    Readers stop at the end of the first value. Read as the first entry of a list whose second
+    entry is the text's own hash, whatever follows the value shows: the hash is then not the
+    second entry.
+    """
+    seal = F.xxhash64(text).cast("string")
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit('\n,"'), seal, F.lit('"]')))
+    whole = F.try_variant_get(listed, "$[1]", "string") == seal
+    # One closing brace, and that at the end: an object of plain fields, no second reading needed.
+    plain = text.startswith("{") & (F.instr(text, "}") == F.length(text))
+    return F.when(text.isNotNull(), plain | F.coalesce(whole, F.lit(False)))
 
 
 def row_as_variant(df: DataFrame, alias: str = "v") -> DataFrame:
@@ -33,20 +48,25 @@ def parse_fields(
 ) -> DataFrame:
     """The contract's source keys of each object as strings: one parse per row.
 
-    Missing and null keys are NULL, nested values keep their JSON text. Malformed text
-    gives a row of NULLs under the lenient policy and an error under the strict one;
-    JSON that is no object has no fields under either.
+    Missing and null keys are NULL, nested values keep their JSON text. Malformed text, and
+    text behind the object, gives a row of NULLs under the lenient policy and an error under
+    the strict one; JSON that is no object has no fields under either.
     """
     schema = contract.source_schema().add("_corrupt_record", "string")
     text = F.col(quoted(payload))
     parsed = F.from_json(text, schema, {"columnNameOfCorruptRecord": "_corrupt_record"})
-    rows = df.select(parsed.alias(_PARSED), *[F.col(quoted(k)) for k in keep])
+    rows = df.select(parsed.alias(_PARSED), text.alias(_TEXT), *[F.col(quoted(k)) for k in keep])
     fields = F.col(_PARSED)
-    if check_policy(policy) == STRICT:
+    alone = F.coalesce(one_value(F.col(_TEXT)) | (F.trim(_TEXT) == ""), F.lit(True))
+    if check_policy(policy) == LENIENT:
+        rows = rows.withColumn(_PARSED, F.when(alone, fields))
+    else:
         # Only text the object reader refused is parsed again, and raises if it is not JSON.
         corrupt = fields["_corrupt_record"]
-        checked = F.when(corrupt.isNotNull() & F.parse_json(corrupt).isNull(), F.lit(None)).otherwise(fields)
-        rows = rows.withColumn(_PARSED, checked)
+        not_json = corrupt.isNotNull() & F.parse_json(corrupt).isNull()
+        message = F.concat(F.lit("text behind the JSON value: "), F.col(_TEXT))
+        tail = F.raise_error(message).cast(rows.schema[_PARSED].dataType)
+        rows = rows.withColumn(_PARSED, F.when(not_json, F.lit(None)).when(~alone, tail).otherwise(fields))
     return rows.select(
         *[F.col(_PARSED).getField(s).alias(s) for s in contract.sources],
         *[F.col(quoted(k)) for k in keep],
@@ -54,9 +74,10 @@ def parse_fields(
 
 
 def malformed_rows(df: DataFrame, payload: str) -> DataFrame:
-    """The rows whose payload is not JSON; blank text counts as absent."""
+    """The rows whose payload is not one JSON value; blank text counts as absent."""
     text = F.col(quoted(payload))
-    return df.where(text.isNotNull() & (F.trim(text) != "") & F.try_parse_json(text).isNull())
+    bad = F.try_parse_json(text).isNull() | ~one_value(text)
+    return df.where(text.isNotNull() & (F.trim(text) != "") & bad)
 
 
 def extract(

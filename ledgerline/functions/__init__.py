@@ -5,6 +5,7 @@ from ledgerline.functions.cells import (
     lenient_decimal,
     lenient_epoch,
     lenient_int,
+    number_cell,
     point,
     strict_epoch,
     strict_number,
@@ -18,6 +19,7 @@ __all__ = [
     "lenient_decimal",
     "lenient_epoch",
     "lenient_int",
+    "number_cell",
     "point",
     "strict_epoch",
     "strict_number",

@@ -87,12 +87,24 @@ def strict_text(text: Column, length: int | None, label: str = "value") -> Colum
     return F.when(F.length(text) > length, F.raise_error(message).cast("string")).otherwise(text)
 
 
+def _coordinates(text: Column) -> tuple[Column, Column]:
+    return tuple(F.regexp_extract(text, _POINT, i).try_cast("double") for i in (1, 2))
+
+
+def _on_earth(text: Column) -> Column:
+    lon, lat = _coordinates(text)
+    return lon.between(-180, 180) & lat.between(-90, 90)
+
+
 def point(text: Column) -> Column:
-    """``POINT (lon lat)`` to struct<lon,lat,text>; NULL when the text is no point."""
-    lon = F.regexp_extract(text, _POINT, 1).try_cast("double")
-    lat = F.regexp_extract(text, _POINT, 2).try_cast("double")
+    """``POINT (lon lat)`` to struct<lon,lat,text>; NULL when the text is no point on earth.
+
+    Longitudes reach from -180 to 180 and latitudes from -90 to 90 degrees.
+    """
+    lon, lat = _coordinates(text)
     return F.when(
-        text.rlike(_POINT), F.struct(lon.alias("lon"), lat.alias("lat"), text.alias("text"))
+        text.rlike(_POINT) & _on_earth(text),
+        F.struct(lon.alias("lon"), lat.alias("lat"), text.alias("text")),
     )
 
 
@@ -117,6 +129,30 @@ def cell(text: Column, spec: ColumnSpec, policy: str) -> Column:
     return text if lenient else strict_text(text, spec.length, spec.target)
 
 
+def number_cell(value: Column, spec: ColumnSpec, policy: str) -> Column:
+    """As :func:`cell`, for a numeric column: no detour through its text.
+
+    The text of a large double has an exponent, which the lenient text rules refuse.
+    """
+    lenient = check_policy(policy) == LENIENT
+    text = value.cast("string")
+    if spec.kind == "epoch":
+        if lenient:
+            return _utc_wall_clock(value.try_cast("bigint"))
+        seconds = value.try_cast("decimal(38,0)").try_cast("bigint")
+        return _or_raise(_utc_wall_clock(seconds), text, "timestamp_ntz", "epoch seconds", spec.target)
+    if spec.kind == "int" and lenient:
+        return value.try_cast("int")
+    if spec.kind in ("int", "decimal"):
+        precision, scale = spec.precision or 38, 0 if spec.kind == "int" else spec.scale
+        number = value.try_cast(f"decimal({precision},{scale})")
+        if lenient:
+            return number
+        what = f"a number({precision},{scale})"
+        return _or_raise(number, text, f"decimal({precision},{scale})", what, spec.target)
+    return cell(text, spec, policy)
+
+
 def violation(text: Column, spec: ColumnSpec) -> Column:
     """What keeps a cell out of a strict load: a short code, or NULL when it fits."""
     if spec.kind in ("int", "decimal", "epoch"):
@@ -132,7 +168,9 @@ def violation(text: Column, spec: ColumnSpec) -> Column:
             .otherwise("not_a_number")
         )
     if spec.kind == "point":
-        return F.when(text.isNotNull() & ~text.rlike(_POINT), "not_a_point")
+        return F.when(text.isNotNull() & ~text.rlike(_POINT), "not_a_point").when(
+            text.isNotNull() & ~_on_earth(text), "out_of_range"
+        )
     if spec.length is not None:
         return F.when(F.length(text) > spec.length, "too_long")
     return F.lit(None).cast("string")

@@ -6,10 +6,11 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerline.contract import LENIENT, STRICT, Contract, check_policy, quoted
+from ledgerline.contract import LENIENT, STRICT, ColumnSpec, Contract, check_policy, quoted
 from ledgerline.errors import ContractViolation
-from ledgerline.functions import cell
+from ledgerline.functions import cell, number_cell
 
 
 def resolve(contract: Contract, names: Sequence[str]) -> dict[str, str | None]:
@@ -40,10 +41,17 @@ def missing_columns(contract: Contract, names: Sequence[str]) -> list[str]:
     return [spec.source for spec in contract.columns if found[spec.target] is None]
 
 
+def typed_cell(df: DataFrame, name: str, spec: ColumnSpec, policy: str) -> Column:
+    """One contract cell from a column of ``df``, by the column's own type."""
+    if isinstance(df.schema[name].dataType, T.NumericType):
+        return number_cell(F.col(quoted(name)), spec, policy)
+    return cell(F.col(quoted(name)).cast("string"), spec, policy)
+
+
 def apply_contract(
     raw: DataFrame, contract: Contract, policy: str = LENIENT, keep: Iterable[str | Column] = ()
 ) -> DataFrame:
-    """The typed table of a raw, all-string table.
+    """The typed table of a raw table; its columns are text, or numbers already.
 
     One ``select``: filters and column choices made on the result reach the scan.
     Absent sources give typed NULL columns under the lenient policy and end in an
@@ -60,7 +68,7 @@ def apply_contract(
         if source is None:
             value = F.lit(None).cast(spec.data_type(policy))
         else:
-            value = cell(F.col(quoted(source)).cast("string"), spec, policy)
+            value = typed_cell(raw, source, spec, policy)
         typed.append(value.alias(spec.target))
     return raw.select(*typed, *keep)
 

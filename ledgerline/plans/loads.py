@@ -10,9 +10,18 @@ from pyspark.sql import functions as F
 
 from ledgerline.contract import LENIENT, STRICT, ColumnSpec, Contract, check_policy, quoted
 from ledgerline.errors import ContractViolation
-from ledgerline.functions import cell
-from ledgerline.operators.mapping import apply_contract, missing_columns, resolve
-from ledgerline.sinks.tables import clustered, counted, create_table, insert_by_name, write_raw, write_table
+from ledgerline.operators.mapping import apply_contract, missing_columns, resolve, typed_cell
+from ledgerline.sinks.replacement import Replacement
+from ledgerline.sinks.tables import (
+    BYTES_PER_FILE,
+    clustered,
+    counted,
+    create_table,
+    insert_by_name,
+    range_partitions,
+    write_raw,
+    write_table,
+)
 from ledgerline.sources.envelope import (
     CORRUPT,
     OK,
@@ -24,7 +33,8 @@ from ledgerline.sources.envelope import (
     read_envelopes,
     to_raw,
 )
-from ledgerline.sources.json_rows import column_fields, parse_fields
+from ledgerline.sources.files import input_bytes, read_staged
+from ledgerline.sources.json_rows import column_fields, malformed_rows, parse_fields
 from ledgerline.sources.long_documents import LONG_FILE_BYTES, cut_documents
 
 
@@ -41,13 +51,14 @@ class LoadMetrics:
     missing: tuple[str, ...] = ()
     extra: tuple[str, ...] = ()
     raw_path: str | None = None
+    quarantine_path: str | None = None
 
     def as_dataframe(self, spark: SparkSession) -> DataFrame:
         """The metrics as a one-row table."""
         schema = (
             "n_rows bigint, n_source_columns int, n_columns int, target string, "
             "n_ragged bigint, n_corrupt bigint, missing array<string>, extra array<string>, "
-            "raw_path string"
+            "raw_path string, quarantine_path string"
         )
         lists = {"missing": list(self.missing), "extra": list(self.extra)}
         return spark.createDataFrame([{**asdict(self), **lists}], schema)
@@ -71,7 +82,43 @@ def envelopes_to_raw(
     The documents are read once: names start from ``names`` or from the first header
     found, and the write reports headers that hold others. Only then is it repeated, with
     all of them. Files above ``long_file_bytes`` are cut between tasks.
+
+    A lenient load always keeps what it refuses: in ``quarantine_path``, or beside the copy
+    in ``<raw_path>-refused``, which hold the refused rows of this load alone. A load that
+    fails leaves both as they were.
     """
+    with Replacement(spark) as replaced:
+        return _raw_copy(
+            spark, path, replaced.path(raw_path), policy, names, one_per_line, long_file_bytes,
+            _refused(replaced, raw_path, quarantine_path, policy), lineage, fallback, required,
+        )
+
+
+def refused_beside(raw_path: str) -> str:
+    """Where a lenient load keeps what it refuses unless told otherwise."""
+    return raw_path.rstrip("/") + "-refused"
+
+
+def _refused(replaced: Replacement, raw_path: str, given: str | None, policy: str) -> str | None:
+    # A strict load refuses nothing: it ends.
+    if given is None and policy == STRICT:
+        return None
+    return replaced.path(given or refused_beside(raw_path))
+
+
+def _raw_copy(
+    spark: SparkSession,
+    path: str | list[str],
+    raw_path: str,
+    policy: str,
+    names: Sequence[str],
+    one_per_line: bool,
+    long_file_bytes: int,
+    quarantine_path: str | None,
+    lineage: bool,
+    fallback: Sequence[str],
+    required: Sequence[ColumnSpec],
+) -> tuple[list[str], dict[str, int]]:
     check_policy(policy)
     cut = None if one_per_line else cut_documents(spark, path, long_file_bytes, policy)
     whole_up_to = None if one_per_line else long_file_bytes
@@ -96,8 +143,11 @@ def envelopes_to_raw(
             if not others:
                 break
             known = check_names([*known, *others])
-        if quarantine_path is not None and counts["n_ragged"] + counts["n_corrupt"] > 0:
-            quarantined_rows(rows).write.mode("overwrite").parquet(quarantine_path)
+        if quarantine_path is not None:
+            refused = quarantined_rows(rows)
+            if counts["n_ragged"] + counts["n_corrupt"] == 0:
+                refused = refused.where(F.lit(False))
+            refused.write.mode("overwrite").parquet(quarantine_path)
     finally:
         if cut is not None:
             cut.discard()
@@ -138,32 +188,36 @@ def load_envelopes(
     partition_by: Sequence[str] = (),
     lineage: bool = False,
     refuse_extra: bool = False,
+    bytes_per_file: int = BYTES_PER_FILE,
 ) -> LoadMetrics:
     """Documents to a raw all-string copy to the contract's typed, clustered table.
 
     The typed rows go to a path, to a catalog ``table``, or through ``fmt`` and its
     ``options`` to a connector. A document without some contract column ends a strict load;
-    ``refuse_extra`` ends any load whose documents hold undeclared columns. In both cases
-    the target stays as it was.
+    ``refuse_extra`` ends any load whose documents hold undeclared columns. A load that ends
+    early leaves raw copy, quarantine and target as they were (an appending connector may
+    hold a part).
     """
-    names, counts = envelopes_to_raw(
-        spark, path, raw_path, policy, names, one_per_line, long_file_bytes, quarantine_path, lineage,
-        fallback=contract.sources if policy == LENIENT else (),
-        required=contract.columns if policy == STRICT else (),
-    )
-    extra = [n for n in names if n not in contract.sources and n not in contract.targets]
-    if refuse_extra and extra:
-        raise ContractViolation(f"contract {contract.name!r}: undeclared columns {extra}")
-    raw = spark.read.parquet(raw_path)
-    missing = missing_columns(contract, raw.columns)
-    fed_by = resolve(contract, raw.columns)
-    used = [F.col(quoted(name)) for name in fed_by.values() if name is not None]
-    placed = _clustered_cells(raw.select(*used, *_row_place()), contract, policy, fed_by)
-    written, seen = counted(apply_contract(placed, contract, policy), "typed")
-    if table is not None and not options and not partition_by:
-        _fill_table(written, contract, table, policy, fmt, mode)
-    else:
-        write_table(written, target_path, table, fmt, mode, options, partition_by)
+    check_policy(policy)
+    with Replacement(spark) as replaced:
+        new_raw = replaced.path(raw_path)
+        names, counts = _raw_copy(
+            spark, path, new_raw, policy, names, one_per_line, long_file_bytes,
+            _refused(replaced, raw_path, quarantine_path, policy), lineage,
+            fallback=contract.sources if policy == LENIENT else (),
+            required=contract.columns if policy == STRICT else (),
+        )
+        extra = [n for n in names if n not in contract.sources and n not in contract.targets]
+        if refuse_extra and extra:
+            raise ContractViolation(f"contract {contract.name!r}: undeclared columns {extra}")
+        raw = spark.read.parquet(new_raw)
+        missing = missing_columns(contract, raw.columns)
+        fed_by = resolve(contract, raw.columns)
+        used = [F.col(quoted(name)) for name in fed_by.values() if name is not None]
+        partitions = range_partitions(spark, input_bytes(spark, new_raw), bytes_per_file)
+        placed = _clustered_cells(raw.select(*used, *_row_place()), contract, policy, fed_by, partitions)
+        written, seen = counted(apply_contract(placed, contract, policy), "typed")
+        _fill(replaced, written, contract, policy, target_path, table, fmt, mode, options, partition_by)
     return LoadMetrics(
         n_rows=seen.get["n_rows"],
         n_source_columns=len(names),
@@ -174,6 +228,7 @@ def load_envelopes(
         missing=tuple(missing),
         extra=tuple(extra),
         raw_path=raw_path,
+        quarantine_path=quarantine_path or (refused_beside(raw_path) if policy == LENIENT else None),
     )
 
 
@@ -186,41 +241,97 @@ def load_json_rows(
     policy: str = STRICT,
     payload: str | None = None,
     mode: str = "overwrite",
+    quarantine_path: str | None = None,
+    fmt: str = "parquet",
+    options: dict[str, str] | None = None,
+    partition_by: Sequence[str] = (),
+    refuse_extra: bool = False,
+    bytes_per_file: int = BYTES_PER_FILE,
 ) -> LoadMetrics:
     """Staged Parquet files to the contract's typed, clustered table.
 
-    Rows hold a JSON object in the column ``payload``, or are the object themselves. A
-    catalog ``table`` is created anew with the contract's limits when overwritten, and
-    filled by column name.
+    Rows hold a JSON object in the column ``payload``, or are the object themselves; then the
+    columns of all files count, and a strict load ends where no file has a contract column. A
+    row whose file lacks it has NULL there, like an object without the key. A catalog
+    ``table`` is created anew with the contract's limits when overwritten, and filled by
+    column name. With ``quarantine_path`` malformed payloads, which a lenient load turns into
+    rows of NULLs, are kept there with file and row number. A load that ends early leaves
+    its targets as they were.
     """
-    staged = spark.read.parquet(*([path] if isinstance(path, str) else path))
-    n_source = len(contract.columns) if payload is not None else len(staged.columns)
-    staged = staged.select("*", *_row_place())
-    if payload is not None:
-        cells = parse_fields(staged, payload, contract, policy, keep=_PLACE)
+    check_policy(policy)
+    staged = read_staged(spark, path)
+    if payload is None:
+        missing = [s for s in contract.sources if s not in staged.columns]
+        extra = [c for c in staged.columns if c not in contract.sources]
+        n_source = len(staged.columns)
     else:
-        cells = column_fields(staged, contract, keep=_PLACE)
-    placed = _clustered_cells(cells, contract, policy, {c.target: c.source for c in contract.columns})
-    written, seen = counted(apply_contract(placed, contract, policy), "typed")
-    if table is not None:
-        _fill_table(written, contract, table, policy, "parquet", mode)
+        missing, extra, n_source = [], [], len(contract.columns)
+    if policy == STRICT and missing:
+        raise ContractViolation(f"contract {contract.name!r}: missing columns {missing}")
+    if refuse_extra and extra:
+        raise ContractViolation(f"contract {contract.name!r}: undeclared columns {extra}")
+    rows = staged.select("*", *_row_place())
+    if payload is not None:
+        cells = parse_fields(rows, payload, contract, policy, keep=_PLACE)
     else:
-        write_table(written, target_path, mode=mode)
+        cells = column_fields(rows, contract, keep=_PLACE)
+    fed_by = {c.target: c.source for c in contract.columns}
+    partitions = range_partitions(spark, input_bytes(spark, path), bytes_per_file)
+    with Replacement(spark) as replaced:
+        n_corrupt = 0
+        if quarantine_path is not None:
+            refused, held = counted(_malformed(spark, path, payload), "refused")
+            refused.write.parquet(replaced.path(quarantine_path))
+            n_corrupt = held.get["n_rows"]
+        placed = _clustered_cells(cells, contract, policy, fed_by, partitions)
+        written, seen = counted(apply_contract(placed, contract, policy), "typed")
+        _fill(replaced, written, contract, policy, target_path, table, fmt, mode, options, partition_by)
     return LoadMetrics(
         n_rows=seen.get["n_rows"],
         n_source_columns=n_source,
         n_columns=len(contract.columns),
-        target=table or target_path,
+        target=table or target_path or fmt,
+        n_corrupt=n_corrupt,
+        missing=tuple(missing),
+        extra=tuple(extra),
+        quarantine_path=quarantine_path,
     )
 
 
-def _fill_table(
-    typed: DataFrame, contract: Contract, table: str, policy: str, fmt: str, mode: str
+def _malformed(spark: SparkSession, path: str | list[str], payload: str | None) -> DataFrame:
+    staged = read_staged(spark, path, lineage=True)
+    if payload is None:
+        return staged.where(F.lit(False)).select("_file", "_row_number")
+    return malformed_rows(staged, payload).select("_file", "_row_number", F.col(quoted(payload)).alias("payload"))
+
+
+def _fill(
+    replaced: Replacement,
+    typed: DataFrame,
+    contract: Contract,
+    policy: str,
+    path: str | None,
+    table: str | None,
+    fmt: str,
+    mode: str,
+    options: dict[str, str] | None,
+    partition_by: Sequence[str],
 ) -> None:
-    """Fill a table by column name; ``overwrite`` creates it anew with its limits and comment."""
+    """Write the typed rows; what they overwrite stays until they are complete.
+
+    A table is created with the contract's limits and comment and filled by column name,
+    unless ``options`` or ``partition_by`` ask for a layout of its own.
+    """
+    plain = table is not None and not options and not partition_by
     if mode == "overwrite":
-        create_table(typed.sparkSession, contract, table, policy, fmt)
-    insert_by_name(typed, table)
+        table = None if table is None else replaced.table(table)
+        path = None if path is None or table is not None else replaced.path(path)
+        if plain:
+            create_table(typed.sparkSession, contract, table, policy, fmt)
+    if plain:
+        insert_by_name(typed, table)
+    else:
+        write_table(typed, path, table, fmt, mode, options, partition_by)
 
 
 _PLACE = ("_place_file", "_place_row")
@@ -235,19 +346,19 @@ def _row_place() -> list:
 
 
 def _clustered_cells(
-    cells: DataFrame, contract: Contract, policy: str, fed_by: dict[str, str | None]
+    cells: DataFrame, contract: Contract, policy: str, fed_by: dict[str, str | None], partitions: int
 ) -> DataFrame:
-    """Text cells in the layout of the typed table.
+    """Cells as they were read, in the layout of the typed table.
 
-    Rows are moved as text and converted afterwards: the pass that finds the ranges
+    Rows are moved as read and converted afterwards: the pass that finds the ranges
     reads only text, and every cell is converted once.
     """
     keys = [
-        cell(F.col(quoted(fed_by[c.target])), c, policy)
+        typed_cell(cells, fed_by[c.target], c, policy)
         for target in contract.cluster_by
         for c in contract.columns
         if c.target == target and fed_by[target] is not None
     ]
     if keys:
-        cells = clustered(cells, keys, spread=list(_PLACE))
+        cells = clustered(cells, keys, spread=list(_PLACE), partitions=partitions)
     return cells.drop(*_PLACE)

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.contract import STRICT, Contract, quoted
 
+#: Parquet input per range of a clustered table; some four times as much in memory.
+BYTES_PER_FILE = 128 << 20
+
 
 def clustered(
     df: DataFrame,
@@ -23,8 +26,11 @@ def clustered(
 
     ``spread`` settles ties in the range split, so that rows sharing one hot key are
     divided between tasks yet stay next to each other. It defaults to a hash of the
-    whole row; give a row number where many rows are full copies. Without
-    ``partitions`` adaptive execution sizes the files.
+    whole row; give a row number where many rows are full copies.
+
+    Each partition is sorted by one task and becomes one file. Give their number from the
+    bytes at hand (:func:`range_partitions`). Without it the session's number of shuffle
+    partitions holds: adaptive execution joins small ones but splits none.
     """
     by = [F.col(quoted(k)) if isinstance(k, str) else k for k in keys]
     ties = list(spread) or [F.xxhash64(*[F.col(quoted(c)) for c in df.columns])]
@@ -35,6 +41,15 @@ def clustered(
     return ranged.sortWithinPartitions(*by)
 
 
+def range_partitions(spark: SparkSession, n_bytes: int, bytes_per_file: int = BYTES_PER_FILE) -> int:
+    """How many ranges give files of about ``bytes_per_file`` of input.
+
+    Small input is spread over the cores at hand, down to a megabyte each.
+    """
+    spread = min(spark.sparkContext.defaultParallelism, -(-n_bytes // min(bytes_per_file, 1 << 20)))
+    return max(1, spread, -(-n_bytes // bytes_per_file))
+
+
 def rebalanced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows brought together by key for a partitioned write.
 
@@ -91,14 +106,17 @@ def create_table(
     columns = ", ".join(f"{quoted(c.target)} {c.sql_type(policy)}" for c in contract.columns)
     statement = f"CREATE TABLE {table} ({columns}) USING {fmt}"
     if location is not None:
-        statement += f" LOCATION '{location}'"
+        statement += f" LOCATION '{_escaped(location)}'"
     if contract.comment is not None:
-        comment = contract.comment.replace("\\", "\\\\").replace("'", "\\'")
-        statement += f" COMMENT '{comment}'"
+        statement += f" COMMENT '{_escaped(contract.comment)}'"
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(statement)
 
 
+def _escaped(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def insert_by_name(df: DataFrame, table: str, overwrite: bool = False) -> None:
     """Insert matching columns by name; text and numbers beyond a column's limit are errors."""
     spark = df.sparkSession

@@ -16,24 +16,51 @@ from pyspark.sql import functions as F
 from ledgerline.contract import LENIENT, STRICT, ColumnSpec, check_policy, quoted
 from ledgerline.errors import ContractViolation
 
-HEADER_SCHEMA = "meta struct<view: struct<columns: array<struct<name: string>>>>"
-ENVELOPE_SCHEMA = f"{HEADER_SCHEMA}, data array<array<string>>"
-MAX_COLUMNS = 2000
+_HEADER = "meta: struct<view: struct<columns: array<struct<name: string>>>>"
+_ROWS, _TEXTS, _VALUES = "data: array<array<string>>", "data: array<string>", "data: array<variant>"
 
 OK, RAGGED, EMPTY, CORRUPT = "ok", "ragged", "empty", "corrupt"
 
 
-def _header(columns: Column, file: Column) -> Column:
-    """Column names in order; an error naming the file when two are equal (case ignored)."""
-    names = F.transform(columns, lambda c: c["name"])
-    folded = F.transform(names, F.lower)
-    message = F.concat(
-        F.lit("duplicate column names in "), F.coalesce(file, F.lit("the document")),
-        F.lit(": "), F.array_join(names, ", "),
+def _read(text: Column, data: str | None) -> Column:
+    """The document alone in ``text``, its data read as given; NULL when that cannot be.
+
+    Readers stop at the end of the first value. The document is therefore read as the first
+    of two entries, the second holding the text's hash: whatever follows the document stands
+    between them.
+    """
+    seal = F.xxhash64(text).cast("string")
+    wrapped = F.concat(F.lit('{"documents": ['), text, F.lit('\n, {"_seal": "'), seal, F.lit('"}]}'))
+    fields = ", ".join([_HEADER, *([] if data is None else [data]), "_seal: string"])
+    schema = f"documents array<struct<{fields}>>, _corrupt_record string"
+    parsed = F.from_json(wrapped, schema, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    return F.struct(parsed.alias("parsed"), seal.alias("seal"))
+
+
+def _alone(read: str) -> Column:
+    documents = F.col(f"{read}.parsed.documents")
+    sealed = (F.size(documents) == 2) & (F.get(documents, F.lit(1))["_seal"] == F.col(f"{read}.seal"))
+    return F.when(F.col(f"{read}.parsed._corrupt_record").isNull() & sealed, F.get(documents, F.lit(0)))
+
+
+def _element(cells: Column, text: Column) -> Column:
+    return F.struct(cells.alias("cells"), text.alias("text"))
+
+
+def row_element(cells: Column) -> Column:
+    """An element of the data that is a row."""
+    return _element(cells, F.lit(None).cast("string"))
+
+
+def mixed_elements(texts: Column, values: Column) -> Column:
+    """Elements of the data of any kind, read as texts and as variants: rows have cells."""
+    return F.zip_with(
+        texts,
+        values,
+        lambda text, value: _element(
+            F.when(F.schema_of_variant(value).startswith("ARRAY"), F.from_json(text, "array<string>")), text
+        ),
     )
-    return F.when(
-        F.size(F.array_distinct(folded)) < F.size(names), F.raise_error(message).cast("array<string>")
-    ).otherwise(names)
 
 
 def read_envelopes(
@@ -44,12 +71,13 @@ def read_envelopes(
     max_file_bytes: int | None = None,
     headers_only: bool = False,
 ) -> DataFrame:
-    """One row per document: ``_file``, ``names``, ``data``, ``_corrupt``.
+    """One row per document: ``_file``, ``names``, ``data``, ``_corrupt``, ``_text``.
 
     A document is a whole file, or a line of it with ``one_per_line`` (files are then
     split between tasks). Under the strict policy an unreadable document ends the query;
-    under the lenient one it gives a row with ``_corrupt`` set. ``max_file_bytes`` skips
-    larger files before they are opened; ``headers_only`` leaves ``data`` out unparsed.
+    under the lenient one it gives a row with ``_corrupt`` set, and with its text where it
+    is a line. ``max_file_bytes`` skips larger files before they are opened;
+    ``headers_only`` leaves ``data`` out unparsed.
 
     Files are read as text, not by Spark's multi-line JSON source: that one goes back to
     the file for every number in a string column, one positioned read per cell.
@@ -60,7 +88,7 @@ def read_envelopes(
     if one_per_line:
         texts = texts.where(F.trim("value") != "")
     texts = texts.select(F.col("_metadata.file_path").alias("_file"), "value")
-    return parse_envelopes(texts, "value", F.col("_file"), policy, headers_only)
+    return parse_envelopes(texts, "value", F.col("_file"), policy, headers_only, keep_text=one_per_line)
 
 
 def parse_envelopes(
@@ -69,21 +97,60 @@ def parse_envelopes(
     file: Column | None = None,
     policy: str = LENIENT,
     headers_only: bool = False,
+    keep_text: bool = True,
 ) -> DataFrame:
-    """As :func:`read_envelopes`, for documents held in a text column."""
-    schema = f"{HEADER_SCHEMA if headers_only else ENVELOPE_SCHEMA}, _corrupt_record string"
-    options = {"columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = df.select(
+    """As :func:`read_envelopes`, for documents held in a text column.
+
+    A document is unreadable when its text is not one JSON value with nothing behind it, when
+    it has no list of column names or its data is no list, or when a name is absent or equal
+    to another (case ignored). An element of the data that is no row makes only itself ragged.
+    """
+    strict = check_policy(policy) == STRICT
+    value = F.col("_value")
+    read = df.select(
         (F.lit(None).cast("string") if file is None else file).alias("_file"),
-        F.from_json(F.col(quoted(text)), schema, options).alias("_document"),
-    ).select("_file", "_document.*")
-    names = _header(F.col("meta.view.columns"), F.col("_file"))
-    corrupt = F.col("_corrupt_record").isNotNull() | F.col("meta.view.columns").isNull()
-    if check_policy(policy) == STRICT:
-        message = F.concat(F.lit("unreadable document "), F.coalesce("_file", F.lit("")))
-        names = F.when(corrupt, F.raise_error(message).cast("array<string>")).otherwise(names)
-    data = [] if headers_only else ["data"]
-    return parsed.select("_file", names.alias("names"), *data, corrupt.alias("_corrupt"))
+        F.col(quoted(text)).alias("_value"),
+    ).withColumn("_first", _read(value, None if headers_only else _ROWS))
+    document = _alone("_first")
+    if headers_only:
+        parsed = read.select("_file", "_value", document["meta"].alias("meta"))
+    else:
+        # Documents whose data holds other elements than rows are read again, element by element.
+        odd = F.col("_first.parsed._corrupt_record").isNotNull()
+        read = read.withColumns(
+            {"_second": F.when(odd, _read(value, _TEXTS)), "_third": F.when(odd, _read(value, _VALUES))}
+        )
+        parsed = read.select(
+            "_file",
+            "_value",
+            F.coalesce(document["meta"], _alone("_second")["meta"]).alias("meta"),
+            F.coalesce(
+                F.transform(document["data"], row_element),
+                mixed_elements(_alone("_second")["data"], _alone("_third")["data"]),
+            ).alias("data"),
+        )
+    names = F.transform(F.col("meta.view.columns"), lambda c: c["name"])
+    nameless = F.exists(names, lambda n: n.isNull())
+    twice = F.size(F.array_distinct(F.transform(names, F.lower))) < F.size(names)
+    where = F.concat(F.lit(" in "), F.coalesce("_file", F.lit("the document")))
+    if strict:
+        names = (
+            F.when(names.isNull(), _failing("unreadable document", where))
+            .when(nameless, _failing("nameless column", where))
+            .when(twice, _failing("duplicate column names", where, F.lit(": "), F.array_join(names, ", ")))
+            .otherwise(names)
+        )
+    else:
+        names = F.when(~(nameless | twice), names)
+    found = parsed.withColumn("names", names)
+    corrupt = F.col("names").isNull()
+    data = [] if headers_only else [F.when(~corrupt, F.col("data")).alias("data")]
+    kept = F.when(corrupt, F.col("_value")) if keep_text else F.lit(None).cast("string")
+    return found.select("_file", "names", *data, corrupt.alias("_corrupt"), kept.alias("_text"))
+
+
+def _failing(what: str, *more: Column) -> Column:
+    return F.raise_error(F.concat(F.lit(what), *more)).cast("array<string>")
 
 
 def envelope_columns(documents: DataFrame) -> DataFrame:
@@ -96,8 +163,8 @@ def locate(
 ) -> DataFrame:
     """Documents with ``_at``, ``_others`` and ``_width``, worked out once per document.
 
-    ``_width`` is the number of cells the header asks for; ``_at`` holds, for each of ``names``, its place in the document's rows (NULL when the
-    document lacks it); ``_others`` the document's names not among them (NULL when none).
+    ``_width`` is the number of cells the header asks for; ``_at`` holds, for each of
+    ``names``, its place in the document's rows (NULL when the document lacks it); ``_others`` the document's names not among them (NULL when none).
     A document that provides none of the two names of a ``required`` column ends the query.
     """
     listed = F.array(*[F.lit(n) for n in names]).cast("array<string>")
@@ -135,49 +202,55 @@ def envelope_rows(
 ) -> DataFrame:
     """One row per data row, its cells ready to be taken by :func:`to_raw` for ``names``.
 
-    Columns ``_file``, ``_pos``, ``_row``, ``_status`` and those of :func:`locate`. A
-    document without rows still gives one line (``empty`` or ``corrupt``, no ``_pos``),
-    so the counts of a load account for every document.
+    Columns ``_file``, ``_pos``, ``_row``, ``_status`` and those of :func:`locate`. ``_pos`` is
+    the element's place in the data, from 0. An element that is no row is ragged and has its
+    JSON text as its only cell. A document without rows still gives one line (``empty`` or
+    ``corrupt``, no ``_pos``; the text of an unreadable line as its only cell), so the counts
+    of a load account for every document.
     """
     exploded = locate(documents, names, required).select(
         "_file",
         "_corrupt",
+        "_text",
         "_width",
         "_at",
         "_others",
-        F.posexplode_outer("data").alias("_pos", "_row"),
+        F.posexplode_outer("data").alias("_pos", "_element"),
     )
     return exploded.select(
         "_file",
         F.col("_pos").cast("bigint").alias("_pos"),
-        "_row",
-        _status().alias("_status"),
+        row_cells(F.col("_text")).alias("_row"),
+        F.when(F.col("_corrupt"), CORRUPT)
+        .when(F.col("_pos").isNull(), EMPTY)
+        .otherwise(row_status())
+        .alias("_status"),
         "_width",
         "_at",
         "_others",
     )
 
 
-def _status() -> Column:
-    return (
-        F.when(F.col("_corrupt"), CORRUPT)
-        .when(F.col("_pos").isNull(), EMPTY)
-        .when(F.col("_row").isNull() | (F.size("_row") != F.col("_width")), RAGGED)
-        .otherwise(OK)
-    )
+def row_cells(text: Column | None = None) -> Column:
+    """The cells of ``_element``, else the text standing in for them as one cell."""
+    texts = [F.col("_element.text"), *([] if text is None else [text])]
+    held = F.coalesce(*texts)
+    return F.coalesce(F.col("_element.cells"), F.when(held.isNotNull(), F.array(held)))
 
 
-def header_names(documents: DataFrame) -> list[str]:
-    """The distinct column names of all documents, in order of first position.
+def row_status() -> Column:
+    """Whether ``_element`` is a row of the width its header asks for."""
+    cells = F.col("_element.cells")
+    return F.when(cells.isNull() | (F.size(cells) != F.col("_width")), RAGGED).otherwise(OK)
 
-    Names only: at most a few thousand short strings, and an error beyond that.
-    """
+
+def header_names(documents: DataFrame) -> list[str]:
+    """The distinct column names of all documents, in order of first position."""
     found = (
         envelope_columns(documents)
         .groupBy("name")
         .agg(F.min("position").alias("position"))
         .orderBy("position", "name")
-        .limit(MAX_COLUMNS + 1)
         .collect()
     )
     return check_names([r["name"] for r in found])
@@ -190,9 +263,7 @@ def first_header(documents: DataFrame) -> list[str]:
 
 
 def check_names(names: Sequence[str]) -> list[str]:
-    """The names as a list, refused when too many or equal but for case."""
-    if len(names) > MAX_COLUMNS:
-        raise ContractViolation(f"more than {MAX_COLUMNS} distinct column names")
+    """The names as a list, refused when equal but for case."""
     folded: dict[str, str] = {}
     for name in names:
         other = folded.setdefault(name.lower(), name)
@@ -234,5 +305,6 @@ def quarantined_rows(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("_status").isin(RAGGED, CORRUPT)).select(
         "_file", "_pos", F.col("_status").alias("reason"),
         F.when(F.col("_width") >= 0, F.col("_width")).alias("n_names"),
-        F.when(F.col("_row").isNotNull(), F.size("_row")).alias("n_cells"), "_row",
+        F.when((F.col("_status") == RAGGED) & F.col("_row").isNotNull(), F.size("_row")).alias("n_cells"),
+        "_row",
     )

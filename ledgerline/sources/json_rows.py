@@ -80,6 +80,27 @@ def malformed_rows(df: DataFrame, payload: str) -> DataFrame:
     return df.where(text.isNotNull() & (F.trim(text) != "") & bad)
 
 
+def key_drift(df: DataFrame, payload: str, contract: Contract) -> DataFrame:
+    """Undeclared and absent keys of the objects: ``column``, ``status``, ``n_rows``.
+
+    ``extra``: rows holding a key the contract does not name; ``missing``: rows of an object
+    without a key it names. A repeated key counts once. Rows that are no object are left out.
+    """
+    keys = df.select(F.array_distinct(F.json_object_keys(F.col(quoted(payload)))).alias("keys"))
+    objects = keys.where(F.col("keys").isNotNull())
+    wanted = F.array(*[F.lit(s) for s in contract.sources])
+    entries = F.concat(
+        F.transform(F.array_except("keys", wanted), lambda k: _drift(k, "extra")),
+        F.transform(F.array_except(wanted, "keys"), lambda k: _drift(k, "missing")),
+    )
+    drifted = objects.select(F.inline(entries))
+    return drifted.groupBy("column", "status").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _drift(key: Column, status: str) -> Column:
+    return F.struct(key.alias("column"), F.lit(status).alias("status"))
+
+
 def extract(
     df: DataFrame, payload: str, contract: Contract, policy: str = LENIENT, keep: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -94,12 +115,12 @@ def extract(
 def column_fields(df: DataFrame, contract: Contract, keep: tuple[str, ...] = ()) -> DataFrame:
     """As :func:`parse_fields`, for rows that are themselves the object: fields are columns.
 
-    A field the rows lack is NULL, as for a missing key.
+    Numeric columns keep their type. A field the rows lack is NULL, as for a missing key.
     """
     present = set(df.columns)
     return df.select(
         *[
-            (F.col(quoted(s)) if s in present else F.lit(None)).cast("string").alias(s)
+            (F.col(quoted(s)) if s in present else F.lit(None).cast("string")).alias(s)
             for s in contract.sources
         ],
         *[F.col(quoted(k)) for k in keep],

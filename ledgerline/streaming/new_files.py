@@ -11,11 +11,14 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.contract import LENIENT, Contract, check_policy
-from ledgerline.operators.mapping import apply_contract
+from ledgerline.contract import LENIENT, STRICT, Contract, check_policy
+from ledgerline.errors import ContractViolation
+from ledgerline.operators.mapping import apply_contract, missing_columns
 from ledgerline.plans.loads import load_envelopes
+from ledgerline.sources.files import read_staged
 from ledgerline.sources.json_rows import extract
 from ledgerline.sources.long_documents import LONG_FILE_BYTES
 
@@ -44,10 +47,12 @@ def load_new_files(
 ) -> StreamingQuery:
     """Append the typed rows of new Parquet files under ``path``; returns when all are in.
 
-    Rows are all-string raw rows, or hold a JSON object in the column ``payload``.
+    Rows are raw rows, or hold a JSON object in the column ``payload``. The contract's columns
+    are read from every file that has them, also from files that come later; a strict load
+    ends where no file present has one.
     """
     check_policy(policy)
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    reader = spark.readStream.schema(_incoming_schema(spark, path, contract, policy, payload))
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     incoming = reader.parquet(path)
@@ -58,6 +63,21 @@ def load_new_files(
     return _run(typed, target_path, checkpoint, partition_by)
 
 
+def _incoming_schema(
+    spark: SparkSession, path: str, contract: Contract, policy: str, payload: str | None
+) -> T.StructType:
+    """The columns a load needs, typed as the files present have them, else as text."""
+    if payload is not None:
+        return T.StructType().add(payload, "string")
+    found = read_staged(spark, path).schema
+    absent = missing_columns(contract, found.names)
+    if absent and policy == STRICT:
+        raise ContractViolation(f"contract {contract.name!r}: missing columns {absent}")
+    needed = {*contract.sources, *contract.targets}
+    fields = [f for f in found.fields if f.name in needed]
+    return T.StructType(fields + [T.StructField(name, T.StringType()) for name in absent])
+
+
 def load_new_documents(
     spark: SparkSession,
     path: str,
@@ -74,7 +94,8 @@ def load_new_documents(
 
     The stream carries the names of the new files. Every batch of them is one load, into
     folders of its own (``load=<batch>``) under the raw, typed and quarantine paths; a
-    batch that is repeated replaces its folders.
+    batch that is repeated replaces its folders. Raw folders differ in their columns where
+    documents do: :func:`~ledgerline.sources.files.read_staged` reads them with all.
     """
     check_policy(policy)
 

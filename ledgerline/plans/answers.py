@@ -47,6 +47,12 @@ def _vehicles(whole: str, dirty: bool) -> str:
     )
 
 
+_STRICT_VEHICLES = f"""
+SELECT {_vehicles('BIGINT', False)},
+       -((122 * 100 + 10 + o_custkey % 90) / 100.0)::DOUBLE AS "LON",
+       ((47 * 100 + 10 + o_custkey % 80) / 100.0)::DOUBLE AS "LAT"
+FROM orders"""
+
 _EVENTS_TEXT = """
 SELECT event_id::VARCHAR AS event_id, ts::VARCHAR AS ts, user_id::VARCHAR AS user_id,
        event_type, value::VARCHAR AS value, props FROM events"""
@@ -90,6 +96,13 @@ SELECT o_orderkey, 'ragged' AS reason, 3::INT AS n_names,
        CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 4 END::INT AS n_cells
 FROM orders WHERE o_orderstatus = 'P' OR o_orderpriority = '1-URGENT'""",
     "long_documents": _ORDERS_TEXT,
+    "mixed_documents": _ORDERS_TEXT,
+    "document_tail": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'ok' ELSE 'corrupt' END AS status,
+       CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END AS o_custkey FROM orders""",
+    "refused_rows": """
+SELECT o_orderkey::VARCHAR AS o_orderkey,
+       CASE WHEN o_orderstatus = 'P' THEN 'ragged' ELSE 'loaded' END AS place FROM orders""",
     "map_rename_select": """
 SELECT l_orderkey::VARCHAR AS "ORDER_KEY", l_linenumber::VARCHAR AS "LINE",
        NULL::VARCHAR AS "SHIP_MODE", l_returnflag AS "RETURN_FLAG" FROM lineitem""",
@@ -107,7 +120,9 @@ SELECT l_orderkey, l_linenumber, (l_quantity + 0.5)::DECIMAL(38,0) AS quantity F
 SELECT event_id, date_trunc('second', ts)::TIMESTAMP AS lenient_ts,
        date_trunc('second', ts)::TIMESTAMP AS strict_ts, NULL::TIMESTAMP AS milliseconds
 FROM events""",
-    "point_parse": "SELECT s_suppkey, s_acctbal AS lon, 47.6::DOUBLE AS lat FROM supplier",
+    "point_parse": """
+SELECT s_suppkey, CASE WHEN s_acctbal / 50 BETWEEN -180 AND 180 THEN s_acctbal / 50 END AS lon,
+       CASE WHEN s_acctbal / 50 BETWEEN -180 AND 180 THEN 47.6::DOUBLE END AS lat FROM supplier""",
     "json_extract_strict": """
 SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events""",
     "json_extract_lenient": """
@@ -116,6 +131,14 @@ SELECT event_id,
 FROM events""",
     "json_malformed": """
 SELECT event_id, left(props, length(props) - 1) AS props FROM events WHERE event_id % 10 = 0""",
+    "json_tail": """
+SELECT event_id, CASE WHEN event_id % 10 IN (0, 1) THEN 'malformed'
+                      ELSE json_extract_string(props, '$.k') END AS found
+FROM events WHERE event_id % 10 IN (0, 1) OR json_extract_string(props, '$.k') IS NOT NULL""",
+    "key_drift": """
+SELECT key AS "column", 'extra' AS status, count(DISTINCT event_id) AS n_rows
+FROM (SELECT event_id, unnest(json_keys(props)) AS key FROM events) GROUP BY key
+UNION ALL SELECT 'absent', 'missing', count(*) FROM events HAVING count(*) > 0""",
     "row_as_variant": """
 SELECT p_partkey, p_name, p_retailprice, NULL::VARCHAR AS p_absent FROM part""",
     "inspect_files": "SELECT count(*) AS n, 1::BIGINT AS lo, count(*) AS hi FROM orders",
@@ -124,6 +147,22 @@ SELECT p_partkey, p_name, p_retailprice, NULL::VARCHAR AS p_absent FROM part""",
 SELECT row_number() OVER (ORDER BY o_orderkey) AS _row_number, * FROM orders
 ORDER BY o_orderkey LIMIT 5""",
     "load_by_name": _ORDERS_TYPED,
+    "table_count": "SELECT count(*) AS n FROM orders",
+    "table_comment": """
+SELECT * FROM (VALUES ('STATUS', 'varchar(1)'), ('PRIORITY', 'varchar(20)'),
+  ('TOTAL_PRICE', 'decimal(14,2)'), ('Comment', 'Orders')) AS t(col_name, data_type)""",
+    "load_by_json_contract": _ORDERS_TYPED,
+    "load_staged_drift": """
+SELECT o_orderkey::VARCHAR AS "ORDER_KEY", o_custkey::VARCHAR AS "CUSTOMER_KEY",
+       o_orderstatus AS "STATUS", o_totalprice::DECIMAL(14,2) AS "TOTAL_PRICE",
+       CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS "PRIORITY" FROM orders""",
+    "load_double_columns": """
+SELECT o_orderkey::VARCHAR AS "ORDER_KEY", o_orderdate::TIMESTAMP AS "ORDERED_AT",
+       o_totalprice::DECIMAL(14,2) AS "TOTAL_PRICE", (o_custkey + 20000000)::INT AS "LARGE" FROM orders""",
+    "load_partitioned_rows": """
+SELECT o_orderkey::VARCHAR AS "ORDER_KEY",
+       CASE WHEN o_orderkey % 7 = 0 THEN 'refused' ELSE o_orderstatus END AS "STATUS",
+       CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice::DECIMAL(14,2) END AS "TOTAL_PRICE" FROM orders""",
     "clustered_write": "SELECT * FROM customer",
     "partitioned_write": "SELECT * FROM orders",
     "run_metrics": "SELECT count(*) AS n_rows, 6::BIGINT AS n_columns FROM orders",
@@ -153,15 +192,18 @@ WHERE rn = 1""",
     "new_or_modified": """
 SELECT *, CASE WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN 'new' ELSE 'modified' END AS change
 FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01' OR o_orderstatus = 'P'""",
-    "merge_latest": "SELECT * FROM orders",
+    "merge_latest": """
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN held THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN held AND o_orderkey % 5 = 0 THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END::TIMESTAMP
+         AS o_orderdate, o_orderpriority
+FROM (SELECT *, o_orderkey % 2 = 0 AND (o_orderkey % 3 = 0 OR o_orderkey % 5 = 0) AS held FROM orders)
+WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 <> 0""",
     "load_new_rows": _ORDERS_TYPED,
     "load_new_envelopes": _ORDERS_TYPED,
     "load_vehicle_envelopes": f"SELECT {_vehicles('INT', True)} FROM orders",
-    "load_vehicle_json_rows": f"""
-SELECT {_vehicles('BIGINT', False)},
-       -((122 * 100 + 10 + o_custkey % 90) / 100.0)::DOUBLE AS "LON",
-       ((47 * 100 + 10 + o_custkey % 80) / 100.0)::DOUBLE AS "LAT"
-FROM orders""",
+    "load_vehicle_json_rows": _STRICT_VEHICLES,
+    "load_vehicle_raw_rows": _STRICT_VEHICLES,
     "avg_range_by_make": f"""
 SELECT "MAKE", round(avg("ELECTRIC_RANGE"), 6) AS avg_range FROM (SELECT {_vehicles('INT', True)} FROM orders)
 WHERE "ELECTRIC_RANGE" > 0 GROUP BY "MAKE" ORDER BY avg_range DESC""",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.contract import LENIENT, STRICT, ColumnSpec, Contract
+from ledgerline.contract import LENIENT, STRICT, ColumnSpec, Contract, load_contract
 from ledgerline.contracts import VEHICLES
 from ledgerline.functions import (
     lenient_decimal,
@@ -31,13 +31,14 @@ from ledgerline.plans.derived import (
     seconds_of,
     write_documents,
 )
-from ledgerline.plans.loads import load_envelopes, load_json_rows
+from ledgerline.plans.loads import envelopes_to_raw, load_envelopes, load_json_rows, refused_beside
 from ledgerline.scratch import scratch_path
 from ledgerline.sinks.tables import (
     clustered,
     counted,
     create_table,
     insert_by_name,
+    range_partitions,
     rebalanced,
     write_raw,
     write_table,
@@ -173,6 +174,55 @@ def long_documents(spark, sf_dir):
     return envelope.to_raw(cut.rows(orders.columns), orders.columns)
 
 
+@registered
+def document_tail(spark, sf_dir):
+    """A document per order; one in three is followed by text, one by a second document."""
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    row = F.array(*[F.col(c).cast("string") for c in columns])
+    header = F.struct(F.struct(F.array(*[F.struct(F.lit(c).alias("name")) for c in columns]).alias("columns")).alias("view"))
+    one = F.to_json(F.struct(header.alias("meta"), F.array(row).alias("data")))
+    form = F.col("o_orderkey") % 3
+    texts = given(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.concat(one, F.when(form == 1, " garbage [").when(form == 2, one).otherwise("\n")).alias("value"),
+    )
+    found = envelope.parse_envelopes(texts, "value", F.col("o_orderkey").cast("string"))
+    rows = envelope.envelope_rows(found, columns)
+    return rows.select(
+        F.col("_file").cast("bigint").alias("o_orderkey"),
+        F.col("_status").alias("status"),
+        F.when(F.col("_status") == "ok", F.col("_row")[1]).cast("bigint").alias("o_custkey"),
+    )
+
+
+@registered
+def mixed_documents(spark, sf_dir):
+    """Order documents of very different sizes; the larger ones are cut between tasks."""
+    orders = given(spark, sf_dir, "orders")
+    base = scratch_path(spark, "mixed")
+    few = F.col("o_orderkey") % 10 == 0
+    write_documents(documents(orders.where(few).coalesce(1), alternate=True), f"{base}/in/few")
+    write_documents(documents(orders.where(~few).coalesce(1), alternate=True), f"{base}/in/many")
+    envelopes_to_raw(spark, f"{base}/in/*", f"{base}/raw", long_file_bytes=200_000)
+    return spark.read.parquet(f"{base}/raw")
+
+
+@registered
+def refused_rows(spark, sf_dir):
+    """Every order is in the raw copy or among the refused rows of the same load."""
+    key, customer = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    cells = F.when(F.col("o_orderstatus") == "P", F.array(key)).otherwise(F.array(key, customer))
+    texts = documents(given(spark, sf_dir, "orders"), ["o_orderkey", "o_custkey"], cells=cells)
+    base = scratch_path(spark, "refused")
+    write_documents(texts, f"{base}/in")
+    envelopes_to_raw(spark, f"{base}/in", f"{base}/raw")
+    loaded = spark.read.parquet(f"{base}/raw").select("o_orderkey", F.lit("loaded").alias("place"))
+    refused = spark.read.parquet(refused_beside(f"{base}/raw"))
+    return loaded.unionByName(
+        refused.select(F.col("_row")[0].alias("o_orderkey"), F.col("reason").alias("place"))
+    )
+
+
 # Mapping and conversions
 
 
@@ -234,7 +284,9 @@ def epoch_to_timestamp(spark, sf_dir):
 
 @registered
 def point_parse(spark, sf_dir):
-    text = F.concat(F.lit("POINT ("), F.col("s_acctbal").cast("string"), F.lit(" 47.6)"))
+    """Account balances as longitudes: those beyond 180 degrees are no points."""
+    longitude = (F.col("s_acctbal") / 50).cast("string")
+    text = F.concat(F.lit("POINT ("), longitude, F.lit(" 47.6)"))
     return given(spark, sf_dir, "supplier").select("s_suppkey", point(text).alias("p")).select(
         "s_suppkey", F.col("p.lon").alias("lon"), F.col("p.lat").alias("lat")
     )
@@ -271,6 +323,26 @@ def json_malformed(spark, sf_dir):
     return json_rows.malformed_rows(broken, "props").select("event_id", "props")
 
 
+@registered
+def json_tail(spark, sf_dir):
+    """Payloads followed by text or by a second object: malformed, and NULL in a lenient load."""
+    form = F.col("event_id") % 10
+    tailed = given(spark, sf_dir, "events").withColumn(
+        "props", F.concat("props", F.when(form == 0, " junk").when(form == 1, F.col("props")).otherwise(" "))
+    )
+    bad = json_rows.malformed_rows(tailed, "props").select("event_id", F.lit("malformed").alias("found"))
+    loaded = json_rows.extract(tailed, "props", _PROPS, LENIENT, keep=("event_id",))
+    values = loaded.where("K is not null").select("event_id", F.col("K").cast("string").alias("found"))
+    return bad.unionByName(values)
+
+
+@registered
+def key_drift(spark, sf_dir):
+    """Keys the objects hold beside, or lack of, those declared."""
+    contract = Contract("props", (ColumnSpec("absent", "ABSENT"),))
+    return json_rows.key_drift(given(spark, sf_dir, "events"), "props", contract)
+
+
 @registered
 def row_as_variant(spark, sf_dir):
     v = json_rows.row_as_variant(given(spark, sf_dir, "part"))
@@ -301,21 +373,118 @@ def load_by_name(spark, sf_dir):
     raw = as_text(given(spark, sf_dir, "orders"))
     typed = apply_contract(raw, ORDERS, STRICT)
     turned = typed.select(*reversed(typed.columns))
-    place = scratch_path(spark, "orders-table")
-    table = "ledgerline_" + place.rsplit("-", 1)[1]
-    create_table(spark, ORDERS, table, STRICT, location=place)
+    table = _new_table(spark)
+    create_table(spark, ORDERS, table, STRICT)
     insert_by_name(turned, table)
-    # The files outlive the catalog entry, which would otherwise stay behind.
-    loaded = spark.table(table)
-    schema = loaded.schema
-    spark.sql(f"DROP TABLE {table}")
-    return spark.read.schema(schema).parquet(place)
+    return spark.table(table)
+
+
+def _new_table(spark):
+    return "ledgerline_" + scratch_path(spark, "table").rsplit("-", 1)[1]
+
+
+def _staged_orders(spark, sf_dir):
+    """Orders as text in Parquet files."""
+    path = scratch_path(spark, "staged-orders")
+    as_text(given(spark, sf_dir, "orders")).drop("o_orderdate").write.parquet(path)
+    return path
+
+
+@registered
+def table_count(spark, sf_dir):
+    """Rows of a catalog table that a load created, loaded twice over."""
+    table = _new_table(spark)
+    for _ in range(2):
+        load_json_rows(spark, _staged_orders(spark, sf_dir), ORDERS, table=table)
+    return summaries.row_count(spark.table(table))
+
+
+@registered
+def table_comment(spark, sf_dir):
+    """The comment and the declared limits of a loaded table."""
+    table = _new_table(spark)
+    load_json_rows(spark, _staged_orders(spark, sf_dir), ORDERS, table=table)
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    return described.where(F.col("col_name").isin("STATUS", "PRIORITY", "TOTAL_PRICE", "Comment")).select(
+        "col_name", "data_type"
+    )
+
+
+@registered
+def load_by_json_contract(spark, sf_dir):
+    """A load whose contract is itself read from a document."""
+    path = scratch_path(spark, "contract")
+    spark.range(1).select(F.lit(ORDERS.to_json())).write.text(path)
+    target = scratch_path(spark, "by-contract")
+    load_json_rows(spark, _staged_orders(spark, sf_dir), load_contract(spark, path), target)
+    return spark.read.parquet(target)
+
+
+@registered
+def load_staged_drift(spark, sf_dir):
+    """Two staged files with different columns: a row has NULL where its file lacks one."""
+    raw = as_text(given(spark, sf_dir, "orders")).drop("o_orderdate")
+    base = scratch_path(spark, "drift")
+    older = F.col("o_orderstatus") == "F"
+    raw.where(older).drop("o_orderpriority").write.parquet(f"{base}/staged")
+    raw.where(~older).write.mode("append").parquet(f"{base}/staged")
+    load_json_rows(spark, f"{base}/staged", ORDERS, f"{base}/typed")
+    return spark.read.parquet(f"{base}/typed")
+
+
+_MEASURES = Contract(
+    "measures",
+    (
+        ColumnSpec("o_orderkey", "ORDER_KEY"),
+        ColumnSpec("seconds", "ORDERED_AT", "epoch"),
+        ColumnSpec("o_totalprice", "TOTAL_PRICE", "decimal", precision=14, scale=2),
+        ColumnSpec("large", "LARGE", "int", precision=9),
+    ),
+)
+
+
+@registered
+def load_double_columns(spark, sf_dir):
+    """Epochs, prices and counts held as doubles, by type and not through their text."""
+    orders = given(spark, sf_dir, "orders")
+    base = scratch_path(spark, "doubles")
+    orders.select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        seconds_of(F.col("o_orderdate")).cast("double").alias("seconds"),
+        F.col("o_totalprice").cast("double").alias("o_totalprice"),
+        ((F.col("o_custkey") + 20000000).cast("double") + 0.75).alias("large"),
+    ).write.parquet(f"{base}/staged")
+    load_json_rows(spark, f"{base}/staged", _MEASURES, f"{base}/typed", policy=LENIENT)
+    return spark.read.parquet(f"{base}/typed")
+
+
+@registered
+def load_partitioned_rows(spark, sf_dir):
+    """JSON rows into a folder per status; malformed ones are kept apart and counted."""
+    base = scratch_path(spark, "partitioned-rows")
+    orders = as_text(given(spark, sf_dir, "orders"))
+    payload = F.to_json(F.struct(*[c for c in orders.columns if c != "o_orderdate"]))
+    broken = F.col("o_orderkey").cast("bigint") % 7 == 0
+    orders.select(F.when(broken, F.concat(payload, F.lit("}"))).otherwise(payload).alias("j")).write.parquet(
+        f"{base}/staged"
+    )
+    load_json_rows(
+        spark, f"{base}/staged", ORDERS, f"{base}/typed", policy=LENIENT, payload="j",
+        quarantine_path=f"{base}/refused", partition_by=["STATUS"],
+    )
+    typed = spark.read.parquet(f"{base}/typed").where("ORDER_KEY is not null")
+    refused = spark.read.parquet(f"{base}/refused")
+    key = F.regexp_extract("payload", r'"o_orderkey":"(\d+)"', 1)
+    return typed.select("ORDER_KEY", "STATUS", "TOTAL_PRICE").unionByName(
+        refused.select(key.alias("ORDER_KEY"), F.lit("refused").alias("STATUS")), allowMissingColumns=True
+    )
 
 
 @registered
 def clustered_write(spark, sf_dir):
     path = scratch_path(spark, "clustered")
-    rows = clustered(given(spark, sf_dir, "customer"), ["c_mktsegment", "c_nationkey"])
+    n = range_partitions(spark, files.input_bytes(spark, f"{sf_dir}/customer.parquet"))
+    rows = clustered(given(spark, sf_dir, "customer"), ["c_mktsegment", "c_nationkey"], partitions=n)
     write_table(rows, path)
     return spark.read.parquet(path)
 
@@ -414,11 +583,19 @@ def new_or_modified(spark, sf_dir):
 
 @registered
 def merge_latest(spark, sf_dir):
-    """The older snapshot brought up to date by all orders."""
+    """Even orders, some changed later, brought up to date by orders not divisible by three."""
     orders = given(spark, sf_dir, "orders")
-    return incremental.merge_latest(
-        _older_orders(spark, sf_dir), orders, ["o_orderkey"], ["o_orderdate"]
+    later = F.when(F.col("o_orderkey") % 5 == 0, F.col("o_orderdate") + F.expr("INTERVAL '1' DAY"))
+    snapshot = orders.where("o_orderkey % 2 = 0").withColumns(
+        {
+            "o_totalprice": F.col("o_totalprice") + 1,
+            "o_orderdate": F.coalesce(later, F.col("o_orderdate")).cast("timestamp_ntz"),
+        }
+    )
+    incoming = orders.where("o_orderkey % 3 <> 0").withColumn(
+        "o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")
     )
+    return incremental.merge_latest(snapshot, incoming, ["o_orderkey"], ["o_orderdate"])
 
 
 @registered
@@ -468,7 +645,21 @@ def load_vehicle_json_rows(spark, sf_dir):
     payloads = registrations(spark, sf_dir).select(F.to_json(F.struct("*")).alias("payload"))
     payloads.write.option("maxRecordsPerFile", ROWS_PER_DOCUMENT).parquet(f"{base}/staged")
     load_json_rows(spark, f"{base}/staged", VEHICLES, f"{base}/typed", payload="payload")
-    typed = spark.read.parquet(f"{base}/typed")
+    return _plain_vehicles(spark.read.parquet(f"{base}/typed"))
+
+
+@registered
+def load_vehicle_raw_rows(spark, sf_dir):
+    """The raw copy of the documents into the strict table: each row is the object itself."""
+    base = scratch_path(spark, "vehicle-raw")
+    write_documents(documents(registrations(spark, sf_dir), alternate=True), f"{base}/in")
+    envelopes_to_raw(spark, f"{base}/in", f"{base}/raw")
+    load_json_rows(spark, f"{base}/raw", VEHICLES, f"{base}/typed")
+    return _plain_vehicles(spark.read.parquet(f"{base}/typed"))
+
+
+def _plain_vehicles(typed):
+    """Strict rows with their point and whole numbers as plain columns."""
     location = F.col("VEHICLE_LOCATION")
     return typed.withColumns(
         {

@@ -89,6 +89,124 @@ def test_strict_envelopes_refuse_one_drifted_document(spark, tmp_path):
     assert metrics.n_rows == 1
 
 
+def tree(folder):
+    return {p.relative_to(folder).as_posix(): p.read_bytes() for p in folder.rglob("*.parquet")}
+
+
+def test_failing_loads_leave_everything_as_it_was(spark, tmp_path):
+    """Raw copy, quarantine, folder and table; nothing half written stays behind."""
+    (tmp_path / "good.json").write_text(document(SMALL.sources, [[1, 2020, "WA", 0], [2]]))
+    (tmp_path / "cell.json").write_text(document(SMALL.sources, [[1, "n/a", "WA", 0]]))
+    (tmp_path / "row.json").write_text(document(SMALL.sources, [[1, 2020, "WA", 0], [1]]))
+    out = tmp_path / "out"
+    run = dict(raw_path=str(out / "raw"), target_path=str(out / "typed"))
+    load_envelopes(spark, str(tmp_path / "good.json"), SMALL, **run)
+    before = tree(out)
+    assert {k.split("/")[0] for k in before} == {"raw", "raw-refused", "typed"}
+    load_envelopes(spark, str(tmp_path / "good.json"), SMALL, str(tmp_path / "r"), table="kept_small")
+    for name in ("cell", "row"):
+        for target in (run, {"raw_path": run["raw_path"], "table": "kept_small"}):
+            with pytest.raises(Exception, match="MODEL_YEAR: not a number|does not match its header"):
+                load_envelopes(spark, str(tmp_path / f"{name}.json"), SMALL, policy=STRICT, **target)
+    with pytest.raises(ContractViolation, match="undeclared"):
+        (tmp_path / "more.json").write_text(document([*SMALL.sources, "new"], [[1, 2020, "WA", 0, 0]]))
+        load_envelopes(spark, str(tmp_path / "more.json"), SMALL, refuse_extra=True, **run)
+    spark.createDataFrame([('{"id": 1, "State": "WAX"}',)], "j string").write.parquet(str(tmp_path / "rows"))
+    for target in ({"target_path": run["target_path"]}, {"table": "kept_small"}):
+        with pytest.raises(Exception, match="STATE: longer than 2"):
+            load_json_rows(spark, str(tmp_path / "rows"), SMALL, payload="j", **target)
+    assert tree(out) == before and len(list(out.iterdir())) == 3
+    assert spark.table("kept_small").count() == 1
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("kept_small")] == ["kept_small"]
+
+
+def test_refused_rows_are_those_of_the_last_load(spark, tmp_path):
+    (tmp_path / "bad.json").write_text(document(["id"], [[1], [2, 3]]))
+    (tmp_path / "good.json").write_text(document(["id"], [[1]]))
+    for given, place in ((str(tmp_path / "q"), "q"), (None, "raw-refused")):
+        for name, n in (("bad", 1), ("good", 0)):
+            metrics = load_envelopes(
+                spark, str(tmp_path / f"{name}.json"), SMALL, str(tmp_path / "raw"), str(tmp_path / "typed"),
+                quarantine_path=given,
+            )
+            assert metrics.quarantine_path == str(tmp_path / place)
+            assert metrics.n_ragged == n == spark.read.parquet(metrics.quarantine_path).count()
+
+
+def test_number_of_files_follows_the_bytes(spark, tmp_path):
+    """Ten times the input gives about ten times the files, whatever the session says."""
+    names = SMALL.sources
+    files = {}
+    for n in (2000, 20000):
+        rows = [[i, 2000 + i % 20, "W" + chr(65 + i % 20), i] for i in range(n)]
+        (tmp_path / f"{n}.json").write_text(document(names, rows))
+        metrics = load_envelopes(
+            spark, str(tmp_path / f"{n}.json"), SMALL, str(tmp_path / f"raw{n}"), str(tmp_path / f"t{n}"),
+            bytes_per_file=4000,
+        )
+        assert metrics.n_rows == n
+        files[n] = len(list((tmp_path / f"t{n}").glob("*.parquet")))
+    assert files[2000] > 2 and 5 < files[20000] / files[2000] < 15
+
+
+def test_staged_files_with_different_columns(spark, tmp_path):
+    whole = "id string, `Model Year` string, State string, at string"
+    spark.createDataFrame([("1", "2020", "WA")], "id string, `Model Year` string, State string").write.parquet(
+        str(tmp_path / "in")
+    )
+    run = dict(path=str(tmp_path / "in"), contract=SMALL, target_path=str(tmp_path / "t"))
+    with pytest.raises(ContractViolation, match="missing columns .'at'"):
+        load_json_rows(spark, **run)
+    assert load_json_rows(spark, policy=LENIENT, **run).missing == ("at",)
+    spark.createDataFrame([("2", "2021", "OR", "86400")], whole).withColumn("more", F.lit(1)).write.mode(
+        "append"
+    ).parquet(str(tmp_path / "in"))
+    metrics = load_json_rows(spark, **run)
+    assert (metrics.missing, metrics.extra, metrics.n_rows) == ((), ("more",), 2)
+    got = {r["ID"]: str(r["AT"]) for r in spark.read.parquet(str(tmp_path / "t")).collect()}
+    assert got == {"1": "None", "2": "1970-01-02 00:00:00"}
+    with pytest.raises(ContractViolation, match="undeclared"):
+        load_json_rows(spark, refuse_extra=True, **run)
+
+
+def test_new_files_bring_new_columns(spark, tmp_path):
+    spark.createDataFrame([("1",)], "id string").write.parquet(str(tmp_path / "in"))
+    run = (str(tmp_path / "in"), SMALL, str(tmp_path / "t"), str(tmp_path / "c"))
+    with pytest.raises(ContractViolation, match="missing columns"):
+        load_new_files(spark, *run, policy=STRICT)
+    load_new_files(spark, *run)
+    later = spark.createDataFrame([("2", "2021", "WA", "0")], "id string, `Model Year` string, State string, at string")
+    later.write.mode("append").parquet(str(tmp_path / "in"))
+    load_new_files(spark, *run)
+    got = rows_of(spark.read.parquet(str(tmp_path / "t")).select("ID", "MODEL_YEAR", "STATE"))
+    assert got == [("1", None, None), ("2", 2021, "WA")]
+
+
+def test_numbers_convert_by_type(spark, tmp_path):
+    schema = "id string, `Model Year` double, State string, at double"
+    rows = [("1", 2020.9, "WA", 1699171200.0), ("2", 12345678.0, "OR", float("nan")), ("3", None, None, 1e300)]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in"))
+    load_json_rows(spark, str(tmp_path / "in"), SMALL, str(tmp_path / "t"), policy=LENIENT)
+    got = rows_of(spark.read.parquet(str(tmp_path / "t")).select("ID", "MODEL_YEAR", F.col("AT").cast("string")))
+    assert got == [("1", 2020, "2023-11-05 08:00:00"), ("2", 12345678, None), ("3", None, None)]
+    with pytest.raises(Exception, match="not a number|not epoch seconds"):
+        load_json_rows(spark, str(tmp_path / "in"), SMALL, str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 3
+
+
+def test_json_rows_partitioned_with_refused_payloads(spark, tmp_path):
+    lines = [('{"id": 1, "State": "WA"}',), ('{"id": 2, "State": "OR"} tail',), ('{"id"',), ("",)]
+    spark.createDataFrame(lines, "j string").coalesce(1).write.parquet(str(tmp_path / "in"))
+    metrics = load_json_rows(
+        spark, str(tmp_path / "in"), SMALL, str(tmp_path / "t"), policy=LENIENT, payload="j",
+        quarantine_path=str(tmp_path / "bad"), partition_by=["STATE"], fmt="orc", options={"compression": "zlib"},
+    )
+    assert (metrics.n_rows, metrics.n_corrupt) == (4, 2)
+    assert rows_of(spark.read.orc(str(tmp_path / "t")).where("STATE = 'WA'").select("ID")) == [("1",)]
+    bad = spark.read.parquet(str(tmp_path / "bad")).select("_row_number", "payload")
+    assert rows_of(bad) == [(2, lines[1][0]), (3, lines[2][0])]
+
+
 def test_undeclared_columns_can_be_refused(spark, tmp_path):
     (tmp_path / "a.json").write_text(document([*SMALL.sources, "new"], [[1, 2020, "WA", 0, 0]]))
     run = dict(raw_path=str(tmp_path / "raw"), target_path=str(tmp_path / "typed"))

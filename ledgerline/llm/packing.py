@@ -7,9 +7,10 @@ histogram; a filling applies to as many sequences at once as its rarest length a
 - The incumbent is best-fit decreasing.
 - If it does not meet the lower bound on the number of sequences, bin completion looks for
   better: around the largest length left, it enumerates the undominated fillings (none of whose
-  members could give way to a longer length that is left and still fits), least waste first, and
-  gives up a branch whose waste exceeds what one sequence fewer than the incumbent leaves. It ends
-  at the lower bound or after ``NODES`` fillings; the incumbent stands otherwise.
+  members could give way to a longer length that is left and still fits), least waste first, all
+  within the waste that one sequence fewer than the incumbent leaves, and each any number of
+  times. It ends at the lower bound, when nothing is left to try, or after undoing ``NODES``
+  choices; the incumbent stands otherwise.
 
 Each piece then finds its place by its rank among the pieces of its length: ranks are counted
 within hash buckets of the pieces, so that a length which many pieces share is not one task's
@@ -22,8 +23,10 @@ null keys are kept; an empty table gives an empty plan.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from operator import neg
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +38,10 @@ from ledgerline.llm.tokens import VOCABULARY, vocabulary_path, word_ids
 
 CAPACITY = 4096
 END_ID = 1
-#: Fillings that bin completion may try before the incumbent stands.
-NODES = 300
-#: Fillings it compares around one largest length.
-_CHOICES = 8
+#: Choices that bin completion may undo before the incumbent stands.
+NODES = 4_000
+#: Open choices whose fillings are held (2 MB each); older ones are enumerated again if needed.
+_OPEN = 16
 
 #: A filling: its lengths from the longest down, and the number of sequences that have it.
 Filling = tuple[tuple[int, ...], int]
@@ -92,77 +95,113 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return int(max(-(-total[-1] // capacity), (long_ + -(-rest // capacity)).max()))
 
 
-def fillings(counts: dict[int, int], first: int, room: int, waste: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` beside the largest length, least waste first."""
-    lengths = sorted((k for k in counts if k <= room), reverse=True)
-    left = {k: counts[k] - (k == first) for k in lengths}
-    found: list[tuple[int, tuple[int, ...]]] = []
-    tries = 0
-
-    def dominated(chosen: tuple[int, ...], slack: int) -> bool:
-        used = Counter(chosen)
-        return slack > 0 and any(
-            any(c < k <= c + slack and used[k] < left[k] for k in lengths) for c in set(chosen)
-        )
-
-    def search(at: int, slack: int, chosen: tuple[int, ...]) -> bool:
-        nonlocal tries
-        tries += 1
-        if tries > 64 * _CHOICES:
-            return True
-        while at < len(lengths) and lengths[at] > slack:
-            at += 1
-        if at == len(lengths):
-            if slack <= waste and not dominated(chosen, slack):
-                found.append((slack, chosen))
-            return slack == 0 and len(found) >= _CHOICES
-        length = lengths[at]
-        for n in range(min(left[length], slack // length), -1, -1):
-            if search(at + 1, slack - n * length, chosen + (length,) * n):
-                return True
-        return False
-
-    search(0, room, ())
-    return [c for _, c in sorted(found)][:_CHOICES]
+def fillings(counts: dict[int, int], first: int, room: int, waste: int) -> Iterator[tuple[int, ...]]:
+    """Undominated fillings of ``room`` beside the largest length, least waste first, one by one.
+
+    No choice is made that leaves more than ``waste``: ``reach[i]`` has a bit for each sum that the
+    lengths from the i-th on can make.
+    """
+    lengths = sorted((k for k, n in counts.items() if k <= room and n > (k == first)), reverse=True)
+    left = [counts[k] - (k == first) for k in lengths]
+    mask = (1 << (room + 1)) - 1
+    reach = [1] * (len(lengths) + 1)
+    for i in range(len(lengths) - 1, -1, -1):
+        sums, copies, step = reach[i + 1], min(left[i], room // lengths[i]), 1
+        while copies:
+            taken = min(step, copies)
+            sums |= sums << taken * lengths[i] & mask
+            copies, step = copies - taken, step * 2
+        reach[i] = sums
+
+    def search(at: int, need: int, unused: int, slack: int) -> Iterator[tuple[int, ...]]:
+        """Choices from the ``at``-th length on that make ``need``, where ``slack`` stays free.
+
+        ``unused`` is the shortest length passed over so far: it takes the place of a length that
+        is at most ``slack`` shorter, and the free room itself if it is no longer than that.
+        """
+        if not need:
+            if not slack or at == len(lengths) or lengths[-1] > slack:
+                yield ()
+            return
+        i = at + bisect_left(lengths[at:], -need, key=neg)
+        if i > at:
+            unused = lengths[i - 1]
+        while i < len(lengths) and reach[i] >> need & 1 and unused > slack:
+            length = lengths[i]
+            for n in range(min(left[i], need // length) if unused > length + slack else 0, 0, -1):
+                if reach[i + 1] >> need - n * length & 1:
+                    passed = length if n < left[i] else unused
+                    if passed > slack:
+                        for rest in search(i + 1, need - n * length, passed, slack):
+                            yield (length,) * n + rest
+            unused = length
+            i += 1
+
+    for slack in range(min(waste, room) + 1):
+        if reach[0] >> room - slack & 1:
+            yield from search(0, room - slack, room + first + slack + 1, slack)
 
 
 def complete(counts: dict[int, int], capacity: int, target: int, nodes: int) -> list[Filling] | None:
-    """A packing into ``target`` sequences, if the search finds one within ``nodes`` fillings."""
+    """A packing into ``target`` sequences, if the search finds one before undoing ``nodes`` choices.
+
+    Around one largest length, fillings are taken in the order of ``fillings`` only, each any number
+    of times from the most down to one.
+    """
     spare = target * capacity - sum(k * n for k, n in counts.items())
-    left = dict(counts)
+    left = {k: n for k, n in sorted(counts.items(), reverse=True) if n}
     done: list[Filling] = []
-    # Each entry: the choices still open at this depth, and what the choice taken has used.
-    stack: list[tuple[list[tuple[int, ...]], Filling | None]] = []
-    while True:
-        live = [k for k, n in left.items() if n]
-        if not live:
-            return done
-        first = max(live)
-        options = fillings({k: left[k] for k in live}, first, capacity - first, spare) if nodes > 0 else []
-        stack.append((options[::-1], None))
-        while stack:
-            options, taken = stack.pop()
-            if taken:  # undo
-                done.pop()
-                for k, m in Counter(taken[0]).items():
-                    left[k] += m * taken[1]
-                spare += (capacity - sum(taken[0])) * taken[1]
-            if options and nodes > 0:
-                break
-        else:
-            return None
-        nodes -= 1
-        filling = (max(k for k, n in left.items() if n), *options.pop())
-        waste = capacity - sum(filling)
-        times = min(left[k] // m for k, m in Counter(filling).items())
-        if waste:
-            times = min(times, spare // waste)
-        taken = (filling, times)
-        stack.append((options, taken))
-        for k, m in Counter(filling).items():
-            left[k] -= m * times
-        spare -= waste * times
+
+    def choices(after: Filling | None, other: bool) -> Iterator[Filling]:
+        """Those behind ``after``: of other fillings only, or of fewer of its filling first."""
+        first = next(iter(left))
+        start = _order(after[0], capacity) if after and after[0][0] == first else ()
+        for rest in fillings(left, first, capacity - first, spare):
+            filling = (first, *rest)
+            place = _order(filling, capacity)
+            if place < start or (place == start and other):
+                continue
+            waste = capacity - sum(filling)
+            times = min(left[k] // m for k, m in Counter(filling).items())
+            times = min(times, spare // waste) if waste else times
+            for n in range(after[1] - 1 if place == start else times, 0, -1):
+                yield filling, n
+
+    def move(taken: Filling, sign: int) -> None:
+        nonlocal spare, left
+        added = False
+        for k, m in Counter(taken[0]).items():
+            added |= k not in left
+            left[k] = left.get(k, 0) + sign * m * taken[1]
+            if not left[k]:
+                del left[k]
+        if added:
+            left = dict(sorted(left.items(), reverse=True))
+        spare += sign * (capacity - sum(taken[0])) * taken[1]
+
+    stack: list[Iterator[Filling] | None] = []
+    while left:
+        if len(stack) >= _OPEN:
+            stack[-_OPEN] = None
+        # Behind the choice before, another number of the same filling would be that choice again.
+        stack.append(choices(done[-1] if done else None, True))
+        while (taken := next(stack[-1], None)) is None:
+            stack.pop()
+            if not stack or not nodes:
+                return None
+            nodes -= 1
+            undone = done.pop()
+            move(undone, 1)
+            if stack[-1] is None:
+                stack[-1] = choices(undone, False)
         done.append(taken)
+        move(taken, -1)
+    return done
+
+
+def _order(filling: tuple[int, ...], capacity: int) -> tuple[int, ...]:
+    """The place of a filling in the order of ``fillings``."""
+    return (capacity - sum(filling), *(-k for k in filling))
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[Filling]:

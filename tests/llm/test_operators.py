@@ -273,6 +273,45 @@ def test_plans_are_best_on_small_sets():
         assert sum(n for _, n in packing.plan(Counter(sizes), capacity)) == fewest(sizes, capacity)
 
 
+@pytest.mark.parametrize("capacity, low, high, sequences, seeds", [(4096, 20, 600, 600, 1), (1000, 100, 500, 25, 12)])
+def test_plans_meet_a_planted_bound(capacity, low, high, sequences, seeds):
+    """Sequences cut into many distinct lengths without waste, where best-fit decreasing needs more."""
+    more = 0
+    for seed in range(seeds):
+        rng, sizes = random.Random(seed), []
+        for _ in range(sequences):
+            room = capacity
+            while room:
+                sizes.append(min(room, rng.randint(low, high)))
+                room -= sizes[-1]
+        counts = Counter(sizes)
+        more += sum(n for _, n in packing.best_fit_decreasing(counts, capacity)) > sequences
+        assert sum(n for _, n in packing.plan(counts, capacity)) == sequences
+    assert more
+
+
+def test_fillings_are_all_undominated_ones():
+    rng = random.Random(8)
+    for _ in range(200):
+        room, waste = rng.randint(1, 24), rng.randint(0, 6)
+        counts = {k: rng.randint(1, 3) for k in rng.sample(range(1, 25), rng.randint(1, 6))}
+        first = 25
+        every = [()]
+        for k in sorted(counts, reverse=True):
+            every = [c + (k,) * n for c in every for n in range(counts[k] + 1) if sum(c) + k * n <= room]
+
+        def undominated(chosen):
+            slack, used = room - sum(chosen), Counter(chosen)
+            return not any(
+                used[k] < n and (k <= slack or any(c < k <= c + slack for c in used)) for k, n in counts.items()
+            )
+
+        want = [c for c in every if room - sum(c) <= waste and undominated(c)]
+        got = list(packing.fillings(counts | {first: 1}, first, room, waste))
+        assert sorted(got) == sorted(want)
+        assert [room - sum(c) for c in got] == sorted(room - sum(c) for c in got)
+
+
 def test_packing(odd, documents, nothing, tokenizer):
     for df in (odd, documents, nothing):
         got = packing.packed(df).collect()

@@ -55,16 +55,23 @@ def simhash(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(
-    df: DataFrame, key: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS
+    df: DataFrame, key: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS, carry: tuple = ()
 ) -> DataFrame:
-    """Per row: doc_id, bits (the fingerprint as a signed long)."""
+    """Per row: doc_id, bits (the fingerprint as a signed long), and the columns named in ``carry``."""
+    rows = keyed_text(df, key, text) if not carry else df.select(
+        F.col(f"`{key}`").cast("long").alias("doc_id"),
+        F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
+        *carry,
+    )
+    schema = rows.drop("text").schema.add("bits", "long")
 
     def work(block: pa.RecordBatch) -> pa.RecordBatch:
         found = [simhash(t, shingle_words) for t in text_bytes(block.column("text"))]
         bits = np.array(found, np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(bits)], ["doc_id", "bits"])
+        columns = [block.column(n) for n in schema.names[:-1]]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(bits)], schema.names)
 
-    return keyed_text(df, key, text).mapInArrow(by_block(work), "doc_id long, bits long")
+    return rows.mapInArrow(by_block(work), schema)
 
 
 def _steps(reach: int) -> list[int]:
@@ -138,6 +145,14 @@ def components(edges: DataFrame) -> DataFrame:
         current = written(small, "edges")
 
 
+def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``prints``, one for each value of ``bits``, with the ``root`` of its component."""
+    stars = components(links(prints, max_bits)).withColumnRenamed("node", "bits")
+    others = [c for c in prints.columns if c != "bits"]
+    named = prints.join(stars, "bits", "left").select("bits", *others, F.coalesce("root", "bits").alias("root"))
+    return written(named, "simhash-classes")
+
+
 def near_duplicates(
     df: DataFrame,
     key: str = "doc_id",
@@ -147,15 +162,10 @@ def near_duplicates(
 ) -> DataFrame:
     """Per row: doc_id, bits, component_id (the smallest key in reach, itself included)."""
     docs = written(fingerprints(df, key, text, shingle_words), "simhash")
-    prints = docs.groupBy("bits").agg(F.min("doc_id").alias("first_doc"))
-    stars = components(links(prints, max_bits))
-    named = prints.join(stars.withColumnRenamed("node", "bits"), "bits", "left").select(
-        "bits", "first_doc", F.coalesce("root", "bits").alias("root")
-    )
-    named = written(named, "simhash-classes")
+    named = classes(docs.groupBy("bits").agg(F.min("doc_id").alias("first_doc")), max_bits)
     smallest = named.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    classes = named.join(smallest, "root").select("bits", "component_id")
-    return docs.join(classes, "bits").select("doc_id", "bits", "component_id")
+    found = named.join(smallest, "root").select("bits", "component_id")
+    return docs.join(found, "bits").select("doc_id", "bits", "component_id")
 
 
 def as_hex(bits: str = "bits"):

@@ -579,6 +579,24 @@ def test_pipeline_stages(spark, odd, nothing, sf_small, documents):
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_small).count() >= docs.count()
 
 
+def test_near_duplicate_stage_keeps_one_row_of_each_group(spark):
+    words = [" ".join(random.Random(i).choices("abcdefghijklmnopqrstuvwxyz", k=60)) for i in range(5)]
+    copied, alone, nameless, mixed, other = words
+    rows = [
+        (3, copied, "x"), (5, copied, "x"), (5, alone, "x"), (None, nameless, "x"), (None, nameless, "y"),
+        (None, mixed, "x"), (9, mixed, "x"), (7, other, "x"), (7, other, "x"), (None, copied, "x"),
+    ]
+    schema = "doc_id long, text string, lang string"
+    want = {(3, copied), (5, alone), (None, nameless), (9, mixed), (7, other)}
+    answers = []
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, schema).repartition(3)
+        got = corpus_pipeline.simhash_near_duplicates(spark, docs, "").collect()
+        assert {(r["doc_id"], r["text"]) for r in got} == want and len(got) == len(want)
+        answers.append({tuple(r) for r in got})
+    assert answers[0] == answers[1]
+
+
 def test_pipeline_against_its_operators(spark, sf_small, documents, labels):
     trees = quality.train(documents, labels)
     good = [(k, t) for k, t in texts_of(documents) if trees.score(np.array([quality.statistics(t)]))[0] >= 0.3]

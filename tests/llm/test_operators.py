@@ -511,6 +511,30 @@ def test_pseudonymised_tables(odd, nothing, spark, sf_oracle):
     assert pii.collisions(pii.pseudonymised(docs)).count() == 0
 
 
+def test_one_phone_number_has_one_surrogate():
+    s = pii.Surrogates(b"secret")
+    for written_ in (["+1 456 555 2186", "+14565552186", "+1-456-555-2186"], ["+44 207 946 0958", "+442079460958"]):
+        found = [pii.replaced(f"call {t} now", s)[1] for t in written_]
+        assert {len(f) for f in found} == {1}
+        assert len({f[0]["identity"] for f in found}) == len({f[0]["surrogate"] for f in found}) == 1
+    assert pii.replaced("call +44 207 946 0958", s)[0].startswith("call +44 ")
+
+
+def test_registered_surrogates_are_checked(spark, tmp_path):
+    """An address that is the surrogate of another: either gets a surrogate that does not occur."""
+    first = "10.0.0.1"
+    second = pii.Surrogates(pii.KEY).replace("ip", first)
+    text = f"{first} and {second}, password=-------- as well, Mary Jones and Anna Smith, +٤٤ ٢٠٧ ٩٤٦ ٠٩٥٨"
+    docs = spark.createDataFrame([(1, text), (2, f"again {second}")], "doc_id long, text string")
+    assert pii.conflicts(pii.pseudonymised(docs)).count() == 1
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    rows = {r["doc_id"]: r for r in registry.QUERIES["op8_pii_surrogates"](spark, str(tmp_path)).collect()}
+    new = [e["surrogate"] for e in rows[1]["entities"] if e["type"] == "ip"]
+    assert len({first, second, *new}) == 4 and rows[2]["text"] == f"again {new[1]}"
+    stage = corpus_pipeline.pii_surrogates(spark, docs.selectExpr("*", "0L n_chars"), "")
+    assert {r["doc_id"]: r["text"] for r in stage.collect()} == {k: r["text"] for k, r in rows.items()}
+
+
 # 10
 
 

@@ -8,9 +8,12 @@ of the words inside over its share of those outside; tags weigh the same way, bu
 ``TAG_AT_MOST``. The labelled pages are a bounded sample; kinds it does not show keep
 ``UNSEEN``.
 
-Inside the region found, elements that are no article text even there (adverts, forms, notices,
-reader comments and so on, by element or by the names in class, id and role) are left out. Blocks
-are joined by a line end; a line break or white space inside a block is one space.
+Elements that are no article text wherever they stand (adverts, forms, notices, reader comments and
+so on, by element or by the names in class, id and role) are left out and weigh nothing, so they
+neither end a region nor begin one. A name counts as a whole: ``comments`` and ``cookie-notice`` do,
+``comments-open`` and ``no-sidebar`` do not. No name leaves out an article or main element, unless it
+stands inside another, or what the page's first one stands in. Blocks are joined by a line end; a
+line break or white space inside a block is one space.
 
 Rows: a null or empty page has the empty text, as has a page without a stretch of positive score;
 repeated rows are answered row by row; null ids and urls are kept.
@@ -22,6 +25,7 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +59,11 @@ _NAMES = frozenset(
     "alert popup modal overlay newsletter subscribe subscription signup login search share sharing social related "
     "recommended comment comments reply replies discussion disqus respond".split()
 )
+#: Parts that say nothing beside one of these.
+_NEUTRAL = frozenset(
+    "area bar block body bottom box button buttons container content footer form group header holder inner item items "
+    "left link links list main middle module outer panel right row section slot text title top unit wrap wrapper".split()
+)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -65,21 +74,27 @@ _TOKEN = re.compile(
 )
 _ENDS = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in _RAW}
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_PART = re.compile(r"[a-z0-9]+")
+_PART = re.compile(r"[a-z]{2,}")
 
 
 def _unwanted(rest: str) -> bool:
     """Whether the names in class, id and role say that an element is no article text."""
-    return any(
-        not _NAMES.isdisjoint(_PART.findall("".join(found).lower())) for found in _NAMED.findall(rest)
-    )
+    return any(_dismisses(name) for found in _NAMED.findall(rest) for name in "".join(found).lower().split())
+
+
+@lru_cache(maxsize=1 << 16)
+def _dismisses(name: str) -> bool:
+    parts = set(_PART.findall(name))
+    return not _NAMES.isdisjoint(parts) and parts <= _NAMES | _NEUTRAL
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
     """Tags and texts in order: (kind, text, inside the named article, to be left out)."""
     at = 0
-    open_: list[tuple[str, bool, bool]] = []  # elements that hold others: name, left out, article
+    # Elements that hold others: name, left out (1 by the element, 2 by a name, 0 not), article.
+    open_: list[tuple[str, int, bool]] = []
     left_out = article = links = 0
+    first = True
     block = ""
     while True:
         found = _TOKEN.match(page, at)
@@ -107,14 +122,23 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             block = "" if closing else name
         if name in _HOLDS:
             if not closing:
-                drop = name in _NEVER or (name == "header" and not article) or _unwanted(found["rest"])
+                if name in _NEVER or (name == "header" and not article):
+                    drop = 1
+                elif name in _MAIN and not article:
+                    drop = 0
+                else:
+                    drop = 2 * _unwanted(found["rest"])
+                if name in _MAIN and first:
+                    first = False
+                    left_out -= sum(x[1] == 2 for x in open_)
+                    open_ = [(n, 0 if d == 2 else d, m) for n, d, m in open_]
                 open_.append((name, drop, name in _MAIN))
-                left_out += drop
+                left_out += drop > 0
                 article += name in _MAIN
             elif any(x[0] == name for x in open_):
                 while True:
                     last, drop, main = open_.pop()
-                    left_out -= drop
+                    left_out -= drop > 0
                     article -= main
                     if last == name:
                         break
@@ -160,7 +184,9 @@ def main_text(page: str, weights: Weights) -> str:
     best = total = 0.0
     start = region = 0
     end = 0
-    for i, (kind, text, _, _) in enumerate(found):
+    for i, (kind, text, _, left_out) in enumerate(found):
+        if left_out:
+            continue
         total += weights(kind) * (len(text.split()) if kind.startswith("word@") else 1)
         if total <= 0:
             total, start = 0.0, i + 1

@@ -225,6 +225,29 @@ def test_html_extraction_without_a_named_article():
     assert html_text.main_text(page, html_text.Weights()) == want
 
 
+def test_html_extraction_around_blocks_left_out(spark):
+    """Adverts longer than the text around them, and names that only hold the name of such a block."""
+    advert = "Buy this very thing now. " * 12
+
+    def page(around, article):
+        return (
+            f"<html><body><nav><a href=x>Home</a></nav><{around}><{article}><h1>A title of words</h1>"
+            f"<p>The opening paragraph has ten words, or nearly as many.</p><aside>{advert}</aside>"
+            f"<form>{advert}</form><p>The second half is here.</p><div class='ad-box'>{advert}</div><p>An end.</p></article>"
+            f"</div><div id=comments><article class=comment><p>A reader wrote this.</p></article></div>"
+            f"<footer>{advert}</footer></body></html>"
+        )
+
+    want = "A title of words\nThe opening paragraph has ten words, or nearly as many.\nThe second half is here.\nAn end."
+    pages = [
+        page("div", "article"), page("div class='content no-sidebar'", "article"),
+        page("div", "article class='post comments-open'"), page("div class=widget", "article id=related"),
+    ]
+    table = spark.createDataFrame([(i, "u", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    for weights in (html_text.train(table), html_text.Weights()):
+        assert [r["text"] for r in html_text.extracted(table, weights).collect()] == [want] * 4
+
+
 def test_html_extraction_of_odd_pages(spark):
     rows = [(1, None, None), (None, "u", ""), (2, "u", "<p>" * 3), (3, "u", "plain & text < here"), (3, "u", "<nav>x</nav>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, html_text, packing, pii, quality, quality_rules, simhash, suffix_dedup, token_files, toxicity
+from ledgerline.llm import answers, conversation_repair, decontaminate, html_text, packing, pii, quality, quality_rules, simhash, suffix_dedup, token_files, toxicity
 from ledgerline.llm.common import table
 from ledgerline.scratch import scratch_path
 
@@ -81,3 +81,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
+
+
+@registered
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    return conversation_repair.reports(conversation_repair.damaged(given), every=given)
+
+
+ANSWERS["op11_conversation_repair"] = answers.CONVERSATION_REPAIR

@@ -85,3 +85,66 @@ SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank
        coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c::BIGINT AS cost, best.a AS audit,
        sha256(substr(best.t, 2)) AS repaired_sha256
 FROM ends e LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+
+# The manifest: levels one by one, as many as a table of 16 ** 6 documents in 16 ** 6 sources has.
+
+_DEPTH = 6
+
+
+def _cell(name: str) -> str:
+    return f"CASE WHEN {name} IS NULL THEN '-' ELSE strlen({name}::VARCHAR)::VARCHAR || ':' || {name}::VARCHAR END"
+
+
+def _leaf(text: str) -> str:
+    cells = [_cell(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    return "sha256(" + " || ".join([*cells, _cell(text)]) + ")"
+
+
+def _forest(name: str, lowest: str) -> str:
+    """Levels name0, name1, ...: (tree, idx, n, digest, left_, right_), from (tree, idx, n, digest)."""
+    parts = []
+    for k in range(_DEPTH + 1):
+        nodes = lowest if k == 0 else f"""SELECT tree, idx // 16 AS idx, ceil(n / 16)::BIGINT AS n,
+            CASE WHEN n = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY idx)) END AS digest
+            FROM {name}{k - 1} GROUP BY tree, idx // 16, n"""
+        run = "string_agg(digest, '') OVER (PARTITION BY tree, idx // 16 ORDER BY idx ROWS BETWEEN {})"
+        left = run.format("UNBOUNDED PRECEDING AND 1 PRECEDING")
+        right = run.format("1 FOLLOWING AND UNBOUNDED FOLLOWING")
+        parts.append(f"""{name}{k} AS MATERIALIZED (
+            SELECT *, coalesce({left}, '') AS left_, coalesce({right}, '') AS right_ FROM ({nodes}))""")
+    return ",\n".join(parts)
+
+
+def _climb() -> str:
+    """From a leaf upwards, one level at a time: the siblings so far, and the digest folded so far."""
+    parts = ["c0 AS (SELECT doc_id, tree, idx, digest AS leaf, coalesce(other, digest) AS fold, '' AS told FROM leaves)"]
+    for k in range(2 * _DEPTH):
+        level = f"a{k}" if k < _DEPTH else f"b{k - _DEPTH}"
+        tree = "x.tree IS NOT DISTINCT FROM c.tree AND " if k < _DEPTH else ""
+        place = f"c.idx // {16**k}" if k < _DEPTH else f"s.idx // {16 ** (k - _DEPTH)}"
+        source = "" if k < _DEPTH else "JOIN sources s ON s.tree IS NOT DISTINCT FROM c.tree"
+        parts.append(f"""c{k + 1} AS (
+  SELECT c.* REPLACE (CASE WHEN x.n > 1 THEN sha256(x.left_ || fold || x.right_) ELSE fold END AS fold,
+                      told || CASE WHEN x.n > 1 THEN x.left_ || x.right_ ELSE '' END AS told)
+  FROM c{k} c {source} JOIN {level} x ON {tree}x.idx = {place})""")
+    return ",\n".join(parts)
+
+
+_TAMPERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+MERKLE_MANIFEST = f"""
+WITH leaves AS (
+  SELECT doc_id, source AS tree, digest, other,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, digest) - 1 AS idx,
+         count(*) OVER (PARTITION BY source) AS n
+  FROM (SELECT doc_id, source, {_leaf("text")} AS digest,
+               CASE WHEN doc_id IS NOT NULL AND {_crc32("doc_id::VARCHAR")} % 5 = 0 THEN {_leaf(_TAMPERED)} END AS other FROM documents)),
+{_forest("a", "SELECT tree, idx, n, digest FROM leaves")},
+sources AS (
+  SELECT tree, digest, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM a{_DEPTH}),
+{_forest("b", "SELECT 0 AS tree, idx, n, digest FROM sources")},
+{_climb()}
+SELECT c.doc_id, c.leaf, s.digest AS subroot, r.digest AS root, sha256(c.told) AS proof_sha256,
+       c.fold AS folded_root, c.fold = r.digest AS verified
+FROM c{2 * _DEPTH} c JOIN sources s ON s.tree IS NOT DISTINCT FROM c.tree CROSS JOIN b{_DEPTH} r"""

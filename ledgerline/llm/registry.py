@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import answers, conversation_repair, decontaminate, html_text, packing, pii, quality, quality_rules, simhash, suffix_dedup, token_files, toxicity
+from ledgerline.llm import answers, conversation_repair, decontaminate, html_text, merkle, packing, pii, quality, quality_rules, simhash, suffix_dedup, token_files, toxicity
 from ledgerline.llm.common import table
 from ledgerline.scratch import scratch_path
 
@@ -89,4 +89,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.reports(conversation_repair.damaged(given), every=given)
 
 
+@registered
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audited(table(spark, sf_dir, "documents"), scratch_path(spark, "manifest"))
+
+
 ANSWERS["op11_conversation_repair"] = answers.CONVERSATION_REPAIR
+ANSWERS["op12_merkle_manifest"] = answers.MERKLE_MANIFEST

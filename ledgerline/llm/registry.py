@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import answers, conversation_repair, decontaminate, html_text, merkle, packing, pii, quality, quality_rules, simhash, suffix_dedup, token_files, toxicity
+from ledgerline.llm import answers, chat_format, conversation_repair, decontaminate, html_text, merkle, packing, pii, quality, quality_rules, simhash, suffix_dedup, token_files, toxicity
 from ledgerline.llm.common import table
 from ledgerline.scratch import scratch_path
 
@@ -94,5 +94,13 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audited(table(spark, sf_dir, "documents"), scratch_path(spark, "manifest"))
 
 
+@registered
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "chat")
+    chat_format.formatted(chat_format.with_trap(table(spark, sf_dir, "conversations"))).write.parquet(path)
+    return chat_format.digests(spark.read.parquet(path))
+
+
 ANSWERS["op11_conversation_repair"] = answers.CONVERSATION_REPAIR
 ANSWERS["op12_merkle_manifest"] = answers.MERKLE_MANIFEST
+ANSWERS["op13_chat_format"] = answers.CHAT_FORMAT

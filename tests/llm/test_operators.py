@@ -675,6 +675,6 @@ def test_registered_queries(spark, sf_small):
     import __spark_entry__ as registered
 
     names = [n for n in registered.queries() if n.startswith("op") or n == "pipeline"]
-    assert sorted({int(n[2:].split("_")[0]) for n in names if n != "pipeline"}) == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in names if n != "pipeline"}) == list(range(1, 14))
     for n in ("op3_html_extraction", "op8_pii_surrogates", "op7_quality_rules"):
         assert registered.queries()[n](spark, sf_small).count() > 0

@@ -4,6 +4,8 @@ None of these goes through text: dirty cells are known from the clean columns th
 were derived from.
 """
 
+from ledgerline.plans import upkeep
+
 _VEHICLE_COLUMNS = """
   'row-' || o_orderkey AS "SID",
   '00000000-0000-0000-' || o_orderkey AS "ID",
@@ -216,4 +218,4 @@ GROUP BY "ELECTRIC_VEHICLE_TYPE" """,
     "registrations_by_model_year": f"""
 SELECT "MODEL_YEAR", count(*) AS "REGISTRATIONS" FROM (SELECT {_vehicles('INT', True)} FROM orders)
 WHERE "MODEL_YEAR" IS NOT NULL GROUP BY "MODEL_YEAR" ORDER BY "MODEL_YEAR" """,
-}
+} | upkeep.ANSWERS

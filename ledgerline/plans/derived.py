@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.contract import ColumnSpec, Contract, quoted
+from ledgerline.scratch import discard, scratch_path
 
 ROWS_PER_DOCUMENT = 5000
 
@@ -155,3 +156,23 @@ ORDERS = Contract(
     cluster_by=("STATUS", "PRIORITY"),
     comment="Orders",
 )
+
+
+def arrive(df: DataFrame, slot: Column, folder: str) -> None:
+    """Rows as one Parquet file for each slot, under a name of its own that a later arrival replaces."""
+    spark = df.sparkSession
+    written = scratch_path(spark, "arrival")
+    df.withColumn("_slot", slot).repartition("_slot").write.partitionBy("_slot").parquet(written)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(path(folder))
+    for found in system.globStatus(path(f"{written}/_slot=*/part-*")) or ():
+        name = found.getPath().getParent().getName().removeprefix("_slot=")
+        target = path(f"{folder}/orders-{name}.parquet")
+        system.delete(target, False)
+        system.rename(found.getPath(), target)
+
+
+def leave(spark: SparkSession, folder: str, slots: Sequence[int]) -> None:
+    """Remove the files of some slots."""
+    discard(spark, *[f"{folder}/orders-{slot}.parquet" for slot in slots])

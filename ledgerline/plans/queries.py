@@ -19,6 +19,7 @@ from ledgerline.functions import (
 )
 from ledgerline.operators import checks, incremental, summaries
 from ledgerline.operators.mapping import apply_contract, rename_select
+from ledgerline.plans import upkeep
 from ledgerline.plans.derived import (
     LINEITEM,
     ORDERS,
@@ -47,7 +48,7 @@ from ledgerline.sources import envelope, files, json_rows
 from ledgerline.sources.long_documents import cut_documents
 from ledgerline.streaming import load_new_documents, load_new_files
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(upkeep.QUERIES)
 
 
 def registered(query):

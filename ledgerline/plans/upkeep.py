@@ -11,6 +11,7 @@ from ledgerline.contract import STRICT
 from ledgerline.plans import changed_files
 from ledgerline.plans.derived import ORDERS, arrive, as_text, given, leave
 from ledgerline.scratch import scratch_path
+from ledgerline.sinks.bucketed import MergeMetrics, bucket_report, create_snapshot, merge_into_snapshot, read_snapshot
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ANSWERS: dict[str, str] = {}
@@ -87,3 +88,39 @@ def load_ledger(spark, sf_dir):
     base, _ = _two_arrivals(spark, sf_dir)
     changed_files.compact(spark, ORDERS, f"{base}/typed", f"{base}/ledger", STRICT)
     return changed_files.load_report(spark, f"{base}/ledger").withColumnRenamed("_load", "load")
+
+
+# Merges
+
+
+def _merged(spark: SparkSession, sf_dir: str) -> tuple[str, MergeMetrics]:
+    """A snapshot of most orders, merged with late, changed and outdated ones."""
+    path = scratch_path(spark, "buckets")
+    key = F.col("o_orderkey")
+    orders = given(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+    older = F.when(key % 100 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    create_snapshot(
+        orders.where(key % 50 != 0).withColumn("o_totalprice", older), path, ["o_orderkey"], ["o_orderdate"], n_buckets=64
+    )
+    outdated = orders.where(key % 100 == 9).withColumns(
+        {"o_totalprice": F.lit(0.0), "o_orderdate": (F.col("o_orderdate") - F.expr("INTERVAL '1' DAY")).cast("timestamp_ntz")}
+    )
+    incoming = orders.where((key % 100 == 7) | (key % 50 == 0)).unionByName(outdated)
+    return path, merge_into_snapshot(spark, path, incoming)
+
+
+@answered("SELECT * FROM orders")
+def merge_buckets(spark, sf_dir):
+    """The snapshot after the merge: every order as it is given."""
+    path, _ = _merged(spark, sf_dir)
+    return read_snapshot(spark, path)
+
+
+@answered("""
+SELECT count(*) FILTER (o_orderkey % 50 = 0) AS n_new, count(*) FILTER (o_orderkey % 100 = 7) AS n_modified,
+       count(*) FILTER (o_orderkey % 100 = 9) AS n_stale, count(*) AS n_rows FROM orders""")
+def merge_metrics(spark, sf_dir):
+    """What the merge met, and the rows its buckets then hold."""
+    path, met = _merged(spark, sf_dir)
+    held = bucket_report(spark, path).agg(F.sum("n_rows").alias("n_rows"))
+    return held.select(*[F.lit(n).cast("bigint").alias(name) for name, n in met.counts().items()], "n_rows")

@@ -12,6 +12,7 @@ from ledgerline.plans import changed_files
 from ledgerline.plans.derived import ORDERS, arrive, as_text, given, leave
 from ledgerline.scratch import scratch_path
 from ledgerline.sinks.bucketed import MergeMetrics, bucket_report, create_snapshot, merge_into_snapshot, read_snapshot
+from ledgerline.streaming.latest import keep_latest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ANSWERS: dict[str, str] = {}
@@ -124,3 +125,42 @@ def merge_metrics(spark, sf_dir):
     path, met = _merged(spark, sf_dir)
     held = bucket_report(spark, path).agg(F.sum("n_rows").alias("n_rows"))
     return held.select(*[F.lit(n).cast("bigint").alias(name) for name, n in met.counts().items()], "n_rows")
+
+
+# The latest record per key, from a stream
+
+
+def _streamed(spark: SparkSession, sf_dir: str, late: str) -> DataFrame:
+    """Events in three arrivals that overlap in time; the stream stops after each and starts again."""
+    events = given(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    base = scratch_path(spark, "latest")
+    for turn in range(3):
+        events.where(F.col("event_id") % 3 == turn).write.mode("append").parquet(f"{base}/in")
+        arrived = spark.readStream.schema(events.schema).parquet(f"{base}/in")
+        keep_latest(arrived, ["user_id"], ["ts", "event_id"], f"{base}/snapshot", f"{base}/checkpoint", late=late, n_buckets=8)
+    return read_snapshot(spark, f"{base}/snapshot").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+_NEWEST = """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM ({}))
+WHERE rn = 1"""
+
+
+@answered(_NEWEST.format("SELECT * FROM events"))
+def stream_latest(spark, sf_dir):
+    """Nothing is too late: the answer of the batch aggregate."""
+    return _streamed(spark, sf_dir, "60 days")
+
+
+@answered(
+    """WITH one AS (SELECT * FROM events WHERE event_id % 3 = 0), two AS (
+  SELECT * FROM one UNION ALL SELECT * FROM events
+  WHERE event_id % 3 = 1 AND ts > (SELECT max(ts) FROM one) - INTERVAL 2 HOUR)"""
+    + _NEWEST.format("""
+  SELECT * FROM two UNION ALL SELECT * FROM events
+  WHERE event_id % 3 = 2 AND ts > (SELECT max(ts) FROM two) - INTERVAL 2 HOUR""")
+)
+def stream_late_rows(spark, sf_dir):
+    """Records over two hours behind what earlier arrivals held are left out."""
+    return _streamed(spark, sf_dir, "2 hours")

@@ -181,8 +181,11 @@ def merge_into_snapshot(spark: SparkSession, path: str, incoming: DataFrame) ->
     path = path.rstrip("/")
     layout = _layout(spark, path)
     live = [(r["_merge"], r["bucket"]) for r in _live(spark, path).collect()]
+    fresh = _fresh(layout, incoming)
+    if fresh.isEmpty():
+        return MergeMetrics(0, 0, 0, (), (), layout.n_buckets)
     told_at = scratch_path(spark, "merge")
-    _told(spark, path, layout, incoming, live).write.parquet(told_at)
+    _told(spark, path, layout, fresh, live).write.parquet(told_at)
     told = spark.read.parquet(told_at)
     count = lambda status: F.count_if(F.col("_status") == status).alias(status)
     met = told.groupBy("_bucket").agg(*[count(s) for s in ("new", "modified", "stale")]).collect()
@@ -208,8 +211,9 @@ def merge_into_snapshot(spark: SparkSession, path: str, incoming: DataFrame) ->
     )
 
 
-def _told(spark: SparkSession, path: str, layout: Layout, incoming: DataFrame, live: list[tuple[int, int]]) -> DataFrame:
-    """The latest incoming record per key with ``_bucket`` and ``_status``: new, modified or stale."""
+def _fresh(layout: Layout, incoming: DataFrame) -> DataFrame:
+    """The latest incoming record per key, written once, with its bucket and the places of its bits."""
+    spark = incoming.sparkSession
     typed = incoming.select(*[F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in layout.schema.fields])
     segment, places = _bits(layout)
     fresh = latest_per_key(typed, layout.key, layout.order).withColumns(
@@ -217,7 +221,11 @@ def _told(spark: SparkSession, path: str, layout: Layout, incoming: DataFrame, l
     )
     fresh_at = scratch_path(spark, "incoming")
     fresh.write.parquet(fresh_at)
-    fresh = spark.read.parquet(fresh_at)
+    return spark.read.schema(fresh.schema).parquet(fresh_at)
+
+
+def _told(spark: SparkSession, path: str, layout: Layout, fresh: DataFrame, live: list[tuple[int, int]]) -> DataFrame:
+    """Incoming records with ``_bucket`` and ``_status``: new, modified or stale."""
     pairs = spark.createDataFrame(live, "_merge bigint, _bucket int")
     filters = spark.read.schema("_merge bigint, _bucket int, segment int, bits binary").parquet(f"{path}/filters")
     filters = (

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerline.contract import LENIENT, STRICT, ColumnSpec, Contract, check_policy, quoted
 from ledgerline.errors import ContractViolation
 from ledgerline.operators.mapping import apply_contract, missing_columns, resolve, typed_cell
+from ledgerline.sinks.curve import curve_clustered
 from ledgerline.sinks.replacement import Replacement
 from ledgerline.sinks.tables import (
     BYTES_PER_FILE,
@@ -189,6 +190,7 @@ def load_envelopes(
     lineage: bool = False,
     refuse_extra: bool = False,
     bytes_per_file: int = BYTES_PER_FILE,
+    curve: bool = False,
 ) -> LoadMetrics:
     """Documents to a raw all-string copy to the contract's typed, clustered table.
 
@@ -196,7 +198,8 @@ def load_envelopes(
     ``options`` to a connector. A document without some contract column ends a strict load;
     ``refuse_extra`` ends any load whose documents hold undeclared columns. A load that ends
     early leaves raw copy, quarantine and target as they were (an appending connector may
-    hold a part).
+    hold a part). With ``curve`` rows are laid out along a curve through all cluster keys
+    (:mod:`~ledgerline.sinks.curve`) instead of being sorted by them.
     """
     check_policy(policy)
     with Replacement(spark) as replaced:
@@ -215,7 +218,7 @@ def load_envelopes(
         fed_by = resolve(contract, raw.columns)
         used = [F.col(quoted(name)) for name in fed_by.values() if name is not None]
         partitions = range_partitions(spark, input_bytes(spark, new_raw), bytes_per_file)
-        placed = _clustered_cells(raw.select(*used, *_row_place()), contract, policy, fed_by, partitions)
+        placed = _clustered_cells(raw.select(*used, *_row_place()), contract, policy, fed_by, partitions, curve)
         written, seen = counted(apply_contract(placed, contract, policy), "typed")
         _fill(replaced, written, contract, policy, target_path, table, fmt, mode, options, partition_by)
     return LoadMetrics(
@@ -247,6 +250,7 @@ def load_json_rows(
     partition_by: Sequence[str] = (),
     refuse_extra: bool = False,
     bytes_per_file: int = BYTES_PER_FILE,
+    curve: bool = False,
 ) -> LoadMetrics:
     """Staged Parquet files to the contract's typed, clustered table.
 
@@ -256,7 +260,7 @@ def load_json_rows(
     ``table`` is created anew with the contract's limits when overwritten, and filled by
     column name. With ``quarantine_path`` malformed payloads, which a lenient load turns into
     rows of NULLs, are kept there with file and row number. A load that ends early leaves
-    its targets as they were.
+    its targets as they were. ``curve`` as in :func:`load_envelopes`.
     """
     check_policy(policy)
     staged = read_staged(spark, path)
@@ -283,7 +287,7 @@ def load_json_rows(
             refused, held = counted(_malformed(spark, path, payload), "refused")
             refused.write.parquet(replaced.path(quarantine_path))
             n_corrupt = held.get["n_rows"]
-        placed = _clustered_cells(cells, contract, policy, fed_by, partitions)
+        placed = _clustered_cells(cells, contract, policy, fed_by, partitions, curve)
         written, seen = counted(apply_contract(placed, contract, policy), "typed")
         _fill(replaced, written, contract, policy, target_path, table, fmt, mode, options, partition_by)
     return LoadMetrics(
@@ -346,7 +350,7 @@ def _row_place() -> list:
 
 
 def _clustered_cells(
-    cells: DataFrame, contract: Contract, policy: str, fed_by: dict[str, str | None], partitions: int
+    cells: DataFrame, contract: Contract, policy: str, fed_by: dict[str, str | None], partitions: int, curve: bool = False
 ) -> DataFrame:
     """Cells as they were read, in the layout of the typed table.
 
@@ -359,6 +363,8 @@ def _clustered_cells(
         for c in contract.columns
         if c.target == target and fed_by[target] is not None
     ]
-    if keys:
+    if keys and curve:
+        cells = curve_clustered(cells, keys, partitions, spread=list(_PLACE))
+    elif keys:
         cells = clustered(cells, keys, spread=list(_PLACE), partitions=partitions)
     return cells.drop(*_PLACE)

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.contract import STRICT
 from ledgerline.plans import changed_files
-from ledgerline.plans.derived import ORDERS, arrive, as_text, given, leave
+from ledgerline.plans.derived import ORDERS, arrive, as_text, given, leave, registrations
 from ledgerline.scratch import scratch_path
 from ledgerline.sinks.bucketed import MergeMetrics, bucket_report, create_snapshot, merge_into_snapshot, read_snapshot
+from ledgerline.sinks.curve import curve_clustered, file_ranges, files_left
+from ledgerline.sinks.tables import clustered, write_table
+from ledgerline.sinks.upkeep import depth_report, recluster
 from ledgerline.streaming.latest import keep_latest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +168,100 @@ def stream_latest(spark, sf_dir):
 def stream_late_rows(spark, sf_dir):
     """Records over two hours behind what earlier arrivals held are left out."""
     return _streamed(spark, sf_dir, "2 hours")
+
+
+# Layout along a curve, and its upkeep
+
+_PLACES = ["State", "County", "City"]
+_FILES = 48
+
+
+def _by_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registrations(spark, sf_dir).select("DOL Vehicle ID", *_PLACES)
+
+
+@answered("""
+SELECT o_orderkey::VARCHAR AS "DOL Vehicle ID", CASE WHEN o_custkey % 10 < 9 THEN 'WA' ELSE 'OR' END AS "State",
+       CASE WHEN o_orderkey % 13 <> 0 THEN 'County ' || (o_custkey % 39) END AS "County",
+       'City ' || (o_custkey % 281) AS "City" FROM orders""")
+def curve_write(spark, sf_dir):
+    """Registrations laid out along the curve of state, county and city."""
+    path = scratch_path(spark, "curve")
+    write_table(curve_clustered(_by_place(spark, sf_dir), _PLACES, _FILES), path)
+    return spark.read.parquet(path)
+
+
+@answered("""
+SELECT * FROM (VALUES ('State', true, true), ('County', true, true), ('City', false, true))
+  AS t("key", sorted_leaves_out_half, curve_leaves_out_half) WHERE (SELECT count(*) FROM orders) > 0""")
+def curve_pruning(spark, sf_dir):
+    """Filters on one key: whether, by the files' ranges, half of the files are left out in either layout.
+
+    For state the rarer value is asked for; no layout helps the one that nine tenths of the rows have.
+    """
+    rows = _by_place(spark, sf_dir)
+    base = scratch_path(spark, "layouts")
+    write_table(clustered(rows, _PLACES, partitions=_FILES), f"{base}/sorted")
+    write_table(curve_clustered(rows, _PLACES, _FILES), f"{base}/curve")
+    asked = {
+        "State": ["OR"],
+        **{k: [r[0] for r in rows.select(k).distinct().orderBy(k).limit(20).collect() if r[0]] for k in _PLACES[1:]},
+    }
+    parts = []
+    for layout in ("sorted", "curve"):
+        ranges = file_ranges(spark, f"{base}/{layout}", _PLACES)
+        for key, values in asked.items():
+            half = F.avg("n_left") <= F.max("n_files") / 2
+            parts.append(files_left(ranges, key, values).select(F.lit(key).alias("key"), F.lit(layout).alias("layout"), "n_files", "n_left")
+                         .groupBy("key", "layout").agg(half.alias("half")))
+    told = lambda layout: F.bool_or(F.when(F.col("layout") == layout, F.col("half"))).alias(f"{layout}_leaves_out_half")
+    return reduce(DataFrame.unionByName, parts).groupBy("key").agg(told("sorted"), told("curve"))
+
+
+_KEPT_BY = ["o_orderpriority", "o_custkey"]
+
+
+def _kept_up(spark: SparkSession, sf_dir: str) -> tuple[str, list[DataFrame]]:
+    """Orders clustered, late ones of one priority appended, and what overlaps clustered again."""
+    path = scratch_path(spark, "kept-up")
+    orders = given(spark, sf_dir, "orders")
+    late = (F.col("o_orderpriority") == "3-MEDIUM") & (F.col("o_orderkey") % 10 == 0)
+    reports = []
+
+    def report(step: str) -> None:
+        told = depth_report(spark, path, _KEPT_BY).withColumn("step", F.lit(step))
+        reports.append(written_rows(told))
+
+    write_table(clustered(orders.where(~late), _KEPT_BY, partitions=16), path)
+    report("written")
+    write_table(clustered(orders.where(late), _KEPT_BY, partitions=2), path, mode="append")
+    report("appended")
+    recluster(spark, path, _KEPT_BY)
+    report("kept up")
+    return path, reports
+
+
+@answered("SELECT * FROM orders")
+def cluster_upkeep(spark, sf_dir):
+    """All orders, after the files that the appended ones overlap were written again."""
+    path, _ = _kept_up(spark, sf_dir)
+    return spark.read.parquet(path)
+
+
+@answered("""
+SELECT * FROM (VALUES ('written', false, false), ('appended', true, true), ('kept up', false, false))
+  AS t(step, files_overlap, others_apart) WHERE (SELECT count(*) FROM orders) > 0""")
+def cluster_depth(spark, sf_dir):
+    """Whether files overlap after each step, and whether then some still lie apart."""
+    _, reports = _kept_up(spark, sf_dir)
+    found = reports[0].unionByName(reports[1]).unionByName(reports[2])
+    deep = F.col("max_depth") > 1
+    apart = deep & (F.col("n_overlapping") < F.col("n_files"))
+    return found.select("step", deep.alias("files_overlap"), apart.alias("others_apart"))
+
+
+def written_rows(df: DataFrame) -> DataFrame:
+    """The rows as they are now, before the files they describe change."""
+    path = scratch_path(df.sparkSession, "report")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -113,15 +113,15 @@ def test_a_failing_merge_leaves_the_snapshot(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "s")
     create_snapshot(spark.createDataFrame([(i, "x", 5, "old") for i in range(50)], SCHEMA), path, ["a"], ["at"], n_buckets=4)
     before = rows(read_snapshot(spark, path))
-    exchange = bucketed.Replacement._exchange
+    exchange = bucketed.Replacement._exchange_path
 
-    def dies(self, beside, target):
+    def dies(self, beside, target, *lists):
         if "/lines/" in target:
             raise OSError("gone")
-        exchange(self, beside, target)
+        exchange(self, beside, target, *lists)
 
     incoming = spark.createDataFrame([(1, "x", 6, "new"), (99, "x", 1, "new")], SCHEMA)
-    monkeypatch.setattr(bucketed.Replacement, "_exchange", dies)
+    monkeypatch.setattr(bucketed.Replacement, "_exchange_path", dies)
     with pytest.raises(OSError):
         merge_into_snapshot(spark, path, incoming)
     assert rows(read_snapshot(spark, path)) == before

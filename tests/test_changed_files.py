@@ -87,14 +87,14 @@ def test_a_load_that_dies_before_its_lines_does_not_count(spark, place, monkeypa
     put(place, "a.parquet", [("x", 1)])
     load(spark, place)
     put(place, "a.parquet", [("x", 2)])
-    exchange = cf.Replacement._exchange
+    exchange = cf.Replacement._exchange_path
 
-    def dies(self, beside, target):
+    def dies(self, beside, target, *lists):
         if "/ledger/" in target:
             raise OSError("gone")
-        exchange(self, beside, target)
+        exchange(self, beside, target, *lists)
 
-    monkeypatch.setattr(cf.Replacement, "_exchange", dies)
+    monkeypatch.setattr(cf.Replacement, "_exchange_path", dies)
     with pytest.raises(OSError):
         load(spark, place)
     assert rows(spark, place) == [("x", 1, "a.parquet", 1)]  # its folder is there, and passed over

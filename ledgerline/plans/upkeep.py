@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.contract import STRICT
+from ledgerline.operators.kept_summaries import Measure, add_changes, arriving, fold, read_summary, signed_changes
 from ledgerline.plans import changed_files
 from ledgerline.plans.derived import ORDERS, arrive, as_text, given, leave, registrations
 from ledgerline.scratch import scratch_path
@@ -265,3 +266,47 @@ def written_rows(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "report")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Summaries kept up with changes
+
+_MEASURES = [
+    Measure("orders"),
+    Measure("finished", where="o_orderstatus = 'F'"),
+    Measure("price", "o_totalprice"),
+    Measure("large", "o_totalprice", where="o_totalprice > 200000"),
+]
+
+
+@answered("""
+WITH now AS (SELECT *, CASE WHEN o_orderkey % 10 = 3 THEN 'moved' ELSE o_orderpriority END AS priority,
+                    o_totalprice::DECIMAL(14,2) AS price FROM orders WHERE o_orderkey % 7 <> 0)
+SELECT priority AS o_orderpriority, count(*) AS orders, count(*) FILTER (o_orderstatus = 'F') AS finished,
+       sum(price)::DECIMAL(38,2) AS price_sum, round(sum(price)::DOUBLE / count(*), 6) AS price_mean,
+       (sum(price) FILTER (price > 200000))::DECIMAL(38,2) AS large_sum,
+       round((sum(price) FILTER (price > 200000))::DOUBLE / count(*) FILTER (price > 200000), 6) AS large_mean
+FROM now GROUP BY priority""")
+def kept_summary(spark, sf_dir):
+    """Orders per priority after a first load, later and dearer orders, orders that change priority, and deletions."""
+    path = scratch_path(spark, "summary")
+    by, key = ["o_orderpriority"], ["o_orderkey"]
+    orders = given(spark, sf_dir, "orders")
+    columns = [*by, "o_orderstatus", "o_totalprice"]
+    first = _older(orders)
+    add_changes(arriving(first.select(*columns)), path, by, _MEASURES, 1)
+    # Later and corrected orders; then some change their group; then some go.
+    add_changes(signed_changes(orders, first, key, columns), path, by, _MEASURES, 2)
+    third = F.col("o_orderkey") % 10 == 3
+    moved = orders.withColumn("o_orderpriority", F.when(third, "moved").otherwise(F.col("o_orderpriority")))
+    add_changes(signed_changes(moved.where(third), orders, key, columns), path, by, _MEASURES, 3)
+    fold(spark, path, by)
+    gone = orders.where("o_orderkey % 7 = 0").select(*key)
+    add_changes(signed_changes(moved.limit(0), moved, key, columns, deleted=gone), path, by, _MEASURES, 4)
+    found = read_summary(spark, path, by, _MEASURES)
+    return found.withColumns({c: F.round(c, 6) for c in found.columns if c.endswith("_mean")})
+
+
+def _older(orders: DataFrame) -> DataFrame:
+    """Orders as they were known at the end of 1999, the pending ones cheaper."""
+    known = orders.where("o_orderdate < TIMESTAMP_NTZ'2000-01-01 00:00:00'")
+    return known.withColumn("o_totalprice", F.when(F.col("o_orderstatus") == "P", F.col("o_totalprice") - 1).otherwise(F.col("o_totalprice")))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.contract import STRICT
 from ledgerline.operators.kept_summaries import Measure, add_changes, arriving, fold, read_summary, signed_changes
+from ledgerline.operators.profiles import column_value, described, drift, drifted, merged, read_profiles, store_profile
 from ledgerline.plans import changed_files
 from ledgerline.plans.derived import ORDERS, arrive, as_text, given, leave, registrations
 from ledgerline.scratch import scratch_path
@@ -310,3 +311,66 @@ def _older(orders: DataFrame) -> DataFrame:
     """Orders as they were known at the end of 1999, the pending ones cheaper."""
     known = orders.where("o_orderdate < TIMESTAMP_NTZ'2000-01-01 00:00:00'")
     return known.withColumn("o_totalprice", F.when(F.col("o_orderstatus") == "P", F.col("o_totalprice") - 1).otherwise(F.col("o_totalprice")))
+
+
+# Profiles over loads
+
+_PROFILED = ["o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority", "clerk"]
+
+
+def _loads(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Orders in three loads; in the last, prices are higher and a clerk is often not known."""
+    orders = given(spark, sf_dir, "orders").withColumn("clerk", F.concat(F.lit("Clerk "), F.col("o_custkey") % 1000))
+    turn = F.col("o_orderkey") % 3
+    unknown = F.when(F.col("o_orderkey") % 4 != 0, F.col("clerk"))
+    last = orders.where(turn == 2).withColumns({"o_totalprice": F.col("o_totalprice") * 1.5, "clerk": unknown})
+    return [orders.where(turn == 0), orders.where(turn == 1), last]
+
+
+@answered("""
+WITH held AS (SELECT *, o_orderkey % 3 AS turn FROM orders WHERE o_orderkey % 3 > 0),
+rows AS (SELECT o_orderkey, o_totalprice * CASE WHEN turn = 2 THEN 1.5::DOUBLE ELSE 1 END AS price, o_orderdate, o_orderpriority,
+                CASE WHEN turn = 1 OR o_orderkey % 4 <> 0 THEN 'Clerk ' || (o_custkey % 1000) END AS clerk FROM held)
+SELECT 'o_orderkey' AS "column", count(*) AS n_rows, 0::BIGINT AS n_null, min(o_orderkey)::DOUBLE AS low,
+       max(o_orderkey)::DOUBLE AS high, NULL::VARCHAR AS low_text, NULL::VARCHAR AS high_text, true AS within_bounds FROM rows
+UNION ALL SELECT 'o_totalprice', count(*), 0, min(price), max(price), NULL, NULL, true FROM rows
+UNION ALL SELECT 'o_orderdate', count(*), 0, epoch(min(o_orderdate)), epoch(max(o_orderdate)), NULL, NULL, true FROM rows
+UNION ALL SELECT 'o_orderpriority', count(*), 0, min(length(o_orderpriority)), max(length(o_orderpriority)),
+                 min(o_orderpriority), max(o_orderpriority), true FROM rows
+UNION ALL SELECT 'clerk', count(*), count(*) - count(clerk), min(length(clerk)), max(length(clerk)), min(clerk), max(clerk), true
+          FROM rows""")
+def profile_span(spark, sf_dir):
+    """The profile of the last two of three loads, merged; whether its estimates are within the sketches' bounds
+    of the exact values, which a pass over the rows gives here."""
+    path = scratch_path(spark, "profiles")
+    loads = _loads(spark, sf_dir)
+    for number, rows in enumerate(loads, 1):
+        store_profile(rows, path, number, _PROFILED)
+    told = described(merged(read_profiles(spark, path, [2, 3])), ranks=[0.5])
+    rows = loads[1].unionByName(loads[2])
+    exact = rows.agg(
+        F.array(*[
+            F.struct(F.lit(c).alias("name"), F.count_distinct(c).alias("distinct"),
+                     F.percentile(column_value(rows, c), F.array(F.lit(0.47), F.lit(0.53))).alias("middle"))
+            for c in _PROFILED
+        ]).alias("columns")
+    ).select(F.inline("columns"))
+    near = F.abs(F.col("n_distinct") / F.col("distinct") - 1) <= 0.08
+    middle = F.col("quantiles")[0].between(F.col("middle")[0], F.col("middle")[1])
+    return told.join(exact, F.col("column") == F.col("name")).select(
+        "column", "n_rows", "n_null", "low", "high", "low_text", "high_text", (near & middle).alias("within_bounds")
+    )
+
+
+@answered("""
+SELECT * FROM (VALUES ('o_orderkey', false, false), ('o_totalprice', false, true), ('o_orderdate', false, false),
+  ('o_orderpriority', false, false), ('clerk', false, true)) AS t("column", second_drifted, third_drifted)
+WHERE (SELECT count(*) FROM orders) > 0""")
+def profile_drift(spark, sf_dir):
+    """Whether the second and the third load's columns are unlike those of the first."""
+    path = scratch_path(spark, "profiles")
+    for number, rows in enumerate(_loads(spark, sf_dir), 1):
+        store_profile(rows, path, number, _PROFILED)
+    first, second, third = (merged(read_profiles(spark, path, [n])) for n in (1, 2, 3))
+    told = lambda later, name: drift(first, later).select("column", drifted(rank_distance=0.12, value_distance=0.35).alias(name))
+    return told(second, "second_drifted").join(told(third, "third_drifted"), "column")

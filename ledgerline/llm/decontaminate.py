@@ -15,7 +15,8 @@ Test phrases reach the tasks in groups of at most ``GROUP_WORDS`` words; a large
 several passes over the documents, whose hits are united afterwards.
 
 Words: runs of digits, letters A-Z lower-cased, and all bytes beyond ASCII. Rows: null texts and
-texts without words have no hits; items without words or without an id are passed over; equal items are reported
+texts without words have no hits; items without words are passed over; an item without an id is searched
+like any other, but has no id to be listed by and is not counted among ``items``; equal items are reported
 under each of their ids; repeated documents are answered row by row.
 """
 
@@ -46,7 +47,7 @@ def words_of(text: bytes) -> list[bytes]:
 class Windows:
     """The windows of a group of test items, as numbers of the group's own words."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window_words: int):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window_words: int):
         self.items = [name for name, _ in items]
         self.number: dict[bytes, int] = {}
         seen: dict[tuple[int, ...], int] = {}
@@ -221,17 +222,19 @@ def _groups(benchmark: DataFrame, key: str, text: str, window_words: int) -> Ite
     rows = benchmark.select(
         F.col(f"`{key}`").cast("string"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     )
-    group: list[tuple[str, list[bytes]]] = []
+    group: list[tuple[str | None, list[bytes]]] = []
     size = 0
     for name, content in rows.toLocalIterator():
         words = words_of(content.encode())
-        if name is None or not words:
-            continue
-        group.append((name, words))
-        size += len(words)
-        if size >= GROUP_WORDS:
-            yield Windows(group, window_words)
-            group, size = [], 0
+        # A longer item goes in parts that share all but one word of a window.
+        step = GROUP_WORDS - window_words + 1
+        for at in range(0, max(len(words) - window_words + 1, min(len(words), 1)), step):
+            part = words[at : at + GROUP_WORDS]
+            group.append((name, part))
+            size += len(part)
+            if size >= GROUP_WORDS:
+                yield Windows(group, window_words)
+                group, size = [], 0
     if group:
         yield Windows(group, window_words)
 
@@ -280,7 +283,7 @@ def _searched(
         here = sent.value
         rows = hits([t or b"" for t in text_bytes(block.column(text))], here)
         spans = [[{"start": a, "end": b} for a, b in r[1]] for r in rows]
-        items = [sorted({here.items[i] for i in r[2]}) for r in rows]
+        items = [sorted({here.items[i] for i in r[2]} - {None}) for r in rows]
         if not first:
             old_spans, old_items = block.column("spans").to_pylist(), block.column("items").to_pylist()
             spans = [united(a + b) for a, b in zip(spans, old_spans, strict=True)]

@@ -63,11 +63,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.verified(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.verified(docs, pii.run_key(spark))
     shown = F.transform("entities", lambda e: F.struct(e["type"], e["start"], e["end"], e["surrogate"]))
-    return found.select(
-        "doc_id", "text", F.size("entities").cast("long").alias("n_entities"), shown.alias("entities")
-    )
+    n_entities = F.size("entities").cast("long").alias("n_entities")
+    return found.select("doc_id", "text", n_entities, shown.alias("entities"), "n_occurring")
 
 
 @registered

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerline.llm import (
@@ -29,6 +30,7 @@ from ledgerline.llm import (
 
 SPACED = re.compile("[^\x20\x09-\x0D]+")
 WORDS = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+KEY = b"only for tests"
 PASSAGE = "the quick brown fox jumps over the lazy dog while seven wizards brew a potion of " * 3
 
 
@@ -54,6 +56,13 @@ def odd(spark):
     return spark.createDataFrame(rows, schema)
 
 
+@pytest.fixture
+def secret(spark):
+    spark.conf.set(pii.SECRET, KEY.decode())
+    yield
+    spark.conf.unset(pii.SECRET)
+
+
 @pytest.fixture(scope="module")
 def nothing(odd):
     return odd.limit(0)
@@ -416,15 +425,15 @@ def hits(rows, items):
     for name, text in items:
         words = WORDS.findall(lower(text))
         n = min(10, len(words))
-        for at in range(len(words) - n + 1 if n and name is not None else 0):
-            windows[tuple(words[at : at + n])].add(str(name))
+        for at in range(len(words) - n + 1 if n else 0):
+            windows[tuple(words[at : at + n])] |= set() if name is None else {str(name)}
     sizes = {len(w) for w in windows}
     for key, text in rows:
         words, hit, found = WORDS.findall(lower(text)), set(), set()
         for n in sizes:
             for at in range(len(words) - n + 1):
                 names = windows.get(tuple(words[at : at + n]))
-                if names:
+                if names is not None:
                     hit.update(range(at, at + n))
                     found |= names
         digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
@@ -526,12 +535,12 @@ def test_surrogates_keep_type_and_coreference():
 
 def test_pseudonymised_tables(odd, nothing, spark, sf_oracle):
     for df in (odd, nothing):
-        got = pii.pseudonymised(df)
+        got = pii.pseudonymised(df, KEY)
         assert got.columns == [*df.columns, "entities"] and got.count() == df.count()
-    rows = {r["doc_id"]: r["text"] for r in pii.pseudonymised(odd).collect()}
+    rows = {r["doc_id"]: r["text"] for r in pii.pseudonymised(odd, KEY).collect()}
     assert rows[5] is None and rows[4] == "" and "bob.01" not in rows[11] and rows[9] == "a"
     docs = spark.read.parquet(f"{sf_oracle}/documents.parquet")
-    assert pii.collisions(pii.pseudonymised(docs)).count() == 0
+    assert pii.collisions(pii.pseudonymised(docs, KEY)).count() == 0
 
 
 def test_one_phone_number_has_one_surrogate():
@@ -543,13 +552,13 @@ def test_one_phone_number_has_one_surrogate():
     assert pii.replaced("call +44 207 946 0958", s)[0].startswith("call +44 ")
 
 
-def test_registered_surrogates_are_checked(spark, tmp_path):
+def test_registered_surrogates_are_checked(spark, tmp_path, secret):
     """An address that is the surrogate of another: either gets a surrogate that does not occur."""
     first = "10.0.0.1"
-    second = pii.Surrogates(pii.KEY).replace("ip", first)
+    second = pii.Surrogates(KEY).replace("ip", first)
     text = f"{first} and {second}, password=-------- as well, Mary Jones and Anna Smith, +٤٤ ٢٠٧ ٩٤٦ ٠٩٥٨"
     docs = spark.createDataFrame([(1, text), (2, f"again {second}")], "doc_id long, text string")
-    assert pii.conflicts(pii.pseudonymised(docs)).count() == 1
+    assert pii.conflicts(pii.pseudonymised(docs, KEY)).count() == 1
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     rows = {r["doc_id"]: r for r in registry.QUERIES["op8_pii_surrogates"](spark, str(tmp_path)).collect()}
     new = [e["surrogate"] for e in rows[1]["entities"] if e["type"] == "ip"]
@@ -558,6 +567,55 @@ def test_registered_surrogates_are_checked(spark, tmp_path):
     assert {r["doc_id"]: r["text"] for r in stage.collect()} == {k: r["text"] for k, r in rows.items()}
 
 
+def distinct_and_coreferent(rows):
+    new = defaultdict(set)
+    for r in rows:
+        for e in r["entities"]:
+            new[e["type"], e["identity"]].add(e["surrogate"])
+    assert all(len(v) == 1 for v in new.values())
+    assert len(new) == len({(t, *v) for (t, _), v in new.items()})
+    return new
+
+
+def test_dense_data_never_ends_a_run(spark, monkeypatch):
+    """Values that fill their shape's space: all two-letter names, most one-digit addresses, many numbers."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [f"Dr {a.upper()}{b} came." for a in letters for b in letters]
+    addresses = [f"from {i // 1000}.{i // 100 % 10}.{i // 10 % 10}.{i % 10} here" for i in range(0, 10_000, 2)]
+    phones = [f"call 555-01{i // 10}-{i % 10}000 or 212-555-{i:04}" for i in range(100)]
+    rows = list(enumerate([*names, *addresses, *phones, "nothing here", None]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_occurring", F.lit("mine"))
+    found = pii.verified(docs, KEY).collect()
+    new = distinct_and_coreferent(found)
+    assert len(found) == len(rows) and len(new) >= 676 + 5000
+    real = {k for k in new}
+    listed = {n for g in pii._GROUPS.values() for n in g}
+    for r in found:
+        occurring = [e for e in r["entities"] if (e["type"], e["surrogate"]) in real and e["surrogate"] not in listed]
+        assert r["n_occurring"] == len(occurring)
+    assert sum(r["n_occurring"] for r in found) > 676
+    assert {r["doc_id"] for r in found if r["text"] is None} == {len(rows) - 1}
+    monkeypatch.setattr(pii, "ANEW", 10)  # too many at once: the first permutation stands
+    again = {r["doc_id"]: r["text"] for r in pii.verified(docs, KEY).collect()}
+    assert again == {r["doc_id"]: r["text"] for r in pii.pseudonymised(docs, KEY).collect()}
+
+
+def test_a_million_phone_numbers(spark):
+    numbers = spark.range(1_000_000).selectExpr(
+        "id AS doc_id", "concat('at (', 200 + id % 700, ') ', 200 + id div 700 % 700, '-', lpad(id % 10000, 4, '0')) AS text"
+    )
+    found = pii.verified(numbers, KEY)
+    each = found.select(F.explode("entities").alias("e"), "n_occurring").select("e.*", "n_occurring")
+    sums = each.agg(F.count("*"), F.count_distinct("identity"), F.count_distinct("surrogate"), F.sum("n_occurring")).first()
+    assert sums[0] == 1_000_000 and sums[1] == sums[2] and sums[3] < 1_000
+
+
+def test_every_run_has_its_own_secret(spark, secret):
+    assert pii.run_key(spark) == KEY
+    spark.conf.unset(pii.SECRET)
+    assert pii.run_key(spark) != pii.run_key(spark) and len(pii.run_key(spark)) == 32
+
+
 # 10
 
 
@@ -626,6 +684,24 @@ def test_pipeline_stages(spark, odd, nothing, sf_small, documents):
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_small).count() >= docs.count()
 
 
+def test_stages_keep_the_values_of_every_column(spark, sf_small, documents):
+    """Columns with all names the operators work with, of other types, come through each stage as they were."""
+    names = (
+        "n_words spans items entities _entities _text_hash _row_hash _aside_0 _aside_1 bits doc score predicted held_out root "
+        "first none n_occurring fingerprint component_id type identity surrogate count _n _row _in_file node a b cell label"
+    ).split()
+    extra = [F.concat(F.lit(f"{n} "), F.col("doc_id")).alias(n) for n in names]
+    docs = documents.select("lang", "doc_id", *extra, "text", "source", "n_chars")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, sf_small)
+        assert after.schema.simpleString() == docs.schema.simpleString(), name
+        rows = after.collect()
+        assert rows and all(r[n] == f"{n} {r['doc_id']}" for r in rows for n in names), name
+        if name != "SimHash near-dedup" and name != "quality classifier":
+            assert all(r["n_chars"] == len(r["text"]) for r in rows if r["text"] is not None)
+        docs = after
+
+
 def test_near_duplicate_stage_keeps_one_row_of_each_group(spark):
     words = [" ".join(random.Random(i).choices("abcdefghijklmnopqrstuvwxyz", k=60)) for i in range(5)]
     copied, alone, nameless, mixed, other = words
@@ -644,7 +720,7 @@ def test_near_duplicate_stage_keeps_one_row_of_each_group(spark):
     assert answers[0] == answers[1]
 
 
-def test_pipeline_against_its_operators(spark, sf_small, documents, labels):
+def test_pipeline_against_its_operators(spark, sf_small, documents, labels, secret):
     trees = quality.train(documents, labels)
     good = [(k, t) for k, t in texts_of(documents) if trees.score(np.array([quality.statistics(t)]))[0] >= 0.3]
     seen, kept = [], []
@@ -658,7 +734,7 @@ def test_pipeline_against_its_operators(spark, sf_small, documents, labels):
     kept = [(k, t) for k, t in good if groups[k] == k]
     items = [tuple(r) for r in spark.read.parquet(f"{sf_small}/benchmark.parquet").select("item_id", "text").collect()]
     windows = decontaminate.Windows([(str(i), decontaminate.words_of(t.encode())) for i, t in items], 10)
-    surrogates = pii.Surrogates(pii.KEY)
+    surrogates = pii.Surrogates(KEY)
     table = tokens.WordIds(tokens.vocabulary_path(tokens.VOCABULARY))
     want = set()
     for key, text in kept:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ledgerline.contract import STRICT
 from ledgerline.operators.kept_summaries import Measure, add_changes, arriving, fold, read_summary, signed_changes
 from ledgerline.operators.profiles import column_value, described, drift, drifted, merged, read_profiles, store_profile
+from ledgerline.operators.mapping import apply_contract
+from ledgerline.operators.renames import column_signatures, drift_with_renames, with_known_names
 from ledgerline.plans import changed_files
 from ledgerline.plans.derived import ORDERS, arrive, as_text, given, leave, registrations
 from ledgerline.scratch import scratch_path
@@ -374,3 +376,33 @@ def profile_drift(spark, sf_dir):
     first, second, third = (merged(read_profiles(spark, path, [n])) for n in (1, 2, 3))
     told = lambda later, name: drift(first, later).select("column", drifted(rank_distance=0.12, value_distance=0.35).alias(name))
     return told(second, "second_drifted").join(told(third, "third_drifted"), "column")
+
+
+# Renamed columns
+
+
+@answered("""
+SELECT * FROM (VALUES ('o_custkey', 'renamed', 'Customer No'), ('o_orderpriority', 'renamed', 'urgency'),
+  ('o_totalprice', 'missing', NULL), ('clerk', 'extra', NULL)) AS t("column", status, found_as)
+WHERE (SELECT count(*) FROM orders) > 0""")
+def schema_renames(spark, sf_dir):
+    """Later orders come with two columns renamed, one gone and one that is new."""
+    raw = as_text(given(spark, sf_dir, "orders")).drop("o_orderdate")
+    expected = written_rows(column_signatures(raw.where("o_orderkey % 2 = 0")))
+    later = raw.where("o_orderkey % 2 = 1").select(
+        "o_orderkey", "o_orderstatus", F.col("o_custkey").alias("Customer No"), F.col("o_orderpriority").alias("urgency"),
+        F.concat(F.lit("Clerk#"), F.col("o_orderkey") % 10).alias("clerk"),
+    )
+    return drift_with_renames(later, ORDERS, expected).drop("score")
+
+
+@answered("""
+SELECT o_orderkey::VARCHAR AS "ORDER_KEY", o_custkey::VARCHAR AS "CUSTOMER_KEY", o_orderstatus AS "STATUS",
+       o_totalprice::DECIMAL(14,2) AS "TOTAL_PRICE", o_orderpriority AS "PRIORITY"
+FROM orders WHERE o_orderkey % 2 = 1""")
+def load_renamed(spark, sf_dir):
+    """The same columns under new names, loaded under the contract."""
+    raw = as_text(given(spark, sf_dir, "orders")).drop("o_orderdate")
+    expected = written_rows(column_signatures(raw.where("o_orderkey % 2 = 0")))
+    later = raw.where("o_orderkey % 2 = 1").withColumnsRenamed({"o_custkey": "Customer No", "o_orderpriority": "urgency"})
+    return apply_contract(with_known_names(later, ORDERS, expected), ORDERS, STRICT)

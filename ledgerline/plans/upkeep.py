@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.contract import STRICT
+from ledgerline.contract import LENIENT, STRICT, ColumnSpec, Contract
 from ledgerline.operators.kept_summaries import Measure, add_changes, arriving, fold, read_summary, signed_changes
 from ledgerline.operators.profiles import column_value, described, drift, drifted, merged, read_profiles, store_profile
 from ledgerline.operators.mapping import apply_contract
@@ -20,6 +20,7 @@ from ledgerline.sinks.bucketed import MergeMetrics, bucket_report, create_snapsh
 from ledgerline.sinks.curve import curve_clustered, file_ranges, files_left
 from ledgerline.sinks.tables import clustered, write_table
 from ledgerline.sinks.upkeep import depth_report, recluster
+from ledgerline.sources.nested import child_rows, proposed_contract
 from ledgerline.streaming.latest import keep_latest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -406,3 +407,51 @@ def load_renamed(spark, sf_dir):
     expected = written_rows(column_signatures(raw.where("o_orderkey % 2 = 0")))
     later = raw.where("o_orderkey % 2 = 1").withColumnsRenamed({"o_custkey": "Customer No", "o_orderpriority": "urgency"})
     return apply_contract(with_known_names(later, ORDERS, expected), ORDERS, STRICT)
+
+
+# Nested payloads
+
+_LINES = Contract(
+    "lines",
+    (
+        ColumnSpec("l_linenumber", "LINE", "int", precision=9),
+        ColumnSpec("l_quantity", "QUANTITY", "decimal", precision=10, scale=2),
+        ColumnSpec("return flag", "RETURN_FLAG"),
+        ColumnSpec("absent", "ABSENT"),
+    ),
+)
+
+
+def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An object for each order with its lines; of every tenth the lines end in a null and a number."""
+    line = F.struct("l_linenumber", "l_quantity", F.col("l_returnflag").alias("return flag"))
+    lines = given(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    text = F.transform("lines", lambda line: F.to_json(line))
+    tail = F.when(F.col("l_orderkey") % 10 == 0, F.array(F.lit("null"), F.lit("7"))).otherwise(F.array().cast("array<string>"))
+    head = F.concat(F.lit('{"key": '), F.col("l_orderkey").cast("string"), F.lit(', "of": {"lines": ['))
+    json = F.concat(head, F.array_join(F.concat(text, tail), ", "), F.lit("]}}"))
+    return lines.select("l_orderkey", F.parse_json(json).alias("payload"))
+
+
+@answered("""
+WITH lines AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity, l_returnflag) - 1 AS pos
+               FROM lineitem),
+ends AS (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey % 10 = 0 GROUP BY l_orderkey)
+SELECT l_orderkey, pos::INT AS "_pos", l_linenumber::INT AS "LINE", l_quantity::DECIMAL(10,2) AS "QUANTITY",
+       l_returnflag AS "RETURN_FLAG", NULL::VARCHAR AS "ABSENT", 'object' AS "_status", NULL::VARCHAR AS "_element" FROM lines
+UNION ALL SELECT l_orderkey, n::INT, NULL, NULL, NULL, NULL, 'null', 'null' FROM ends
+UNION ALL SELECT l_orderkey, n::INT + 1, NULL, NULL, NULL, NULL, 'scalar', '7' FROM ends""")
+def nested_children(spark, sf_dir):
+    """Each order's lines as rows with the order's key; what is no line is kept and told."""
+    return child_rows(_nested(spark, sf_dir), "payload", ["of", "lines"], _LINES, LENIENT, keep=["l_orderkey"])
+
+
+@answered("""
+SELECT * FROM (VALUES ('l_linenumber', 'L_LINENUMBER', 'int', NULL), ('l_quantity', 'L_QUANTITY', 'int', NULL),
+  ('return flag', 'RETURN_FLAG', 'string', (SELECT max(length(l_returnflag))::BIGINT FROM lineitem))) AS t(source, target, kind, length)
+WHERE (SELECT count(*) FROM lineitem) > 0""")
+def nested_contract(spark, sf_dir):
+    """The contract that the lines themselves suggest."""
+    found = proposed_contract(_nested(spark, sf_dir), "payload", "lines", ["of", "lines"])
+    rows = [(c.source, c.target, c.kind, c.length) for c in found.columns]
+    return spark.createDataFrame(rows, "source string, target string, kind string, length bigint")

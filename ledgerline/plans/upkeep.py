@@ -12,6 +12,7 @@ from ledgerline.contract import LENIENT, STRICT, ColumnSpec, Contract
 from ledgerline.operators.kept_summaries import Measure, add_changes, arriving, fold, read_summary, signed_changes
 from ledgerline.operators.profiles import column_value, described, drift, drifted, merged, read_profiles, store_profile
 from ledgerline.operators.mapping import apply_contract
+from ledgerline.operators.places import nearest, pairs_within
 from ledgerline.operators.renames import column_signatures, drift_with_renames, with_known_names
 from ledgerline.plans import changed_files
 from ledgerline.plans.derived import ORDERS, arrive, as_text, given, leave, registrations
@@ -455,3 +456,39 @@ def nested_contract(spark, sf_dir):
     found = proposed_contract(_nested(spark, sf_dir), "payload", "lines", ["of", "lines"])
     rows = [(c.source, c.target, c.kind, c.length) for c in found.columns]
     return spark.createDataFrame(rows, "source string, target string, kind string, length bigint")
+
+
+# Points in use
+
+_PLACES_IN_SQL = """
+WITH s AS (SELECT s_suppkey, s_suppkey * 37 % 3600 / 10.0::DOUBLE - 180 AS lon, s_suppkey * 53 % 1800 / 10.0::DOUBLE - 90 AS lat FROM supplier),
+c AS (SELECT c_custkey, c_custkey * 71 % 3600 / 10.0::DOUBLE - 180 AS lon, c_custkey * 29 % 1800 / 10.0::DOUBLE - 90 AS lat FROM customer),
+pairs AS (
+  SELECT s_suppkey, c_custkey, 2 * 6371.0088 * asin(sqrt(least(1.0, pow(sin(radians(c.lat - s.lat) / 2), 2)
+         + cos(radians(s.lat)) * cos(radians(c.lat)) * pow(sin(radians(c.lon - s.lon) / 2), 2)))) AS km FROM s, c)
+"""
+
+
+def _placed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Suppliers and customers all over the globe, poles and date line included."""
+    at = lambda key, step, size: (F.col(key) * step % size) / F.lit(10.0) - size / 20
+    suppliers = given(spark, sf_dir, "supplier").select("s_suppkey", at("s_suppkey", 37, 3600).alias("lon"), at("s_suppkey", 53, 1800).alias("lat"))
+    customers = given(spark, sf_dir, "customer").select("c_custkey", at("c_custkey", 71, 3600).alias("lon"), at("c_custkey", 29, 1800).alias("lat"))
+    return suppliers, customers
+
+
+@answered(_PLACES_IN_SQL + "SELECT s_suppkey, c_custkey, round(km, 3) AS km FROM pairs WHERE km <= 700")
+def points_within(spark, sf_dir):
+    """Suppliers and customers at most 700 km apart."""
+    pairs = pairs_within(*_placed(spark, sf_dir), 700)
+    return pairs.select("left.s_suppkey", "right.c_custkey", F.round("km", 3).alias("km"))
+
+
+@answered(_PLACES_IN_SQL + """
+SELECT s_suppkey, c_custkey, round(km, 3) AS km, rank::INT AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY s_suppkey ORDER BY round(km, 6), c_custkey) AS rank FROM pairs)
+WHERE rank <= 3""")
+def points_nearest(spark, sf_dir):
+    """The three customers nearest to each supplier."""
+    found = nearest(*_placed(spark, sf_dir), 3, ["c_custkey"])
+    return found.select("left.s_suppkey", "right.c_custkey", F.round("km", 3).alias("km"), "rank")

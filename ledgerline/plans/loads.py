@@ -324,8 +324,14 @@ def _fill(
     """Write the typed rows; what they overwrite stays until they are complete.
 
     A table is created with the contract's limits and comment and filled by column name,
-    unless ``options`` or ``partition_by`` ask for a layout of its own.
+    unless ``options`` or ``partition_by`` ask for a layout of its own. With the mode ``partitions`` only
+    the partitions that the rows belong to are overwritten, in a folder of Parquet files.
     """
+    if mode == "partitions":
+        if path is None or not partition_by or fmt != "parquet":
+            raise ValueError("the mode 'partitions' needs a target path of Parquet files and partition columns")
+        write_table(typed, replaced.partitions(path, len(partition_by)), options=options, partition_by=partition_by)
+        return
     plain = table is not None and not options and not partition_by
     if mode == "overwrite":
         table = None if table is None else replaced.table(table)

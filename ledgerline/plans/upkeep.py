@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.contract import LENIENT, STRICT, ColumnSpec, Contract
+from ledgerline.operators import summaries
 from ledgerline.operators.kept_summaries import Measure, add_changes, arriving, fold, read_summary, signed_changes
 from ledgerline.operators.profiles import column_value, described, drift, drifted, merged, read_profiles, store_profile
 from ledgerline.operators.mapping import apply_contract
@@ -19,6 +20,7 @@ from ledgerline.plans.derived import ORDERS, arrive, as_text, given, leave, regi
 from ledgerline.scratch import scratch_path
 from ledgerline.sinks.bucketed import MergeMetrics, bucket_report, create_snapshot, merge_into_snapshot, read_snapshot
 from ledgerline.sinks.curve import curve_clustered, file_ranges, files_left
+from ledgerline.sinks.partitions import MONTH, replace_partitions, within
 from ledgerline.sinks.tables import clustered, write_table
 from ledgerline.sinks.upkeep import depth_report, recluster
 from ledgerline.sources.nested import child_rows, proposed_contract
@@ -492,3 +494,34 @@ def points_nearest(spark, sf_dir):
     """The three customers nearest to each supplier."""
     found = nearest(*_placed(spark, sf_dir), 3, ["c_custkey"])
     return found.select("left.s_suppkey", "right.c_custkey", F.round("km", 3).alias("km"), "rank")
+
+
+# Partitions loaded again
+
+
+@answered("""
+SELECT o_orderkey, o_orderdate::TIMESTAMP AS o_orderdate, strftime(o_orderdate, '%Y-%m') AS month,
+       o_totalprice + CASE WHEN year(o_orderdate) = 1998 THEN 0 ELSE 1 END AS o_totalprice
+FROM orders WHERE NOT (year(o_orderdate) = 1998 AND o_orderstatus = 'P')""")
+def reload_months(spark, sf_dir):
+    """The months of 1998 are loaded again, at other prices and without pending orders; the others stay."""
+    path = scratch_path(spark, "months")
+    orders = given(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"))
+    derived = {"month": ("o_orderdate", MONTH)}
+    replace_partitions(orders.withColumn("o_totalprice", F.col("o_totalprice") + 1), path, ["month"], derived)
+    again = orders.where((F.year("o_orderdate") == 1998) & (F.col("o_orderstatus") != "P"))
+    replace_partitions(again, path, ["month"], derived)
+    return spark.read.parquet(path).withColumn("month", F.col("month").cast("string")).drop("o_orderstatus")
+
+
+@answered("""
+SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n FROM orders
+WHERE o_orderdate >= TIMESTAMP '1996-11-15' AND o_orderdate < TIMESTAMP '1997-03-02' GROUP BY month""")
+def pruned_months(spark, sf_dir):
+    """Orders of some weeks, read from the folders of their months alone."""
+    path = scratch_path(spark, "months")
+    orders = given(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+    replace_partitions(orders, path, ["month"], {"month": ("o_orderdate", MONTH)})
+    stored = spark.read.schema(orders.schema.add("month", "string")).parquet(path)
+    some = within(stored, "o_orderdate", "month", "1996-11-15 00:00:00", "1997-03-02 00:00:00")
+    return summaries.count_by(some, "month", "n")

@@ -24,6 +24,7 @@ class Replacement:
         self._paths: list[tuple[str, str]] = []
         self._tables: list[tuple[str, str]] = []
         self._files: list[tuple[str, str, list[str]]] = []
+        self._partitions: list[tuple[str, str, int]] = []
 
     def __enter__(self) -> Replacement:
         return self
@@ -53,6 +54,12 @@ class Replacement:
         self._files.append((beside, folder.rstrip("/"), list(old)))
         return beside
 
+    def partitions(self, folder: str, depth: int) -> str:
+        """Where to write partitions, ``depth`` folders deep, that are to replace those of the same names."""
+        beside = f"{folder.rstrip('/')}/_new_{uuid.uuid4().hex}"
+        self._partitions.append((beside, folder.rstrip("/"), depth))
+        return beside
+
     def commit(self) -> None:
         """Put everything in place; the old contents go last.
 
@@ -66,6 +73,8 @@ class Replacement:
                 self._exchange_path(beside, target, undo, aside)
             for beside, folder, old in self._files:
                 self._exchange_files(beside, folder, old, undo, aside)
+            for beside, folder, depth in self._partitions:
+                self._exchange_partitions(beside, folder, depth, undo, aside)
             for beside, target in self._tables:
                 self._exchange_table(beside, target, undo, aside)
         except BaseException:
@@ -78,7 +87,7 @@ class Replacement:
 
     def discard(self) -> None:
         """Remove what was prepared."""
-        discard(self._spark, *[beside for beside, *_ in self._paths + self._files])
+        discard(self._spark, *[beside for beside, *_ in self._paths + self._files + self._partitions])
         for beside, _ in self._tables:
             self._spark.sql(f"DROP TABLE IF EXISTS {beside}")
 
@@ -116,6 +125,21 @@ class Replacement:
             self._move(status.getPath().toString(), f"{folder}/{name.replace('part-', f'part-{i:05d}-', 1)}", undo)
         aside.append(lambda: discard(self._spark, old, beside))
 
+    def _exchange_partitions(self, beside: str, folder: str, depth: int, undo: list, aside: list) -> None:
+        old = beside.replace("_new_", "_old_")
+        undo.append(lambda: discard(self._spark, old))
+        pattern, system = self._place(beside + "/*=*" * depth)
+        for status in system.globStatus(pattern) or ():
+            new = status.getPath().toString()
+            name = "/".join(new.split("/")[-depth:])
+            for parent in (f"{folder}/{name}", f"{old}/{name}"):
+                system.mkdirs(self._place(parent)[0].getParent())
+            if system.exists(self._place(f"{folder}/{name}")[0]):
+                self._move(f"{folder}/{name}", f"{old}/{name}", undo)
+            self._move(new, f"{folder}/{name}", undo)
+        aside.append(lambda: discard(self._spark, old, beside))
+        aside.append(lambda: self._spark.catalog.refreshByPath(folder))
+
     def _exchange_table(self, beside: str, target: str, undo: list, aside: list) -> None:
         old = _renamed(target, f"_old_{uuid.uuid4().hex}")
         rename = lambda a, b: self._spark.sql(f"ALTER TABLE {a} RENAME TO {b}")

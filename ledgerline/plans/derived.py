@@ -27,18 +27,19 @@ def as_text(df: DataFrame) -> DataFrame:
 
 
 def documents(
-    df: DataFrame, names: Sequence[str] | None = None, alternate: bool = False, cells: Column | None = None
-) -> DataFrame:
+    df: DataFrame, names: Sequence[str] | None = None, alternate: bool = False, cells: Column | None = None,
+    number: Column | None = None,
+) -> DataFrame:
     """The rows of a table as envelope documents, one text each (column ``value``).
 
-    Documents take a bounded number of neighbouring rows, whatever keys these hold.
-    With ``alternate`` every other document has its columns in reverse order.
+    Documents take a bounded number of neighbouring rows, whatever keys these hold, or the rows of
+    one ``number``. With ``alternate`` every other document has its columns in reverse order.
     """
     names = list(names or df.columns)
     row = F.array(*[F.col(quoted(c)).cast("string") for c in names]) if cells is None else cells
-    numbered = df.select(
-        F.expr(f"monotonically_increasing_id() div {ROWS_PER_DOCUMENT}").alias("document"), row.alias("row")
-    )
+    if number is None:
+        number = F.expr(f"monotonically_increasing_id() div {ROWS_PER_DOCUMENT}")
+    numbered = df.select(number.alias("document"), row.alias("row"))
     if alternate:
         turned = F.col("document") % 2 == 1
         numbered = numbered.withColumn("row", F.when(turned, F.reverse("row")).otherwise(F.col("row")))

@@ -201,9 +201,10 @@ def mixed_documents(spark, sf_dir):
     """Order documents of very different sizes; the larger ones are cut between tasks."""
     orders = given(spark, sf_dir, "orders")
     base = scratch_path(spark, "mixed")
-    few = F.col("o_orderkey") % 10 == 0
-    write_documents(documents(orders.where(few).coalesce(1), alternate=True), f"{base}/in/few")
-    write_documents(documents(orders.where(~few).coalesce(1), alternate=True), f"{base}/in/many")
+    # A document for each range of keys: a tenth of its orders, and the others.
+    few, ranges = F.col("o_orderkey") % 10 == 0, F.expr(f"o_orderkey div {ROWS_PER_DOCUMENT}")
+    write_documents(documents(orders.where(few), alternate=True, number=ranges), f"{base}/in/few")
+    write_documents(documents(orders.where(~few), alternate=True, number=ranges), f"{base}/in/many")
     envelopes_to_raw(spark, f"{base}/in/*", f"{base}/raw", long_file_bytes=200_000)
     return spark.read.parquet(f"{base}/raw")
 

@@ -21,6 +21,7 @@ repeated rows are answered row by row; null ids and urls are kept.
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections import Counter
@@ -65,14 +66,12 @@ _NEUTRAL = frozenset(
     "left link links list main middle module outer panel right row section slot text title top unit wrap wrapper".split()
 )
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?/][^>]*>"
-    r"|(?P<text>[^<]+|<)",
-    re.S,
-)
-_ENDS = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in _RAW}
+# Nothing here is tried twice over the same text: names and attributes give nothing back once read.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>\"']*+)")
+_REST = re.compile(r"(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+>")
+_SPECIAL = re.compile(r"[<>\"']")
+_ENDS = {name: re.compile(rf"</{name}\b", re.I) for name in _RAW}
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[a-z]{2,}")
 
@@ -88,30 +87,84 @@ def _dismisses(name: str) -> bool:
     return not _NAMES.isdisjoint(parts) and parts <= _NAMES | _NEUTRAL
 
 
+class _Closing:
+    """Whether a tag whose attributes begin at a place is ever closed by a > outside quotes.
+
+    Worked out from the page's end, once, and only for a page on which some tag is not.
+    """
+
+    def __init__(self, page: str):
+        self.places: list[int] = []
+        self.closed: list[bool] = []
+        plain = double = single = False  # outside quotes, and in either kind
+        for m in reversed([(m.start(), m[0]) for m in _SPECIAL.finditer(page)]):
+            place, c = m
+            plain, double, single = (
+                c == ">" or (double if c == '"' else single if c == "'" else plain),
+                plain if c == '"' else double,
+                plain if c == "'" else single,
+            )
+            self.places.append(-place)
+            self.closed.append(plain)
+
+    def __call__(self, at: int) -> bool:
+        i = bisect.bisect_right(self.places, -at) - 1
+        return i >= 0 and self.closed[i]
+
+
+def _markup(page: str) -> Iterator[tuple[str | None, bool, str]]:
+    """Texts (no name) and tags with their attributes in order, in time linear in the page; without comments,
+    declarations and the insides of raw elements."""
+    at, closes = 0, None
+    last = page.rfind(">")
+    while at < len(page):
+        here = page.find("<", at)
+        if here < 0:
+            here = len(page)
+        if here > at:
+            yield None, False, page[at:here]
+            at = here
+            continue
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            at = end + 3 if end >= 0 else len(page)
+            continue
+        rest = None
+        for tag in (_TAG, _PLAIN_TAG) if at < last else ():
+            start = tag.match(page, at)
+            if start and (closes is None or closes(start.end())):
+                rest = _REST.match(page, start.end())
+                if rest:
+                    break
+                closes = closes or _Closing(page)
+        if rest:
+            at = rest.end()
+            name, closing, told = start[2].lower(), bool(start[1]), rest[0][:-1]
+            if name in _ENDS and not closing and not told.endswith("/"):
+                end = _ENDS[name].search(page, at)
+                end = page.find(">", end.end()) if end else -1
+                at = end + 1 if end >= 0 else len(page)
+                continue
+            yield name, closing, told
+        elif at < last and page[at + 1] in "!?/":
+            at = page.find(">", at) + 1
+        else:
+            yield None, False, "<"
+            at += 1
+
+
 def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
     """Tags and texts in order: (kind, text, inside the named article, to be left out)."""
-    at = 0
     # Elements that hold others: name, left out (1 by the element, 2 by a name, 0 not), article.
     open_: list[tuple[str, int, bool]] = []
     left_out = article = links = 0
+    held: Counter[str] = Counter()  # their names
     first = True
     block = ""
-    while True:
-        found = _TOKEN.match(page, at)
-        if not found:
-            return
-        at = found.end()
-        text, name = found["text"], found["name"]
-        if text is not None:
-            where = "out" if left_out else "link" if links else block or "body"
-            yield f"word@{where}", text, bool(article), left_out > 0
-            continue
+    for name, closing, rest in _markup(page):
         if name is None:
-            continue
-        name, closing = name.lower(), bool(found["close"])
-        if name in _ENDS and not closing and not found["rest"].endswith("/"):
-            end = _ENDS[name].search(page, at)
-            at = end.end() if end else len(page)
+            where = "out" if left_out else "link" if links else block or "body"
+            yield f"word@{where}", rest, bool(article), left_out > 0
             continue
         if name == "a":
             links = 0 if closing else 1
@@ -127,17 +180,19 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
                 elif name in _MAIN and not article:
                     drop = 0
                 else:
-                    drop = 2 * _unwanted(found["rest"])
+                    drop = 2 * _unwanted(rest)
                 if name in _MAIN and first:
                     first = False
                     left_out -= sum(x[1] == 2 for x in open_)
                     open_ = [(n, 0 if d == 2 else d, m) for n, d, m in open_]
                 open_.append((name, drop, name in _MAIN))
+                held[name] += 1
                 left_out += drop > 0
                 article += name in _MAIN
-            elif any(x[0] == name for x in open_):
+            elif held[name]:
                 while True:
                     last, drop, main = open_.pop()
+                    held[last] -= 1
                     left_out -= drop > 0
                     article -= main
                     if last == name:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -265,6 +266,42 @@ def test_html_extraction_of_odd_pages(spark):
     assert html_text.extracted(pages.limit(0), html_text.train(pages.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, "<! " * 350_000, "<a '" * 250_000 + '"', "</script " * 120_000, "<script>" + "</script " * 120_000,
+    "<div>" * 100_000 + "</p></section>" * 60_000, "<a <" * 200_000 + "' >", "<a \"'" * 200_000, "<" * 1_000_000, "<!--" * 250_000,
+])
+def test_broken_markup_is_read_in_linear_time(page):
+    start = time.perf_counter()
+    n = sum(1 for _ in html_text.tokens(page))
+    assert n <= len(page) and time.perf_counter() - start < 8  # about a second; quadratic would be hours
+
+
+def test_markup_against_patterns():
+    """Tags and texts as one pattern for each finds them, on random broken markup."""
+    token = re.compile(
+        r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|(?P<text>[^<]+|<)", re.S
+    )
+    bits = ["<a ", '<div class="x y">', "</div>", "<p>", "text ", '"', "'", ">", "<", "</", "<!--", "-->", "<!x", "/", "x=", "&amp;", "\n", '<a"b c">']
+    rng = random.Random(3)
+    for _ in range(5000):
+        page = "".join(rng.choices(bits, k=rng.randint(1, 14)))
+        want = [(m["name"] and m["name"].lower(), m["text"] or m["rest"]) for m in token.finditer(page) if m["name"] or m["text"]]
+        got = [(name, rest) for name, _, rest in html_text._markup(page)]
+        texts = lambda rows: [(n, r) for n, r in rows if n] + ["".join(r for n, r in rows if not n)]
+        assert texts(got) == texts(want), page
+
+
+def test_html_extraction_of_long_repeated_pages(spark):
+    """Long pages, whole and cut off, twice over, beside columns named as the operator's own."""
+    words = " ".join(f"word{i % 997}" for i in range(60_000))
+    page = f"<html><body><nav><a href=x>menu</a></nav><article><h1>Title</h1><p>{words}</p></article></body></html>"
+    rows = [(1, "u", page), (1, "u", page), (2, "u", page[: len(page) - 24]), (3, "u", "<a " * 100_000), (4, "u", None)]
+    pages = spark.createDataFrame([(*r, 5, "mine") for r in rows], "page_id long, url string, html string, n_chars int, text string")
+    got = sorted((r["page_id"], r["n_chars"], r["text"]) for r in html_text.extracted(pages, html_text.Weights()).collect())
+    assert got[0] == got[1] == (1, len(f"Title\n{words}"), f"Title\n{words}") and got[2][2] == f"Title\n{words}"
+    assert got[4] == (4, 0, "") and len(got) == 5
+
+
 # 4
 
 

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import sys
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,8 @@ _PLAIN = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+$"
 
 #: How a byte-level vocabulary writes the bytes that have no sign of their own, the blank left out.
 _SIGNLESS = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
-_BYTES = {b: 256 + i for i, b in enumerate(_SIGNLESS) if b != 32}
+_BYTES = {chr(b): chr(256 + i) for i, b in enumerate(_SIGNLESS) if b != 32}
+_TO_SIGN = re.compile(f"[{re.escape(''.join(_BYTES))}]")
 
 
 class WordIds:
@@ -85,16 +87,13 @@ class WordIds:
         # Letters are cut from a closing mark anyway, and their case plays no part.
         plain = pc.match_substring_regex(body, _PLAIN)
         bodies = pc.utf8_lower(body.filter(plain)).dictionary_encode()
-        names = bodies.dictionary.to_pylist()
-        others = column.filter(pc.invert(plain)).to_pylist()
+        names = _texts(bodies.dictionary)
+        others = _texts(column.filter(pc.invert(plain)))
         plain = plain.to_numpy(zero_copy_only=False)
         marks = np.zeros(len(words), np.uint32)
         for mark, number in self.marks.items():
             marks[pc.equal(last, mark).to_numpy(zero_copy_only=False) & plain] = number
-        joined = [
-            " ".join(names[i : i + _JOINED]).encode().decode("latin-1").translate(_BYTES)
-            for i in range(0, len(names), _JOINED)
-        ]
+        joined = [_signed(" ".join(names[i : i + _JOINED])) for i in range(0, len(names), _JOINED)]
         found = [e.ids for e in self.letters.encode_batch_fast(joined, add_special_tokens=False)]
         flat = np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))
         ends = np.flatnonzero(self.ends_word[flat]) + 1
@@ -126,10 +125,13 @@ class WordIds:
     def _codes(self, words: list[str]) -> np.ndarray:
         if len(self.code) > KEPT_WORDS:
             self._forget()
-        missing = [w for w in words if w not in self.code]
-        if missing:
-            self._learn(missing)
-        return np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+        known = len(self.code)
+        codes = np.fromiter(map(self.code.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(codes < 0)
+        if len(missing):
+            self._learn([words[i] for i in missing.tolist()])  # the words are distinct
+            codes[missing] = known + np.arange(len(missing))
+        return codes
 
     def encode(self, texts: pa.Array, last: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, each text's followed by the id ``last``, and how many
@@ -142,7 +144,7 @@ class WordIds:
         words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         edges = words.offsets.to_numpy()
         distinct = words.flatten().dictionary_encode()
-        used = self._codes(distinct.dictionary.to_pylist())
+        used = self._codes(_texts(distinct.dictionary))
         codes = used[distinct.indices.to_numpy()]
         self.uses += np.bincount(codes, minlength=len(self.uses))
         counts = self.count[codes]
@@ -151,6 +153,18 @@ class WordIds:
         return np.insert(ids, ends[1:], last), np.diff(ends) + 1
 
 
+def _texts(column: pa.Array) -> list[str]:
+    """A column's texts, without a scalar of Arrow's for each."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _signed(text: str) -> str:
+    """The UTF-8 bytes of a text as the vocabulary's letters."""
+    if text.isascii():  # small letters and blanks, which stand for themselves
+        return text
+    return _TO_SIGN.sub(lambda m: _BYTES[m[0]], text.encode().decode("latin-1"))
+
+
 def _ranges(firsts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The numbers first, first + 1, ... of each range, one range after the other."""
     ends = np.cumsum(counts)

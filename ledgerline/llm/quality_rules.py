@@ -1,7 +1,7 @@
 """Quality rules and a log-likelihood ratio of hashed n-grams, in DataFrame expressions only.
 
 Two multinomials over ``BUCKETS`` hash buckets of words and neighbouring pairs of words are
-counted: one over a trusted target (a bounded sample of documents labelled good), one over the
+counted, in one pass: one over a trusted target (all documents labelled good), one over the
 whole raw corpus. A bucket weighs the logarithm of its target count over the count expected from
 the raw corpus, both smoothed by ``SMOOTHING`` occurrences. A document's score is the mean weight
 of its n-grams, so length plays no part, and every document scoring below ``THRESHOLD`` goes: the
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import keyed_text, written
 
 BUCKETS = 1 << 16
-TARGET_DOCS = 20_000
+#: Trusted keys that are sent to every task; more meet the documents in a shuffle.
+SENT_KEYS = 2_000_000
 SMOOTHING = 5.0
 THRESHOLD = -0.1
 LEAST_WORDS = 50
@@ -91,7 +92,7 @@ def _buckets(docs: DataFrame) -> DataFrame:
     return found.select(*kept, "told", F.pmod("hash", F.lit(BUCKETS)).alias("bucket"))
 
 
-def weights(docs: DataFrame, labels: DataFrame, size: int = TARGET_DOCS) -> DataFrame:
+def weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per bucket that occurs: bucket, weight in millionths."""
     trusted = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
@@ -99,14 +100,14 @@ def weights(docs: DataFrame, labels: DataFrame, size: int = TARGET_DOCS) -> Data
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"))
         .filter("quality = 1")
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(size)
     )
-    target = docs.join(F.broadcast(trusted), "doc_id", "left_semi")  # ``size`` keys
-    raw = _buckets(docs).groupBy("bucket").agg(F.count("*").alias("raw"))
-    good = _buckets(target).groupBy("bucket").agg(F.count("*").alias("good"))
+    trusted = written(trusted.select("doc_id", F.lit(True).alias("trusted")), "trusted")
+    if trusted.count() <= SENT_KEYS:
+        trusted = F.broadcast(trusted)
+    grams = _buckets(docs.join(trusted, "doc_id", "left"))
+    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count_if("trusted").alias("good"))
     # ``BUCKETS`` rows at most from here on.
-    both = written(raw.join(good, "bucket", "left").fillna(0, ["good"]), "buckets")
+    both = written(counts, "buckets")
     raws, goods = both.agg(F.sum("raw"), F.sum("good")).first()
     expected = F.col("raw") * F.lit((goods or 0) / (raws or 1))
     ratio = F.log((F.col("good") + SMOOTHING) / (expected + SMOOTHING))

@@ -530,6 +530,43 @@ def test_quality_rules_judge_the_labelled(spark, sf_oracle):
     assert rows[(rows["quality"] == 1) & ~rows["base_failed"]]["kept"].all()
 
 
+@pytest.mark.parametrize("sent", [quality_rules.SENT_KEYS, 0])
+def test_quality_verdicts_by_counting(spark, odd, nothing, documents, labels, sent, monkeypatch):
+    """The likelihood ratio, its mean and the verdict of every row, all trusted documents counted."""
+    monkeypatch.setattr(quality_rules, "SENT_KEYS", sent)
+
+    def grams(text):
+        words = [w.encode() for w in SPACED.findall(text or "")]
+        one = [xxhash.xxh64_intdigest(w, 42) for w in words]
+        two = [xxhash.xxh64_intdigest(b, h) for h, b in zip(one, words[1:], strict=False)]
+        return [h % quality_rules.BUCKETS for h in one + two]
+
+    known = spark.createDataFrame([(1, 1), (6, 1), (6, 1), (7, 1), (7, 0), (9, None), (None, 1), (10, 0)], "doc_id long, quality int")
+    for df, of in ((odd, known), (documents, labels), (nothing, known), (odd, known.limit(0))):
+        least = {}
+        for k, q in of.select("doc_id", "quality").collect():
+            if k is not None and q is not None:
+                least[k] = min(q, least.get(k, 1))
+        rows = texts_of(df)
+        raw, good = Counter(), Counter()
+        for k, text in rows:
+            raw.update(grams(text))
+            if least.get(k) == 1:
+                good.update(grams(text))
+        share = sum(good.values()) / (sum(raw.values()) or 1)
+        weight = {b: round(1e6 * np.log((good[b] + 5) / (raw[b] * share + 5))) for b in raw}
+        want = []
+        for k, text in rows:
+            total = [weight[b] for b in grams(text)]
+            want.append((k, sum(total) / len(total) / 1e6 if total else None))
+        got = quality_rules.judged(df, of).select("doc_id", "mean_weight", "base_failed", "kept").collect()
+        order = lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0)
+        assert len(got) == len(want)
+        for g, w in zip(sorted(got, key=order), sorted(want, key=order), strict=True):
+            assert g[0] == w[0] and g[1] == (w[1] if w[1] is None else pytest.approx(w[1], abs=2e-6))
+            assert g["kept"] == (not g["base_failed"] and w[1] is not None and w[1] >= quality_rules.THRESHOLD) or abs(w[1] + 0.1) < 1e-5
+
+
 def test_quality_rules_run_no_python(documents, labels):
     plan = quality_rules.judged(documents, labels)._jdf.queryExecution().toString()
     assert not re.search("Python|InPandas|InArrow", plan)

@@ -4,8 +4,9 @@ A word gives four terms: itself and its first four, five and six letters (insult
 endings share these). Terms are hashed to 32 bits. A bounded sample of labelled documents is
 counted in Spark, and the ``TERMS`` hashes whose presence depends most on the label (chi-square)
 enter the machine: a bias, a weight each, and a short vector each, whose inner products weigh
-every pair of terms present, such as an insult with the name of a group. Repetition does not
-count: a term is present or not, so that long texts are not toxic by length.
+every pair of terms present, such as an insult with the name of a group. Terms that say nothing alone
+enter as well if some pair of them does: the ``PAIR_TERMS`` commonest others are counted two by two.
+Repetition does not count: a term is present or not, so that long texts are not toxic by length.
 
 Rows: a null or empty text has no term and gets the bias's score; repeated rows get equal
 scores; a null key is not held out and keeps its row. Without labels of both kinds the score is
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import string
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,6 +34,9 @@ FOLDS, HELD_OUT = 4, 2
 TERMS, FACTORS = 4096, 8
 #: A term enters if this many sampled documents have it, and its chi-square is at least this.
 LEAST_DOCS, LEAST_CHI = 5, 25.0
+#: Other terms that are looked at in pairs, the sampled documents that must have one, and the chi-square by which
+#: the presence of both must depend on the label (two million pairs reach 30 by chance).
+PAIR_TERMS, LEAST_PAIR_DOCS, LEAST_PAIR_CHI = 2048, 20, 60.0
 
 
 def hashed_terms(word: str) -> list[int]:
@@ -89,7 +94,7 @@ class Machine:
 
 def fit(
     terms: np.ndarray, row: np.ndarray, term: np.ndarray, y: np.ndarray,
-    factors: int = FACTORS, steps: int = 150, rate: float = 0.1, decay: float = 5e-4,
+    factors: int = FACTORS, steps: int = 500, rate: float = 0.1, decay: float = 5e-4,
 ) -> Machine:
     """Minimise the logistic loss by Adam over all rows at once. (row, term): terms present."""
     ones = float(y.mean()) if len(y) else 0.5
@@ -120,6 +125,28 @@ def fit(
     return machine
 
 
+def _chi(n, ones_among, ones, total):
+    """The chi-square of a presence (in n documents, of which some are ones) against the label."""
+    expected = n * ones / max(total, 1)
+    return (ones_among - expected) ** 2 * total / (expected * (1 - ones / max(total, 1)) * (total - n) + 1e-9)
+
+
+def telling_pairs(row: np.ndarray, term: np.ndarray, y: np.ndarray, m: int) -> np.ndarray:
+    """The terms (numbers below m) of pairs whose joint presence depends on the label."""
+    both, both_ones = np.zeros((m, m), np.float32), np.zeros((m, m), np.float32)
+    edges = np.searchsorted(row, np.arange(0, len(y) + 2000, 2000))
+    for at, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        here = y[at * 2000 : (at + 1) * 2000]
+        present = np.zeros((len(here), m), np.float32)
+        present[row[a:b] - at * 2000, term[a:b]] = 1
+        both += present.T @ present
+        both_ones += present[here == 1].T @ present[here == 1]
+    np.fill_diagonal(both, 0)
+    # Pairs that exclude a label tell as much as pairs that make it.
+    chi = np.where(both >= LEAST_DOCS, _chi(both, both_ones, float(y.sum()), len(y)), 0)
+    return np.flatnonzero((chi >= LEAST_PAIR_CHI).any(axis=1))
+
+
 def train(
     df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", size: int = SAMPLE
 ) -> Machine:
@@ -139,26 +166,46 @@ def train(
     )
     total, ones = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     counted = sample.select("label", F.explode("terms").alias("term")).groupBy("term")
-    with_term, and_one = F.col("n"), F.col("n1")
-    expected = with_term * ones / max(total, 1)
-    chi = (and_one - expected) ** 2 * total / (
-        expected * (1 - F.lit(ones) / max(total, 1)) * (total - with_term) + F.lit(1e-9)
-    )
-    chosen = (
-        counted.agg(F.count("*").alias("n"), F.sum("label").alias("n1"))
-        .withColumn("chi", chi)
-        .filter((F.col("n") >= LEAST_DOCS) & (F.col("chi") >= LEAST_CHI))
-        .orderBy(F.desc("chi"), "term")
-        .limit(TERMS)
-        .select("term")
-    )
-    terms = np.sort(chosen.toArrow().column("term").to_numpy())
-    kept = F.array_intersect("terms", F.array(*[F.lit(int(t)) for t in terms]).cast("array<long>"))
-    rows = sample.select("doc_id", "label", kept.alias("terms")).orderBy("doc_id", "label").limit(size).toArrow()
-    lists = rows.column("terms").to_pylist()
-    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    term = np.searchsorted(terms, np.array([t for x in lists for t in x], np.int64))
-    return fit(terms, row, term, rows.column("label").to_numpy().astype(float))
+    counted = counted.agg(F.count("*").alias("n"), F.sum("label").alias("n1")).filter(F.col("n") >= LEAST_DOCS)
+    counted = written(counted.withColumn("chi", _chi(F.col("n"), F.col("n1"), F.lit(ones), total)), "toxicity-terms")
+    alone = counted.filter(F.col("chi") >= LEAST_CHI).orderBy(F.desc("chi"), "term").limit(TERMS)
+    others = counted.filter((F.col("chi") < LEAST_CHI) & (F.col("n") >= LEAST_PAIR_DOCS))
+    others = others.orderBy(F.desc("n"), "term").limit(PAIR_TERMS)
+    listed = lambda chosen: chosen.select("term").toArrow().column("term").to_numpy()
+    terms, others = listed(alone), listed(others)
+    looked_at = np.sort(np.concatenate((terms, others)))
+    row, term, y = _presence(sample, looked_at, size)
+    is_other = np.isin(looked_at, others)
+    number = np.cumsum(is_other) - 1
+    chosen = ~is_other
+    here = is_other[term]
+    chosen[np.flatnonzero(is_other)[telling_pairs(row[here], number[term[here]], y, len(others))]] = True
+    place, kept = np.cumsum(chosen) - 1, chosen[term]
+    return fit(looked_at[chosen], row[kept], place[term[kept]], y)
+
+
+def _presence(sample: DataFrame, terms: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which of the terms (sorted) each sampled document has: (row, place of the term), and the labels."""
+    sent = sample.sparkSession.sparkContext.broadcast(terms)  # TERMS and PAIR_TERMS bound it
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = sent.value
+        for batch in batches:
+            lists = batch.column("terms")
+            values = lists.flatten().to_numpy()
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            place = np.searchsorted(wanted, values)
+            good = wanted[np.minimum(place, len(wanted) - 1)] == values if len(wanted) else np.zeros(len(values), bool)
+            edges = np.searchsorted(owner[good], np.arange(batch.num_rows + 1)).astype(np.int32)
+            kept = pa.ListArray.from_arrays(pa.array(edges), pa.array(place[good].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), kept], ["doc_id", "label", "at"])
+
+    rows = sample.mapInArrow(places, "doc_id long, label int, at array<int>").orderBy("doc_id", "label").limit(size)
+    found = rows.toArrow().combine_chunks()
+    lists = found.column("at").combine_chunks() if found.num_rows else pa.array([], pa.list_(pa.int32()))
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    row = np.repeat(np.arange(found.num_rows), np.diff(lists.offsets.to_numpy()) if len(lists) else 0)
+    return row, lists.flatten().to_numpy(), found.column("label").to_numpy().astype(float)
 
 
 def scored(df: DataFrame, machine: Machine, key: str = "doc_id", text: str = "text") -> DataFrame:

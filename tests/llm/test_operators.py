@@ -434,6 +434,29 @@ def test_trees_learn_and_flat_traversal_agrees():
     assert np.allclose(score[:50], [one(r) for r in x[:50]])
 
 
+@pytest.mark.parametrize("rule", ["one of two", "both of two"])
+def test_toxicity_that_lies_in_a_pair_alone(spark, rule):
+    """From texts to scores: documents are toxic by two words together, of which neither tells anything alone."""
+    rng = random.Random(5)
+    filler = [f"filler{i}" for i in range(300)]
+    rows, known = [], []
+    for i in range(6_000):
+        words = rng.choices(filler, k=25)
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        words += ["marmots"] * a + ["gherkins"] * b
+        if rule == "both of two":
+            toxic = a and b or (not a and not b)
+        else:
+            toxic = a != b
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        known.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = toxicity.toxicity(docs, spark.createDataFrame(known, "doc_id long, toxic int")).toPandas()
+    held = got[got["held_out"]].merge(spark.createDataFrame(known, "doc_id long, toxic int").toPandas(), on="doc_id")
+    assert len(held) > 1000 and ((held["score"] > 0.5) == (held["toxic"] == 1)).mean() > 0.97
+
+
 @pytest.mark.parametrize("name, label, folds, held", [("op5_toxicity", "toxic", 4, 2), ("op9_quality", "quality", 5, 0)])
 def test_held_out_accuracy(spark, sf_oracle, name, label, folds, held):
     rows = registry.QUERIES[name](spark, sf_oracle).toPandas()

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.scratch import scratch_path
+from ledgerline.scratch import discard, scratch_path
 
 #: Bytes of text a task holds in arrays at a time; a single longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
@@ -65,4 +65,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     executor costs nothing that is already written."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Tables written so far, for those who know when they are read no more.
+_WRITTEN: list[str] = []
+
+
+def n_written() -> int:
+    return len(_WRITTEN)
+
+
+def drop_written(spark: SparkSession, since: int, keep: int = 0) -> None:
+    """Remove the tables written after the first ``since``, but for the last ``keep``."""
+    end = len(_WRITTEN) - keep
+    discard(spark, *_WRITTEN[since:end])
+    del _WRITTEN[since:end]

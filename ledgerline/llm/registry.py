@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import answers, chat_format, conversation_repair, decontaminate, html_text, merkle, packing, pii, quality, quality_rules, simhash, suffix_dedup, token_files, toxicity
+from ledgerline.llm import (
+    answers,
+    chat_format,
+    conversation_repair,
+    decontaminate,
+    html_text,
+    merkle,
+    packing,
+    pii,
+    quality,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    token_files,
+    toxicity,
+)
 from ledgerline.llm.common import table
 from ledgerline.scratch import scratch_path
 

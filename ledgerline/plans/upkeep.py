@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from ledgerline.contract import LENIENT, STRICT, ColumnSpec, Contract
 from ledgerline.operators import summaries
 from ledgerline.operators.kept_summaries import Measure, add_changes, arriving, fold, read_summary, signed_changes
-from ledgerline.operators.profiles import column_value, described, drift, drifted, merged, read_profiles, store_profile
 from ledgerline.operators.mapping import apply_contract
 from ledgerline.operators.places import nearest, pairs_within
+from ledgerline.operators.profiles import column_value, described, drift, drifted, merged, read_profiles, store_profile
 from ledgerline.operators.renames import column_signatures, drift_with_renames, with_known_names
 from ledgerline.plans import changed_files
 from ledgerline.plans.derived import ORDERS, arrive, as_text, given, leave, registrations
@@ -220,8 +220,8 @@ def curve_pruning(spark, sf_dir):
         ranges = file_ranges(spark, f"{base}/{layout}", _PLACES)
         for key, values in asked.items():
             half = F.avg("n_left") <= F.max("n_files") / 2
-            parts.append(files_left(ranges, key, values).select(F.lit(key).alias("key"), F.lit(layout).alias("layout"), "n_files", "n_left")
-                         .groupBy("key", "layout").agg(half.alias("half")))
+            left = files_left(ranges, key, values)
+            parts.append(left.agg(half.alias("half")).select(F.lit(key).alias("key"), F.lit(layout).alias("layout"), "half"))
     told = lambda layout: F.bool_or(F.when(F.col("layout") == layout, F.col("half"))).alias(f"{layout}_leaves_out_half")
     return reduce(DataFrame.unionByName, parts).groupBy("key").agg(told("sorted"), told("curve"))
 

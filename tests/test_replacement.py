@@ -27,24 +27,24 @@ class Failing:
 
 @pytest.fixture
 def tables(spark):
-    for name in ("kept_one", "kept_two"):
+    for name in ("swap_one", "swap_two"):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.range(3).write.saveAsTable(name)
-    yield "kept_one", "kept_two"
-    for name in ("kept_one", "kept_two"):
+    yield "swap_one", "swap_two"
+    for name in ("swap_one", "swap_two"):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def names(spark):
-    return sorted(r["tableName"] for r in spark.sql("SHOW TABLES").collect() if r["tableName"].startswith("kept_"))
+    return sorted(r["tableName"] for r in spark.sql("SHOW TABLES").collect() if r["tableName"].startswith("swap_"))
 
 
 @pytest.mark.parametrize("place", ["first rename", "second rename", "second table"])
 def test_a_failure_leaves_the_old_tables_and_folders(spark, tables, tmp_path, place):
     folder = str(tmp_path / "f")
     spark.range(1).write.parquet(folder)
-    at = {"first rename": ("ALTER TABLE kept_one RENAME",), "second rename": ("RENAME TO kept_one", "_new_"),
-          "second table": ("RENAME TO kept_two", "_new_")}[place]
+    at = {"first rename": ("ALTER TABLE swap_one RENAME",), "second rename": ("RENAME TO swap_one", "_new_"),
+          "second table": ("RENAME TO swap_two", "_new_")}[place]
     replaced = Replacement(Failing(spark, *at))
     spark.range(9).write.parquet(replaced.path(folder))
     for name in tables:
@@ -59,12 +59,12 @@ def test_a_failure_leaves_the_old_tables_and_folders(spark, tables, tmp_path, pl
 def test_tables_are_replaced_and_created(spark, tables, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS other")
     try:
-        for target in ("kept_one", "`other`.`kept_three`", "other.kept_four"):
+        for target in ("swap_one", "`other`.`swap_three`", "other.swap_four"):
             for n in (4, 5):
                 with Replacement(spark) as replaced:
                     spark.range(n).write.saveAsTable(replaced.table(target))
                 assert spark.table(target).count() == n
-        assert names(spark) == ["kept_one", "kept_two"]
+        assert names(spark) == ["swap_one", "swap_two"]
     finally:
         spark.sql("DROP DATABASE other CASCADE")
 
@@ -73,21 +73,21 @@ def test_a_failing_table_load_leaves_the_table(spark, tmp_path, monkeypatch):
     contract = Contract("rows", (ColumnSpec("k", "KEY", length=5),))
     spark.createDataFrame([("a",)], "k string").write.parquet(str(tmp_path / "one"))
     spark.createDataFrame([("b",), ("c",)], "k string").write.parquet(str(tmp_path / "two"))
-    load_json_rows(spark, str(tmp_path / "one"), contract, table="kept_load", policy=STRICT)
+    load_json_rows(spark, str(tmp_path / "one"), contract, table="swap_load", policy=STRICT)
     move = replacement.Replacement._exchange_table
 
     def dies(self, beside, target, undo, aside):
-        self._spark = Failing(spark, "RENAME TO kept_load", "_new_")
+        self._spark = Failing(spark, "RENAME TO swap_load", "_new_")
         move(self, beside, target, undo, aside)
 
     monkeypatch.setattr(replacement.Replacement, "_exchange_table", dies)
     with pytest.raises(RuntimeError):
-        load_json_rows(spark, str(tmp_path / "two"), contract, table="kept_load", policy=STRICT)
+        load_json_rows(spark, str(tmp_path / "two"), contract, table="swap_load", policy=STRICT)
     monkeypatch.undo()
-    assert [r["KEY"] for r in spark.table("kept_load").collect()] == ["a"]
-    load_json_rows(spark, str(tmp_path / "two"), contract, table="kept_load", policy=STRICT)
-    assert spark.table("kept_load").count() == 2
-    spark.sql("DROP TABLE kept_load")
+    assert [r["KEY"] for r in spark.table("swap_load").collect()] == ["a"]
+    load_json_rows(spark, str(tmp_path / "two"), contract, table="swap_load", policy=STRICT)
+    assert spark.table("swap_load").count() == 2
+    spark.sql("DROP TABLE swap_load")
     assert names(spark) == []
 
 

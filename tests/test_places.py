@@ -33,7 +33,7 @@ def both(spark, globe):
     return spark.createDataFrame(globe[::2] + odd, SCHEMA), spark.createDataFrame(globe[1::2] + globe[:20] + odd, SCHEMA).repartition(3)
 
 
-@pytest.mark.parametrize("limit,hot", [(0.0, 50_000), (1.0, 50_000), (60.0, 2), (500.0, 50_000), (500.0, 3), (5_000.0, 50_000), (12_000.0, 50_000), (30_000.0, 50_000)])
+@pytest.mark.parametrize("limit,hot", [(0.0, 50_000), (60.0, 2), (500.0, 3), (5_000.0, 50_000), (30_000.0, 50_000)])
 def test_pairs_against_every_pair(spark, globe, limit, hot):
     left, right = both(spark, globe)
     got = pairs_within(left, right, limit, hot=hot).select("left.id", "right.id", "km").collect()
@@ -45,7 +45,7 @@ def test_pairs_against_every_pair(spark, globe, limit, hot):
     assert all(r["km"] == pytest.approx(km(of[r[0]], of[r[1]]), abs=1e-6) for r in got)
 
 
-@pytest.mark.parametrize("k,start", [(1, None), (3, None), (3, 1.0), (500, None)])
+@pytest.mark.parametrize("k,start", [(1, None), (3, 1.0), (500, None)])
 def test_nearest_against_every_pair(spark, globe, k, start):
     left, right = both(spark, globe)
     got = {}

@@ -12,7 +12,8 @@ shape must also satisfy a rule (a card's check digit), the walk goes on until th
 which keeps it one to one.
 ``verified`` checks this over a whole table, after the fact: no surrogate stands for two identities,
 no identity has two surrogates, and no surrogate is itself an identity that really occurs. Entities that
-break the last get a surrogate under another derived key, a bounded number of times. Where the values that
+break the last get a surrogate under another derived key, a bounded number of times; however many they are, they
+stay in tables, and only rows that hold one are changed. Where the values that
 occur fill a shape's space (all two-letter names, most one-digit addresses, very many phone numbers), no
 key avoids them: then the one permutation stands, distinct and coreferent as it is, and each row
 counts those of its entities whose surrogate occurs (``n_occurring``). Data never ends a run.
@@ -36,19 +37,20 @@ import hmac
 import os
 import re
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerline.llm.common import by_block, written
 
 #: Setting that names the secret of a run; without it every run makes its own.
 SECRET = "spark.ledgerline.pii.secret"
 _ROUNDS = 8
-#: Passes over a table until no surrogate is a value that occurs, and entities that one pass may be given anew.
+#: Turns until no surrogate is a value that occurs, and entities that one task gives surrogates anew.
 TURNS, ANEW = 4, 100_000
 
 # Letters by script and case, and given and family names by script and gender.
@@ -112,14 +114,12 @@ def run_key(spark: SparkSession) -> bytes:
 class Surrogates:
     """The keyed replacements."""
 
-    def __init__(self, key: bytes, turns: dict[tuple[str, str], int] | None = None):
+    def __init__(self, key: bytes):
         self.key = key
-        self.turns = turns or {}
         self.later: dict[int, Surrogates] = {}
 
-    def of(self, label: str, who: str) -> Surrogates:
-        """The replacements for one entity: under a key of their own from its second turn on."""
-        turn = self.turns.get((label, who), 0)
+    def at(self, turn: int) -> Surrogates:
+        """The replacements of one turn: under a key of their own from the second on."""
         if not turn:
             return self
         if turn not in self.later:
@@ -217,6 +217,10 @@ class Surrogates:
             return self.shaped("hexadecimal", text, ("0123456789abcdef",))
         return self.shaped(kind, text)
 
+    def of(self, label: str, text: str) -> str:
+        """The surrogate for what an entity's label, rather than its kind, stands beside."""
+        return self.name(text, label == "family") if label in ("given", "family") else self.replace(label, text)
+
     def name(self, word: str, family: bool) -> str:
         """A name of the same group, or a shaped word for a name outside all groups."""
         script = "cyrillic" if "а" <= word[-1] <= "я" else "latin"
@@ -268,8 +272,8 @@ def identity(kind: str, text: str) -> str:
 
 def replaced(text: str, surrogates: Surrogates) -> tuple[str, list[dict]]:
     """The text with surrogates, and what was replaced: type, start, end (in the text given),
-    identity, surrogate."""
-    out, found, at = [], [], 0
+    identity, surrogate; further its place in the new text (from, to) and what the text said."""
+    out, found, at, size = [], [], 0, 0
     if not _SIGN.search(text) and not _NAMED.search(text):
         return text, found
     for m in _ENTITY.finditer(text):
@@ -281,13 +285,13 @@ def replaced(text: str, surrogates: Surrogates) -> tuple[str, list[dict]]:
                 continue
             label = {"long_phone": "phone", "name": "given" if part == "given" else "family"}.get(kind, kind)
             who = identity(kind, old)
-            own = surrogates.of(label, who)
-            new = own.name(old, part != "given") if kind == "name" else own.replace(kind, old)
+            new = surrogates.of(label, old)
             out += [text[at : m.start(part)], new]
+            size += m.start(part) - at + len(new)
             at = m.end(part)
             found.append(
                 {"type": label, "start": m.start(part), "end": at, "identity": who,
-                 "surrogate": identity(kind, new)}
+                 "surrogate": identity(kind, new), "from": size - len(new), "to": size, "said": old}
             )
     out.append(text[at:])
     return "".join(out), found
@@ -300,37 +304,32 @@ _FOUND = T.ArrayType(
 )
 
 
+#: Where the surrogates of a row stand in its new text, and what stood there; in the order of its entities.
+_PUT, _PUT_TYPE = "_put", T.ArrayType(T.StructType().add("from", "integer").add("to", "integer").add("said", "string"))
+
+
 def pseudonymised(
-    df: DataFrame,
-    key: bytes,
-    text: str = "text",
-    entities: str | None = "entities",
-    turns: dict[tuple[str, str], int] | None = None,
+    df: DataFrame, key: bytes, text: str = "text", entities: str | None = "entities", put: str | None = None
 ) -> DataFrame:
     """The rows with surrogates in ``text``; a column ``entities`` (replacing one of that name)
-    lists what was replaced, unless None is given for it. ``turns``: entities (type, identity) that
-    are not at their first turn."""
+    lists what was replaced, unless None is given for it. ``put``: a column for what ``_turned`` needs."""
     kept = df.drop(entities) if entities else df
     names = kept.columns
-    arrow = pa.list_(
-        pa.struct([("type", pa.string()), ("start", pa.int32()), ("end", pa.int32()),
-                   ("identity", pa.string()), ("surrogate", pa.string())])
-    )
-
-    sent = df.sparkSession.sparkContext.broadcast(turns) if turns else None  # TURNS * ANEW at most
+    schema = T.StructType(list(kept.schema.fields))
+    added = {name: kind for name, kind in ((entities, _FOUND), (put, _PUT_TYPE)) if name}
+    for name, kind in added.items():
+        schema = schema.add(name, kind)
 
     def work(block: pa.RecordBatch) -> pa.RecordBatch:
-        surrogates = Surrogates(key, sent.value if sent else None)
+        surrogates = Surrogates(key)
         both = [(None, []) if t is None else replaced(t, surrogates) for t in block.column(text).to_pylist()]
         columns = [
             pa.array([b[0] for b in both], pa.string()) if n == text else block.column(n) for n in names
         ]
-        if entities:
-            columns.append(pa.array([b[1] for b in both], arrow))
-        return pa.RecordBatch.from_arrays(columns, [*names, *([entities] if entities else [])])
+        columns += [pa.array([b[1] for b in both], to_arrow_type(kind)) for kind in added.values()]
+        return pa.RecordBatch.from_arrays(columns, [*names, *added])
 
-    schema = T.StructType(list(kept.schema.fields))
-    return kept.mapInArrow(by_block(work, text), schema.add(entities, _FOUND) if entities else schema)
+    return kept.mapInArrow(by_block(work, text), schema)
 
 
 def collisions(found: DataFrame, entities: str = "entities") -> DataFrame:
@@ -348,9 +347,17 @@ def collisions(found: DataFrame, entities: str = "entities") -> DataFrame:
 def conflicts(found: DataFrame, entities: str = "entities") -> DataFrame:
     """Entities (type, identity, n_surrogates) that share a surrogate, have several, or whose
     surrogate is the identity of an entity of the table (but for names of the lists)."""
+    return _conflicting(_each(found, entities))
+
+
+def _each(found: DataFrame, entities: str) -> DataFrame:
+    """The table's entities, once for each surrogate: type, identity, surrogate; written."""
     each = found.select(F.explode(entities).alias("e")).select("e.type", "e.identity", "e.surrogate").distinct()
     # Without letters or digits there is nothing to replace.
-    each = written(each.filter(F.col("surrogate").rlike(r"[\p{L}\p{N}]")), "entities")
+    return written(each.filter(F.col("surrogate").rlike(r"[\p{L}\p{N}]")), "entities")
+
+
+def _conflicting(each: DataFrame) -> DataFrame:
     shared = each.groupBy("type", "surrogate").agg(F.count("*").alias("n")).filter("n > 1")
     split = each.groupBy("type", "identity").agg(F.count("*").alias("n_surrogates"))
     real = each.select("type", F.col("identity").alias("surrogate")).distinct()
@@ -373,25 +380,92 @@ def verified(
     """
     if counted:
         df = df.drop(counted)
-    turns: dict[tuple[str, str], int] = {}
-    plain = None
-    for _ in range(TURNS):
-        found = written(pseudonymised(df, key, text, entities, turns), "pseudonymised")
-        plain = found if plain is None else plain
-        anew = conflicts(found, entities).limit(ANEW + 1).collect()
-        if not anew:
-            return found.withColumn(counted, F.lit(0).cast("long")) if counted else found
-        if len(anew) > ANEW or any(r["n_surrogates"] > 1 for r in anew):
-            break
-        for r in anew:
-            turns[r["type"], r["identity"]] = turns.get((r["type"], r["identity"]), 0) + 1
-    return _with_counts(plain, entities, counted) if counted else plain
-
-
-def _with_counts(found: DataFrame, entities: str, counted: str) -> DataFrame:
+    zero = [F.lit(0).cast("long").alias(counted)] if counted else []
+    plain = written(pseudonymised(df, key, text, entities, _PUT), "pseudonymised")
+    each = _each(plain, entities)
+    left = written(_conflicting(each), "conflicts")
+    if left.isEmpty():
+        return plain.drop(_PUT).select("*", *zero)
+    turns = _turns(each, left, key)
+    if turns is not None:
+        found = written(_turned(plain, turns, key, text, entities), "pseudonymised")
+        if conflicts(found, entities).isEmpty():
+            return found.select("*", *zero)
+    return _with_counts(plain, entities, counted, left).drop(_PUT) if counted else plain.drop(_PUT)
+
+
+def _turns(each: DataFrame, left: DataFrame, key: bytes) -> DataFrame | None:
+    """The entities not at their first turn (type, identity, turn) when none conflicts any more; None if some still
+    do after ``TURNS``, or one has several surrogates. A surrogate follows from identity and turn, so the rows wait."""
+    if not left.filter("n_surrogates > 1").isEmpty():
+        return None
+    entity = ["type", "identity"]
+    now = each.withColumn("turn", F.lit(0))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        surrogates = Surrogates(key)
+        for batch in batches:
+            rows = batch.to_pylist()
+            for r in rows:
+                r["turn"] += 1
+                r["surrogate"] = identity(r["type"], surrogates.at(r["turn"]).of(r["type"], r["identity"]))
+            yield pa.RecordBatch.from_pylist(rows, schema=batch.schema)
+
+    for _ in range(TURNS - 1):
+        tasks = -(-left.count() // ANEW)
+        anew = now.join(left, entity, "left_semi").repartition(tasks, *entity).mapInArrow(work, now.schema)
+        now = written(now.join(left, entity, "left_anti").unionByName(anew), "entities")
+        left = written(_conflicting(now), "conflicts")
+        if left.isEmpty():
+            return now.filter("turn > 0").select(*entity, "turn")
+    return None
+
+
+def _placed() -> list[Column]:
+    """The place of a row in a written table."""
+    return [F.col("_metadata.file_path").alias("_in_file"), F.col("_metadata.row_index").alias("_at_row")]
+
+
+def _turned(plain: DataFrame, turns: DataFrame, key: bytes, text: str, entities: str) -> DataFrame:
+    """Rows of a written table, those with entities in ``turns`` with the surrogates of these."""
+    each = plain.select(*_placed(), F.explode(entities).alias("_e")).select("_in_file", "_at_row", "_e.type", "_e.identity")
+    some = each.distinct().join(turns, ["type", "identity"]).groupBy("_in_file", "_at_row")
+    some = some.agg(F.collect_list(F.struct("type", "identity", "turn")).alias("_turns"))
+    rows = plain.select(F.struct(*[F.col(f"`{c}`") for c in plain.columns]).alias("_row"), *_placed())
+    both = rows.join(some, ["_in_file", "_at_row"], "left").select("_row.*", "_turns")
+    schema = plain.drop(_PUT).schema
+
+    def again(said: str, found: list[dict], put: list[dict], own: dict, surrogates: Surrogates) -> str:
+        out, at = [], 0
+        for e, p in zip(found, put, strict=True):
+            new = said[p["from"] : p["to"]]
+            if turn := own.get((e["type"], e["identity"])):
+                new = surrogates.at(turn).of(e["type"], p["said"])
+                e["surrogate"] = identity(e["type"], new)
+            out += [said[at : p["from"]], new]
+            at = p["to"]
+        return "".join([*out, said[at:]])
+
+    def work(block: pa.RecordBatch) -> pa.RecordBatch:
+        surrogates = Surrogates(key)
+        turned = block.column("_turns").to_pylist()
+        if any(turned):
+            texts, found, put = (block.column(n).to_pylist() for n in (text, entities, _PUT))
+            for i, own in enumerate(turned):
+                if own:
+                    own = {(t["type"], t["identity"]): t["turn"] for t in own}
+                    texts[i] = again(texts[i], found[i], put[i], own, surrogates)
+            new = {text: pa.array(texts, pa.string()), entities: pa.array(found, to_arrow_type(_FOUND))}
+        else:
+            new = {}
+        return pa.RecordBatch.from_arrays([new.get(n, block.column(n)) for n in schema.names], schema.names)
+
+    return both.mapInArrow(by_block(work, text), schema)
+
+
+def _with_counts(found: DataFrame, entities: str, counted: str, left: DataFrame) -> DataFrame:
     """Rows of a written table with the number of their entities that conflict."""
-    left = written(conflicts(found, entities).select("type", "identity"), "conflicts")
-    place = [F.col("_metadata.file_path").alias("_in_file"), F.col("_metadata.row_index").alias("_at_row")]
+    place = _placed()
     each = found.select(*place, F.explode(entities).alias("_e")).select("_in_file", "_at_row", "_e.type", "_e.identity")
     counts = each.join(left, ["type", "identity"], "left_semi").groupBy("_in_file", "_at_row").agg(F.count("*").alias("_n"))
     rows = found.select(F.struct(*[F.col(f"`{c}`") for c in found.columns]).alias("_row"), *place)

@@ -697,6 +697,36 @@ def test_dense_data_never_ends_a_run(spark, monkeypatch):
     assert again == {r["doc_id"]: r["text"] for r in pii.pseudonymised(docs, KEY).collect()}
 
 
+def test_however_many_entities_get_another_surrogate(spark, monkeypatch):
+    """Chains of values, each the surrogate of the one before: the number of conflicts decides nothing."""
+    s, texts = pii.Surrogates(KEY), []
+    starts = {"ip": "10.20.30.40", "phone": "212-555-0100", "email": "Jo.Doe@example.com", "ssn": "123-45-6789", "card": "4111 1111 1111 1111"}
+    for kind, said in starts.items():
+        for i in range(4):
+            texts.append(f"Mary Jones: {said}, and è again {said.upper()} from Dr Quandt {i}")
+            said = s.replace(kind, said)
+    rows = [*enumerate(["none", None, *texts, texts[0]]), (None, texts[5])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert pii.conflicts(pii.pseudonymised(docs, KEY)).count() >= 15
+    get = lambda: sorted((tuple(r) for r in pii.verified(docs, KEY).collect()), key=repr)
+    want = get()
+    monkeypatch.setattr(pii, "ANEW", 2)
+    assert get() == want and len(want) == len(rows)
+    found = pii.verified(docs, KEY)
+    assert found.columns == ["doc_id", "text", "entities", "n_occurring"]
+    assert pii.conflicts(found).count() == 0 and {r["n_occurring"] for r in found.collect()} == {0}
+    given = dict(rows)
+    for key, new, entities, _ in want:  # each surrogate stands where its entity stood
+        if entities:
+            old, at, out = given[key], 0, ""
+            for e in entities:
+                out += old[at : e["start"]]
+                put = new[len(out) :][: e["end"] - e["start"] if e["type"] not in ("given", "family") else len(e["surrogate"])]
+                assert pii.identity(e["type"], put) == e["surrogate"] and pii.identity(e["type"], old[e["start"] : e["end"]]) == e["identity"]
+                out, at = out + put, e["end"]
+            assert new == out + old[at:]
+
+
 def test_a_million_phone_numbers(spark):
     numbers = spark.range(1_000_000).selectExpr(
         "id AS doc_id", "concat('at (', 200 + id % 700, ') ', 200 + id div 700 % 700, '-', lpad(id % 10000, 4, '0')) AS text"

@@ -11,8 +11,15 @@ found by a mark of its own, and the first turn that changed the past is reported
 Long conversations: once a history has ``WINDOW_TURNS`` turns or ``WINDOW_CHARS`` characters, its middle is left
 out (an even number of turns, so roles still alternate), provided the last turn is rendered from
 the short history as it was from the long one. A template that looks further back fails that, and keeps its whole
-history. Results go out in parts of about ``PART_CHARS`` characters that end with a turn, so
-neither a task nor a row holds a conversation of any length. Only a rewriting template does.
+history. Results go out in parts of about ``PART_CHARS`` characters that end with a turn.
+
+Length decides nothing else. A template may look or reach back at any turn, so the parts and turns of a conversation wait
+(long ones in a file of the task's machine) for its end. A late rewriting takes the parts back, and the
+conversation is rendered whole; where the middle was left out, a rendering of the whole has to agree, or the turns are added
+again to the whole history. Both hold the conversation in memory. A template with an attribute ``local`` that is
+true says that its output is put together from turns that each depend on themselves alone (the first may have
+something before it): then parts go out at once, and neither a task nor a row holds a conversation of any
+length. Such a template that rewrites history is an error, in long and in short conversations.
 
 The template ``tagged`` marks every turn and escapes control strings in texts and roles by one
 backslash behind their first character (one more where there are some), which ``unescaped`` takes back.
@@ -25,8 +32,13 @@ columns do not come along.
 from __future__ import annotations
 
 import hashlib
+import os
+import pickle
 import re
-from collections.abc import Callable, Iterator, Sequence
+import tempfile
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -69,6 +81,9 @@ def tagged(turns: Sequence[Turn]) -> str:
     return "".join(out)
 
 
+tagged.local = True
+
+
 def turns_of(text: str) -> Iterator[Turn]:
     """The turns that ``tagged`` has put into a text, or into a part of one."""
     at = 3 if text.startswith("<s>") else 0
@@ -87,28 +102,81 @@ def turns_of(text: str) -> Iterator[Turn]:
 # Rendering by prefixes
 
 
+class Waiting:
+    """Values in order, read back any number of times; many of them in a file of the task's machine."""
+
+    def __init__(self):
+        self.few: list = []
+        self.chars, self.file = 0, None
+
+    def add(self, value: tuple) -> None:
+        self.few.append(value)
+        self.chars += sum(len(v) for v in value if isinstance(v, str)) + 100
+        if self.chars >= PART_CHARS:
+            if self.file is None:
+                self.file = tempfile.TemporaryFile()
+            self.file.seek(0, os.SEEK_END)
+            pickle.dump(self.few, self.file, pickle.HIGHEST_PROTOCOL)
+            self.few, self.chars = [], 0
+
+    def __iter__(self) -> Iterator[tuple]:
+        if self.file is not None:
+            end, at = self.file.seek(0, os.SEEK_END), 0
+            while at < end:
+                self.file.seek(at)
+                some = pickle.load(self.file)
+                at = self.file.tell()
+                yield from some
+        yield from self.few
+
+
+def rendered(template: Template, turns: Iterable[Turn]) -> Iterator[tuple]:
+    """The parts of one conversation: rewritten_at, text, spans, whether it is the last."""
+    for windowed in (True, False):
+        now, parts = Rendering(template, windowed), Waiting()
+        for role, text in turns:
+            if now.full():
+                part = (None, *now.taken(), False)
+                if now.local:
+                    yield part
+                else:
+                    parts.add(part)
+            now.add(role, text)
+        if now.agrees():
+            break
+        turns = now.said
+    if now.rewritten_at is None:
+        yield from parts
+    text, spans = now.taken()
+    yield now.rewritten_at, text, spans, True
+
+
 class Rendering:
     """The turns of one conversation as they are added.
 
     ``spans``: per turn its start and end, and those of its text (None where it does not appear), in the
-    characters from the last ``taken`` on.
+    characters from the last ``taken`` on. ``windowed``: whether the middle of a long history may be left out.
     """
 
-    def __init__(self, template: Template):
+    def __init__(self, template: Template, windowed: bool = True):
         self.template = template
+        self.local = getattr(template, "local", False)
+        self.said = Waiting()  # all turns, unless the template is local
+        self.added = hashlib.sha256()
         self.history: list[Turn] = []
         self.output = ""
-        self.far = False  # the template looks back beyond a short history
+        self.far = not windowed  # the template looks back beyond a short history
         self.whole = True  # the history is all of the conversation
         self.rewritten_at: int | None = None
         self.n_turns = self.n_chars = 0
         self.pieces: list[str] = []
         self.spans: list[tuple] = []
-        self.taken_turns = 0
 
     def add(self, role: str, text: str) -> None:
         turn, n = (role, text), self.n_turns
         self.n_turns += 1
+        if not self.local:
+            self.said.add(turn)
         if self.rewritten_at is None:
             output = self.template([*self.history, turn])
             found = _text_span(self.template, self.history, (role, text), (), output)
@@ -118,16 +186,25 @@ class Rendering:
                 text_at = (None, None) if found is None else tuple(at + f - skipped for f in found)
                 self.spans.append((role, at, at + len(piece), *text_at))
                 self.pieces.append(piece)
+                if not self.local:
+                    self.added.update(piece.encode("utf-8", "surrogatepass"))
                 self.n_chars += len(piece)
                 self.history.append(turn)
                 self.output = output
                 self._shorten(piece)
                 return
-            if not self.whole or self.taken_turns:
-                raise ValueError(f"the template rewrites history at turn {n} of a conversation in several parts")
-            self.rewritten_at = n
+            if self.local:
+                raise ValueError(f"the template calls itself local and rewrites history at turn {n}")
+            self.rewritten_at, self.history = n, list(self.said)  # what was taken before is void
+            return
         self.history.append(turn)
 
+    def agrees(self) -> bool:
+        """Whether what was added is what the template makes of the whole conversation."""
+        if self.whole or self.local or self.rewritten_at is not None:
+            return True
+        return hashlib.sha256(self.template(list(self.said)).encode("utf-8", "surrogatepass")).digest() == self.added.digest()
+
     def _shorten(self, piece: str) -> None:
         long = len(self.history) >= WINDOW_TURNS or len(self.output) >= WINDOW_CHARS
         left_out = (len(self.history) - 2 * _KEPT) // 2 * 2
@@ -153,7 +230,7 @@ class Rendering:
         else:
             text = "".join(self.pieces)
         out = text, self.spans
-        self.pieces, self.spans, self.n_chars, self.taken_turns = [], [], 0, self.n_turns
+        self.pieces, self.spans, self.n_chars = [], [], 0
         return out
 
 
@@ -198,34 +275,23 @@ def formatted(
     like = to_arrow_schema(schema)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, key, part, out, size = None, None, 0, [], 0
-
-        def taken(last: bool) -> dict:
-            said, spans = now.taken()
-            names = ("role", "start", "end", "text_start", "text_end")
-            turns = [dict(zip(names, s, strict=True), loss=s[0] in learned and s[3] is not None) for s in spans]
-            return {"conv_id": key, "part": part, "last": last, "rewritten_at": now.rewritten_at, "text": said, "turns": turns}
-
-        for block in blocks(batches):
-            columns = [block.column(n).to_pylist() for n in ("conv_id", "role", "text")]
-            for conv_id, who, said in zip(*columns, strict=True):
-                if now is None or conv_id != key:
-                    if now is not None:
-                        out.append(taken(True))
-                    now, key, part = Rendering(template), conv_id, 0
-                elif now.full():
-                    out.append(taken(False))
-                    part += 1
-                now.add(who, said)
+        names, out, size = ("role", "start", "end", "text_start", "text_end"), [], 0
+        for key, turns in groupby(rows_of(batches), key=itemgetter(0)):
+            parts = rendered(template, ((who, said) for _, who, said in turns))
+            for part, (rewritten_at, said, spans, last) in enumerate(parts):
+                told = [dict(zip(names, s, strict=True), loss=s[0] in learned and s[3] is not None) for s in spans]
+                out.append({"conv_id": key, "part": part, "last": last, "rewritten_at": rewritten_at, "text": said, "turns": told})
                 size += len(said)
-            if size >= PART_CHARS and out:
-                yield pa.RecordBatch.from_pylist(out, schema=like)
-                out, size = [], 0
-        if now is not None:
-            out.append(taken(True))
+                if size >= PART_CHARS:
+                    yield pa.RecordBatch.from_pylist(out, schema=like)
+                    out, size = [], 0
         if out:
             yield pa.RecordBatch.from_pylist(out, schema=like)
 
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for block in blocks(batches):
+            yield from zip(*[block.column(n).to_pylist() for n in ("conv_id", "role", "text")], strict=True)
+
     return rows.mapInArrow(work, schema)
 
 

@@ -134,6 +134,67 @@ def test_long_conversations_take_linear_work():
     assert text == chat_format.tagged(said) and calls[0] < 3000 * 2 * (chat_format.WINDOW_TURNS + 8)
 
 
+def once_in(n, change):
+    """The plain template, changed from the n-th turn on."""
+    return lambda rows: change(rows) if len(rows) >= n else plain(rows)
+
+
+LATE = TEMPLATES | {
+    "closed late": once_in(30, lambda rows: plain(rows) + "<end>"),
+    "reasoning dropped late": once_in(25, lambda rows: plain([(r, t if i > 20 else "") for i, (r, t) in enumerate(rows)])),
+    "nothing shown of old turns": lambda rows: plain([("old", "")] * max(0, len(rows) - 33) + list(rows[-33:])),
+    "counts late": lambda rows: "".join(f"{t}#{i if i > 27 else ''}" for i, (_, t) in enumerate(rows)),
+    "quotes the first": lambda rows: "".join(t + (f" as in {rows[2]}" if i == 34 else "") for i, (_, t) in enumerate(rows)),
+    "tagged": chat_format.tagged,
+}
+
+
+@pytest.mark.parametrize("name", LATE)
+def test_length_decides_nothing(name, monkeypatch):
+    """Whatever a template does, and however late, small parts and short histories give what large ones do."""
+    said = [("system", "be brief"), *turns(40, random.Random(name)), ("user", "è\ud800")]
+    (want,) = chat_format.rendered(LATE[name], said)
+    assert want[1] == LATE[name](said)
+    monkeypatch.setattr(chat_format, "WINDOW_TURNS", 8)
+    for part_chars in (1 << 22, 150, 1):
+        monkeypatch.setattr(chat_format, "PART_CHARS", part_chars)
+        parts = list(chat_format.rendered(LATE[name], iter(said)))
+        assert [p[3] for p in parts] == [False] * (len(parts) - 1) + [True]
+        assert "".join(p[1] for p in parts) == want[1]
+        if name != "nothing shown of old turns":  # each prefix of which changed the one before
+            assert parts[-1][0] == want[0] and {p[0] for p in parts[:-1]} <= {None}
+        at, spans = 0, []
+        for _, text, some, _ in parts:
+            spans += [(role, *(None if x is None else x + at for x in span)) for role, *span in some]
+            at += len(text)
+        assert [(s[0], *s[3:]) for s in spans] == [(s[0], *s[3:]) for s in want[2]]
+        assert want[0] is not None or part_chars > 150 or len(parts) > 1
+
+
+def test_a_local_template_that_rewrites_is_an_error_at_any_length(monkeypatch):
+    template = lambda rows: plain(rows) + "<end>"
+    template.local = True
+    for n in (2, 200):
+        with pytest.raises(ValueError, match="rewrites history at turn 1"):
+            list(chat_format.rendered(template, turns(n, random.Random(1))))
+
+
+def test_late_rewriting_in_a_table(spark):
+    """More characters than a part has, then a turn that changes the past."""
+    n = chat_format.PART_CHARS // 1000 // 2
+    rows = [(c, i, "user", "x" * 2000 if i < n + 40 else "end") for c in (1, 2) for i in range(n + 40 + c % 2)]
+
+    def template(said):  # of its own, so that it travels to the tasks
+        return "".join(f"{r}: {t}\n" for r, t in said[-1:] if t == "end") or "".join(f"{r}: {t}\n" for r, t in said)
+
+    got = {}
+    for r in chat_format.formatted(spark.createDataFrame(rows, SCHEMA), template).orderBy("conv_id", "part").collect():
+        got.setdefault(r["conv_id"], []).append(r)
+    (one,) = got[1]
+    assert (one["rewritten_at"], one["text"], one["last"], len(one["turns"])) == (n + 40, "user: end\n", True, n + 41)
+    assert len(got[2]) == 2 and [r["last"] for r in got[2]] == [False, True] and sum(len(r["turns"]) for r in got[2]) == n + 40
+
+
 def test_rewriting_and_other_columns_in_a_table(spark):
     rows = [(1, 0, "system", "s"), (1, 1, "user", "u"), (1, 2, "assistant", "a"), (2, 0, "user", "v")]
     df = spark.createDataFrame(rows, SCHEMA)

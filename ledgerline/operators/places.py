@@ -7,13 +7,16 @@ a sphere) decides. Cells near the poles and across the date line are reached lik
 a pole touches every cell of its bands, and cells are counted around the globe.
 
 A cell with many points is divided on both sides: each of its parts on one side meets each on the other in a
-task of its own (rows that are alike in every column stay together). Points that are NULL, no numbers or off the globe meet nothing.
+task of its own (rows that are alike in every column stay together). Tasks are as many as the candidates ask for, not the
+bytes of the points: few points can make very many pairs. Points that are NULL, no numbers or off the globe meet nothing.
 """
 
 from __future__ import annotations
 
 import math
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,14 +27,29 @@ from ledgerline.scratch import scratch_path
 EARTH_KM = 6371.0088
 #: Points of one side in a cell from which on the cell is divided.
 HOT = 50_000
+#: Candidates (pairs in one cell) of a task, and of a part of a cell; tasks at most.
+TASK_PAIRS, PART_PAIRS, TASKS = 2_000_000, 20_000_000, 4_000
 _LON, _LAT = "_lon", "_lat"
 
 
 def great_circle_km(lon_a: Column, lat_a: Column, lon_b: Column, lat_b: Column) -> Column:
     """The distance of two points given in degrees."""
+    return _km(lon_a, lat_a, F.cos(F.radians(lat_a)), lon_b, lat_b, F.cos(F.radians(lat_b)))
+
+
+def rounded(km: str, digits: int) -> Column:
+    """``round`` of a distance, which goes by way of its decimal digits, only where a tie is near: else the nearest
+    whole number of the least unit is the same, at a fraction of the cost."""
+    units = F.col(km) * 10**digits
+    tie = F.abs(units - F.floor(units) - 0.5) < 1e-3
+    return F.when(tie | (units >= 1e12), F.round(km, digits)).otherwise(F.rint(units) / F.lit(10.0**digits))
+
+
+def _km(lon_a: Column, lat_a: Column, cos_a: Column, lon_b: Column, lat_b: Column, cos_b: Column) -> Column:
+    """The distance, the cosines of the latitudes given."""
     up = F.sin(F.radians(lat_b - lat_a) / 2)
     along = F.sin(F.radians(lon_b - lon_a) / 2)
-    h = up * up + F.cos(F.radians(lat_a)) * F.cos(F.radians(lat_b)) * along * along
+    h = up * up + cos_a * cos_b * along * along
     return 2 * EARTH_KM * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
 
 
@@ -97,16 +115,45 @@ def pairs_within(
 ) -> DataFrame:
     """All pairs of rows whose points are at most ``km`` apart: left and right (the rows as structs), km."""
     grid = _Grid(km)
-    a = grid.touched(_points(left, left_point)).select(F.col("_row").alias("left"), F.col(_LON).alias("_lon_a"), F.col(_LAT).alias("_lat_a"), "_band", "_cell")
-    b = _points(right, right_point).select(F.col("_row").alias("right"), F.col(_LON).alias("_lon_b"), F.col(_LAT).alias("_lat_b"), *grid.own())
-    parts = lambda rows, name: (
-        rows.groupBy("_band", "_cell").agg(F.ceil(F.count(F.lit(1)) / hot).cast("long").alias(name)).where(F.col(name) > 1)
-    )
-    counts = parts(a, "_parts_a").join(parts(b, "_parts_b"), ["_band", "_cell"], "full")
+    a = grid.touched(_points(left, left_point)).select(F.col("_row").alias("left"), *_placed("a"), "_band", "_cell")
+    b = _points(right, right_point).select(F.col("_row").alias("right"), *_placed("b"), *grid.own())
+    cells = lambda rows, name: rows.groupBy("_band", "_cell").agg(F.count(F.lit(1)).alias(name))
+    counts = cells(a, "_n_a").join(cells(b, "_n_b"), ["_band", "_cell"])
+    pairs = counts.agg(F.sum(F.col("_n_a").cast("double") * F.col("_n_b"))).first()[0] or 0
+    tasks = max(1, min(TASKS, math.ceil(pairs / TASK_PAIRS)))
+    counts = _parts(counts, hot)
     a, b = _parted(a, "left", counts, "_parts_a", "_parts_b"), _parted(b, "right", counts, "_parts_b", "_parts_a")
-    distance = great_circle_km(F.col("_lon_a"), F.col("_lat_a"), F.col("_lon_b"), F.col("_lat_b"))
-    met = a.join(b, ["_band", "_cell", "_at__parts_a", "_at__parts_b"])
-    return met.select("left", "right", distance.alias("km")).where(F.col("km") <= km)
+    met = ["_band", "_cell", "_at__parts_a", "_at__parts_b"]
+    # Fewer partitions, by the bytes, would leave the pairs to a few tasks.
+    both = a.repartition(tasks, *met).join(b.repartition(tasks, *met), met)
+    distance = _km(*(F.col(f"_{c}_{side}") for side in "ab" for c in ("lon", "lat", "cos")))
+    # The angle's cosine tells cheaply which pairs are near; the distance is asked only where it might err.
+    cosine = reduce(operator.add, (F.col(f"_{c}_a") * F.col(f"_{c}_b") for c in "xyz"))
+    edge = math.cos(min(km / EARTH_KM, math.pi)) if km >= 0 else 3.0
+    is_near = (cosine > edge + 1e-12) | ((cosine > edge - 1e-12) & (distance <= km))
+    return both.where(is_near).select("left", "right", distance.alias("km"))
+
+
+def _placed(side: str) -> list[Column]:
+    """A point's degrees, the cosine of its latitude and its direction from the middle of the globe."""
+    lon, lat = F.col(_LON), F.col(_LAT)
+    cos = F.cos(F.radians(lat))
+    told = {"lon": lon, "lat": lat, "cos": cos, "x": cos * F.cos(F.radians(lon)), "y": cos * F.sin(F.radians(lon)), "z": F.sin(F.radians(lat))}
+    return [value.alias(f"_{name}_{side}") for name, value in told.items()]
+
+
+def _parts(counts: DataFrame, hot: int) -> DataFrame:
+    """Cells to be divided, and into how many parts on either side: none of more than ``hot`` rows, the larger side
+    so far that parts have ``PART_PAIRS`` candidates."""
+    for own in "ab":
+        counts = counts.withColumn(f"_parts_{own}", F.ceil(F.col(f"_n_{own}") / hot).cast("long"))
+    pairs = F.col("_n_a").cast("double") * F.col("_n_b") / (F.col("_parts_a") * F.col("_parts_b"))
+    more = F.ceil(pairs / PART_PAIRS).cast("long")
+    a_larger = F.col("_n_a") > F.col("_n_b")
+    parts = {"_parts_a": F.when(a_larger, F.col("_parts_a") * more).otherwise(F.col("_parts_a")),
+             "_parts_b": F.when(a_larger, F.col("_parts_b")).otherwise(F.col("_parts_b") * more)}
+    counts = counts.withColumns(parts).where((F.col("_parts_a") > 1) | (F.col("_parts_b") > 1))
+    return counts.select("_band", "_cell", "_parts_a", "_parts_b")
 
 
 def nearest(

@@ -12,7 +12,7 @@ from ledgerline.contract import LENIENT, STRICT, ColumnSpec, Contract
 from ledgerline.operators import summaries
 from ledgerline.operators.kept_summaries import Measure, add_changes, arriving, fold, read_summary, signed_changes
 from ledgerline.operators.mapping import apply_contract
-from ledgerline.operators.places import nearest, pairs_within
+from ledgerline.operators.places import nearest, pairs_within, rounded
 from ledgerline.operators.profiles import column_value, described, drift, drifted, merged, read_profiles, store_profile
 from ledgerline.operators.renames import column_signatures, drift_with_renames, with_known_names
 from ledgerline.plans import changed_files
@@ -483,7 +483,7 @@ def _placed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def points_within(spark, sf_dir):
     """Suppliers and customers at most 700 km apart."""
     pairs = pairs_within(*_placed(spark, sf_dir), 700)
-    return pairs.select("left.s_suppkey", "right.c_custkey", F.round("km", 3).alias("km"))
+    return pairs.select("left.s_suppkey", "right.c_custkey", rounded("km", 3).alias("km"))
 
 
 @answered(_PLACES_IN_SQL + """

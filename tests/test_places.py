@@ -92,3 +92,26 @@ def test_distances(spark):
         great_circle_km(F.lit(10.0), F.lit(90.0), F.lit(-100.0), F.lit(90.0)).alias("pole"),
     ).first()
     assert row["half"] == pytest.approx(math.pi * EARTH_KM) and row["over"] == pytest.approx(111.195, abs=0.01) and row["pole"] < 1e-9
+
+
+def test_tasks_follow_the_pairs(spark, monkeypatch):
+    """Few points that make many pairs are not left to a few tasks; a crowded cell is divided on its larger side."""
+    monkeypatch.setattr(places, "TASK_PAIRS", 10_000)
+    monkeypatch.setattr(places, "PART_PAIRS", 50_000)
+    at = lambda n: spark.range(n).selectExpr("cast(id AS int) id", "5.0 + id % 40 / 1000 AS lon", "47.0 + id % 30 / 1000 AS lat")
+    for left, right in ((at(300), at(1_000)), (at(1_000), at(300))):
+        pairs = pairs_within(left, right, 20.0)
+        per_task = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per_task) == 300_000 == pairs.select("left.id", "right.id").distinct().count()
+        assert pairs.rdd.getNumPartitions() >= 30 and max(per_task) <= 4 * 50_000 and len(per_task) >= 5
+    counts = spark.createDataFrame([(0, 0, 200_000, 10), (0, 1, 1_000, 2_000), (0, 2, 10, 10)], "_band int, _cell long, _n_a long, _n_b long")
+    assert sorted(map(tuple, places._parts(counts, 50_000).collect())) == [(0, 0, 40, 1), (0, 1, 1, 40)]
+
+
+def test_rounded_as_round(spark):
+    rng = random.Random(4)
+    values = [rng.uniform(0, 20_016) for _ in range(20_000)] + [i / 2000 for i in range(20_000)] + [0.0, 1e-9, 0.0005, 1e13, 1.0005, 2.6755]
+    values += [math.nextafter(v, s) for v in values[20_000:22_000] for s in (0, math.inf)]
+    df = spark.createDataFrame([(v,) for v in values], "km double")
+    for digits in (0, 3, 6):
+        assert df.where(~places.rounded("km", digits).eqNullSafe(F.round("km", digits))).count() == 0

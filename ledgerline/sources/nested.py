@@ -25,7 +25,7 @@ from ledgerline.functions import cell
 
 OBJECT, SCALAR, NULL, ARRAY = "object", "scalar", "null", "array"
 MISSING, EMPTY, NO_ARRAY = "missing", "empty", "no array"
-_ADDED = ("_pos", "_status", "_element")
+_ADDED = ("_pos", "_status", "_element", "_texts")
 
 
 def _step(name: str) -> str:
@@ -41,30 +41,38 @@ def _path(*names: str) -> str:
 
 
 def _kind(value: Column) -> Column:
-    """Object, array, scalar or null."""
-    shape = F.schema_of_variant(value)
+    """Object, array, scalar or null; found without looking into what an object or an element holds."""
     return (
         F.when(value.isNull() | F.is_variant_null(value), NULL)
-        .when(shape.startswith("OBJECT"), OBJECT)
-        .when(shape.startswith("ARRAY"), ARRAY)
+        .when(F.try_variant_get(value, "$", "struct<>").isNotNull(), OBJECT)
+        .when(F.try_variant_get(value, "$", "array<variant>").isNotNull(), ARRAY)
         .otherwise(SCALAR)
     )
 
 
+def _texts(contract: Contract, element: Column) -> Column:
+    """The fields that a contract asks of an object as text, taken out of it together; NULL for what is no object."""
+    for name in contract.sources:
+        _step(name)  # names that no path leads to are refused as everywhere
+    kind = ", ".join(f"{quoted(name)}: string" for name in contract.sources)
+    return F.try_variant_get(element, "$", f"struct<{kind}>")
+
+
 def elements(df: DataFrame, payload: str, path: Sequence[str], keep: Sequence[str] = (), keep_childless: bool = False) -> DataFrame:
     """One row for each element of the array at ``path``: the columns ``keep``, ``_pos`` (from 0), ``_status`` and
     ``_element`` (VARIANT)."""
     held = F.variant_get(F.col(quoted(payload)), _path(*path), "variant") if path else F.col(quoted(payload))
     kept = [F.col(quoted(k)).alias(f"k{i}") for i, k in enumerate(keep)]
-    parents = df.select(*kept, held.alias("held")).withColumn("kind", F.when(F.col("held").isNull(), MISSING).otherwise(_kind(F.col("held"))))
+    parents = df.select(*kept, held.alias("held"))
     back = [F.col(f"k{i}").alias(k) for i, k in enumerate(keep)]
-    arrays = parents.where(F.col("kind") == ARRAY)
-    exploded = arrays.lateralJoin(arrays.sparkSession.tvf.variant_explode(F.col("held").outer()))
+    # Fields of an object have a key, elements none. To ask before would make the payload once more for the filter.
+    exploded = parents.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("held").outer())).where(F.col("key").isNull())
     found = exploded.select(*back, F.col("pos").alias("_pos"), _kind(F.col("value")).alias("_status"), F.col("value").alias("_element"))
     if not keep_childless:
         return found
     none = F.lit(None).cast("variant")
     empty = F.schema_of_variant("held") == "ARRAY<VOID>"
+    parents = parents.withColumn("kind", F.when(F.col("held").isNull(), MISSING).otherwise(_kind(F.col("held"))))
     childless = parents.where((F.col("kind") != ARRAY) | (empty & (F.to_json("held") == "[]")))
     why = F.when(F.col("kind") == ARRAY, EMPTY).when(F.col("kind").isin(MISSING, NULL), F.col("kind")).otherwise(NO_ARRAY)
     return found.unionByName(childless.select(*back, F.lit(None).cast("int").alias("_pos"), why.alias("_status"), none.alias("_element")))
@@ -80,7 +88,6 @@ def child_rows(
     if clash := sorted({*keep} & {*contract.targets, *_ADDED} | {*contract.targets} & {*_ADDED}):
         raise ContractViolation(f"contract {contract.name!r}: columns {clash} occur twice among child rows")
     rows = elements(df, payload, path, keep, keep_childless)
-    field = lambda spec: F.variant_get("_element", _path(spec.source), "string")
     is_object = F.col("_status") == OBJECT
     if policy == STRICT:
         said = F.concat(F.lit(f"contract {contract.name!r}: element "), F.col("_pos").cast("string"), F.lit(" is no object: "), F.to_json("_element"))
@@ -88,13 +95,14 @@ def child_rows(
         element = F.when(odd, F.raise_error(said).cast("variant")).otherwise(F.col("_element"))
         rows = rows.withColumn("_element", element)
         # The element is looked at for every row, also where no column of the contract is asked for.
-        typed = [cell(field(c), c, policy).alias(c.target) for c in contract.columns]
-        return rows.where(F.col("_element").isNotNull() | F.col("_pos").isNull()).select(
-            *[F.col(quoted(k)) for k in keep], "_pos", *typed
-        )
-    typed = [cell(F.when(is_object, field(c)), c, policy).alias(c.target) for c in contract.columns]
+        rows = rows.where(F.col("_element").isNotNull() | F.col("_pos").isNull())
+    kept = [F.col(quoted(k)) for k in keep]
+    rows = rows.withColumn("_texts", _texts(contract, F.col("_element")))
+    typed = [cell(F.col("_texts").getField(c.source), c, policy).alias(c.target) for c in contract.columns]
+    if policy == STRICT:
+        return rows.select(*kept, "_pos", *typed)
     other = F.when(~is_object & F.col("_element").isNotNull(), F.to_json("_element"))
-    return rows.select(*[F.col(quoted(k)) for k in keep], "_pos", *typed, "_status", other.alias("_element"))
+    return rows.select(*kept, "_pos", *typed, "_status", other.alias("_element"))
 
 
 def _objects(df: DataFrame, payload: str, path: Sequence[str]) -> tuple[DataFrame, str]:

@@ -121,9 +121,23 @@ def merged_schema(df: DataFrame, payload: str, path: Sequence[str] = ()) -> T.St
     told = objects.agg(F.schema_of_variant_agg(F.col(quoted(name))).alias("s")).first()["s"]
     if not told.startswith("OBJECT"):  # none was there
         return T.StructType()
+    return _told_type(told)
+
+
+def _told_type(told: str) -> T.DataType:
     return T.DataType.fromDDL("v " + re.sub(r"(^|: |<)OBJECT<", r"\1STRUCT<", told))["v"].dataType
 
 
+def _fields(df: DataFrame, payload: str, path: Sequence[str]) -> list[tuple[T.StructField, int | None]]:
+    """The fields of ``merged_schema`` with the greatest length of each as text; both in one pass over the payloads."""
+    held = elements(df, payload, path).select(F.col("_element").alias("held")) if path else df.select(F.col(quoted(payload)).alias("held"))
+    each = held.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("held").outer())).where(F.col("key").isNotNull())
+    length = F.max(F.length(F.try_variant_get("value", "$", "string")))
+    told = each.groupBy("key").agg(F.schema_of_variant_agg("value").alias("s"), length.alias("n")).collect()
+    told.sort(key=lambda r: r["key"].encode("utf-16-be"))
+    return [(T.StructField(r["key"], _told_type(r["s"])), r["n"]) for r in told]
+
+
 def proposed_contract(df: DataFrame, payload: str, name: str, path: Sequence[str] = ()) -> Contract:
     """A contract for the objects in a payload, or in an array in it, from the fields they hold.
 
@@ -131,22 +145,19 @@ def proposed_contract(df: DataFrame, payload: str, name: str, path: Sequence[str
     and fields of several types are text. Targets are the names in capitals, with ``_`` for what a
     name may not hold. Nothing is proposed for fields that are always null.
     """
-    kind = merged_schema(df, payload, path)
-    texts = [f.name for f in kind.fields if isinstance(f.dataType, T.StringType)]
-    longest: dict[str, int] = {}
-    if texts:
-        objects, column = _objects(df, payload, path)
-        lengths = [F.max(F.length(F.variant_get(F.col(quoted(column)), _path(t), "string"))) for t in texts]
-        longest = dict(zip(texts, objects.agg(*lengths).first(), strict=True))
     specs, taken = [], set()
-    for field in kind.fields:
+    for field, longest in _fields(df, payload, path):
         if isinstance(field.dataType, T.NullType):
             continue
+        if isinstance(field.dataType, T.StringType):
+            _step(field.name)
+        else:
+            longest = None
         target = re.sub(r"\W+", "_", field.name).strip("_").upper() or "FIELD"
         while target in taken:
             target += "_"
         taken.add(target)
-        specs.append(_proposed(field, target, longest.get(field.name)))
+        specs.append(_proposed(field, target, longest))
     return Contract(name, tuple(specs))
 
 

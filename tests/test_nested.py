@@ -90,6 +90,23 @@ def test_proposed_contracts(spark):
     assert sorted((str(r["VIN_1_10"]), r["YEAR"], str(r["PRICE"])) for r in typed.collect()) == [("abc", 2020, "12.55"), ("abcde", None, "100.00")]
 
 
+def test_one_pass_over_the_payloads(spark):
+    """Fields and lengths come together."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(j):
+        seen.add(1)
+        return j
+
+    said = ['{"a": "xyz", "E": 1, "n": null}', '{"a": "x", "b": [1, 2], "d": "2020"}', '{"b": [{"c": 1}], "d": 12345}', "[1]", "{}", None]
+    rows = spark.createDataFrame([(j,) for j in said], "j string").select(F.parse_json(told("j")).alias("p"))
+    found = proposed_contract(rows, "p", "c")
+    assert seen.value == len(said)
+    assert [(c.source, c.target, c.kind, c.length) for c in found.columns] == [("E", "E", "int", None), ("a", "A", "string", 3), ("b", "B", "string", None), ("d", "D", "string", None)]
+    assert merged_schema(rows, "p").fieldNames() == ["E", "a", "b", "d", "n"]
+
+
 def test_odd_names_and_values_as_text(spark):
     names = Contract("c", (ColumnSpec("x", "X"), ColumnSpec("y`.z", "Y"), ColumnSpec("it's, <a>: b", "Z")))
     said = '[{"x": "a", "X": {"q": 1}, "y`.z": 2.50, "it\'s, <a>: b": {"q": [1.10]}}, 3, null, [{"x": 1}], {"X": "b"}, {"x": true}, {"x": null}]'

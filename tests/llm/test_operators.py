@@ -727,6 +727,22 @@ def test_however_many_entities_get_another_surrogate(spark, monkeypatch):
             assert new == out + old[at:]
 
 
+def test_the_pipeline_replaces_any_number_of_conflicts(spark, secret, monkeypatch):
+    """The stage gives what it gives for few conflicts, and no surrogate of it occurs in its input."""
+    s, said, texts = pii.Surrogates(KEY), "10.20.30.40", []
+    for i in range(9):
+        texts.append(f"at {said} in {i}")
+        said = s.replace("ip", said)
+    docs = spark.createDataFrame([*enumerate(texts), (None, texts[0]), (3, None)], "doc_id long, text string").withColumn("n_chars", F.lit(0).cast("long"))
+    get = lambda: sorted((tuple(r) for r in corpus_pipeline.pii_surrogates(spark, docs, "").collect()), key=repr)
+    want = get()
+    monkeypatch.setattr(pii, "ANEW", 1)
+    assert get() == want and len(want) == 11
+    old = {t.split()[1] for t in texts}
+    new = [r[1].split()[1] for r in want if r[1]]
+    assert not old & {*new} and len({*new}) == len(old) and all(r[2] == len(r[1]) for r in want if r[1])
+
+
 def test_a_million_phone_numbers(spark):
     numbers = spark.range(1_000_000).selectExpr(
         "id AS doc_id", "concat('at (', 200 + id % 700, ') ', 200 + id div 700 % 700, '-', lpad(id % 10000, 4, '0')) AS text"

@@ -11,12 +11,13 @@ is one to one and leaves nothing as it was, so two identities never share a surr
 shape must also satisfy a rule (a card's check digit), the walk goes on until the rule holds,
 which keeps it one to one.
 ``verified`` checks this over a whole table, after the fact: no surrogate stands for two identities,
-no identity has two surrogates, and no surrogate is itself an identity that really occurs. Entities that
-break the last get a surrogate under another derived key, a bounded number of times; however many they are, they
-stay in tables, and only rows that hold one are changed. Where the values that
-occur fill a shape's space (all two-letter names, most one-digit addresses, very many phone numbers), no
-key avoids them: then the one permutation stands, distinct and coreferent as it is, and each row
-counts those of its entities whose surrogate occurs (``n_occurring``). Data never ends a run.
+no identity has two surrogates, and no surrogate is itself an identity that really occurs. Each entity that
+breaks this gets the first of further surrogates, under other derived keys, that neither occurs nor is taken; however
+many they are, they stay in tables, and only rows that hold one are changed. Where the values that occur fill a
+shape's space (all two-letter names, most one-digit addresses), no key avoids them: then that shape's first
+permutation stands, distinct and coreferent as it is, and each row counts those of its entities whose surrogate
+occurs (``n_occurring``). This is settled shape by shape, so what one shape holds changes no other: how full a shape
+is decides, and neither the size of the table nor the number of conflicts. Data never ends a run.
 Names of the lists below are drawn from their own group, so there a surrogate is a name that may
 occur and is not counted. ``collisions`` lists what breaks distinctness.
 
@@ -43,15 +44,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 
 from ledgerline.llm.common import by_block, written
 
 #: Setting that names the secret of a run; without it every run makes its own.
 SECRET = "spark.ledgerline.pii.secret"
 _ROUNDS = 8
-#: Turns until no surrogate is a value that occurs, and entities that one task gives surrogates anew.
-TURNS, ANEW = 4, 100_000
+_AT_ONCE = 1024
+#: Keys that an entity's surrogate is sought under, and entities that one task gives surrogates anew. Where the
+#: values that occur fill a third of a shape or less, each key fails for two thirds at most.
+TURNS, ANEW = 64, 100_000
 
 # Letters by script and case, and given and family names by script and gender.
 _LETTERS = (
@@ -386,39 +389,64 @@ def verified(
     left = written(_conflicting(each), "conflicts")
     if left.isEmpty():
         return plain.drop(_PUT).select("*", *zero)
-    turns = _turns(each, left, key)
-    if turns is not None:
+    turns, found = _turns(each, left, key), plain
+    if not turns.isEmpty():
         found = written(_turned(plain, turns, key, text, entities), "pseudonymised")
-        if conflicts(found, entities).isEmpty():
-            return found.select("*", *zero)
-    return _with_counts(plain, entities, counted, left).drop(_PUT) if counted else plain.drop(_PUT)
+    if not counted:
+        return found.drop(_PUT)
+    if found is not plain:
+        left = written(conflicts(found, entities), "conflicts")
+    return _with_counts(found, entities, counted, left).drop(_PUT)
 
 
-def _turns(each: DataFrame, left: DataFrame, key: bytes) -> DataFrame | None:
-    """The entities not at their first turn (type, identity, turn) when none conflicts any more; None if some still
-    do after ``TURNS``, or one has several surrogates. A surrogate follows from identity and turn, so the rows wait."""
-    if not left.filter("n_surrogates > 1").isEmpty():
-        return None
-    entity = ["type", "identity"]
-    now = each.withColumn("turn", F.lit(0))
+def _turns(each: DataFrame, left: DataFrame, key: bytes) -> DataFrame:
+    """The entities not at their first turn: type, identity, turn.
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        surrogates = Surrogates(key)
-        for batch in batches:
-            rows = batch.to_pylist()
-            for r in rows:
-                r["turn"] += 1
-                r["surrogate"] = identity(r["type"], surrogates.at(r["turn"]).of(r["type"], r["identity"]))
-            yield pa.RecordBatch.from_pylist(rows, schema=batch.schema)
-
-    for _ in range(TURNS - 1):
-        tasks = -(-left.count() // ANEW)
-        anew = now.join(left, entity, "left_semi").repartition(tasks, *entity).mapInArrow(work, now.schema)
-        now = written(now.join(left, entity, "left_anti").unionByName(anew), "entities")
-        left = written(_conflicting(now), "conflicts")
-        if left.isEmpty():
-            return now.filter("turn > 0").select(*entity, "turn")
-    return None
+    An entity in ``left`` gets the first turn whose surrogate is neither an entity of the table, nor any entity's at its
+    first turn, nor another's by now; of several that come to one value at once the least keeps it. So whoever stays at
+    the first turn shares its surrogate with nobody who left it. Entities with several surrogates stay there, and all of
+    a shape in which some find none. A surrogate follows from identity and turn, so the rows wait.
+    """
+    entity, value = ["type", "identity"], ["type", "surrogate"]
+    taken = each.select(*value).union(each.select(*entity))
+    waiting = written(left.filter("n_surrogates = 1").select(*entity), "entities")
+    placed = written(waiting.limit(0).select("*", F.lit(0).alias("turn"), F.lit("").alias("surrogate")), "entities")
+
+    def work(turns: range) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            surrogates = Surrogates(key)
+            for batch in batches:
+                for some in range(0, batch.num_rows, _AT_ONCE):
+                    told = [
+                        {**r, "turn": turn, "surrogate": identity(r["type"], surrogates.at(turn).of(r["type"], r["identity"]))}
+                        for r in batch.slice(some, _AT_ONCE).to_pylist() for turn in turns
+                    ]
+                    # An address must be one in capitals too, whichever way a text writes it.
+                    told = [r for r in told if r["type"] != "email" or r["surrogate"].upper().lower() == r["surrogate"]]
+                    yield pa.RecordBatch.from_pylist(told, schema=like)
+
+        return task
+
+    like = to_arrow_schema(placed.schema)
+    start = 1
+    while start < TURNS and (n := waiting.count()):
+        turns = range(start, min(2 * start, TURNS))  # few turns for the many, many for the few that are left
+        start = turns.stop
+        tried = waiting.repartition(-(-n // ANEW), *entity).mapInArrow(work(turns), placed.schema)
+        tried = written(tried, "entities")
+        hit = taken.union(placed.select(*value)).join(tried.select(*value).distinct(), value, "left_semi").distinct()
+        first = tried.join(hit, value, "left_anti").groupBy(*entity).agg(F.min(F.struct("turn", "surrogate")).alias("own"))
+        kept = first.groupBy("type", "own.surrogate").agg(F.min(F.struct("identity", "own.turn")).alias("who"))
+        kept = kept.select("type", "who.identity", "who.turn", "surrogate")
+        placed = written(placed.unionByName(kept), "entities")
+        waiting = written(waiting.join(placed, entity, "left_anti"), "entities")
+    full = waiting.select("type", _shape().alias("shape")).distinct()
+    return placed.withColumn("shape", _shape()).join(full, ["type", "shape"], "left_anti").select(*entity, "turn")
+
+
+def _shape() -> Column:
+    """An identity with the kind of each letter and digit in its place; its surrogates have the same."""
+    return F.translate("identity", "".join(_LETTERS), "".join(str(i) * len(kind) for i, kind in enumerate(_LETTERS)))
 
 
 def _placed() -> list[Column]:

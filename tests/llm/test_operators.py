@@ -743,6 +743,31 @@ def test_the_pipeline_replaces_any_number_of_conflicts(spark, secret, monkeypatc
     assert not old & {*new} and len({*new}) == len(old) and all(r[2] == len(r[1]) for r in want if r[1])
 
 
+def test_a_full_shape_changes_no_other(spark, secret):
+    """Names that fill their shape, and an address written in two ways, leave the other entities what they get without them."""
+    s, said, texts = pii.Surrogates(KEY), "10.20.30.40", []
+    for i in range(9):
+        texts.append(f"at {said} in {i}")
+        said = s.replace("ip", said)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [f"Dr {a.upper()}{b} came." for a in letters for b in letters]
+    twice = ["from 01.2.3.4 here", "from 1.2.3.4 here"]
+    get = lambda rows: {
+        r["doc_id"]: r["text"]
+        for r in corpus_pipeline.pii_surrogates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    }
+    alone, rows = get([*enumerate(texts)]), [*enumerate([*texts, *twice, *names])]
+    got = get(rows)
+    assert {k: got[k] for k in alone} == alone
+    old, new = {t.split()[1] for t in texts + twice}, [got[i].split()[1] for i in range(11)]
+    assert not old & {*new} and len({*new}) == 11
+    assert len({*got.values()}) == len(rows)
+    plain = pii.pseudonymised(spark.createDataFrame(rows[11:], "doc_id long, text string"), KEY)
+    assert {r["doc_id"]: r["text"] for r in plain.collect()} == {k: got[k] for k, _ in rows[11:]}
+    counted = {r["doc_id"]: r["n_occurring"] for r in pii.verified(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+    assert not any(counted[i] for i in range(11)) and all(counted[i] for i in range(11, len(rows)))
+
+
 def test_a_million_phone_numbers(spark):
     numbers = spark.range(1_000_000).selectExpr(
         "id AS doc_id", "concat('at (', 200 + id % 700, ') ', 200 + id div 700 % 700, '-', lpad(id % 10000, 4, '0')) AS text"

@@ -11,7 +11,8 @@ missing nodes between, emits for every child the siblings on its way up, and dis
 
 Digests are computed where the rows lie; only they travel. Rows are numbered within their tree by a
 range sort over all tasks, so a tree that holds most rows is the work of many, and no step takes
-more than one subtree at a time.
+more than one subtree at a time. Levels of at most ``_AT_ONCE`` nodes in all, as the upper ones are, are not
+dealt over tasks: one takes them, subtree by subtree like the others, and a level costs no shuffle.
 
 Rows: a null cell is ``-``, any other its number of UTF-8 bytes, ``:`` and the value as text. Null
 trees and null ids come first; rows that share an id stand by their digest, so repeated rows are leaves
@@ -94,15 +95,16 @@ class Manifest:
     """
 
     path: str
-    n_leaf_levels: int
-    n_root_levels: int
+    #: Nodes of each written level, or somewhat more.
+    leaf_sizes: tuple[int, ...]
+    root_sizes: tuple[int, ...]
 
     def level(self, spark: SparkSession, part: str, k: int) -> DataFrame:
         return spark.read.parquet(f"{self.path}/{part}/{k}")
 
     def root(self, spark: SparkSession) -> str | None:
         """The digest of the whole table; none of an empty one."""
-        top = self.level(spark, "roots", self.n_root_levels - 1).first()
+        top = self.level(spark, "roots", len(self.root_sizes) - 1).first()
         return top and top["digest"]
 
 
@@ -125,6 +127,12 @@ def _numbered(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     return placed.join(runs, same).select(*rows.columns, (F.col("place") + F.col("shift")).alias("index"), "n")
 
 
+def _dealt(rows: DataFrame, size: int) -> DataFrame:
+    """The rows of each subtree in one task and in order."""
+    dealt = rows.coalesce(1) if size <= _AT_ONCE else rows.repartition("tree", "subtree")
+    return dealt.sortWithinPartitions("tree", "subtree", "index")
+
+
 def _subtrees(batches: Iterator[pa.RecordBatch], names: Sequence[str]) -> Iterator[tuple[tuple, list[tuple]]]:
     """Consecutive rows of one tree and subtree."""
     at, held = None, []
@@ -150,12 +158,12 @@ def _batches(rows: Iterator[dict], like: pa.Schema) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(some, schema=like)
 
 
-def _above(level: DataFrame) -> DataFrame:
-    """The next written level."""
+def _above(level: DataFrame, size: int) -> DataFrame:
+    """The next written level of one of ``size`` nodes."""
     schema = T.StructType([level.schema["tree"], *T.StructType.fromDDL("index bigint, digest string, n bigint").fields])
     like = to_arrow_schema(schema)
     rows = level.select("tree", F.expr(f"index div {SPAN}").alias("subtree"), "index", "digest", "n")
-    rows = rows.repartition("tree", "subtree").sortWithinPartitions("tree", "subtree", "index")
+    rows = _dealt(rows, size)
     names = rows.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,26 +178,33 @@ def _above(level: DataFrame) -> DataFrame:
     return rows.mapInArrow(work, schema)
 
 
-def _forest(rows: DataFrame, path: str) -> int:
-    """Write every ``EVERY``-th level of the trees; returns how many were written."""
+def _forest(rows: DataFrame, path: str) -> tuple[tuple[int, ...], int]:
+    """Write every ``EVERY``-th level of the trees; returns how many nodes each has at most, and the number of trees."""
     spark = rows.sparkSession
     rows.write.parquet(f"{path}/0")
-    most = spark.read.parquet(f"{path}/0").agg(F.max("n")).first()[0] or 0
-    k = 0
-    while most > 1:
-        _above(spark.read.parquet(f"{path}/{k}")).write.parquet(f"{path}/{k + 1}")
-        k, most = k + 1, -(-most // SPAN)
-    return k + 1
+    told = spark.read.parquet(f"{path}/0").agg(F.max("n"), F.count("*"), F.count_if(F.col("index") == 0))
+    most, held, trees = told.first()
+    sizes = [held]
+    while (most or 0) > 1:
+        k = len(sizes)
+        _above(spark.read.parquet(f"{path}/{k - 1}"), sizes[-1]).write.parquet(f"{path}/{k}")
+        sizes.append(sizes[-1] // SPAN + trees)
+        most = -(-most // SPAN)
+    return tuple(sizes), trees
 
 
 def build(leaves: DataFrame, order: Sequence[str], path: str) -> Manifest:
     """Write the manifest of leaves (tree, digest, the columns to order by, and others to carry along)."""
-    n_leaf = _forest(_numbered(written(leaves, "merkle-leaves"), [*order, "digest"]), f"{path}/leaves")
+    sizes, trees = _forest(_numbered(written(leaves, "merkle-leaves"), [*order, "digest"]), f"{path}/leaves")
     spark = leaves.sparkSession
-    tops = spark.read.parquet(f"{path}/leaves/{n_leaf - 1}").select("tree", "digest")
+    tops = spark.read.parquet(f"{path}/leaves/{len(sizes) - 1}").select("tree", "digest")
     subroots = tops.select(F.lit(0).alias("tree"), F.col("tree").alias("source"), "digest")
-    n_root = _forest(_numbered(subroots, ["source"]), f"{path}/roots")
-    return Manifest(path, n_leaf, n_root)
+    if trees <= _AT_ONCE:
+        row = F.row_number().over(Window.partitionBy("tree").orderBy("source"))
+        placed = subroots.coalesce(1).select("*", (row - 1).cast("bigint").alias("index"), F.lit(trees).cast("bigint").alias("n"))
+    else:
+        placed = _numbered(subroots, ["source"])
+    return Manifest(path, sizes, _forest(placed, f"{path}/roots")[0])
 
 
 # Proofs
@@ -197,8 +212,8 @@ def build(leaves: DataFrame, order: Sequence[str], path: str) -> Manifest:
 _PATH = "path array<struct<left: string, right: string>>, subroot string, root string"
 
 
-def _below(level: DataFrame, paths: DataFrame, carry: Sequence[str], columns: str, told) -> DataFrame:
-    """``told(carried, digest, path, subroot, root)`` for each stored node below the tops of ``paths``."""
+def _below(level: DataFrame, size: int, paths: DataFrame, carry: Sequence[str], columns: str, told) -> DataFrame:
+    """``told(carried, digest, path, subroot, root)`` for each of ``size`` stored nodes below the tops of ``paths``."""
     names = ["tree", "subtree", "index", "digest", "n", *carry]
     children = level.select("tree", F.expr(f"index div {SPAN}").alias("subtree"), "index", "digest", "n", *carry)
     above = [F.lit(None).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(_PATH).fields]
@@ -206,7 +221,7 @@ def _below(level: DataFrame, paths: DataFrame, carry: Sequence[str], columns: st
     tops = paths.select("tree", F.col("index").alias("subtree"), *none, "path", "subroot", "root")
     both = tops.union(children.select("*", *above))
     # The top's path stands before its children, which have an index.
-    both = both.repartition("tree", "subtree").sortWithinPartitions("tree", "subtree", "index")
+    both = _dealt(both, size)
     schema = T.StructType([children.schema["tree"], *T.StructType.fromDDL(f"index bigint, digest string, {columns}").fields])
     schema = T.StructType([*schema.fields, *[children.schema[c] for c in carry]])
     like, all_names = to_arrow_schema(schema), both.columns
@@ -243,18 +258,20 @@ def proofs(spark: SparkSession, manifest: Manifest, carry: Sequence[str], column
     With ``told(carried, digest, path, subroot, root)``, what it returns (``columns``) stands in place
     of path, subroot and root; the paths then never leave their task.
     """
-    top = manifest.level(spark, "roots", manifest.n_root_levels - 1)
+    leaves, roots = manifest.leaf_sizes, manifest.root_sizes
+    top = manifest.level(spark, "roots", len(roots) - 1)
     empty = F.array().cast("array<struct<left: string, right: string>>").alias("path")
     paths = top.select("tree", "index", empty, F.lit(None).cast("string").alias("subroot"), F.col("digest").alias("root"))
-    for k in _downwards(manifest.n_root_levels):
+    for k in _downwards(len(roots)):
         level = manifest.level(spark, "roots", k)
-        paths = _below(level, paths, [] if k else ["source"], _PATH, _with_subroot)
+        paths = _below(level, roots[k], paths, [] if k else ["source"], _PATH, _with_subroot)
     at_top = F.lit(0).cast("bigint").alias("index")
     paths = written(paths.select(F.col("source").alias("tree"), at_top, "path", "subroot", "root"), "merkle-paths")
-    *upper, lowest = _downwards(manifest.n_leaf_levels)
+    *upper, lowest = _downwards(len(leaves))
     for k in upper:
-        paths = written(_below(manifest.level(spark, "leaves", k), paths, (), _PATH, _with_path), "merkle-paths")
-    return _below(manifest.level(spark, "leaves", lowest), paths, carry, columns or _PATH, told or _with_path)
+        level = manifest.level(spark, "leaves", k)
+        paths = written(_below(level, leaves[k], paths, (), _PATH, _with_path), "merkle-paths")
+    return _below(manifest.level(spark, "leaves", lowest), leaves[lowest], paths, carry, columns or _PATH, told or _with_path)
 
 
 def _downwards(n_levels: int) -> range:

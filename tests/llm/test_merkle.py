@@ -119,3 +119,23 @@ def test_only_every_other_level_is_written(spark, odd_rows, tmp_path):
     for r in merkle.proofs(spark, manifest, ["doc_id"]).collect():
         assert merkle.folded(r["digest"], [(p["left"], p["right"]) for p in r["path"]]) == root == r["root"]
         assert merkle.folded("0" * 64, [(p["left"], p["right"]) for p in r["path"]]) != root
+
+
+def test_small_levels_cost_no_shuffle(spark, odd_rows, tmp_path, monkeypatch):
+    """Levels that are not dealt over tasks hold what dealt ones hold, and are one file each."""
+    docs = spark.createDataFrame(odd_rows, SCHEMA)
+    monkeypatch.setattr(merkle, "_AT_ONCE", 200)  # fewer than the leaves, more than the sources and the nodes above
+    one = merkle.build(merkle.document_leaves(docs), ["doc_id"], str(tmp_path / "one"))
+    files = lambda part, k: [f for f in os.listdir(tmp_path / "one" / part / str(k)) if f.startswith("part")]
+    assert [len(files(*level)) for level in (("leaves", 2), ("roots", 0), ("roots", 1))] == [1, 1, 1]
+    monkeypatch.setattr(merkle, "_AT_ONCE", 1)
+    many = merkle.build(merkle.document_leaves(docs), ["doc_id"], str(tmp_path / "many"))
+    assert len(one.leaf_sizes) == len(many.leaf_sizes) == 3 and len(one.root_sizes) == len(many.root_sizes) == 2
+    for part, sizes in (("leaves", one.leaf_sizes), ("roots", one.root_sizes)):
+        for k, size in enumerate(sizes):
+            rows = [sorted(map(tuple, m.level(spark, part, k).collect()), key=repr) for m in (one, many)]
+            assert rows[0] == rows[1] and len(rows[0]) <= size
+    monkeypatch.setattr(merkle, "_AT_ONCE", 200)
+    for path in ("audited", "audited again"):
+        assert sorted(map(tuple, merkle.audited(docs, str(tmp_path / path)).collect()), key=repr) == expected(odd_rows)
+        monkeypatch.setattr(merkle, "_AT_ONCE", 1)

@@ -51,7 +51,7 @@ def simhash_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     )
     prints = written(simhash.fingerprints(marked, carry=(_TOLD, _WHOLE)), "fingerprints")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", _TOLD, _WHOLE)
-    classes = simhash.classes(prints.groupBy("bits").agg(F.min(order).alias("first")))
+    classes = simhash.classes(prints.groupBy("bits").agg(F.min(order).alias("first")), rows=prints.count())
     first = classes.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
     same = marked["doc_id"].eqNullSafe(first["doc_id"])
     for c in (_TOLD, _WHOLE):

@@ -14,6 +14,8 @@ from ledgerline.scratch import discard, scratch_path
 
 #: Bytes of text a task holds in arrays at a time; a single longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
+#: Rows for which a written table gets a file more, where their number is known.
+FILE_ROWS = 20_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,7 +37,10 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 def blocks(
     batches: Iterator[pa.RecordBatch], name: str = "text", limit: int = BLOCK_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches whose values of one text column come to ``limit`` bytes at most."""
+    """Slices of the batches whose values of one text column come to ``limit`` bytes at most.
+
+    Memory that Arrow holds for nothing goes back after each, or a worker keeps it from task to task.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -45,6 +50,7 @@ def blocks(
         start = 0
         for end in [*cuts.tolist(), batch.num_rows]:
             yield batch.slice(start, end - start)
+            pa.default_memory_pool().release_unused()
             start = end
 
 
@@ -60,9 +66,15 @@ def by_block(
     return task
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     """The rows written to the shared folder and read again: lineage ends here, and a lost
-    executor costs nothing that is already written."""
+    executor costs nothing that is already written.
+
+    ``rows``, if known, is how many they are at most. As many files as these ask for are then written,
+    though there be more shuffle partitions: each file has its executor start processes that set its mode.
+    """
+    if rows is not None:
+        df = df.coalesce(max(-(-rows // FILE_ROWS), 1))
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     _WRITTEN.append(path)

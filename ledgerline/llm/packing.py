@@ -267,12 +267,12 @@ def pieces(
 
 
 def placed(cut: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> DataFrame:
-    """Per piece: its columns, sequence_id and offset. ``cut`` is read three times: pass it written."""
+    """Per piece: its columns, sequence_id and offset. ``cut`` is read four times: pass it written."""
     spark = cut.sparkSession
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     bucket = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).alias("bucket")
     cut = cut.select("*", bucket)
-    counted = written(cut.groupBy("length", "bucket").agg(F.count("*").alias("n")), "lengths")
+    counted = written(cut.groupBy("length", "bucket").agg(F.count("*").alias("n")), "lengths", rows=cut.count())
     # One row a length, so at most ``capacity`` of them.
     histogram = counted.groupBy("length").agg(F.sum("n").alias("n")).collect()
     found = _places(plan({r["length"]: r["n"] for r in histogram}, capacity, nodes))

@@ -117,7 +117,7 @@ def components(edges: DataFrame) -> DataFrame:
     """Per node that has an edge: node, root (the smallest node it reaches).
 
     Each round moves every edge towards the smallest neighbour, first from the larger and then
-    from the smaller ends, until only stars are left.
+    from the smaller ends, until only stars are left. No step makes edges more.
     """
     current = written(edges.select("a", "b").distinct(), "edges")
     before = None
@@ -133,7 +133,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = (
             both.join(least, "a").filter(F.col("b") > F.col("a")).select(F.col("m").alias("a"), "b").distinct()
         )
-        large = written(large.filter("a <> b"), "edges")
+        large = written(large.filter("a <> b"), "edges", rows=state[0])
         # Now every edge goes from a smaller a to a larger b.
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         to_least = large.join(least, "b")
@@ -142,15 +142,16 @@ def components(edges: DataFrame) -> DataFrame:
             .union(to_least.filter(F.col("a") != F.col("m")).select(F.col("m").alias("a"), F.col("a").alias("b")))
             .distinct()
         )
-        current = written(small, "edges")
+        current = written(small, "edges", rows=state[0])
 
 
-def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``prints``, one for each value of ``bits``, with the ``root`` of its component."""
+def classes(prints: DataFrame, max_bits: int = MAX_BITS, rows: int | None = None) -> DataFrame:
+    """The rows of ``prints``, one for each value of ``bits`` (``rows`` at most, if known), with the
+    ``root`` of its component."""
     stars = components(links(prints, max_bits)).withColumnRenamed("node", "bits")
     others = [c for c in prints.columns if c != "bits"]
     named = prints.join(stars, "bits", "left").select("bits", *others, F.coalesce("root", "bits").alias("root"))
-    return written(named, "simhash-classes")
+    return written(named, "simhash-classes", rows)
 
 
 def near_duplicates(
@@ -162,7 +163,7 @@ def near_duplicates(
 ) -> DataFrame:
     """Per row: doc_id, bits, component_id (the smallest key in reach, itself included)."""
     docs = written(fingerprints(df, key, text, shingle_words), "simhash")
-    named = classes(docs.groupBy("bits").agg(F.min("doc_id").alias("first_doc")), max_bits)
+    named = classes(docs.groupBy("bits").agg(F.min("doc_id").alias("first_doc")), max_bits, docs.count())
     smallest = named.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     found = named.join(smallest, "root").select("bits", "component_id")
     return docs.join(found, "bits").select("doc_id", "bits", "component_id")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerline.llm import (
+    common,
     decontaminate,
     html_text,
     packing,
@@ -839,6 +840,62 @@ def test_links_and_components(spark, max_bits):
     assert stars == {p: r for p, r in root.items() if any(p in e for e in want)}
 
 
+def _n_files(df):
+    return df.select(F.input_file_name()).distinct().count()
+
+
+@pytest.fixture
+def many_partitions(spark):
+    """Shuffles of many partitions that stay apart, as where adaptive execution does not merge them."""
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_written_tables_have_files_for_their_rows(many_partitions, monkeypatch):
+    """Few rows make few files, whatever the number of shuffle partitions; no row is lost, none asked for alone."""
+    spark, files, real = many_partitions, defaultdict(list), simhash.written
+    monkeypatch.setattr(common, "FILE_ROWS", 100)
+
+    def counted(df, label, *args, **kwargs):
+        found = real(df, label, *args, **kwargs)
+        files[label].append((found.count(), _n_files(found)))
+        return found
+
+    monkeypatch.setattr(simhash, "written", counted)
+    monkeypatch.setattr(packing, "written", counted)
+    chain = [(1 << i) - 1 for i in range(1, 64)] + [7919 * i << 20 for i in range(1, 200)]
+    prints = spark.createDataFrame([(p, i) for i, p in enumerate(chain)], "bits long, i int")
+    found = simhash.classes(prints, 1, rows=len(chain))
+    roots = {r["bits"]: r["root"] for r in found.collect()}
+    assert set(roots) == set(chain) and {roots[p] for p in chain[:63]} == {1}
+    rows, first = files["simhash-classes"], files["edges"][0][0]
+    assert rows == [(len(chain), n) for _, n in rows] and rows[0][1] <= 3
+    assert len(files["edges"]) > 4 and all(k <= first and n <= -(-first // 100) for k, n in files["edges"][1:])
+    cut = packing.pieces(spark.createDataFrame([(i, "word " * i) for i in range(250)], "doc_id long, text string"))
+    assert packing.placed(cut).count() == 250
+    assert files["lengths"][0][0] == 250 and files["lengths"][0][1] <= 3
+
+
+def test_blocks_give_memory_back():
+    """What a task took of Arrow's memory does not stay with its worker."""
+    pool, told = pa.default_memory_pool(), []
+
+    class Pool:
+        def release_unused(self):
+            told.append(pool.release_unused())
+
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * 10] * 30})
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(common.pa, "default_memory_pool", Pool)
+        assert sum(b.num_rows for b in common.blocks(iter([batch, batch]), limit=100)) == 60
+    assert len(told) >= 6
+
+
 # The pipeline
 
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +27,16 @@ from ledgerline.llm.common import blocks, keyed_text
 from ledgerline.llm.tokens import VOCABULARY, vocabulary_path, word_ids
 
 END_ID = 2
-ROW_GROUP_BYTES = 32 << 20
+#: A reader's batch ends with its row group, and holds the ids of all its rows side by side.
+ROW_GROUP_BYTES = 1 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
+#: Rows of whole texts that a task holds side by side while files are written, at most: those the
+#: reader decodes at once, and those of a batch for Python. Both are thousands else, in arrays that
+#: grow by doubling and have the executor's heap grow with them.
+BATCH_ROWS = {"spark.sql.parquet.columnarReaderBatchSize": 128, "spark.sql.execution.arrow.maxRecordsPerBatch": 1_000}
+#: Rows whose ids go back from Python at a time.
+SENT_ROWS = 100
 
 #: Parquet's own settings, under Parquet's own names.
 LAYOUT = {
@@ -55,7 +63,7 @@ def encoded(
             ends = np.cumsum(counts)
             offsets = np.concatenate(([0], ends)).astype(np.int32)
             values = pa.array(ids.astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
+            found = pa.RecordBatch.from_arrays(
                 [
                     block.column("doc_id"),
                     pa.array(np.full(len(counts), part, np.int32)),
@@ -65,6 +73,8 @@ def encoded(
                 ],
                 ["doc_id", "part", "start", "n_tokens", "ids"],
             )
+            for i in range(0, len(counts), SENT_ROWS):
+                yield found.slice(i, SENT_ROWS)
             start += int(ends[-1])
 
     return (
@@ -76,7 +86,25 @@ def encoded(
 
 
 def write_tokens(df: DataFrame, path: str, **settings) -> None:
-    encoded(df, **settings).write.options(**LAYOUT).parquet(path)
+    with _small_batches(df.sparkSession):
+        encoded(df, **settings).write.options(**LAYOUT).parquet(path)
+
+
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """The session with batches of ``BATCH_ROWS`` or what it has, if less; as it was afterwards."""
+    before = {name: spark.conf.get(name, None) for name in BATCH_ROWS}
+    try:
+        for name, rows in BATCH_ROWS.items():
+            if not 0 < int(spark.conf.get(name)) < rows:
+                spark.conf.set(name, rows)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

@@ -207,6 +207,49 @@ def test_token_file_layout(documents, tmp_path):
     assert all(c.has_offset_index and c.has_column_index for c in columns.values())
 
 
+def test_token_files_hold_few_rows_at_a_time(spark, tmp_path, monkeypatch):
+    """Row groups end a reader's batch, so their ids bound it; so do the session's batches while files are written."""
+    import pyarrow.parquet as pq
+
+    names, seen, encoded = list(token_files.BATCH_ROWS), [], token_files.encoded
+    set_before = {n: spark.conf.get(n, None) for n in names}
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+
+    def spied(df, **settings):
+        seen.append([int(spark.conf.get(n)) for n in names])
+        return encoded(df, **settings)
+
+    monkeypatch.setattr(token_files, "encoded", spied)
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghij", k=4)) for _ in range(3_000)]
+    rows = [(i, " ".join(rng.choices(words, k=400))) for i in range(8_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.shuffle.partitions", 1)  # one file
+    try:
+        for i, given in enumerate((None, 0, 7)):  # the session's own, no bound, a lower one
+            if given is not None:
+                spark.conf.set(names[1], given)
+            token_files.write_tokens(df if not i else df.limit(3), str(tmp_path / str(i)))
+            assert spark.conf.get(names[1], None) == (set_before[names[1]] if given is None else str(given))
+        with pytest.raises(Exception, match="(?i)exist"):
+            token_files.write_tokens(df, str(tmp_path / "0"))
+        assert spark.conf.get(names[1]) == "7"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.unset(names[1])
+        if set_before[names[1]] is not None:
+            spark.conf.set(names[1], set_before[names[1]])
+    assert {n: spark.conf.get(n, None) for n in names} == set_before
+    bounds = list(token_files.BATCH_ROWS.values())
+    assert all(a <= b for run in seen for a, b in zip(run, bounds, strict=True)) and seen[2][1] == 7
+    files = [f.metadata for f in map(pq.ParquetFile, (tmp_path / "0").glob("*.parquet")) if f.metadata.num_rows]
+    sizes = [f.row_group(i).total_byte_size for f in files for i in range(f.num_row_groups)]
+    assert sum(f.num_rows for f in files) == 8_000 and sum(sizes) > 6 << 20
+    assert max(sizes) < 5 << 18
+    read = token_files.digests(token_files.read_tokens(spark, str(tmp_path / "0"))).collect()
+    assert sorted(r["doc_id"] for r in read) == list(range(8_000))
+
+
 # 3
 
 

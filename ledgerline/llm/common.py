@@ -16,6 +16,8 @@ from ledgerline.scratch import discard, scratch_path
 BLOCK_BYTES = 4 << 20
 #: Rows for which a written table gets a file more, where their number is known.
 FILE_ROWS = 20_000
+#: Rows up to which a joined table may pass through the driver to all tasks.
+SENT_ROWS = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +83,15 @@ def written(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def merged(df: DataFrame, rows: int) -> DataFrame:
+    """A table for a join, of ``rows`` at most: if these are many, the join sorts and merges.
+
+    Spark would broadcast what it takes to be small. It goes by the files, which may compress well, and keeps to that
+    when the rows of an aggregate turn out to be more.
+    """
+    return df.hint("merge") if rows > SENT_ROWS else df
+
+
 #: Tables written so far, for those who know when they are read no more.
 _WRITTEN: list[str] = []
 

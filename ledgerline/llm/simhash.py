@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import by_block, keyed_text, text_bytes, written
+from ledgerline.llm.common import by_block, keyed_text, merged, text_bytes, written
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -106,8 +106,10 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         "a", (F.col("cell") + F.col("step")).alias("cell"), (F.col("step") == 0).alias("same")
     )
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
+    # Merged at any size: Spark sizes the probes as if each fingerprint had one.
     return (
-        probes.join(cells.withColumnRenamed("bits", "b"), "cell")
+        probes.hint("merge")
+        .join(cells.withColumnRenamed("bits", "b"), "cell")
         .filter(near & (~F.col("same") | (F.col("a") < F.col("b"))))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     )
@@ -124,19 +126,19 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         state = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
-            return current.select(F.col("b").alias("node"), F.col("a").alias("root")).union(
+            stars = current.select(F.col("b").alias("node"), F.col("a").alias("root")).union(
                 current.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
             )
+            return merged(stars, 2 * state[0])
         before = state
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (
-            both.join(least, "a").filter(F.col("b") > F.col("a")).select(F.col("m").alias("a"), "b").distinct()
-        )
+        large = both.join(merged(least, 2 * state[0]), "a").filter(F.col("b") > F.col("a"))
+        large = large.select(F.col("m").alias("a"), "b").distinct()
         large = written(large.filter("a <> b"), "edges", rows=state[0])
         # Now every edge goes from a smaller a to a larger b.
         least = large.groupBy("b").agg(F.min("a").alias("m"))
-        to_least = large.join(least, "b")
+        to_least = large.join(merged(least, state[0]), "b")
         small = (
             to_least.select(F.col("m").alias("a"), "b")
             .union(to_least.filter(F.col("a") != F.col("m")).select(F.col("m").alias("a"), F.col("a").alias("b")))
@@ -163,10 +165,11 @@ def near_duplicates(
 ) -> DataFrame:
     """Per row: doc_id, bits, component_id (the smallest key in reach, itself included)."""
     docs = written(fingerprints(df, key, text, shingle_words), "simhash")
-    named = classes(docs.groupBy("bits").agg(F.min("doc_id").alias("first_doc")), max_bits, docs.count())
+    rows = docs.count()
+    named = classes(docs.groupBy("bits").agg(F.min("doc_id").alias("first_doc")), max_bits, rows)
     smallest = named.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    found = named.join(smallest, "root").select("bits", "component_id")
-    return docs.join(found, "bits").select("doc_id", "bits", "component_id")
+    found = named.join(merged(smallest, rows), "root").select("bits", "component_id")
+    return docs.join(merged(found, rows), "bits").select("doc_id", "bits", "component_id")
 
 
 def as_hex(bits: str = "bits"):

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from conftest import plan
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -883,6 +884,44 @@ def test_links_and_components(spark, max_bits):
     assert stars == {p: r for p, r in root.items() if any(p in e for e in want)}
 
 
+def test_probes_are_not_broadcast(spark):
+    """They are many times the fingerprints, though Spark takes them to be as many."""
+    prints = common.written(spark.range(300).withColumnRenamed("id", "bits"), "simhash")
+    found = simhash.links(prints.groupBy("bits").agg(F.count("*").alias("n")))
+    assert "Broadcast" not in plan(found)
+    assert found.collect() and "Broadcast" not in plan(found)  # as adaptive execution left it
+
+
+def _plans_written(module, monkeypatch):
+    """The plans of what the module writes from now on, in the order in which they were made."""
+    made, real = [], module.written
+
+    def noted(df, *args, **kwargs):
+        made.append(plan(df))
+        return real(df, *args, **kwargs)
+
+    monkeypatch.setattr(module, "written", noted)
+    return made
+
+
+def test_many_rows_are_not_broadcast(spark, monkeypatch):
+    """Whatever Spark takes the size of their files to be, as where rows share their text or an end of their edges."""
+    made = _plans_written(simhash, monkeypatch)
+    words = [" ".join(random.Random(i).choices("abcdefghijklmnopqrstuvwxyz", k=60)) for i in range(3)]
+    docs = spark.createDataFrame([(i, words[i % 3]) for i in range(60)], "doc_id long, text string")
+    want = {(i, i % 3) for i in range(60)}
+    chain = spark.createDataFrame([((1 << i) - 1,) for i in range(1, 16)], "bits long")
+    for most in (10, 1000):
+        monkeypatch.setattr(common, "SENT_ROWS", most, raising=False)
+        found = simhash.near_duplicates(docs)
+        made.clear()  # of its few edges
+        stars = simhash.components(simhash.links(chain, 1))
+        shown = [*made, plan(found), plan(chain.join(stars.withColumnRenamed("node", "bits"), "bits", "left"))]
+        assert ["Broadcast" in x for x in shown[1:]] == [most == 1000] * (len(made) + 1) and len(made) > 4
+        assert {(r["doc_id"], r["component_id"]) for r in found.collect()} == want
+        assert {(r["node"], r["root"]) for r in stars.collect()} == {((1 << i) - 1, 1) for i in range(1, 16)}
+
+
 def _n_files(df):
     return df.select(F.input_file_name()).distinct().count()
 

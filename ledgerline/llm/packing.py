@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import blocks, keyed_text, written
+from ledgerline.llm.common import blocks, keyed_text, merged, written
 from ledgerline.llm.tokens import VOCABULARY, vocabulary_path, word_ids
 
 CAPACITY = 4096
@@ -272,7 +272,8 @@ def placed(cut: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> Data
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     bucket = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).alias("bucket")
     cut = cut.select("*", bucket)
-    counted = written(cut.groupBy("length", "bucket").agg(F.count("*").alias("n")), "lengths", rows=cut.count())
+    rows = cut.count()
+    counted = written(cut.groupBy("length", "bucket").agg(F.count("*").alias("n")), "lengths", rows=rows)
     # One row a length, so at most ``capacity`` of them.
     histogram = counted.groupBy("length").agg(F.sum("n").alias("n")).collect()
     found = _places(plan({r["length"]: r["n"] for r in histogram}, capacity, nodes))
@@ -283,7 +284,7 @@ def placed(cut: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> Data
     within = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")
     ranked = (
         cut.withColumn("rank", F.row_number().over(within) - 1)
-        .join(base, ["length", "bucket"])
+        .join(merged(base, min(rows, capacity * buckets)), ["length", "bucket"])
         .select(*[c for c in cut.columns if c != "bucket"], (F.col("base") + F.col("rank")).alias("rank"))
     )
     columns = [c for c in cut.columns if c != "bucket"]

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 
-from ledgerline.llm.common import by_block, written
+from ledgerline.llm.common import by_block, merged, written
 
 #: Setting that names the secret of a run; without it every run makes its own.
 SECRET = "spark.ledgerline.pii.secret"
@@ -365,11 +365,12 @@ def _conflicting(each: DataFrame) -> DataFrame:
     split = each.groupBy("type", "identity").agg(F.count("*").alias("n_surrogates"))
     real = each.select("type", F.col("identity").alias("surrogate")).distinct()
     listed = F.col("type").isin("given", "family") & F.col("surrogate").isin(sorted({n for g in _GROUPS.values() for n in g}))
-    hit = each.join(shared, ["type", "surrogate"], "left_semi").union(
-        each.filter(~listed).join(real, ["type", "surrogate"], "left_semi")
+    rows = each.count()
+    hit = each.join(merged(shared, rows), ["type", "surrogate"], "left_semi").union(
+        each.filter(~listed).join(merged(real, rows), ["type", "surrogate"], "left_semi")
     )
     hit = hit.select("type", "identity", F.lit(True).alias("hit")).distinct()
-    both = split.join(hit, ["type", "identity"], "left")
+    both = split.join(merged(hit, rows), ["type", "identity"], "left")
     return both.filter(F.col("hit") | (F.col("n_surrogates") > 1)).drop("hit")
 
 
@@ -428,20 +429,25 @@ def _turns(each: DataFrame, left: DataFrame, key: bytes) -> DataFrame:
         return task
 
     like = to_arrow_schema(placed.schema)
-    start = 1
-    while start < TURNS and (n := waiting.count()):
+    start, n = 1, waiting.count()
+    most = n
+    while start < TURNS and n:
         turns = range(start, min(2 * start, TURNS))  # few turns for the many, many for the few that are left
         start = turns.stop
         tried = waiting.repartition(-(-n // ANEW), *entity).mapInArrow(work(turns), placed.schema)
         tried = written(tried, "entities")
-        hit = taken.union(placed.select(*value)).join(tried.select(*value).distinct(), value, "left_semi").distinct()
-        first = tried.join(hit, value, "left_anti").groupBy(*entity).agg(F.min(F.struct("turn", "surrogate")).alias("own"))
+        values = merged(tried.select(*value).distinct(), n * len(turns))
+        hit = taken.union(placed.select(*value)).join(values, value, "left_semi").distinct()
+        free = tried.join(merged(hit, n * len(turns)), value, "left_anti")
+        first = free.groupBy(*entity).agg(F.min(F.struct("turn", "surrogate")).alias("own"))
         kept = first.groupBy("type", "own.surrogate").agg(F.min(F.struct("identity", "own.turn")).alias("who"))
         kept = kept.select("type", "who.identity", "who.turn", "surrogate")
         placed = written(placed.unionByName(kept), "entities")
-        waiting = written(waiting.join(placed, entity, "left_anti"), "entities")
+        waiting = written(waiting.join(merged(placed, most), entity, "left_anti"), "entities")
+        n = waiting.count()
     full = waiting.select("type", _shape().alias("shape")).distinct()
-    return placed.withColumn("shape", _shape()).join(full, ["type", "shape"], "left_anti").select(*entity, "turn")
+    turned = placed.withColumn("shape", _shape()).join(merged(full, n), ["type", "shape"], "left_anti")
+    return merged(turned.select(*entity, "turn"), most)
 
 
 def _shape() -> Column:

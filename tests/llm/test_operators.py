@@ -788,6 +788,29 @@ def test_the_pipeline_replaces_any_number_of_conflicts(spark, secret, monkeypatc
     assert not old & {*new} and len({*new}) == len(old) and all(r[2] == len(r[1]) for r in want if r[1])
 
 
+def test_entities_and_ranks_are_not_broadcast(spark, secret, monkeypatch):
+    """However small the files of many entities, or of the ranks of many pieces, may be."""
+    s, said, texts = pii.Surrogates(KEY), "10.20.30.40", []
+    for i in range(4):
+        texts.append(f"at {said} in {i}")
+        said = s.replace("ip", said)
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    answers = []
+    for most in (1000, -1):
+        monkeypatch.setattr(common, "SENT_ROWS", most, raising=False)
+        with pytest.MonkeyPatch.context() as patch:
+            made = _plans_written(pii, patch)
+            kept = corpus_pipeline.pii_surrogates(spark, docs, "")
+        cut = common.written(packing.pieces(kept), "pieces")
+        found = packing.placed(cut)
+        assert any("Join" in x for x in made) and "Join" in plan(found)
+        # What Spark takes for the product of two tables, as the turns of the rows, it broadcasts here alone.
+        sent = ["Broadcast" in x for x in [*made, plan(found)] if "_turns" not in x]
+        assert any(sent) == (most > 0) and sent[-1] == (most > 0)
+        answers.append([sorted(map(tuple, x.collect())) for x in (kept, found)])
+    assert answers[0] == answers[1] and len({t.split()[1] for _, t in answers[0][0]} - {t.split()[1] for t in texts}) == 4
+
+
 def test_a_full_shape_changes_no_other(spark, secret):
     """Names that fill their shape, and an address written in two ways, leave the other entities what they get without them."""
     s, said, texts = pii.Surrogates(KEY), "10.20.30.40", []
